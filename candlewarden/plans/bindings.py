@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import join_series_values, with_position
+from candlewarden.functions.session import materialise
 from candlewarden.functions.times import floor_to, order_key
 from candlewarden.operators import parse
 from candlewarden.operators.parse import BOM
@@ -80,10 +81,10 @@ def bars_user(events: DataFrame) -> DataFrame:
     return bars_of(events, F.col("user_id").cast("string"), "H1", 60)
 
 
-def bars_session(events: DataFrame) -> DataFrame:
+def bars_session(all_bars: DataFrame) -> DataFrame:
     """Market-like week: ``ALL`` H1 bars from Monday 01:00 to Friday, with a nightly break."""
-    every = bars_of(events, F.lit("ALL"), "H1", 60)
-    return every.where((F.weekday("ts") < 5) & (F.hour("ts") >= 1))
+    hourly = all_bars.where((F.col("symbol") == "ALL") & (F.col("timeframe") == "H1"))
+    return hourly.where((F.weekday("ts") < 5) & (F.hour("ts") >= 1))
 
 
 def bars_h1_changed(all_bars: DataFrame) -> DataFrame:
@@ -112,9 +113,12 @@ def bars_bad(all_bars: DataFrame) -> DataFrame:
 
 
 def judged_bars(events: DataFrame) -> DataFrame:
-    """Everything the checks should see: regular, damaged and market-like series."""
-    regular = bars(events)
-    session = bars_session(events).withColumn("symbol", F.lit("SESSION"))
+    """Everything the checks should see: regular, damaged and market-like series.
+
+    The bars are written once, as three branches read them.
+    """
+    regular = materialise(bars(events), "bars")
+    session = bars_session(regular).withColumn("symbol", F.lit("SESSION"))
     return regular.unionByName(bars_bad(regular)).unionByName(session)
 
 
@@ -129,7 +133,7 @@ def raw_lines(events: DataFrame, broken_header: str | None = None) -> DataFrame:
 
     Columns file, line_no, value. ``broken_header`` names a symbol whose header has two columns swapped.
     """
-    quarter = bars(events).where(F.col("timeframe") == "M15")
+    quarter = materialise(bars(events).where(F.col("timeframe") == "M15"), "quarter")
     numbered = with_position(quarter, SERIES, "ts", "rn")
     rn = F.col("rn")
     copies = F.filter(
@@ -201,8 +205,8 @@ def files(quarter: DataFrame) -> DataFrame:
 
 
 def typed(events: DataFrame) -> DataFrame:
-    """Typed rows of ``raw_lines`` with symbol, timeframe and timestamp."""
-    lines = raw_lines(events)
+    """Typed rows of ``raw_lines`` with symbol, timeframe and timestamp, written once like an ingest does."""
+    lines = materialise(raw_lines(events), "lines")
     delimited = parse.with_delimiters(lines, parse.header_audit(lines))
-    rows = parse.typed_rows(delimited, F.col("delimiter"))
-    return parse.with_ts(parse.with_identity(rows))
+    rows = parse.with_ts(parse.typed_rows(delimited, F.col("delimiter")))
+    return materialise(parse.with_identity(rows), "typed")
