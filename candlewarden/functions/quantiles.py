@@ -9,27 +9,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS_PER_OCTAVE = 256
 # log2 of the smallest positive double is -1074; the offset keeps bucket numbers of positives above 0
-_OFFSET = 1100 * BUCKETS_PER_OCTAVE
+OFFSET = 1100 * BUCKETS_PER_OCTAVE
+# never decreases as the value grows; zero, negatives and infinities included
+BUCKET = f"""CASE WHEN value = 0 THEN 0L
+    ELSE CAST(signum(value) AS BIGINT)
+         * (floor(log2(least(abs(value), 1e308)) * {BUCKETS_PER_OCTAVE}) + {OFFSET}) END"""
 
 
-def value_bucket(value: Column) -> Column:
-    """A bucket number that never decreases as the value grows (zero, negatives and infinities too)."""
-    size = F.least(F.abs(value), F.lit(1e308))
-    magnitude = F.floor(F.log2(size) * BUCKETS_PER_OCTAVE).cast("bigint") + F.lit(_OFFSET)
-    return F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0).cast("bigint"))
+def value_counts(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
+    """(keys, metric, value, n): how often each value of each metric occurs; NULL and NaN are skipped.
 
-
-def value_counts(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    """(keys, metric, value, n): how often each value of each metric occurs; NULL and NaN are skipped."""
-    cells = [F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in values.items()]
+    ``values`` maps a metric name to a SQL expression.
+    """
+    cells = ", ".join(f"struct('{m}' AS metric, double({sql}) AS value)" for m, sql in values.items())
     return (
-        df.select(*keys, F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        df.selectExpr(*keys, f"inline(array({cells}))")
+        .where("value IS NOT NULL AND NOT isnan(value)")
         .groupBy(*keys, "metric", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -40,63 +40,45 @@ def quantiles_of_counts(
 ) -> DataFrame:
     """(keys, metric, prob, value) from a table of value counts."""
     group = [*keys, "metric"]
-    bucketed = counts.withColumn("bucket", value_bucket(F.col("value")))
+    bucketed = counts.withColumn("bucket", F.expr(BUCKET))
     totals = bucketed.groupBy(*group, "bucket").agg(F.sum("n").alias("size"))
     ordered = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    wanted_probs = F.lit(None).cast("array<double>")
-    for metric, ps in probs.items():
-        literal = F.array(*[F.lit(float(p)) for p in ps])
-        wanted_probs = F.when(F.col("metric") == metric, literal).otherwise(wanted_probs)
+    listed = " ".join(
+        f"WHEN '{m}' THEN array({', '.join(f'{float(p)}D' for p in ps)})" for m, ps in probs.items()
+    )
+    ranks = f"""transform(CASE metric {listed} END, p -> struct(
+        p AS prob, floor(p * (total - 1)) AS lo, ceil(p * (total - 1)) AS hi,
+        p * (total - 1) - floor(p * (total - 1)) AS frac))"""
     placed = totals.select(
         *group,
         "bucket",
-        (F.sum("size").over(ordered) - F.col("size")).alias("start"),
         F.sum("size").over(ordered).alias("stop"),
         F.sum("size").over(Window.partitionBy(*group)).alias("total"),
-    ).withColumn("ranks", F.transform(wanted_probs, _ranks))
-    inside = F.filter(
-        "ranks",
-        lambda r: ((r["lo"] >= F.col("start")) & (r["lo"] < F.col("stop")))
-        | ((r["hi"] >= F.col("start")) & (r["hi"] < F.col("stop"))),
-    )
-    needed = placed.select(*group, "bucket", "start", inside.alias("ranks")).where(F.size("ranks") > 0)
+        "size",
+    ).selectExpr(*group, "bucket", "stop - size AS start", "stop", f"{ranks} AS ranks")
+    inside = "filter(ranks, r -> (r.lo >= start AND r.lo < stop) OR (r.hi >= start AND r.hi < stop))"
+    needed = placed.selectExpr(*group, "bucket", "start", f"{inside} AS ranks").where("size(ranks) > 0")
     by_value = (
         Window.partitionBy(*group, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     )
     ranked = (
         bucketed.join(needed, [*group, "bucket"])
         .withColumn("upto", F.col("start") + F.sum("n").over(by_value))
-        .withColumn("from", F.col("upto") - F.col("n"))
-        .select(*group, "value", "from", "upto", F.explode("ranks").alias("r"))
-    )
-
-    def at(rank: str) -> Column:
-        hit = (F.col(f"r.{rank}") >= F.col("from")) & (F.col(f"r.{rank}") < F.col("upto"))
-        return F.max(F.when(hit, F.col("value")))
-
-    ends = ranked.groupBy(*group, F.col("r.prob").alias("prob")).agg(
-        at("lo").alias("lo"), at("hi").alias("hi"), F.max("r.frac").alias("frac")
+        .selectExpr(*group, "value", "upto - n AS from", "upto", "inline(ranks)")
     )
-    between = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")
-    exact = (F.col("frac") == 0) | (F.col("lo") == F.col("hi"))
-    return ends.select(*group, "prob", F.when(exact, F.col("lo")).otherwise(between).alias("value"))
-
-
-def _ranks(prob: Column) -> Column:
-    position = prob * (F.col("total") - 1)
-    lo = F.floor(position).cast("bigint")
-    return F.struct(
-        prob.alias("prob"),
-        lo.alias("lo"),
-        F.ceil(position).cast("bigint").alias("hi"),
-        (position - lo).alias("frac"),
+    ends = ranked.groupBy(*group, "prob").agg(
+        F.expr("max(CASE WHEN lo >= from AND lo < upto THEN value END) AS low"),
+        F.expr("max(CASE WHEN hi >= from AND hi < upto THEN value END) AS high"),
+        F.expr("max(frac) AS frac"),
     )
+    between = "CASE WHEN frac = 0 OR low = high THEN low ELSE low + (high - low) * frac END AS value"
+    return ends.selectExpr(*group, "prob", between)
 
 
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
-    values: Mapping[str, Column],
+    values: Mapping[str, str],
     probs: Mapping[str, Sequence[float]],
 ) -> DataFrame:
     return quantiles_of_counts(value_counts(df, keys, values), keys, probs)
@@ -109,8 +91,8 @@ def prob_name(prob: float) -> str:
 def wide(quantiles: DataFrame, keys: Sequence[str], probs: Mapping[str, Sequence[float]]) -> DataFrame:
     """One row per key with a column ``<metric>_p<percent>`` for every metric and probability."""
     cells = [
-        F.max(F.when((F.col("metric") == m) & (F.col("prob") == float(p)), F.col("value"))).alias(
-            f"{m}_{prob_name(p)}"
+        F.expr(
+            f"max(CASE WHEN metric = '{m}' AND prob = {float(p)}D THEN value END) AS {m}_{prob_name(p)}"
         )
         for m, ps in probs.items()
         for p in ps

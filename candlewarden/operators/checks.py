@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import CHUNK, join_series_values, with_chunk
+from candlewarden.functions.session import materialise
 from candlewarden.functions.quantiles import prob_name, quantiles_of_counts, value_counts, wide
-from candlewarden.functions.times import iso_seconds, minute_of_day
+from candlewarden.functions.times import minute_of_day_sql
 from candlewarden.operators import gaps as g
-from candlewarden.schema import CANONICAL, PRICES, SERIES, missing_columns, timeframe_minutes
+from candlewarden.schema import CANONICAL, MINUTES_SQL, PRICES, SERIES, missing_columns
 
 # Thresholds, example counts and the order in which checks are reported.
 JUMP_FACTOR = 12.0
@@ -56,57 +57,40 @@ CHECKS = [
 ]
 
 
-def less(a: str, b: str) -> Column:
+def less(a: str, b: str) -> str:
     """``a < b``, false for NaN, which Spark orders above every number."""
-    return (F.col(a) < F.col(b)) & ~F.isnan(a) & ~F.isnan(b)
+    return f"({a} < {b} AND NOT isnan({a}) AND NOT isnan({b}))"
 
 
-def off_grid() -> Column:
-    """Not on the grid of the timeframe; fractions of a second are not looked at."""
-    return (minute_of_day("ts") % timeframe_minutes() != 0) | (F.second("ts") != 0)
-
-
-def any_of(conditions) -> Column:
-    out = F.lit(False)
-    for c in conditions:
-        out = out | c
-    return out
-
-
-def bad_ohlc() -> Column:
-    return any_of(less(a, b) for a, b in OHLC_RULES.values())
-
-
-def bad_price() -> Column:
-    infinite = float("inf")
-    return any_of(
-        F.col(c).isNull() | F.isnan(c) | (F.col(c) <= 0) | (F.col(c) == infinite) for c in PRICES
-    )
-
-
-def zero_range() -> Column:
-    return (F.col("high") == F.col("low")) & ~F.isnan("high")
+# row-local violations; a fraction of a second is not looked at by the grid check
+OFF_GRID = f"({minute_of_day_sql('ts')} % {MINUTES_SQL} <> 0 OR second(ts) <> 0)"
+BAD_OHLC = "(" + " OR ".join(less(a, b) for a, b in OHLC_RULES.values()) + ")"
+BAD_PRICE = "(" + " OR ".join(f"{c} IS NULL OR isnan({c}) OR {c} <= 0 OR {c} = double('inf')" for c in PRICES) + ")"
+ZERO_RANGE = "(high = low AND NOT isnan(high))"
 
 
 def profile(bars: DataFrame) -> DataFrame:
     """All row-local counts of every series in one pass with map-side aggregation."""
+    counted = {
+        "off_grid": OFF_GRID,
+        **{name: less(a, b) for name, (a, b) in OHLC_RULES.items()},
+        "ohlc_violations": BAD_OHLC,
+        "bad_prices": BAD_PRICE,
+        "zero_range": ZERO_RANGE,
+        "spread_negative": "spread < 0",
+        "spread_zero": "spread = 0",
+        "tick_volume_zero": "tick_volume = 0",
+        "tick_volume_negative": "tick_volume < 0",
+        "volume_nonzero_rows": "volume <> 0",
+        **{day: f"weekday(ts) = {i}" for i, day in enumerate(WEEKDAYS)},
+    }
     return bars.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
-        F.count_if(off_grid()).alias("off_grid"),
-        *[F.count_if(less(a, b)).alias(name) for name, (a, b) in OHLC_RULES.items()],
-        F.count_if(bad_ohlc()).alias("ohlc_violations"),
-        F.count_if(bad_price()).alias("bad_prices"),
-        F.count_if(zero_range()).alias("zero_range"),
-        F.count_if(F.col("spread") < 0).alias("spread_negative"),
-        F.count_if(F.col("spread") == 0).alias("spread_zero"),
-        F.sum("spread").alias("_spread_sum"),
-        F.count("spread").alias("_spread_rows"),
-        F.count_if(F.col("tick_volume") == 0).alias("tick_volume_zero"),
-        F.count_if(F.col("tick_volume") < 0).alias("tick_volume_negative"),
-        F.count_if(F.col("volume") != 0).alias("volume_nonzero_rows"),
-        *[F.count_if(F.weekday("ts") == i).alias(day) for i, day in enumerate(WEEKDAYS)],
+        F.expr("count(1) AS rows"),
+        F.expr("min(ts) AS first_ts"),
+        F.expr("max(ts) AS last_ts"),
+        F.expr("sum(spread) AS _spread_sum"),
+        F.expr("count(spread) AS _spread_rows"),
+        *[F.expr(f"count_if({condition}) AS {name}") for name, condition in counted.items()],
     )
 
 
@@ -135,10 +119,8 @@ def duplicates(bars: DataFrame) -> DataFrame:
     """Rows that share a timestamp, and rows beyond the first of each; equal timestamps collapse map-side."""
     per_ts = bars.groupBy(*SERIES, "ts").agg(F.count(F.lit(1)).alias("_n"))
     return per_ts.groupBy(*SERIES).agg(
-        F.sum(F.col("_n") - 1).alias("duplicates"),
-        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0).cast("bigint")).alias(
-            "sharing_rows"
-        ),
+        F.expr("sum(_n - 1) AS duplicates"),
+        F.expr("coalesce(sum(CASE WHEN _n > 1 THEN _n END), 0L) AS sharing_rows"),
     )
 
 
@@ -153,15 +135,8 @@ def timestamp_order(bars: DataFrame, order: str = "ts") -> DataFrame:
 
 
 def counts_of_values(bars: DataFrame) -> DataFrame:
-    size = F.col("high") - F.col("low")
     return value_counts(
-        bars,
-        SERIES,
-        {
-            "spread": F.col("spread"),
-            "tick_volume": F.col("tick_volume"),
-            "range": F.when(size != 0, size),
-        },
+        bars, SERIES, {"spread": "spread", "tick_volume": "tick_volume", "range": "nullif(high - low, 0)"}
     )
 
 
@@ -174,19 +149,16 @@ def quantile_facts(counts: DataFrame, probs=None) -> DataFrame:
     return wide(quantiles_of_counts(wanted, SERIES, probs), SERIES, probs)
 
 
-def extreme_limit(p99="spread_p99") -> Column:
-    return F.greatest(F.col(p99) * EXTREME_FACTOR, F.lit(float(EXTREME_FLOOR)))
+EXTREME_LIMIT = f"greatest(spread_p99 * {EXTREME_FACTOR}, double({EXTREME_FLOOR}))"
 
 
 def extreme_spreads(counts: DataFrame, facts: DataFrame) -> DataFrame:
     """Bars above the extreme limit, counted from the value counts instead of a second scan."""
-    limits = facts.select(*SERIES, extreme_limit().alias("_limit"))
+    limits = facts.selectExpr(*SERIES, f"{EXTREME_LIMIT} AS _limit")
     spreads = counts.where(F.col("metric") == "spread")
     judged = join_series_values(spreads, limits, SERIES, "value")
     return judged.groupBy(*SERIES).agg(
-        F.coalesce(F.sum(F.when(F.col("value") > F.col("_limit"), F.col("n"))), F.lit(0).cast("bigint")).alias(
-            "spread_extreme"
-        )
+        F.expr("coalesce(sum(CASE WHEN value > _limit THEN n END), 0L) AS spread_extreme")
     )
 
 
@@ -235,9 +207,12 @@ def schema_check(bars: DataFrame, datasets: DataFrame) -> DataFrame:
 
 
 def facts(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFrame:
-    """Every number the checks need, one row per series."""
-    counts = counts_of_values(bars)
-    quantiles = quantile_facts(counts)
+    """Every number the checks need, one row per series.
+
+    The value counts and the quantiles have several readers each, so they are written once.
+    """
+    counts = materialise(counts_of_values(bars), "value_counts")
+    quantiles = materialise(quantile_facts(counts), "quantiles")
     jumps = with_jumps(bars, typical_range(quantiles), order, z)
     parts = [
         quantiles,
@@ -253,89 +228,62 @@ def facts(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFra
     return out.withColumn("spread_mean", F.col("_spread_sum") / F.col("_spread_rows"))
 
 
-def fail_if(condition: Column) -> Column:
-    return F.when(condition, "FAIL").otherwise("PASS")
+def _fail_if(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 'FAIL' ELSE 'PASS' END"
+
+
+# status and summary of every check as SQL over a row of ``facts``
+STATUS = {
+    "schema": "'PASS'",
+    "row_count": "'INFO'",
+    "timestamp_order": _fail_if("duplicates > 0 OR NOT monotonic"),
+    "duplicate_timestamps": _fail_if("sharing_rows > 0"),
+    "grid_alignment": _fail_if("off_grid > 0"),
+    "frequency_and_gaps": """CASE WHEN rows < 2 OR sub_step > 0 THEN 'FAIL'
+                                  WHEN gap_count > 0 THEN 'WARN' ELSE 'PASS' END""",
+    "ohlc_integrity": _fail_if("ohlc_violations > 0"),
+    "price_positivity": _fail_if("bad_prices > 0"),
+    "zero_range_candles": "CASE WHEN zero_range > 0 THEN 'WARN' ELSE 'INFO' END",
+    "spread": """CASE WHEN spread_negative > 0 THEN 'FAIL'
+                      WHEN spread_zero > 0 OR spread_extreme > 0 THEN 'WARN' ELSE 'PASS' END""",
+    "volume": "'INFO'",
+    "weekday_distribution": "CASE WHEN sat + sun > 0 THEN 'WARN' ELSE 'PASS' END",
+    "hour_distribution": "'INFO'",
+    "price_jumps": "CASE WHEN jumps > 0 THEN 'WARN' ELSE 'INFO' END",
+}
+
+
+def _text(**numbers: str) -> str:
+    """``label=number`` for each pair; a missing number reads ``none``."""
+    cells = [f"'{label.replace('_', ' ')}=', coalesce(string({c}), 'none')" for label, c in numbers.items()]
+    return "concat(" + ", ' ', ".join(cells) + ")"
+
+
+INSTANT = "'yyyy-MM-dd HH:mm:ss'"
+SUMMARY = {
+    "schema": "'all canonical columns present'",
+    "row_count": f"""concat(rows, ' rows from ', date_format(first_ts, {INSTANT}),
+                            ' to ', date_format(last_ts, {INSTANT}))""",
+    "timestamp_order": _text(duplicates="duplicates"),
+    "duplicate_timestamps": _text(rows_sharing_a_timestamp="sharing_rows"),
+    "grid_alignment": _text(off_grid="off_grid"),
+    "frequency_and_gaps": """CASE WHEN rows < 2 THEN 'fewer than 2 rows'
+        ELSE concat('exact_step=', exact_step, ' sub_step=', sub_step, ' gaps=', gap_count) END""",
+    "ohlc_integrity": _text(violations="ohlc_violations"),
+    "price_positivity": _text(bad_prices="bad_prices"),
+    "zero_range_candles": _text(zero_range="zero_range"),
+    "spread": _text(negative="spread_negative", zero="spread_zero", extreme="spread_extreme"),
+    "volume": """concat('tick_volume zero=', tick_volume_zero, ' negative=', tick_volume_negative,
+                        ' volume nonzero=', volume_nonzero_rows)""",
+    "weekday_distribution": _text(sat="sat", sun="sun"),
+    "hour_distribution": _text(hours="hours_with_data", first="first_hour"),
+    "price_jumps": "CASE WHEN jumps IS NULL THEN 'insufficient rows' ELSE concat('jumps=', jumps) END",
+}
 
 
 def status_of(check: str) -> Column:
     """Status of one check from a row of ``facts``."""
-    rows = F.col("rows")
-    if check == "row_count":
-        return F.lit("INFO")
-    if check == "timestamp_order":
-        return fail_if((F.col("duplicates") > 0) | ~F.col("monotonic"))
-    if check == "duplicate_timestamps":
-        return fail_if(F.col("sharing_rows") > 0)
-    if check == "grid_alignment":
-        return fail_if(F.col("off_grid") > 0)
-    if check == "frequency_and_gaps":
-        return (
-            F.when((rows < 2) | (F.col("sub_step") > 0), "FAIL")
-            .when(F.col("gap_count") > 0, "WARN")
-            .otherwise("PASS")
-        )
-    if check == "ohlc_integrity":
-        return fail_if(F.col("ohlc_violations") > 0)
-    if check == "price_positivity":
-        return fail_if(F.col("bad_prices") > 0)
-    if check == "zero_range_candles":
-        return F.when(F.col("zero_range") > 0, "WARN").otherwise("INFO")
-    if check == "spread":
-        return (
-            F.when(F.col("spread_negative") > 0, "FAIL")
-            .when((F.col("spread_zero") > 0) | (F.col("spread_extreme") > 0), "WARN")
-            .otherwise("PASS")
-        )
-    if check == "weekday_distribution":
-        return F.when(F.col("sat") + F.col("sun") > 0, "WARN").otherwise("PASS")
-    if check == "price_jumps":
-        return F.when(F.col("jumps") > 0, "WARN").otherwise("INFO")
-    return F.lit("PASS" if check == "schema" else "INFO")
-
-
-def _text(*parts) -> Column:
-    """Concatenate literals and columns; a missing number reads ``none``."""
-    cells = [F.lit(p) if i % 2 == 0 else F.coalesce(F.col(p).cast("string"), F.lit("none")) for i, p in enumerate(parts)]
-    return F.concat(*cells)
-
-
-def summary_of(check: str) -> Column:
-    if check == "schema":
-        return F.lit("all canonical columns present")
-    if check == "row_count":
-        return F.concat(
-            F.col("rows").cast("string"),
-            F.lit(" rows from "),
-            iso_seconds("first_ts"),
-            F.lit(" to "),
-            iso_seconds("last_ts"),
-        )
-    if check == "frequency_and_gaps":
-        counted = _text("exact_step=", "exact_step", " sub_step=", "sub_step", " gaps=", "gap_count")
-        return F.when(F.col("rows") < 2, "fewer than 2 rows").otherwise(counted)
-    if check == "price_jumps":
-        return F.when(F.col("jumps").isNull(), "insufficient rows").otherwise(_text("jumps=", "jumps"))
-    return {
-        "timestamp_order": _text("duplicates=", "duplicates"),
-        "duplicate_timestamps": _text("rows sharing a timestamp=", "sharing_rows"),
-        "grid_alignment": _text("off grid=", "off_grid"),
-        "ohlc_integrity": _text("violations=", "ohlc_violations"),
-        "price_positivity": _text("bad prices=", "bad_prices"),
-        "zero_range_candles": _text("zero range=", "zero_range"),
-        "spread": _text(
-            "negative=", "spread_negative", " zero=", "spread_zero", " extreme=", "spread_extreme"
-        ),
-        "volume": _text(
-            "tick_volume zero=",
-            "tick_volume_zero",
-            " negative=",
-            "tick_volume_negative",
-            " volume nonzero=",
-            "volume_nonzero_rows",
-        ),
-        "weekday_distribution": _text("sat=", "sat", " sun=", "sun"),
-        "hour_distribution": _text("hours=", "hours_with_data", " first=", "first_hour"),
-    }[check]
+    return F.expr(STATUS[check])
 
 
 METRICS = {
@@ -373,13 +321,11 @@ METRICS = {
 }
 
 
-def _metrics_of(check: str) -> Column:
+def _metrics_sql(check: str) -> str:
     names = METRICS.get(check, [])
     if not names:
-        return F.lit(None).cast("map<string,double>")
-    return F.map_from_arrays(
-        F.array(*[F.lit(n) for n in names]), F.array(*[F.col(n).cast("double") for n in names])
-    )
+        return "CAST(NULL AS MAP<STRING, DOUBLE>)"
+    return "map(" + ", ".join(f"'{n}', double({n})" for n in names) + ")"
 
 
 def run_all(
@@ -397,21 +343,12 @@ def run_all(
     if missing:
         listed = bars.select(*SERIES).distinct() if datasets is None else datasets
         return _short(listed, "FAIL", "missing canonical columns: " + ", ".join(missing), bars)
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("position"),
-                    F.lit(check).alias("check_name"),
-                    status_of(check).alias("status"),
-                    summary_of(check).alias("summary"),
-                    _metrics_of(check).alias("metrics"),
-                )
-                for i, check in enumerate(CHECKS, start=1)
-            ]
-        )
+    rows = ", ".join(
+        f"struct({i} AS position, '{check}' AS check_name, {STATUS[check]} AS status, "
+        f"{SUMMARY[check]} AS summary, {_metrics_sql(check)} AS metrics)"
+        for i, check in enumerate(CHECKS, start=1)
     )
-    results = facts(bars, order, z).select(*SERIES, rows.alias("_r")).select(*SERIES, "_r.*")
+    results = facts(bars, order, z).selectExpr(*SERIES, f"inline(array({rows}))")
     if datasets is not None:
         absent = datasets.select(*SERIES).join(bars.select(*SERIES).distinct(), SERIES, "left_anti")
         results = results.unionByName(_short(absent, "PASS", "all canonical columns present", None))
@@ -425,35 +362,22 @@ def _short(series: DataFrame, schema_status: str, schema_summary: str, bars: Dat
     else:
         counted = bars.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("rows"))
         sized = series.select(*SERIES).join(counted, SERIES, "left").na.fill(0, ["rows"])
-    empty = F.col("rows") == 0
-    row_status = F.when(empty, "FAIL").otherwise("INFO")
-    row_text = F.when(empty, "empty frame").otherwise(F.concat(F.col("rows").cast("string"), F.lit(" rows")))
-    no_metrics = F.lit(None).cast("map<string,double>")
-    two = F.array(
-        F.struct(
-            F.lit(1).alias("position"),
-            F.lit("schema").alias("check_name"),
-            F.lit(schema_status).alias("status"),
-            F.lit(schema_summary).alias("summary"),
-            no_metrics.alias("metrics"),
-        ),
-        F.struct(
-            F.lit(2).alias("position"),
-            F.lit("row_count").alias("check_name"),
-            row_status.alias("status"),
-            row_text.alias("summary"),
-            F.map_from_arrays(F.array(F.lit("rows")), F.array(F.col("rows").cast("double"))).alias("metrics"),
-        ),
+    return sized.selectExpr(
+        *SERIES,
+        f"""inline(array(
+            struct(1 AS position, 'schema' AS check_name, '{schema_status}' AS status,
+                   '{schema_summary}' AS summary, CAST(NULL AS MAP<STRING, DOUBLE>) AS metrics),
+            struct(2 AS position, 'row_count' AS check_name, CASE WHEN rows = 0 THEN 'FAIL' ELSE 'INFO' END AS status,
+                   CASE WHEN rows = 0 THEN 'empty frame' ELSE concat(rows, ' rows') END AS summary,
+                   map('rows', double(rows)) AS metrics)))""",
     )
-    return sized.select(*SERIES, F.explode(two).alias("_r")).select(*SERIES, "_r.*")
 
 
 def overall(results: DataFrame) -> DataFrame:
     """Worst status per series; descriptive results count as passed."""
-    rank = F.when(F.col("status") == "FAIL", 2).when(F.col("status") == "WARN", 1).otherwise(0)
-    worst = results.groupBy(*SERIES).agg(F.max(rank).alias("_worst"))
-    name = F.when(F.col("_worst") == 2, "FAIL").when(F.col("_worst") == 1, "WARN").otherwise("PASS")
-    return worst.select(*SERIES, name.alias("overall"))
+    rank = "max(CASE status WHEN 'FAIL' THEN 2 WHEN 'WARN' THEN 1 ELSE 0 END)"
+    worst = results.groupBy(*SERIES).agg(F.expr(f"{rank} AS _worst"))
+    return worst.selectExpr(*SERIES, "element_at(array('PASS', 'WARN', 'FAIL'), _worst + 1) AS overall")
 
 
 def first_rows(rows: DataFrame, keys: list[str], order: str, limit) -> DataFrame:
@@ -470,29 +394,30 @@ def first_rows(rows: DataFrame, keys: list[str], order: str, limit) -> DataFrame
 
 def examples(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFrame:
     """First violating rows per series and check, in frame order."""
-    quantiles = quantile_facts(counts_of_values(bars), {"spread": [0.99], "range": [0.5]})
-    limits = quantiles.select(*SERIES, extreme_limit().alias("_limit"), F.col("range_p50").alias("typical"))
+    quantiles = materialise(
+        quantile_facts(counts_of_values(bars), {"spread": [0.99], "range": [0.5]}), "quantiles"
+    )
+    limits = quantiles.selectExpr(*SERIES, f"{EXTREME_LIMIT} AS _limit", "range_p50 AS typical")
     linked = with_jumps(bars, limits, order, z)
     shared = bars.groupBy(*SERIES, "ts").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    broken = join_series_values(
-        linked.withColumn("_few", F.lit(0)).drop("typical"), limits.select(*SERIES, "_limit"), SERIES, "ts"
-    )
+    broken = join_series_values(linked.drop("typical"), limits.select(*SERIES, "_limit"), SERIES, "ts")
     flags = {
-        "grid_alignment": off_grid(),
-        "ohlc_integrity": bad_ohlc(),
-        "price_positivity": bad_price(),
-        "zero_range_candles": zero_range(),
-        "spread": F.col("spread") > F.col("_limit"),
-        "price_jumps": F.col("is_jump"),
+        "grid_alignment": OFF_GRID,
+        "ohlc_integrity": BAD_OHLC,
+        "price_positivity": BAD_PRICE,
+        "zero_range_candles": ZERO_RANGE,
+        "spread": "spread > _limit",
+        "price_jumps": "is_jump",
     }
-    named = F.array_compact(F.array(*[F.when(cond, F.lit(check)) for check, cond in flags.items()]))
+    named = ", ".join(f"CASE WHEN {cond} THEN '{check}' END" for check, cond in flags.items())
     kept = list(dict.fromkeys([*SERIES, *CANONICAL, order]))
-    is_jump = F.col("check_name") == "price_jumps"
-    rows = broken.select(*kept, "prev_close", "jump", F.explode(named).alias("check_name")).select(
+    rows = broken.selectExpr(
+        *kept, "prev_close", "jump", f"explode(array_compact(array({named}))) AS check_name"
+    ).selectExpr(
         *kept,
         "check_name",
-        F.when(is_jump, F.col("prev_close")).alias("prev_close"),
-        F.when(is_jump, F.col("jump")).alias("jump"),
+        "CASE WHEN check_name = 'price_jumps' THEN prev_close END AS prev_close",
+        "CASE WHEN check_name = 'price_jumps' THEN jump END AS jump",
     )
     twice = bars.join(shared.select(*SERIES, "ts"), [*SERIES, "ts"], "left_semi").select(
         *kept,

@@ -22,7 +22,7 @@ from candlewarden.functions.chunks import (
     with_previous,
     with_running,
 )
-from candlewarden.schema import SERIES, timeframe_minutes
+from candlewarden.schema import MINUTES_SQL, SERIES
 
 Feature = Callable[[DataFrame, Sequence[str]], DataFrame]
 
@@ -179,7 +179,6 @@ def ewm_mean(span: int = 10, column: str = "close") -> Feature:
 
 def available_at(bars: DataFrame) -> DataFrame:
     """Add the instant at which a bar is fully known: its start plus its timeframe."""
-    length = F.make_dt_interval(F.lit(0), F.lit(0), timeframe_minutes())
-    return bars.withColumn("available_at", F.col("ts") + length)
+    return bars.withColumn("available_at", F.expr(f"ts + make_dt_interval(0, 0, {MINUTES_SQL})"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import with_previous
 from candlewarden.functions.times import MICROS_PER_DAY, MICROS_PER_MINUTE, micros_between
-from candlewarden.schema import SERIES, timeframe_minutes
+from candlewarden.schema import MINUTES_SQL, SERIES
 
 # The kinds and their limits. Weekdays count from Monday = 0.
 GAP_KINDS = ["weekend", "daily_break", "intraweek", "extended"]
@@ -18,22 +18,18 @@ DAILY_LIMIT_DAYS = 1
 INTRAWEEK_LIMIT_DAYS = 3
 
 
-def step_micros():
-    return timeframe_minutes().cast("bigint") * MICROS_PER_MINUTE
+STEP = f"(CAST({MINUTES_SQL} AS BIGINT) * {MICROS_PER_MINUTE})"
+# half-even, as the ratio can end in .5 for bars off the grid
+MISSING = f"CAST(bround(delta_us / {STEP} - 1) AS BIGINT)"
 
 
-def gap_kind(start, end, delta_us):
-    weekend = (
-        (F.weekday(start) >= WEEKEND_FIRST_START)
-        & (F.weekday(end) <= WEEKEND_LAST_END)
-        & (delta_us < WEEKEND_LIMIT_DAYS * MICROS_PER_DAY)
-    )
-    return (
-        F.when(weekend, "weekend")
-        .when(delta_us < DAILY_LIMIT_DAYS * MICROS_PER_DAY, "daily_break")
-        .when(delta_us < INTRAWEEK_LIMIT_DAYS * MICROS_PER_DAY, "intraweek")
-        .otherwise("extended")
-    )
+def kind_sql(start: str, end: str) -> str:
+    return f"""CASE
+        WHEN weekday({start}) >= {WEEKEND_FIRST_START} AND weekday({end}) <= {WEEKEND_LAST_END}
+             AND delta_us < {WEEKEND_LIMIT_DAYS * MICROS_PER_DAY} THEN 'weekend'
+        WHEN delta_us < {DAILY_LIMIT_DAYS * MICROS_PER_DAY} THEN 'daily_break'
+        WHEN delta_us < {INTRAWEEK_LIMIT_DAYS * MICROS_PER_DAY} THEN 'intraweek'
+        ELSE 'extended' END"""
 
 
 def steps(bars: DataFrame, order: str = "ts", carried: dict[str, str] | None = None) -> DataFrame:
@@ -45,16 +41,13 @@ def steps(bars: DataFrame, order: str = "ts", carried: dict[str, str] | None = N
 
 def gaps_of_steps(linked: DataFrame) -> DataFrame:
     """One row per step longer than the timeframe."""
-    step = step_micros()
-    # half-even, as the ratio can end in .5 for bars off the grid
-    missing = F.bround(F.col("delta_us") / step - 1).cast("bigint")
-    return linked.where(F.col("delta_us") > step).select(
+    return linked.where(f"delta_us > {STEP}").selectExpr(
         *SERIES,
-        F.col("prev_ts").alias("gap_start"),
-        F.col("ts").alias("gap_end"),
+        "prev_ts AS gap_start",
+        "ts AS gap_end",
         "delta_us",
-        missing.alias("missing_bars"),
-        gap_kind(F.col("prev_ts"), F.col("ts"), F.col("delta_us")).alias("kind"),
+        f"{MISSING} AS missing_bars",
+        f"{kind_sql('prev_ts', 'ts')} AS kind",
     )
 
 
@@ -79,19 +72,18 @@ def largest_gaps(gaps: DataFrame, n: int = 10) -> DataFrame:
 
 def frequency(linked: DataFrame) -> DataFrame:
     """Per series: rows, regular steps, steps too short, gaps and missing bars."""
-    step = step_micros()
-    delta = F.col("delta_us")
-    is_gap = delta > step
-    kind = gap_kind(F.col("prev_ts"), F.col("ts"), delta)
-    missing = F.when(is_gap, F.bround(delta / step - 1).cast("bigint")).otherwise(F.lit(0))
-    return linked.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(delta == step).alias("exact_step"),
-        F.count_if(delta < step).alias("sub_step"),
-        F.count_if(is_gap).alias("gap_count"),
-        *[F.count_if(is_gap & (kind == k)).alias(f"gaps_{k}") for k in GAP_KINDS],
-        F.sum(missing).alias("missing_bars_total"),
-        F.coalesce(F.sum(F.when(kind != "weekend", missing)), F.lit(0).cast("bigint")).alias(
-            "missing_bars_non_weekend"
-        ),
+    judged = linked.selectExpr(
+        "*",
+        f"{STEP} AS _step",
+        f"CASE WHEN delta_us > {STEP} THEN {kind_sql('prev_ts', 'ts')} END AS _kind",
+        f"CASE WHEN delta_us > {STEP} THEN {MISSING} ELSE 0 END AS _missing",
+    )
+    return judged.groupBy(*SERIES).agg(
+        F.expr("count(1) AS rows"),
+        F.expr("count_if(delta_us = _step) AS exact_step"),
+        F.expr("count_if(delta_us < _step) AS sub_step"),
+        F.expr("count_if(delta_us > _step) AS gap_count"),
+        *[F.expr(f"count_if(_kind = '{k}') AS gaps_{k}") for k in GAP_KINDS],
+        F.expr("sum(_missing) AS missing_bars_total"),
+        F.expr("coalesce(sum(CASE WHEN _kind <> 'weekend' THEN _missing END), 0L) AS missing_bars_non_weekend"),
     )

@@ -18,7 +18,7 @@ def spread_by_year(bars: DataFrame) -> DataFrame:
     shares = dated.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("spread") == 0).alias("zero_spreads")
     )
-    medians = wide(exact_quantiles(dated, keys, {"spread": F.col("spread")}, MEDIAN), keys, MEDIAN)
+    medians = wide(exact_quantiles(dated, keys, {"spread": "spread"}, MEDIAN), keys, MEDIAN)
     return shares.join(medians, keys, "left").select(
         *keys,
         "rows",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The export format and the canonical contract.
@@ -42,13 +41,8 @@ class RawSchemaError(ValueError):
     """A raw file does not follow the export layout."""
 
 
-def timeframe_minutes(timeframe="timeframe"):
-    """Minutes per bar as an integer column; NULL for a timeframe outside the closed set."""
-    col = F.col(timeframe) if isinstance(timeframe, str) else timeframe
-    out = F.lit(None).cast("int")
-    for name, minutes in TIMEFRAME_MINUTES.items():
-        out = F.when(col == name, F.lit(minutes)).otherwise(out)
-    return out
+# minutes per bar as a SQL expression over ``timeframe``; NULL outside the closed set
+MINUTES_SQL = "CASE timeframe " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in TIMEFRAME_MINUTES.items()) + " END"
 
 
 def missing_columns(bars: DataFrame) -> list[str]:
