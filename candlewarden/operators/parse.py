@@ -75,67 +75,57 @@ def require_headers(audit: DataFrame) -> None:
     refuse(audit.where(~F.col("ok")), RawSchemaError, f"a header other than {', '.join(RAW_COLUMNS)}")
 
 
-def to_number(text: Column) -> Column:
+def number_sql(text: str) -> str:
     """Text to DOUBLE; anything that is not a number, NaN included, becomes NULL.
 
     The pattern keeps out what Java alone reads as a number, such as the type suffix in ``1d``.
     """
-    return F.regexp_extract(text, NUMBER_PATTERN, 1).try_cast("double")
+    return f"try_cast(regexp_extract({text}, r'{NUMBER_PATTERN}', 1) AS DOUBLE)"
 
 
-def to_count(text: Column, number: Column) -> Column:
+def count_sql(text: str, number: str) -> str:
     """Text to BIGINT; integral decimals count as integers, other text becomes NULL."""
-    integral = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), integral)
+    integral = f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS BIGINT) END"
+    return f"coalesce(try_cast({text} AS BIGINT), {integral})"
 
 
-def fractional(text: Column, number: Column) -> Column:
+def fractional_sql(text: str, number: str) -> str:
     """A count that is a number but not an integer, which the loader refuses."""
-    return F.coalesce(text.try_cast("bigint").isNull() & (number != F.floor(number)), F.lit(False))
+    return f"coalesce(try_cast({text} AS BIGINT) IS NULL AND {number} <> floor({number}), false)"
 
 
-def to_instant(date: Column, time: Column) -> Column:
-    """``yyyy.mm.dd`` and ``HH:MM:SS`` to TIMESTAMP_NTZ; NULL when they do not form a valid instant."""
-    text = F.concat(F.coalesce(date, F.lit("")), F.lit(" "), F.coalesce(time, F.lit("")))
-    shaped = F.regexp_extract(text, TIMESTAMP_PATTERN, 0)
-    return F.translate(shaped, ".", "-").try_cast("timestamp_ntz")
+# yyyy.mm.dd and HH:MM:SS to an instant; NULL when they do not form a valid one
+INSTANT = f"""try_cast(translate(regexp_extract(
+    concat(coalesce(date, ''), ' ', coalesce(time, '')), r'{TIMESTAMP_PATTERN}', 0), '.', '-') AS TIMESTAMP_NTZ)"""
 
 
 def with_ts(typed: DataFrame) -> DataFrame:
     """Add ``ts`` from ``date`` and ``time``."""
-    first, last = (F.lit(v).cast("timestamp_ntz") for v in (FIRST_TS, LAST_TS))
-    parsed = typed.withColumn("_ts", to_instant(F.col("date"), F.col("time")))
-    return parsed.withColumn("ts", F.when(F.col("_ts").between(first, last), F.col("_ts"))).drop("_ts")
+    bounded = f"CASE WHEN _ts BETWEEN TIMESTAMP_NTZ'{FIRST_TS}' AND TIMESTAMP_NTZ'{LAST_TS}' THEN _ts END"
+    return typed.withColumn("_ts", F.expr(INSTANT)).withColumn("ts", F.expr(bounded)).drop("_ts")
 
 
-def typed_rows(lines: DataFrame, delimiter: Column | None = None) -> DataFrame:
+def typed_rows(lines: DataFrame, delimiter: str = "'\t'") -> DataFrame:
     """Typed columns of every data line, with its line number and what is wrong with its shape.
 
-    ``delimiter`` defaults to a tab. Empty text is NULL; DATE and TIME stay text. The steps are separate
-    projections, so that no parsed value is computed more than once.
+    ``delimiter`` is a SQL expression. Empty text is NULL; DATE and TIME stay text. The steps are
+    separate projections, so that no parsed value is computed more than once.
     """
-    delimiter = F.lit("\t") if delimiter is None else delimiter
     kept = [c for c in lines.columns if c not in ("value", "delimiter")]
-    names = dict(zip(RAW_COLUMNS, ["date", "time", *PRICES, *COUNTS]))
-    cells = lines.where(F.col("line_no") > 1).select(*kept, F.split("value", delimiter).alias("_cells"))
-    text = cells.select(
-        *kept,
-        F.size("_cells").alias("_fields"),
-        *[F.get("_cells", F.lit(i)).alias(f"_{name}") for i, name in enumerate(names.values())],
-    )
-    numbers = text.select(
-        "*", *[to_number(F.col(f"_{c}")).alias(f"_n_{c}") for c in [*PRICES, *COUNTS]]
+    names = ["date", "time", *PRICES, *COUNTS]
+    cells = lines.where("line_no > 1").selectExpr(*kept, f"split(value, {delimiter}) AS _cells")
+    text = cells.selectExpr(
+        *kept, "size(_cells) AS _fields", *[f"get(_cells, {i}) AS _{name}" for i, name in enumerate(names)]
     )
-    broken = F.lit(False)
-    for c in COUNTS:
-        broken = broken | fractional(F.col(f"_{c}"), F.col(f"_n_{c}"))
-    return numbers.select(
+    numbers = text.selectExpr("*", *[f"{number_sql(f'_{c}')} AS _n_{c}" for c in [*PRICES, *COUNTS]])
+    broken = " OR ".join(fractional_sql(f"_{c}", f"_n_{c}") for c in COUNTS)
+    return numbers.selectExpr(
         *kept,
-        *[F.nullif(F.col(f"_{c}"), F.lit("")).alias(c) for c in ("date", "time")],
-        *[F.col(f"_n_{c}").alias(c) for c in PRICES],
-        *[to_count(F.col(f"_{c}"), F.col(f"_n_{c}")).alias(c) for c in COUNTS],
-        (F.col("_fields") > len(RAW_COLUMNS)).alias("too_many_fields"),
-        broken.alias("fractional_count"),
+        *[f"nullif(_{c}, '') AS {c}" for c in ("date", "time")],
+        *[f"_n_{c} AS {c}" for c in PRICES],
+        *[f"{count_sql(f'_{c}', f'_n_{c}')} AS {c}" for c in COUNTS],
+        f"_fields > {len(RAW_COLUMNS)} AS too_many_fields",
+        f"({broken}) AS fractional_count",
     )
 
 

@@ -7,7 +7,7 @@ they have been reduced map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import join_series_values, with_position
@@ -15,7 +15,7 @@ from candlewarden.functions.session import materialise
 from candlewarden.functions.times import floor_to, order_key
 from candlewarden.operators import parse
 from candlewarden.operators.parse import BOM
-from candlewarden.schema import CANONICAL, SERIES
+from candlewarden.schema import CANONICAL, SERIES, TIMEFRAME_MINUTES
 
 BAR_COLUMNS = SERIES + CANONICAL
 
@@ -26,59 +26,55 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _reduce(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Merge ticks or partial bars into one bar per key; first and last are decided by tick order."""
-    return rows.groupBy(*keys).agg(
-        F.min("first_key").alias("first_key"),
-        F.max("last_key").alias("last_key"),
-        F.min_by("open", "first_key").alias("open"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max_by("close", "last_key").alias("close"),
-        F.sum("tick_volume").alias("tick_volume"),
-        F.sum("volume").alias("volume"),
-        F.min("spread").alias("spread"),
-    )
-
-
-def _ticks(events: DataFrame, symbol, minutes: int) -> DataFrame:
-    key = order_key("ts", "event_id")
-    return events.select(
-        symbol.alias("symbol"),
-        F.window("ts", f"{minutes} minutes")["start"].alias("ts"),
-        key.alias("first_key"),
-        key.alias("last_key"),
-        *[F.col("value").alias(c) for c in ("open", "high", "low", "close")],
-        F.lit(1).cast("bigint").alias("tick_volume"),
-        (F.col("user_id") % 7).alias("volume"),
-        (F.col("event_id") % 40).alias("spread"),
+    measures = {
+        "first_key": "min(first_key)",
+        "last_key": "max(last_key)",
+        "open": "min_by(open, first_key)",
+        "high": "max(high)",
+        "low": "min(low)",
+        "close": "max_by(close, last_key)",
+        "tick_volume": "sum(tick_volume)",
+        "volume": "sum(volume)",
+        "spread": "min(spread)",
+    }
+    return rows.groupBy(*keys).agg(*[F.expr(f"{sql} AS {name}") for name, sql in measures.items()])
+
+
+def _ticks(events: DataFrame, symbol: str, minutes: int) -> DataFrame:
+    keyed = events.withColumn("_key", order_key("ts", "event_id"))
+    return keyed.selectExpr(
+        f"{symbol} AS symbol",
+        f"window(ts, '{minutes} minutes').start AS ts",
+        "_key AS first_key",
+        "_key AS last_key",
+        *[f"value AS {c}" for c in ("open", "high", "low", "close")],
+        "1L AS tick_volume",
+        "user_id % 7 AS volume",
+        "event_id % 40 AS spread",
     )
 
 
 def bars(events: DataFrame) -> DataFrame:
     """Bars of every event type and of ``ALL``, on M15, M30 and H1."""
-    quarter = _reduce(_ticks(events, F.upper("event_type"), 15), ["symbol", "ts"])
-    frames = F.array(
-        *[
-            F.struct(F.lit(name).alias("timeframe"), F.lit(minutes).alias("minutes"))
-            for name, minutes in (("M15", 15), ("M30", 30), ("H1", 60))
-        ]
-    )
+    quarter = _reduce(_ticks(events, "upper(event_type)", 15), ["symbol", "ts"])
+    frames = ", ".join(f"struct('{tf}' AS timeframe, {m} AS minutes)" for tf, m in TIMEFRAME_MINUTES.items())
     fanned = (
-        quarter.withColumn("symbol", F.explode(F.array("symbol", F.lit("ALL"))))
-        .select("*", F.inline(frames))
+        quarter.withColumn("symbol", F.expr("explode(array(symbol, 'ALL'))"))
+        .selectExpr("*", f"inline(array({frames}))")
         .withColumn("ts", floor_to("ts", "minutes"))
     )
     return _reduce(fanned, ["symbol", "timeframe", "ts"]).select(*BAR_COLUMNS)
 
 
-def bars_of(events: DataFrame, symbol, timeframe: str, minutes: int) -> DataFrame:
-    """Bars of one timeframe for an arbitrary symbol column."""
+def bars_of(events: DataFrame, symbol: str, timeframe: str, minutes: int) -> DataFrame:
+    """Bars of one timeframe for an arbitrary symbol expression."""
     made = _reduce(_ticks(events, symbol, minutes), ["symbol", "ts"])
     return made.withColumn("timeframe", F.lit(timeframe)).select(*BAR_COLUMNS)
 
 
 def bars_user(events: DataFrame) -> DataFrame:
     """H1 bars per user: sparse series with every kind of gap."""
-    return bars_of(events, F.col("user_id").cast("string"), "H1", 60)
+    return bars_of(events, "string(user_id)", "H1", 60)
 
 
 def bars_session(all_bars: DataFrame) -> DataFrame:
@@ -95,21 +91,19 @@ def bars_h1_changed(all_bars: DataFrame) -> DataFrame:
 
 def bars_bad(all_bars: DataFrame) -> DataFrame:
     """H1 bars with one kind of damage on every fiftieth row each, under symbols ending in ``_BAD``."""
-    hourly = all_bars.where(F.col("timeframe") == "H1")
-    turn = F.col("_rn") % 50
-    damaged = with_position(hourly, SERIES, "ts", "_rn").select(
-        F.concat("symbol", F.lit("_BAD")).alias("symbol"),
+    hourly = with_position(all_bars.where("timeframe = 'H1'"), SERIES, "ts", "_rn")
+    return hourly.selectExpr("*", "_rn % 50 AS turn").selectExpr(
+        "concat(symbol, '_BAD') AS symbol",
         "timeframe",
-        F.when(turn == 3, F.col("ts") + F.expr("INTERVAL '7' MINUTE")).otherwise(F.col("ts")).alias("ts"),
-        F.when(turn == 2, 0.0).otherwise(F.col("open")).alias("open"),
-        F.when(turn == 1, F.col("low") - 1).otherwise(F.col("high")).alias("high"),
+        "CASE WHEN turn = 3 THEN ts + INTERVAL '7' MINUTE ELSE ts END AS ts",
+        "CASE WHEN turn = 2 THEN 0D ELSE open END AS open",
+        "CASE WHEN turn = 1 THEN low - 1 ELSE high END AS high",
         "low",
-        F.when(turn == 5, F.col("close") * 3).otherwise(F.col("close")).alias("close"),
+        "CASE WHEN turn = 5 THEN close * 3 ELSE close END AS close",
         "tick_volume",
         "volume",
-        F.when(turn == 4, F.lit(-1).cast("bigint")).otherwise(F.col("spread")).alias("spread"),
+        "CASE WHEN turn = 4 THEN -1L ELSE spread END AS spread",
     )
-    return damaged.select(*BAR_COLUMNS)
 
 
 def judged_bars(events: DataFrame) -> DataFrame:
@@ -123,9 +117,34 @@ def judged_bars(events: DataFrame) -> DataFrame:
 
 
 HEADER = ["<DATE>", "<TIME>", "<OPEN>", "<HIGH>", "<LOW>", "<CLOSE>", "<TICKVOL>", "<VOL>", "<SPREAD>"]
+DELIMITER = "CASE symbol WHEN 'CLICK' THEN ',' WHEN 'ERROR' THEN ';' ELSE '\\t' END"
 # room between two positions for the copies of a row, and a shift that puts a row behind all others
 COPIES = 4
 BEHIND = 1 << 40
+# the damage: which rows are repeated, repeated with another close, given a bad month or no open
+COPY_LIST = "array_compact(array(0, CASE WHEN rn % 97 = 5 THEN 1 END, CASE WHEN rn % 101 = 7 THEN 2 END))"
+BAD_MONTH = "(rn % 113 = 3 OR rn % 151 = 17)"
+NO_OPEN = "(rn % 127 = 11 OR rn % 151 = 17)"
+CELLS = [
+    f"CASE WHEN {BAD_MONTH} THEN date_format(ts, 'yyyy.13.dd') ELSE date_format(ts, 'yyyy.MM.dd') END",
+    "date_format(ts, 'HH:mm:ss')",
+    f"CASE WHEN {NO_OPEN} THEN '' ELSE string(open) END",
+    "high",
+    "low",
+    "CASE WHEN copy = 2 THEN close + 1 ELSE close END",
+    "tick_volume",
+    "volume",
+    "spread",
+]
+
+
+def _header(broken: str | None) -> str:
+    def line(cells: list[str]) -> str:
+        return f"concat_ws({DELIMITER}, {', '.join(repr(c) for c in cells)})"
+
+    swapped = [HEADER[1], HEADER[0], *HEADER[2:]]
+    head = f"CASE WHEN symbol = '{broken}' THEN {line(swapped)} ELSE {line(HEADER)} END" if broken else line(HEADER)
+    return f"concat(CASE WHEN symbol = 'PURCHASE' THEN '{BOM}' ELSE '' END, {head})"
 
 
 def raw_lines(events: DataFrame, broken_header: str | None = None) -> DataFrame:
@@ -133,80 +152,27 @@ def raw_lines(events: DataFrame, broken_header: str | None = None) -> DataFrame:
 
     Columns file, line_no, value. ``broken_header`` names a symbol whose header has two columns swapped.
     """
-    quarter = materialise(bars(events).where(F.col("timeframe") == "M15"), "quarter")
-    numbered = with_position(quarter, SERIES, "ts", "rn")
-    rn = F.col("rn")
-    copies = F.filter(
-        F.array(
-            F.lit(0),
-            F.when(rn % 97 == 5, F.lit(1)),
-            F.when(rn % 101 == 7, F.lit(2)),
-        ),
-        lambda c: c.isNotNull(),
+    quarter = materialise(bars(events).where("timeframe = 'M15'"), "quarter")
+    rows = with_position(quarter, SERIES, "ts", "rn").selectExpr("*", f"explode({COPY_LIST}) AS copy")
+    spread_out = f"rn * {COPIES} + copy + CASE WHEN rn % 131 = 13 THEN {BEHIND}L ELSE 0L END AS place"
+    placed = with_position(rows.selectExpr("*", spread_out), SERIES, "place", "_position")
+    body = placed.selectExpr(
+        "symbol", "_position + 1 AS line_no", f"concat_ws({DELIMITER}, {', '.join(CELLS)}) AS value"
     )
-    rows = numbered.withColumn("copy", F.explode(copies)).withColumn(
-        "place", rn * COPIES + F.col("copy") + F.when(rn % 131 == 13, F.lit(BEHIND)).otherwise(F.lit(0))
-    )
-    placed = with_position(rows, SERIES, "place", "_position")
-    bad_ts = (rn % 113 == 3) | (rn % 151 == 17)
-    no_open = (rn % 127 == 11) | (rn % 151 == 17)
-    close = F.when(F.col("copy") == 2, F.col("close") + 1).otherwise(F.col("close"))
-    cells = [
-        F.when(bad_ts, F.concat(F.date_format("ts", "yyyy"), F.lit(".13."), F.date_format("ts", "dd"))).otherwise(
-            F.date_format("ts", "yyyy.MM.dd")
-        ),
-        F.date_format("ts", "HH:mm:ss"),
-        F.when(no_open, "").otherwise(F.col("open").cast("string")),
-        F.col("high").cast("string"),
-        F.col("low").cast("string"),
-        close.cast("string"),
-        F.col("tick_volume").cast("string"),
-        F.col("volume").cast("string"),
-        F.col("spread").cast("string"),
-    ]
-
-    def joined(parts) -> Column:
-        # one literal separator per branch keeps the concatenation a built-in
-        return (
-            F.when(F.col("symbol") == "CLICK", F.concat_ws(",", *parts))
-            .when(F.col("symbol") == "ERROR", F.concat_ws(";", *parts))
-            .otherwise(F.concat_ws("\t", *parts))
-        )
-
-    body = placed.select("symbol", (F.col("_position") + 1).alias("line_no"), joined(cells).alias("value"))
     names = files(quarter)
-    columns = [F.lit(c) for c in HEADER]
-    head = joined(columns)
-    if broken_header:
-        swapped = [columns[1], columns[0], *columns[2:]]
-        head = F.when(F.col("symbol") == broken_header, joined(swapped)).otherwise(head)
-    marked = F.when(F.col("symbol") == "PURCHASE", F.concat(F.lit(BOM), head)).otherwise(head)
-    header = names.select("symbol", F.lit(1).cast("bigint").alias("line_no"), marked.alias("value"))
-    named = join_series_values(body, names, ["symbol"], "line_no")
-    return named.select("file", "line_no", "value").unionByName(
-        header.join(names, "symbol").select("file", "line_no", "value")
-    )
+    named = join_series_values(body, names, ["symbol"], "line_no").select("file", "line_no", "value")
+    return named.unionByName(names.selectExpr("file", "1L AS line_no", f"{_header(broken_header)} AS value"))
 
 
 def files(quarter: DataFrame) -> DataFrame:
     """(symbol, file): export names declaring the day of the first bar and the last bar."""
-    ends = quarter.groupBy("symbol").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    return ends.select(
-        "symbol",
-        F.concat(
-            F.col("symbol"),
-            F.lit("_M15_"),
-            F.date_format("a", "yyyyMMdd"),
-            F.lit("0000_"),
-            F.date_format("b", "yyyyMMddHHmm"),
-            F.lit(".csv"),
-        ).alias("file"),
-    )
+    name = "concat(symbol, '_M15_', date_format(min(ts), 'yyyyMMdd'), '0000_', date_format(max(ts), 'yyyyMMddHHmm'), '.csv')"
+    return quarter.groupBy("symbol").agg(F.expr(f"{name} AS file"))
 
 
 def typed(events: DataFrame) -> DataFrame:
     """Typed rows of ``raw_lines`` with symbol, timeframe and timestamp, written once like an ingest does."""
     lines = materialise(raw_lines(events), "lines")
     delimited = parse.with_delimiters(lines, parse.header_audit(lines))
-    rows = parse.with_ts(parse.typed_rows(delimited, F.col("delimiter")))
+    rows = parse.with_ts(parse.typed_rows(delimited, "delimiter"))
     return materialise(parse.with_identity(rows), "typed")

@@ -119,6 +119,6 @@ def read_raw(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
     splits = split_offsets(stored).join(audit.select("file", "delimiter"), "file")
     splits = broadcast_if_small(materialise(splits, "splits"))
     lines = numbered(stored, splits)
-    typed = materialise(parse.with_ts(parse.typed_rows(lines, F.col("delimiter"))), "typed")
+    typed = materialise(parse.with_ts(parse.typed_rows(lines, "delimiter")), "typed")
     parse.require_typed(typed)
     return parse.with_identity(typed), known
