@@ -8,7 +8,7 @@ from pyspark.sql.utils import AnalysisException
 
 from candlewarden.functions.session import broadcast_if_small, materialise
 from candlewarden.operators import parse
-from candlewarden.schema import SERIES
+from candlewarden.schema import SERIES, RawSchemaError
 
 GLOB = "*.csv"
 SPLIT = ["file", "block"]
@@ -17,20 +17,24 @@ SPLIT = ["file", "block"]
 def discover(spark: SparkSession, raw_dir: str) -> DataFrame:
     """(file, path, bytes) of the exports in ``raw_dir``; FileNotFoundError when there are none.
 
-    Listing only: the binary source does not read a column nobody asks for.
+    Listing only: the binary source does not read a column nobody asks for. It skips files without a
+    single byte, which have no header either and are refused.
     """
     try:
         listing = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(raw_dir)
-        files = listing.select(
-            F.element_at(F.split("path", "/"), -1).alias("file"), "path", F.col("length").alias("bytes")
-        )
-        empty = files.isEmpty()
+        listed = len(listing._jdf.inputFiles())
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        empty = True
-    if empty:
+        listed = 0
+    if not listed:
         raise FileNotFoundError(f"no CSV files in {raw_dir}")
+    files = listing.select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "path", F.col("length").alias("bytes")
+    )
+    empty = listed - files.count()
+    if empty:
+        raise RawSchemaError(f"{empty} empty CSV file(s) in {raw_dir}")
     return files
 
 
