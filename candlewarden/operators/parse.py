@@ -12,7 +12,7 @@ from candlewarden.functions.chunks import join_series_values
 from candlewarden.schema import COUNTS, FILE_NAME_PATTERN, PRICES, RAW_COLUMNS, SERIES, RawSchemaError
 
 BOM = "\ufeff"
-TIMESTAMP_PATTERN = r"^\d{4}\.\d{1,2}\.\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+TIMESTAMP_PATTERN = r"^\d{4}\.\d{1,2}\.(?:\d{1,2}| [1-9]) \d{1,2}:\d{1,2}:\d{1,2}$"
 NUMBER_PATTERN = r"(?i)^\s*([+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity))\s*$"
 # The first and last second a 64-bit nanosecond timestamp can hold.
 FIRST_TS = "1677-09-21 00:12:44"
@@ -95,14 +95,19 @@ def fractional_sql(text: str, number: str) -> str:
 
 
 # yyyy.mm.dd and HH:MM:SS to an instant; NULL when they do not form a valid one
-INSTANT = f"""try_cast(translate(regexp_extract(
-    concat(coalesce(date, ''), ' ', coalesce(time, '')), r'{TIMESTAMP_PATTERN}', 0), '.', '-') AS TIMESTAMP_NTZ)"""
+SHAPED = f"""replace(translate(regexp_extract(
+    concat(coalesce(date, ''), ' ', coalesce(time, '')), r'{TIMESTAMP_PATTERN}', 0), '.', '-'), '- ', '-')"""
+# seconds 60 and 61 are leap seconds and run into the next minute
+LEAP = """try_cast(regexp_replace(_shaped, ':6[01]$', ':00') AS TIMESTAMP_NTZ)
+    + make_dt_interval(0, 0, 0, CAST(right(_shaped, 2) AS INT))"""
+INSTANT = f"CASE WHEN _shaped RLIKE ':6[01]$' THEN {LEAP} ELSE try_cast(_shaped AS TIMESTAMP_NTZ) END"
 
 
 def with_ts(typed: DataFrame) -> DataFrame:
     """Add ``ts`` from ``date`` and ``time``."""
     bounded = f"CASE WHEN _ts BETWEEN TIMESTAMP_NTZ'{FIRST_TS}' AND TIMESTAMP_NTZ'{LAST_TS}' THEN _ts END"
-    return typed.withColumn("_ts", F.expr(INSTANT)).withColumn("ts", F.expr(bounded)).drop("_ts")
+    shaped = typed.withColumn("_shaped", F.expr(SHAPED)).withColumn("_ts", F.expr(INSTANT))
+    return shaped.withColumn("ts", F.expr(bounded)).drop("_shaped", "_ts")
 
 
 def typed_rows(lines: DataFrame, delimiter: str = "'\t'") -> DataFrame:
