@@ -32,11 +32,16 @@ def with_chunk(df: DataFrame, order: str) -> DataFrame:
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: str, columns: dict[str, str]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    columns: dict[str, str],
+    series_values: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``{new: source}`` columns holding the source value of the preceding row of the series.
 
-    Keeps the helper column ``_chunk`` so that callers can attach more per-chunk values.
+    ``series_values`` has one row per series. Its columns travel to the rows inside the chunk table, so
+    they cost no second join of the rows and a long series stays spread out.
     """
     rows = with_chunk(df, order)
     part = [*keys, CHUNK]
@@ -47,6 +52,10 @@ def with_previous(
     carry = last.select(
         *part, *[F.lag(f"_last_{new}").over(over_chunks).alias(f"_carry_{new}") for new in columns]
     )
+    given = []
+    if series_values is not None:
+        given = [c for c in series_values.columns if c not in keys]
+        carry = carry.join(series_values, list(keys), "left")
     inside = Window.partitionBy(*part).orderBy(order)
     numbered = rows.select(
         "*",
@@ -58,7 +67,7 @@ def with_previous(
         F.when(F.col("_row") == 1, F.col(f"_carry_{new}")).otherwise(F.col(f"_lag_{new}")).alias(new)
         for new in columns
     ]
-    return joined.select(*df.columns, CHUNK, *picked)
+    return joined.select(*df.columns, *picked, *given)
 
 
 def with_halo(
@@ -166,3 +175,9 @@ def join_series_values(
     salted = rows.withColumn("_salt", F.pmod(F.hash(salt_by), F.lit(salts)))
     copies = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+
+
+def of_series(rows: DataFrame, series: DataFrame, keys: Sequence[str], salt_by: str) -> DataFrame:
+    """Rows of the listed series, with the same protection against a dominating series."""
+    marked = series.select(*keys).withColumn("_listed", F.lit(True))
+    return join_series_values(rows, marked, keys, salt_by).where("_listed").drop("_listed")

@@ -12,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_OCTAVE = 256
+# fine enough that a bucket of even a very long series holds few distinct values
+BUCKETS_PER_OCTAVE = 4096
 # log2 of the smallest positive double is -1074; the offset keeps bucket numbers of positives above 0
 OFFSET = 1100 * BUCKETS_PER_OCTAVE
 # never decreases as the value grows; zero, negatives and infinities included

@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewarden.functions.chunks import CHUNK, join_series_values, with_chunk
-from candlewarden.functions.session import materialise
+from candlewarden.functions.chunks import join_series_values
 from candlewarden.functions.quantiles import prob_name, quantiles_of_counts, value_counts, wide
+from candlewarden.functions.session import materialise
 from candlewarden.functions.times import minute_of_day_sql
 from candlewarden.operators import gaps as g
 from candlewarden.schema import CANONICAL, MINUTES_SQL, PRICES, SERIES, missing_columns
@@ -163,19 +163,11 @@ def extreme_spreads(counts: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def with_jumps(bars: DataFrame, typical: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFrame:
-    """Steps with ``jump`` (open against the previous close), ``typical`` range and the ``is_jump`` flag.
-
-    The typical range reaches the rows through the chunks of their series: rows and chunk table are
-    partitioned alike, so the rows are not shuffled again and a long series stays spread out.
-    """
-    linked = g.steps(bars, order, {"prev_close": "close"})
-    chunk_list = with_chunk(bars, order).groupBy(*SERIES, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
-    per_chunk = chunk_list.join(typical.select(*SERIES, "typical"), SERIES, "left").drop("_rows")
-    jump = F.abs(F.col("open") - F.col("prev_close"))
-    return (
-        linked.join(per_chunk, [*SERIES, CHUNK], "left")
-        .withColumn("jump", jump)
-        .withColumn("is_jump", F.coalesce((jump > z * F.col("typical")) & ~F.isnan(jump), F.lit(False)))
+    """Steps with ``jump`` (open against the previous close), ``typical`` range and the ``is_jump`` flag."""
+    linked = g.steps(bars, order, {"prev_close": "close"}, typical)
+    jumped = linked.withColumn("jump", F.expr("abs(open - prev_close)"))
+    return jumped.withColumn(
+        "is_jump", F.expr(f"coalesce(jump > {float(z)}D * typical AND NOT isnan(jump), false)")
     )
 
 
@@ -398,9 +390,8 @@ def examples(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> Data
         quantile_facts(counts_of_values(bars), {"spread": [0.99], "range": [0.5]}), "quantiles"
     )
     limits = quantiles.selectExpr(*SERIES, f"{EXTREME_LIMIT} AS _limit", "range_p50 AS typical")
-    linked = with_jumps(bars, limits, order, z)
+    broken = with_jumps(bars, limits, order, z)
     shared = bars.groupBy(*SERIES, "ts").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    broken = join_series_values(linked.drop("typical"), limits.select(*SERIES, "_limit"), SERIES, "ts")
     flags = {
         "grid_alignment": OFF_GRID,
         "ohlc_integrity": BAD_OHLC,

@@ -32,10 +32,15 @@ def kind_sql(start: str, end: str) -> str:
         ELSE 'extended' END"""
 
 
-def steps(bars: DataFrame, order: str = "ts", carried: dict[str, str] | None = None) -> DataFrame:
+def steps(
+    bars: DataFrame,
+    order: str = "ts",
+    carried: dict[str, str] | None = None,
+    series_values: DataFrame | None = None,
+) -> DataFrame:
     """Every bar with its predecessor: ``prev_ts``, ``delta_us`` and any other carried column."""
     columns = {"prev_ts": "ts", **(carried or {})}
-    linked = with_previous(bars, SERIES, order, columns)
+    linked = with_previous(bars, SERIES, order, columns, series_values)
     return linked.withColumn("delta_us", micros_between("prev_ts", "ts"))
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewarden.functions.chunks import of_series
 from candlewarden.functions.session import materialise, release
 from candlewarden.operators import checks, coverage, crosstf, gaps, normalise
 from candlewarden.schema import SERIES
@@ -63,7 +64,7 @@ def ingested(spark: SparkSession, root: str) -> DataFrame:
 def check_reload(spark: SparkSession, root: str, manifests: DataFrame) -> None:
     """Read the stored series back and compare digests and row counts with their manifests."""
     series = manifests.select(*SERIES, F.col("rows").alias("_rows"))
-    stored = store.read_bars(spark, root).join(manifests.select(*SERIES), SERIES, "left_semi")
+    stored = of_series(store.read_bars(spark, root), manifests, SERIES, "ts")
     bad = store.verify(stored, manifests).join(series, SERIES).where(
         ~F.col("ok") | (F.col("rows") != F.col("_rows"))
     )
@@ -76,7 +77,7 @@ def check_reload(spark: SparkSession, root: str, manifests: DataFrame) -> None:
 def quality(spark: SparkSession, root: str, report_dir: str) -> Reports:
     """Judge the series of the last ingest and write every result table as JSON."""
     datasets = ingested(spark, root)
-    bars = store.read_bars(spark, root).join(datasets, SERIES, "left_semi")
+    bars = of_series(store.read_bars(spark, root), datasets, SERIES, "ts")
     results = checks.run_all(bars, datasets=datasets)
     covered = coverage.coverage(bars)
     all_gaps = gaps.classify_gaps(bars)

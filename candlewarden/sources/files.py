@@ -50,9 +50,7 @@ def identities(files: DataFrame) -> DataFrame:
     return audit.join(latest, [*SERIES, "file"], "left_semi")
 
 
-def stored_lines(
-    spark: SparkSession, raw_dir: str, keep: DataFrame | None = None, glob: str = GLOB
-) -> DataFrame:
+def stored_lines(spark: SparkSession, raw_dir: str, glob: str = GLOB) -> DataFrame:
     """Non-blank lines with file, split start and a row id that grows along the file, written once.
 
     The row id depends on how the scan was split, so everything that uses it reads this table.
@@ -63,8 +61,7 @@ def stored_lines(
         "value",
     )
     lines = text.where(F.trim("value") != "").withColumn("row_id", F.monotonically_increasing_id())
-    stored = materialise(lines, "lines")
-    return stored if keep is None else stored.join(keep.select("file"), "file", "left_semi")
+    return materialise(lines, "lines")
 
 
 def split_offsets(stored: DataFrame) -> DataFrame:
@@ -112,14 +109,14 @@ def read_lines(spark: SparkSession, raw_dir: str, glob: str = GLOB) -> DataFrame
 def read_raw(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
     """Typed rows of all exports with symbol and timeframe, and the identity of their files.
 
-    Lines are written twice, as text and typed. The delimiter of a file travels in the split table, so
-    the same join gives each line its number and its delimiter.
+    Lines are written twice, as text and typed. The split table carries the delimiter of its file and
+    lists only the files that count, so one join numbers, delimits and selects the lines.
     """
     known = materialise(identities(discover(spark, raw_dir)), "files")
-    stored = stored_lines(spark, raw_dir, known)
-    audit = materialise(parse.header_audit(first_lines(stored)), "headers")
-    with_header = known.select("file").join(audit, "file", "left")
-    parse.require_headers(with_header.withColumn("ok", F.coalesce("ok", F.lit(False))))
+    stored = stored_lines(spark, raw_dir)
+    audit = known.select("file").join(parse.header_audit(first_lines(stored)), "file", "left")
+    audit = materialise(audit.withColumn("ok", F.coalesce("ok", F.lit(False))), "headers")
+    parse.require_headers(audit)
     splits = split_offsets(stored).join(audit.select("file", "delimiter"), "file")
     splits = broadcast_if_small(materialise(splits, "splits"))
     lines = numbered(stored, splits)

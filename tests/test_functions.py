@@ -48,7 +48,11 @@ def same(a, b):
 def test_previous_row(sparse, order):
     w = Window.partitionBy(*SERIES).orderBy(order)
     plain = sparse.select("*", F.lag("ts").over(w).alias("p"), F.lag("x").over(w).alias("q"))
-    same(chunks.with_previous(sparse, SERIES, order, {"p": "ts", "q": "x"}).drop(chunks.CHUNK), plain)
+    got = chunks.with_previous(sparse, SERIES, order, {"p": "ts", "q": "x"})
+    same(got, plain)
+    tops = sparse.groupBy(*SERIES).agg(F.max("x").alias("top"))
+    given = chunks.with_previous(sparse, SERIES, order, {"p": "ts", "q": "x"}, tops)
+    same(given, plain.join(tops, SERIES).select(*given.columns))
 
 
 @pytest.mark.parametrize(("before", "after"), [(4, 0), (0, 3), (2, 2)])
@@ -75,6 +79,8 @@ def test_series_values_reach_every_row(sparse):
     values = sparse.groupBy(*SERIES).agg(F.max("x").alias("top"))
     joined = chunks.join_series_values(sparse, values, SERIES, "ts")
     same(joined, sparse.join(values, SERIES).select(*joined.columns))
+    listed = values.where("symbol <> 'B'")
+    same(chunks.of_series(sparse, listed, SERIES, "ts"), sparse.where("symbol <> 'B'"))
 
 
 numbers = st.one_of(
