@@ -77,7 +77,9 @@ def check_reload(spark: SparkSession, root: str, manifests: DataFrame) -> None:
 def quality(spark: SparkSession, root: str, report_dir: str) -> Reports:
     """Judge the series of the last ingest and write every result table as JSON."""
     datasets = ingested(spark, root)
-    bars = of_series(store.read_bars(spark, root), datasets, SERIES, "ts")
+    bars = store.read_bars(spark, root)
+    if store.read_manifests(spark, root).count() != datasets.count():
+        bars = of_series(bars, datasets, SERIES, "ts")
     results = checks.run_all(bars, datasets=datasets)
     covered = coverage.coverage(bars)
     all_gaps = gaps.classify_gaps(bars)
