@@ -384,6 +384,15 @@ def first_rows(rows: DataFrame, keys: list[str], order: str, limit) -> DataFrame
     return ranked.where(F.col("rank") <= limit)
 
 
+def _first_repeated(bars: DataFrame, order: str) -> DataFrame:
+    """Rows of the timestamps that repeat first in frame order; the first examples are all among them."""
+    per_ts = bars.groupBy(*SERIES, "ts").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first")
+    )
+    early = first_rows(per_ts.where("_n > 1"), SERIES, "_first", EXAMPLES)
+    return bars.join(early.select(*SERIES, "ts"), [*SERIES, "ts"], "left_semi")
+
+
 def examples(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFrame:
     """First violating rows per series and check, in frame order."""
     quantiles = materialise(
@@ -391,7 +400,6 @@ def examples(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> Data
     )
     limits = quantiles.selectExpr(*SERIES, f"{EXTREME_LIMIT} AS _limit", "range_p50 AS typical")
     broken = with_jumps(bars, limits, order, z)
-    shared = bars.groupBy(*SERIES, "ts").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     flags = {
         "grid_alignment": OFF_GRID,
         "ohlc_integrity": BAD_OHLC,
@@ -410,11 +418,11 @@ def examples(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> Data
         "CASE WHEN check_name = 'price_jumps' THEN prev_close END AS prev_close",
         "CASE WHEN check_name = 'price_jumps' THEN jump END AS jump",
     )
-    twice = bars.join(shared.select(*SERIES, "ts"), [*SERIES, "ts"], "left_semi").select(
+    twice = _first_repeated(bars, order).selectExpr(
         *kept,
-        F.lit("duplicate_timestamps").alias("check_name"),
-        F.lit(None).cast("double").alias("prev_close"),
-        F.lit(None).cast("double").alias("jump"),
+        "'duplicate_timestamps' AS check_name",
+        "CAST(NULL AS DOUBLE) AS prev_close",
+        "CAST(NULL AS DOUBLE) AS jump",
     )
     few = F.col("check_name").isin("zero_range_candles", "spread")
     limit = F.when(few, FEW_EXAMPLES).otherwise(EXAMPLES)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewarden.functions.chunks import with_previous
+from candlewarden.functions.chunks import join_series_values, with_previous
 from candlewarden.schema import COUNTS, PRICES, SERIES, VALUES
 
 CONFLICT_GROUPS_SHOWN = 20
@@ -80,9 +80,9 @@ def conflicting_rows(rows: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("variants"), F.min("line_no").alias("_kept"))
         .where(F.col("variants") > 1)
     )
-    return groups.join(several, [*SERIES, "ts"]).select(
-        *SERIES, "ts", "line_no", *VALUES, (F.col("line_no") == F.col("_kept")).alias("kept")
-    )
+    # salted, as one timestamp may have any number of variants
+    placed = join_series_values(groups, several, [*SERIES, "ts"], "line_no").where("variants IS NOT NULL")
+    return placed.selectExpr(*SERIES, "ts", "line_no", *VALUES, "line_no = _kept AS kept")
 
 
 def conflict_examples(rows: DataFrame, groups: int = CONFLICT_GROUPS_SHOWN) -> DataFrame:
@@ -94,7 +94,7 @@ def conflict_examples(rows: DataFrame, groups: int = CONFLICT_GROUPS_SHOWN) -> D
         .select(*SERIES, "ts", F.row_number().over(order).alias("group_no"))
         .where(F.col("group_no") <= groups)
     )
-    return conflicts.join(shown, [*SERIES, "ts"])
+    return join_series_values(conflicts, shown, [*SERIES, "ts"], "line_no").where("group_no IS NOT NULL")
 
 
 def reordered(bars: DataFrame) -> DataFrame:
