@@ -23,7 +23,7 @@ from candlewarden.operators import (
     profiles,
 )
 from candlewarden.plans import bindings as b
-from candlewarden.schema import CANONICAL, PRICES, SERIES, VALUES
+from candlewarden.schema import CANONICAL, PRICES, SERIES
 from candlewarden.sources import digest, files, store
 
 Query = Callable[[SparkSession, str], DataFrame]
