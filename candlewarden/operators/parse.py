@@ -83,15 +83,20 @@ def number_sql(text: str) -> str:
     return f"try_cast(regexp_extract({text}, r'{NUMBER_PATTERN}', 1) AS DOUBLE)"
 
 
+def integral_sql(number: str) -> str:
+    """A whole number that a BIGINT holds; 2^63 itself is the first one that it does not."""
+    return f"({number} = floor({number}) AND abs({number}) < 9223372036854775808D)"
+
+
 def count_sql(text: str, number: str) -> str:
     """Text to BIGINT; integral decimals count as integers, other text becomes NULL."""
-    integral = f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS BIGINT) END"
+    integral = f"CASE WHEN {integral_sql(number)} THEN try_cast({number} AS BIGINT) END"
     return f"coalesce(try_cast({text} AS BIGINT), {integral})"
 
 
 def fractional_sql(text: str, number: str) -> str:
-    """A count that is a number but not an integer, which the loader refuses."""
-    return f"coalesce(try_cast({text} AS BIGINT) IS NULL AND {number} <> floor({number}), false)"
+    """A count that is a number but no integer of 64 bits, which the loader refuses."""
+    return f"coalesce(try_cast({text} AS BIGINT) IS NULL AND NOT {integral_sql(number)}, false)"
 
 
 # yyyy.mm.dd and HH:MM:SS to an instant; NULL when they do not form a valid one

@@ -162,3 +162,12 @@ def test_intermediate_tables(spark):
     assert fs.exists(path)
     release(spark)
     assert not fs.exists(path)
+
+
+def test_counts_beyond_the_integers_are_marked(spark):
+    texts = ["inf", "1e300", "9223372036854775808", "1.5", "1e5", "9223372036854775807", "-3.0", "x", ""]
+    rows = [("f", i, f"2024.01.01\t01:00:00\t1\t2\t0\t1\t{t}\t0\t1") for i, t in enumerate(texts, 2)]
+    df = spark.createDataFrame(rows, "file string, line_no bigint, value string")
+    got = [(r["tick_volume"], r["fractional_count"]) for r in parse.typed_rows(df).orderBy("line_no").collect()]
+    whole = [(100000, False), (9223372036854775807, False), (-3, False), (None, False), (None, False)]
+    assert got == [(None, True)] * 4 + whole
