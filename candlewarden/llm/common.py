@@ -49,19 +49,21 @@ def in_fold(doc_id: Column, folds: int = 5) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """At most ``most`` labelled documents outside the held-out fold: doc_id, text, lang, label, place.
+    """About ``most`` labelled documents outside the held-out fold, or all if fewer: doc_id, text, lang, label, place.
 
-    The ids are chosen by a hash, so reruns choose the same ones. The chosen ids are broadcast: ``most``
-    rows of three numbers bound their size. A document labelled twice takes the larger label.
+    A hash of the id decides which, so reruns choose the same ones, and no ranking of all labels is
+    needed. The chosen ids are broadcast: ``most`` rows of three numbers bound their size. A document
+    labelled twice takes the larger label.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~in_fold(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max(F.col(label).cast("int")).alias("label"))
         .withColumn("place", F.xxhash64(F.lit(label), F.col("doc_id")))
-        .orderBy("place", "doc_id")
-        .limit(most)
     )
+    share = most / max(1, known.count())
+    if share < 1:
+        known = known.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30)))
     columns = [F.col("doc_id"), F.col("text"), F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")]
     return docs.select(columns).join(F.broadcast(known), "doc_id")
 

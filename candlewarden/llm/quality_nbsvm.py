@@ -21,7 +21,7 @@ from candlewarden.llm.common import Memo, append_columns, labelled_sample
 from candlewarden.llm.models import curve, fit_once, logistic
 
 DIMENSIONS = 1 << 18
-SAMPLE = 12_000  # at most so many labelled documents are learned from
+SAMPLE = 12_000  # about so many labelled documents are learned from, or all if fewer
 SMOOTH = 1.0
 COST = 0.5
 ROUNDS = 12
@@ -106,7 +106,7 @@ def _margin(model: dict, codes: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE) -> dict:
-    """A model from at most ``most`` labelled documents outside the held-out fold; a pure function of them."""
+    """A model from about ``most`` labelled documents outside the held-out fold; a pure function of them."""
     return fit_once(labelled_sample(docs, labels, label, most), features, fit)
 
 
