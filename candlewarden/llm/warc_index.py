@@ -25,7 +25,7 @@ from candlewarden.llm.common import materialise, working_dir
 
 RECORDS = 1000  # records in an archive at most
 PIECE = 2000  # captures in a piece at most
-SAMPLE = 4000  # keys at most from which the range boundaries are taken
+SAMPLE = 4000  # about so many keys give the range boundaries
 END = "\r\n\r\n"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -238,8 +238,9 @@ def index(spark: SparkSession, path: str, ranges: int) -> DataFrame:
                     yield _arrow(rows, _SCHEMA)
 
     runs = materialise(files.mapInArrow(sorted_run, CAPTURE), "runs")
-    keys = runs.select(F.concat_ws("\x00", "url_key", "ts").alias("k"), F.xxhash64("archive", "place").alias("h"))
-    sampled = sorted(r["k"] for r in keys.orderBy("h", "k").limit(SAMPLE).collect())
+    share = max(1, runs.count() // SAMPLE)
+    keys = runs.where(F.pmod(F.xxhash64("archive", "place"), F.lit(share)) == 0).select(F.concat_ws("\x00", "url_key", "ts").alias("k"))
+    sampled = sorted(r["k"] for r in keys.collect())
     cuts = sorted({sampled[len(sampled) * k // ranges] for k in range(1, ranges)}) if sampled else []
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
