@@ -7,8 +7,9 @@ common-prefix lengths finds every run of at least ``RUN`` tokens that also occur
 tokens it covers are boilerplate. Pages with an article only lend their surroundings as evidence; a page
 without one gets the runs of its stream that are left, unless their element is a menu or the like.
 
-A host may hold any share of the pages: its streams are dealt into groups by size, counted beforehand,
-so that a group has about ``GROUP`` characters. A page's stream stays whole.
+A host may hold any share of the pages: its pages are dealt into groups by size, counted beforehand,
+so that a group has about ``GROUP`` characters of html. A page's stream stays whole. Inside an article
+nothing is removed for being repeated: passages that pages share are part of their articles.
 """
 
 from __future__ import annotations
@@ -19,14 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewarden.llm.common import materialise
-
 RUN = 8
-GROUP = 1_000_000
+GROUP = 16_000_000
 
 # Element names of HTML by their part in a page.
 HIDDEN = frozenset("script style noscript template svg math iframe object canvas select textarea".split())
@@ -125,10 +123,9 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
     return found
 
 
-def host_of(url: str | None) -> str:
+def host_of(url: Column) -> Column:
     """The host of a URL in lower case, without port; empty if there is none."""
-    m = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
-    return m[1].lower() if m else ""
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 def suffix_array(codes: np.ndarray) -> np.ndarray:
@@ -189,88 +186,78 @@ def repeated(streams: list[list[int]], run: int = RUN) -> list[np.ndarray]:
     return [covered[a : a + n] for a, n in zip(starts, sizes, strict=False)]
 
 
-PARSED = "row bigint, page_id bigint, url string, host string, main boolean, text string, around array<string>, free array<boolean>"
+PARSED = "page_id bigint, url string, host string, part bigint, main boolean, text string, around array<string>, free array<boolean>"
+FOUND = "page_id bigint, url string, text string, n_boilerplate bigint"
 
 
-def parse(pages: DataFrame) -> DataFrame:
-    """One row per page: whether it has a main element, that element's text, and the blocks around it.
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page: whether it has a main element, that element's text, and the blocks around it.
 
-    ``free`` tells which of these blocks are in no menu, advert or the like. ``row`` tells repeated
-    page ids apart.
+    ``free`` tells which of these blocks are in no menu, advert or the like.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = (TaskContext.get().partitionId() << 33) - 1
-        for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                row += 1
-                found = blocks(page or "")
-                core = [t for t, main, aside in found if main and not aside]
-                around = [(t, not aside) for t, main, aside in found if not main]
-                for column, value in zip(
-                    out, (row, host_of(url), bool(core), " ".join(core), [t for t, _ in around], [f for _, f in around]), strict=True
-                ):
-                    column.append(value)
-            rows, hosts, mains, texts, arounds, frees = out
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows, pa.int64()),
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(hosts, pa.string()),
-                    pa.array(mains, pa.bool_()),
-                    pa.array(texts, pa.string()),
-                    pa.array(arounds, pa.list_(pa.string())),
-                    pa.array(frees, pa.list_(pa.bool_())),
-                ],
-                ["row", "page_id", "url", "host", "main", "text", "around", "free"],
-            )
-
-    return pages.select("page_id", "url", "html").mapInArrow(run, PARSED)
+    for batch in batches:
+        out: list[list] = [[] for _ in range(4)]
+        for page in batch.column("html").to_pylist():
+            found = blocks(page or "")
+            core = [t for t, main, aside in found if main and not aside]
+            around = [(t, not aside) for t, main, aside in found if not main]
+            for column, value in zip(
+                out, (bool(core), " ".join(core), [t for t, _ in around], [f for _, f in around]), strict=True
+            ):
+                column.append(value)
+        mains, texts, arounds, frees = out
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(c) for c in ("page_id", "url", "host", "part")),
+                pa.array(mains, pa.bool_()),
+                pa.array(texts, pa.string()),
+                pa.array(arounds, pa.list_(pa.string())),
+                pa.array(frees, pa.list_(pa.bool_())),
+            ],
+            ["page_id", "url", "host", "part", "main", "text", "around", "free"],
+        )
 
 
 def _unique_runs(table: pa.Table) -> pa.Table:
-    """Text left of the streams of one group of pages, for pages without a main element."""
+    """The text of each page of a group: its main element's, or what is left of its stream."""
     number: dict[str, int] = {}
-    rows = table.sort_by("row")
-    arounds, frees, mains = rows["around"].to_pylist(), rows["free"].to_pylist(), rows["main"].to_pylist()
-    tokens = [[w.split() for w in page] for page in arounds]
+    tokens = [[w.split() for w in page] for page in table["around"].to_pylist()]
     covered = repeated([[number.setdefault(w, len(number)) for block in page for w in block] for page in tokens])
-    ids, texts = [], []
-    for row, page, free, main, gone in zip(rows["row"].to_pylist(), tokens, frees, mains, covered, strict=True):
+    texts = table["text"].to_pylist()
+    for k, (page, free, main) in enumerate(zip(tokens, table["free"].to_pylist(), table["main"].to_pylist(), strict=True)):
         if main:
             continue
         left, at = [], 0
         for block, own in zip(page, free, strict=True):
             if own:
-                left += [w for w, g in zip(block, gone[at : at + len(block)].tolist(), strict=True) if not g]
+                left += [w for w, gone in zip(block, covered[k][at : at + len(block)].tolist(), strict=True) if not gone]
             at += len(block)
-        ids.append(row)
-        texts.append(" ".join(left))
-    return pa.table({"row": pa.array(ids, pa.int64()), "left": pa.array(texts, pa.string())})
+        texts[k] = " ".join(left)
+    return pa.table(
+        {
+            "page_id": table["page_id"],
+            "url": table["url"],
+            "text": pa.array(texts, pa.string()),
+            "n_boilerplate": pa.array([int(c.sum()) for c in covered], pa.int64()),
+        }
+    )
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text (empty if none), n_chars.
+    """One row per page: page_id, url, text (empty if none), n_chars, n_boilerplate (tokens around the main
+    element that other pages of the host repeat).
 
     Null html is an empty page; a null or odd URL belongs to the host "". Repeated rows are pages of their
     own, so a page that occurs twice has no unique runs outside its main element. Other columns are not read.
     """
-    parsed = materialise(parse(pages), "parsed")
-    size = F.aggregate("around", F.lit(0), lambda s, x: s + F.length(x))
-    streams = parsed.select("row", "host", "main", "around", "free", size.alias("chars")).where("chars > 0")
-    hosts = (
-        streams.groupBy("host")
-        .agg(F.sum("chars").alias("total"))
-        .select("host", (F.col("total") / GROUP).cast("int").alias("more"))
-    )
-    dealt = streams.join(hosts, "host").select(
-        "row", "host", F.pmod(F.xxhash64("row"), F.col("more") + 1).alias("part"), "main", "around", "free"
-    )
-    left = dealt.groupBy("host", "part").applyInArrow(_unique_runs, "row bigint, left string")
-    bare = parsed.where("not main").select("row", "page_id", "url").join(left, "row", "left")
-    whole = parsed.where("main").select("page_id", "url", "text")
-    return whole.unionByName(bare.select("page_id", "url", F.coalesce("left", F.lit("")).alias("text"))).withColumn(
-        "n_chars", F.length("text").cast("bigint")
+    size = F.length(F.coalesce("html", F.lit("")))
+    hosted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), size.alias("size"))
+    # only hosts that need more than one group: few, whatever the number of hosts
+    hosts = hosted.groupBy("host").agg((F.sum("size") / GROUP).cast("bigint").alias("more")).where("more > 0")
+    parts = F.coalesce("more", F.lit(0)) + 1
+    dealt = hosted.join(hosts, "host", "left").select(
+        "page_id", "url", "host", F.pmod(F.xxhash64("page_id", "url", "size"), parts).alias("part"), "html"
     )
+    parsed = dealt.mapInArrow(_parse, PARSED)
+    found = parsed.groupBy("host", "part").applyInArrow(_unique_runs, FOUND)
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_boilerplate")
