@@ -23,8 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewarden.llm.common import materialise
+
 RUN = 8
-GROUP = 16_000_000
+GROUP = 4_000_000
 
 # Element names of HTML by their part in a page.
 HIDDEN = frozenset("script style noscript template svg math iframe object canvas select textarea".split())
@@ -254,6 +256,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     hosted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), size.alias("size"))
     # only hosts that need more than one group: few, whatever the number of hosts
     hosts = hosted.groupBy("host").agg((F.sum("size") / GROUP).cast("bigint").alias("more")).where("more > 0")
+    # written first, so that Spark knows its size and does not shuffle the pages when it is small
+    hosts = materialise(hosts, "hosts")
     parts = F.coalesce("more", F.lit(0)) + 1
     dealt = hosted.join(hosts, "host", "left").select(
         "page_id", "url", "host", F.pmod(F.xxhash64("page_id", "url", "size"), parts).alias("part"), "html"
