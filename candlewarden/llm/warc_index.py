@@ -1,7 +1,7 @@
 """WARC archives of pages, and their capture index by external merge.
 
 Archives are text files of WARC records: the writer ends each row with the two line ends that close a
-record, so the files are plain WARC. Reading back, each archive gives one locally sorted run of captures
+record, so the files are WARC, compressed as a whole. Reading back, each archive gives one locally sorted run of captures
 by (URL key, timestamp). Runs are cut at common boundaries into pieces that go to the task of their
 range; there a loser tree merges the pieces, k ways, into one order. A piece is opened only when its
 first key is due, so a task holds the pieces that overlap, not its range. Boundaries come from a bounded
@@ -68,6 +68,7 @@ def records(pages: DataFrame) -> DataFrame:
         .where("n > 1")
         .drop("n")
     )
+    copies = materialise(copies, "copies")  # its size is known then: a small one does not make Spark shuffle the pages
     rows = rows.join(copies, "sha1", "left")
     revisit = F.coalesce((F.col("holder").isNotNull()) & ~F.col("page_id").eqNullSafe(F.col("holder")), F.lit(False))
     seconds = F.coalesce(F.col("page_id"), F.lit(0)) % 1_000_000_000
@@ -90,8 +91,8 @@ def records(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Write the records of ``pages`` as WARC files of at most RECORDS records below ``path``."""
-    records(pages).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).text(path)
+    """Write the records of ``pages`` as WARC files of at most RECORDS records below ``path``, each compressed with gzip."""
+    records(pages).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).option("compression", "gzip").text(path)
 
 
 _HEADER = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
