@@ -36,7 +36,8 @@ def fit_once(sample: DataFrame, encode: Callable[[bytes], np.ndarray], fit: Call
         encoded, "codes binary, label int, lang string, place bigint, doc_id bigint"
     )
     one = codes.repartition(1).sortWithinPartitions("place", "doc_id", "codes").drop("place", "doc_id").mapInArrow(fitted, "model binary")
-    return pickle.loads(one.first()[0])
+    row = one.first()
+    return pickle.loads(row[0]) if row else fit([])  # no task runs on an empty sample
 
 
 def logistic(margins: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:

@@ -99,7 +99,7 @@ class Pool:
     """Waiting pieces by length; a piece is (doc_id, start, ids, doc_tokens)."""
 
     def __init__(self, capacity: int):
-        self.capacity, self.by, self.lengths, self.size = capacity, {}, [], 0
+        self.capacity, self.by, self.lengths, self.size, self.tokens = capacity, {}, [], 0, 0
 
     def add(self, piece: tuple) -> None:
         length = len(piece[2]) // 4
@@ -108,6 +108,7 @@ class Pool:
             bisect.insort(self.lengths, length)
         self.by[length].append(piece)
         self.size += 1
+        self.tokens += length
 
     def take(self, length: int) -> tuple:
         waiting = self.by[length]
@@ -116,6 +117,7 @@ class Pool:
             del self.by[length]
             self.lengths.pop(bisect.bisect_left(self.lengths, length))
         self.size -= 1
+        self.tokens -= length
         return piece
 
     def window(self) -> list[tuple]:
@@ -161,7 +163,7 @@ def sequences(documents: Iterator[tuple[int | None, bytes]], capacity: int = CAP
         if n % capacity:
             start = n - n % capacity
             pool.add((doc_id, start, ids[4 * start :], n))
-        while pool.size > most:
+        while pool.size > most and pool.tokens >= capacity:
             yield pool.window()
     rest: list[tuple] = []
     while pool.size:
