@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DIR_SETTING = "spark.checkpoint.dir"
 
-# A table is broadcast only when its row count, taken from the written table, is at most this.
-BROADCAST_ROWS = 200_000
-
-
+_JOB: contextvars.ContextVar[str | None] = contextvars.ContextVar("job", default=None)
 _LOCAL_DIRS: dict[str, str] = {}
 
 
@@ -27,7 +26,23 @@ def working_dir(spark: SparkSession) -> str:
         if app not in _LOCAL_DIRS:
             _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="candlewarden-")
         root = _LOCAL_DIRS[app]
-    return f"{root.rstrip('/')}/candlewarden-{app}"
+    own = f"{root.rstrip('/')}/candlewarden-{app}"
+    return f"{own}/{_JOB.get()}" if _JOB.get() else own
+
+
+@contextlib.contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the intermediate tables of one job, deleted when the job ends or fails.
+
+    Tables of other jobs of the application are not touched. Nothing lazy may leave the block.
+    """
+    token = _JOB.set(f"job-{uuid.uuid4().hex}")
+    path = working_dir(spark)
+    try:
+        yield path
+    finally:
+        _JOB.reset(token)
+        delete(spark, path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -42,14 +57,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables; call when their results have been written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(working_dir(spark))
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(path, True)
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for a written table that is small enough; otherwise leave a shuffle join."""
-    rows = table.limit(max_rows + 1).count()
-    return F.broadcast(table) if rows <= max_rows else table
+def release(spark: SparkSession) -> None:
+    """Delete all of this application's intermediate tables; call when their results have been written."""
+    delete(spark, working_dir(spark))

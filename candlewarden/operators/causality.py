@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import join_series_values, with_position
+from candlewarden.functions.session import materialise
 from candlewarden.operators.features import Feature
 from candlewarden.schema import SERIES
 
@@ -55,7 +56,7 @@ def compare_prefixes(
 
     NULL and NaN equal each other. One-sided rows mean the feature changed the length of its input.
     """
-    cuts = cuts_of(bars, positions)
+    cuts = materialise(cuts_of(bars, positions), "cuts")  # read three times
     keys = [*SERIES, CUT]
     pieces = prefixes(bars, cuts)
     in_prefix = feature(pieces, keys).select(
@@ -87,29 +88,27 @@ def compare_prefixes(
     )
 
 
+def looking_ahead(compared: DataFrame) -> DataFrame:
+    """The cuts at which a feature is not what its prefix alone gives."""
+    return compared.where("differing > 0 OR one_sided > 0")
+
+
 def assert_causal(
     bars: DataFrame, feature: Feature, positions: Sequence[int] | None = None, atol: float = 0.0
 ) -> None:
-    """AssertionError naming the first cut at which the feature depends on later rows."""
-    bad = compare_prefixes(bars, feature, positions, atol).where(
-        (F.col("differing") > 0) | (F.col("one_sided") > 0)
-    )
-    worst = bad.orderBy(CUT, *SERIES).limit(1).collect()
-    if not worst:
-        return
-    r = worst[0]
-    where = f"cut={r[CUT]} of {r['symbol']}_{r['timeframe']}"
-    if r["one_sided"]:
-        raise AssertionError(f"feature length changed at {where}: {r['one_sided']} rows on one side only")
-    raise AssertionError(
-        f"lookahead detected at {where}: first differing row {r['first_bad_ts']} "
-        f"(prefix={r['prefix_value']!r}, full={r['full_value']!r})"
-    )
-
-
-def is_causal(bars: DataFrame, feature: Feature, **options) -> bool:
-    try:
-        assert_causal(bars, feature, **options)
-    except AssertionError:
-        return False
-    return True
+    """AssertionError for the earliest cut at which the feature needs later rows."""
+    earliest = looking_ahead(compare_prefixes(bars, feature, positions, atol)).orderBy(CUT, *SERIES).head(1)
+    for r in earliest:
+        series = f"{r['symbol']}_{r['timeframe']}"
+        if r["one_sided"]:
+            raise AssertionError(f"{series}, first {r[CUT]} rows: {r['one_sided']} rows differ in length from the whole")
+        raise AssertionError(
+            f"{series}, first {r[CUT]} rows: lookahead, {r['prefix_value']!r} alone and {r['full_value']!r} with what "
+            f"follows, from {r['first_bad_ts']}"
+        )
+
+
+def is_causal(
+    bars: DataFrame, feature: Feature, positions: Sequence[int] | None = None, atol: float = 0.0
+) -> bool:
+    return looking_ahead(compare_prefixes(bars, feature, positions, atol)).isEmpty()

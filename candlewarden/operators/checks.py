@@ -63,14 +63,15 @@ def less(a: str, b: str) -> str:
 
 
 # row-local violations; a fraction of a second is not looked at by the grid check
-OFF_GRID = f"({minute_of_day_sql('ts')} % {MINUTES_SQL} <> 0 OR second(ts) <> 0)"
+# and every bar of a timeframe that is not known is off the grid
+OFF_GRID = f"(coalesce({minute_of_day_sql('ts')} % {MINUTES_SQL}, 1) <> 0 OR second(ts) <> 0)"
 BAD_OHLC = "(" + " OR ".join(less(a, b) for a, b in OHLC_RULES.values()) + ")"
 BAD_PRICE = "(" + " OR ".join(f"{c} IS NULL OR isnan({c}) OR {c} <= 0 OR {c} = double('inf')" for c in PRICES) + ")"
 ZERO_RANGE = "(high = low AND NOT isnan(high))"
 
 
-def profile(bars: DataFrame) -> DataFrame:
-    """All row-local counts of every series in one pass with map-side aggregation."""
+def profile(bars: DataFrame, order: str = "ts") -> DataFrame:
+    """All row-local counts of every series in one pass with map-side aggregation; first and last in frame order."""
     counted = {
         "off_grid": OFF_GRID,
         **{name: less(a, b) for name, (a, b) in OHLC_RULES.items()},
@@ -86,8 +87,10 @@ def profile(bars: DataFrame) -> DataFrame:
     }
     return bars.groupBy(*SERIES).agg(
         F.expr("count(1) AS rows"),
-        F.expr("min(ts) AS first_ts"),
-        F.expr("max(ts) AS last_ts"),
+        F.expr(f"min_by(ts, {order}) AS first_ts"),
+        F.expr(f"max_by(ts, {order}) AS last_ts"),
+        F.expr("bit_count(bit_or(shiftleft(1, hour(ts)))) AS hours_with_data"),
+        F.expr("min(hour(ts)) AS first_hour"),
         F.expr("sum(spread) AS _spread_sum"),
         F.expr("count(spread) AS _spread_rows"),
         *[F.expr(f"count_if({condition}) AS {name}") for name, condition in counted.items()],
@@ -108,13 +111,6 @@ def hour_counts(bars: DataFrame) -> DataFrame:
     )
 
 
-def hour_summary(bars: DataFrame) -> DataFrame:
-    seen = bars.groupBy(*SERIES, F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("bars"))
-    return seen.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("hours_with_data"), F.min("hour").alias("first_hour")
-    )
-
-
 def duplicates(bars: DataFrame) -> DataFrame:
     """Rows that share a timestamp, and rows beyond the first of each; equal timestamps collapse map-side."""
     per_ts = bars.groupBy(*SERIES, "ts").agg(F.count(F.lit(1)).alias("_n"))
@@ -134,10 +130,12 @@ def timestamp_order(bars: DataFrame, order: str = "ts") -> DataFrame:
     return counts.join(falls, SERIES)
 
 
-def counts_of_values(bars: DataFrame) -> DataFrame:
-    return value_counts(
-        bars, SERIES, {"spread": "spread", "tick_volume": "tick_volume", "range": "nullif(high - low, 0)"}
-    )
+MEASURED = {"spread": "spread", "tick_volume": "tick_volume", "range": "nullif(high - low, 0)"}
+
+
+def counts_of_values(bars: DataFrame, *metrics: str) -> DataFrame:
+    """Counts of equal values of the wanted metrics, or of all."""
+    return value_counts(bars, SERIES, {m: MEASURED[m] for m in metrics or MEASURED})
 
 
 QUANTILES = {"spread": SPREAD_PROBS, "tick_volume": TICK_VOLUME_PROBS, "range": [0.5]}
@@ -212,12 +210,17 @@ def facts(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFra
         g.frequency(jumps).drop("rows"),
         jump_facts(jumps),
         timestamp_order(bars, order),
-        hour_summary(bars),
     ]
-    out = profile(bars)
+    out = profile(bars, order)
     for part in parts:
         out = out.join(part, SERIES, "left")
-    return out.withColumn("spread_mean", F.col("_spread_sum") / F.col("_spread_rows"))
+    derived = {
+        "spread_mean": "_spread_sum / _spread_rows",
+        "zero_range_fraction": "zero_range / rows",
+        "volume_all_zero": "int(volume_nonzero_rows = 0)",
+        "expected_step_minutes": MINUTES_SQL,
+    }
+    return out.withColumns({name: F.expr(sql) for name, sql in derived.items()})
 
 
 def _fail_if(condition: str) -> str:
@@ -231,7 +234,7 @@ STATUS = {
     "timestamp_order": _fail_if("duplicates > 0 OR NOT monotonic"),
     "duplicate_timestamps": _fail_if("sharing_rows > 0"),
     "grid_alignment": _fail_if("off_grid > 0"),
-    "frequency_and_gaps": """CASE WHEN rows < 2 OR sub_step > 0 THEN 'FAIL'
+    "frequency_and_gaps": f"""CASE WHEN rows < 2 OR sub_step > 0 OR {MINUTES_SQL} IS NULL THEN 'FAIL'
                                   WHEN gap_count > 0 THEN 'WARN' ELSE 'PASS' END""",
     "ohlc_integrity": _fail_if("ohlc_violations > 0"),
     "price_positivity": _fail_if("bad_prices > 0"),
@@ -253,13 +256,14 @@ def _text(**numbers: str) -> str:
 
 INSTANT = "'yyyy-MM-dd HH:mm:ss'"
 SUMMARY = {
-    "schema": "'all canonical columns present'",
+    "schema": "'no column missing'",
     "row_count": f"""concat(rows, ' rows from ', date_format(first_ts, {INSTANT}),
                             ' to ', date_format(last_ts, {INSTANT}))""",
     "timestamp_order": _text(duplicates="duplicates"),
     "duplicate_timestamps": _text(rows_sharing_a_timestamp="sharing_rows"),
     "grid_alignment": _text(off_grid="off_grid"),
-    "frequency_and_gaps": """CASE WHEN rows < 2 THEN 'fewer than 2 rows'
+    "frequency_and_gaps": f"""CASE WHEN {MINUTES_SQL} IS NULL THEN concat('unknown timeframe ', timeframe)
+        WHEN rows < 2 THEN 'not enough bars for a step'
         ELSE concat('exact_step=', exact_step, ' sub_step=', sub_step, ' gaps=', gap_count) END""",
     "ohlc_integrity": _text(violations="ohlc_violations"),
     "price_positivity": _text(bad_prices="bad_prices"),
@@ -269,7 +273,7 @@ SUMMARY = {
                         ' volume nonzero=', volume_nonzero_rows)""",
     "weekday_distribution": _text(sat="sat", sun="sun"),
     "hour_distribution": _text(hours="hours_with_data", first="first_hour"),
-    "price_jumps": "CASE WHEN jumps IS NULL THEN 'insufficient rows' ELSE concat('jumps=', jumps) END",
+    "price_jumps": "CASE WHEN jumps IS NULL THEN 'not enough bars to judge' ELSE concat('jumps=', jumps) END",
 }
 
 
@@ -284,6 +288,7 @@ METRICS = {
     "duplicate_timestamps": ["sharing_rows"],
     "grid_alignment": ["off_grid"],
     "frequency_and_gaps": [
+        "expected_step_minutes",
         "exact_step",
         "sub_step",
         "gap_count",
@@ -293,7 +298,7 @@ METRICS = {
     ],
     "ohlc_integrity": [*OHLC_RULES, "ohlc_violations"],
     "price_positivity": ["bad_prices"],
-    "zero_range_candles": ["zero_range"],
+    "zero_range_candles": ["zero_range", "zero_range_fraction"],
     "spread": [
         "spread_negative",
         "spread_zero",
@@ -305,6 +310,7 @@ METRICS = {
         "tick_volume_zero",
         "tick_volume_negative",
         "volume_nonzero_rows",
+        "volume_all_zero",
         *[f"tick_volume_{prob_name(p)}" for p in TICK_VOLUME_PROBS],
     ],
     "weekday_distribution": WEEKDAYS,
@@ -341,9 +347,16 @@ def run_all(
         for i, check in enumerate(CHECKS, start=1)
     )
     results = facts(bars, order, z).selectExpr(*SERIES, f"inline(array({rows}))")
-    if datasets is not None:
+    if datasets is None:
+        # no bar at all names no series: one verdict for the empty frame, without a series
+        empty = bars.limit(1).agg(F.count(F.lit(1)).alias("rows")).where("rows = 0")
+        nothing = F.lit(None).cast("string")
+        results = results.unionByName(
+            _short(empty.select(nothing.alias("symbol"), nothing.alias("timeframe")), "PASS", "no column missing", None)
+        )
+    else:
         absent = datasets.select(*SERIES).join(bars.select(*SERIES).distinct(), SERIES, "left_anti")
-        results = results.unionByName(_short(absent, "PASS", "all canonical columns present", None))
+        results = results.unionByName(_short(absent, "PASS", "no column missing", None))
     return results
 
 
@@ -360,7 +373,7 @@ def _short(series: DataFrame, schema_status: str, schema_summary: str, bars: Dat
             struct(1 AS position, 'schema' AS check_name, '{schema_status}' AS status,
                    '{schema_summary}' AS summary, CAST(NULL AS MAP<STRING, DOUBLE>) AS metrics),
             struct(2 AS position, 'row_count' AS check_name, CASE WHEN rows = 0 THEN 'FAIL' ELSE 'INFO' END AS status,
-                   CASE WHEN rows = 0 THEN 'empty frame' ELSE concat(rows, ' rows') END AS summary,
+                   CASE WHEN rows = 0 THEN 'no bars' ELSE concat(rows, ' rows') END AS summary,
                    map('rows', double(rows)) AS metrics)))""",
     )
 
@@ -372,31 +385,33 @@ def overall(results: DataFrame) -> DataFrame:
     return worst.selectExpr(*SERIES, "element_at(array('PASS', 'WARN', 'FAIL'), _worst + 1) AS overall")
 
 
-def first_rows(rows: DataFrame, keys: list[str], order: str, limit) -> DataFrame:
-    """The first rows of each group in frame order.
+def first_rows(rows: DataFrame, keys: list[str], order: str, most: int, limit=None) -> DataFrame:
+    """The first ``most`` rows of each group in frame order, and of these those within ``limit``.
 
     The constant bound lets Spark cut every group map-side, so a check that a third of all rows
     violates still sends only a few rows per task.
     """
     ranked = rows.withColumn(
         "rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    ).where(F.col("rank") <= EXAMPLES)
-    return ranked.where(F.col("rank") <= limit)
+    ).where(F.col("rank") <= most)
+    return ranked if limit is None else ranked.where(F.col("rank") <= limit)
 
 
-def _first_repeated(bars: DataFrame, order: str) -> DataFrame:
+def _first_repeated(bars: DataFrame, order: str, n: int) -> DataFrame:
     """Rows of the timestamps that repeat first in frame order; the first examples are all among them."""
     per_ts = bars.groupBy(*SERIES, "ts").agg(
         F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first")
     )
-    early = first_rows(per_ts.where("_n > 1"), SERIES, "_first", EXAMPLES)
+    early = first_rows(per_ts.where("_n > 1"), SERIES, "_first", n)
     return bars.join(early.select(*SERIES, "ts"), [*SERIES, "ts"], "left_semi")
 
 
-def examples(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFrame:
-    """First violating rows per series and check, in frame order."""
+def examples(
+    bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR, n: int = EXAMPLES, few: int = FEW_EXAMPLES
+) -> DataFrame:
+    """First ``n`` violating rows per series and check, in frame order; ``few`` for spreads and zero ranges."""
     quantiles = materialise(
-        quantile_facts(counts_of_values(bars), {"spread": [0.99], "range": [0.5]}), "quantiles"
+        quantile_facts(counts_of_values(bars, "spread", "range"), {"spread": [0.99], "range": [0.5]}), "quantiles"
     )
     limits = quantiles.selectExpr(*SERIES, f"{EXTREME_LIMIT} AS _limit", "range_p50 AS typical")
     broken = with_jumps(bars, limits, order, z)
@@ -418,12 +433,11 @@ def examples(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> Data
         "CASE WHEN check_name = 'price_jumps' THEN prev_close END AS prev_close",
         "CASE WHEN check_name = 'price_jumps' THEN jump END AS jump",
     )
-    twice = _first_repeated(bars, order).selectExpr(
+    twice = _first_repeated(bars, order, n).selectExpr(
         *kept,
         "'duplicate_timestamps' AS check_name",
         "CAST(NULL AS DOUBLE) AS prev_close",
         "CAST(NULL AS DOUBLE) AS jump",
     )
-    few = F.col("check_name").isin("zero_range_candles", "spread")
-    limit = F.when(few, FEW_EXAMPLES).otherwise(EXAMPLES)
-    return first_rows(rows.unionByName(twice), [*SERIES, "check_name"], order, limit)
+    limit = F.when(F.col("check_name").isin("zero_range_candles", "spread"), few).otherwise(n)
+    return first_rows(rows.unionByName(twice), [*SERIES, "check_name"], order, max(n, few), limit)

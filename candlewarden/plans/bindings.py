@@ -21,6 +21,7 @@ BAR_COLUMNS = SERIES + CANONICAL
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a time; those without cannot be put into any bar."""
     return spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("ts").isNotNull())
 
 
@@ -132,9 +133,9 @@ CELLS = [
     "high",
     "low",
     "CASE WHEN copy = 2 THEN close + 1 ELSE close END",
-    "tick_volume",
+    "CASE WHEN rn % 89 = 8 THEN '' ELSE string(tick_volume) END",
     "volume",
-    "spread",
+    "CASE WHEN rn % 83 = 6 THEN 'x' ELSE string(spread) END",
 ]
 
 
@@ -148,26 +149,26 @@ def _header(broken: str | None) -> str:
 
 
 def raw_lines(events: DataFrame, broken_header: str | None = None) -> DataFrame:
-    """M15 bars as the text lines of one export file per symbol, with duplicates, conflicts and faults.
+    """All bars as the text lines of one export file per series, with duplicates, conflicts and faults.
 
     Columns file, line_no, value. ``broken_header`` names a symbol whose header has two columns swapped.
     """
-    quarter = materialise(bars(events).where("timeframe = 'M15'"), "quarter")
-    rows = with_position(quarter, SERIES, "ts", "rn").selectExpr("*", f"explode({COPY_LIST}) AS copy")
+    made = materialise(bars(events), "made")
+    rows = with_position(made, SERIES, "ts", "rn").selectExpr("*", f"explode({COPY_LIST}) AS copy")
     spread_out = f"rn * {COPIES} + copy + CASE WHEN rn % 131 = 13 THEN {BEHIND}L ELSE 0L END AS place"
     placed = with_position(rows.selectExpr("*", spread_out), SERIES, "place", "_position")
     body = placed.selectExpr(
-        "symbol", "_position + 1 AS line_no", f"concat_ws({DELIMITER}, {', '.join(CELLS)}) AS value"
+        *SERIES, "_position + 1 AS line_no", f"concat_ws({DELIMITER}, {', '.join(CELLS)}) AS value"
     )
-    names = files(quarter)
-    named = join_series_values(body, names, ["symbol"], "line_no").select("file", "line_no", "value")
+    names = files(made)
+    named = join_series_values(body, names, SERIES, "line_no").select("file", "line_no", "value")
     return named.unionByName(names.selectExpr("file", "1L AS line_no", f"{_header(broken_header)} AS value"))
 
 
-def files(quarter: DataFrame) -> DataFrame:
-    """(symbol, file): export names declaring the day of the first bar and the last bar."""
-    name = "concat(symbol, '_M15_', date_format(min(ts), 'yyyyMMdd'), '0000_', date_format(max(ts), 'yyyyMMddHHmm'), '.csv')"
-    return quarter.groupBy("symbol").agg(F.expr(f"{name} AS file"))
+def files(made: DataFrame) -> DataFrame:
+    """(symbol, timeframe, file): export names declaring the day of the first bar and the last bar."""
+    name = "concat(symbol, '_', timeframe, '_', date_format(min(ts), 'yyyyMMdd'), '0000_', date_format(max(ts), 'yyyyMMddHHmm'), '.csv')"
+    return made.groupBy(*SERIES).agg(F.expr(f"{name} AS file"))
 
 
 def typed(events: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def over_stored(derive: Callable[[DataFrame], DataFrame], make: Callable[[DataFr
 
 
 def file_identity(events):
-    return parse.file_identity(b.files(b.bars(events).where(F.col("timeframe") == "M15")))
+    return parse.file_identity(b.files(b.bars(events)))
 
 
 def header_audit(events):
@@ -65,11 +65,11 @@ def header_audit(events):
 
 
 def raw_typed(events):
-    return b.typed(events).drop("ts", "timeframe")
+    return b.typed(events).drop("ts")
 
 
 def parse_ts(events):
-    return b.typed(events).select("symbol", "line_no", "date", "time", "ts")
+    return b.typed(events).select(*SERIES, "line_no", "date", "time", "ts")
 
 
 def line_numbers(spark, sf_dir):
@@ -142,8 +142,8 @@ def check_duplicates(events):
 
 
 def check_spread(bars):
-    counts = checks.counts_of_values(bars)
-    quantiles = checks.quantile_facts(counts, {"spread": checks.SPREAD_PROBS})
+    counts = materialise(checks.counts_of_values(bars, "spread"), "value_counts")
+    quantiles = materialise(checks.quantile_facts(counts, {"spread": checks.SPREAD_PROBS}), "quantiles")
     facts = checks.profile(bars).join(quantiles, SERIES).join(
         checks.extreme_spreads(counts, quantiles), SERIES
     )
@@ -163,7 +163,7 @@ def check_spread(bars):
 
 def check_volume(bars):
     probs = {"tick_volume": checks.TICK_VOLUME_PROBS}
-    quantiles = checks.quantile_facts(checks.counts_of_values(bars), probs)
+    quantiles = checks.quantile_facts(checks.counts_of_values(bars, "tick_volume"), probs)
     names = [f"tick_volume_{prob_name(p)}" for p in checks.TICK_VOLUME_PROBS]
     out = (
         checks.profile(bars)
@@ -181,7 +181,7 @@ def check_volume(bars):
 
 
 def _jumps(bars):
-    facts = checks.quantile_facts(checks.counts_of_values(bars), {"range": [0.5]})
+    facts = checks.quantile_facts(checks.counts_of_values(bars, "range"), {"range": [0.5]})
     return checks.with_jumps(bars, checks.typical_range(facts))
 
 
@@ -326,8 +326,14 @@ def verify_datasets(spark, sf_dir):
     return store.verify(changed, manifests).drop("actual_sha256")
 
 
-def source_digest(spark, sf_dir):
-    return digest.source_digest(spark, f"{sf_dir}/events.parquet")
+def source_digest(events):
+    """Digest of the raw export lines as the files they stand for, each line closed by a line feed."""
+    lines = b.raw_lines(events).withColumns(
+        {"size": F.octet_length("value") + F.lit(1), "line_sha256": F.sha2(F.col("value").cast("binary"), 256)}
+    )
+    lines = materialise(lines.select("file", "line_no", "size", "line_sha256"), "line_digests")
+    sizes = lines.groupBy("file").agg(F.sum("size").alias("size"))
+    return digest.lines_digest(lines.drop("size").join(sizes, "file"))
 
 
 # --- features and causality --------------------------------------------------------------------
@@ -367,7 +373,7 @@ def _causality(name: str) -> Query:
 
 
 def declared_vs_actual(events):
-    bars = b.bars(events).where(F.col("timeframe") == "M15")
+    bars = b.bars(events)
     return profiles.declared_vs_actual(parse.file_identity(b.files(bars)), coverage.coverage(bars))
 
 
@@ -388,7 +394,7 @@ QUERIES: dict[str, Query] = {
     "bars_roundtrip": bars_roundtrip,
     "manifest_table": manifest_table,
     "verify_datasets": verify_datasets,
-    "source_digest": source_digest,
+    "source_digest": over_events(source_digest),
     "content_digest": over_events(lambda e: digest.content_digest(b.bars(e))),
     # normalisation
     "parse_ts": over_events(parse_ts),

@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import of_series
-from candlewarden.functions.session import materialise, release
+from candlewarden.functions.session import job_folder, materialise
 from candlewarden.operators import checks, coverage, crosstf, gaps, normalise
 from candlewarden.schema import SERIES
 from candlewarden.sources import digest, files, store
 
 
+CONFLICTS = "conflicts"
+SUPERSEDED = "superseded"
+
+
 @dataclass
 class Reports:
     """Result tables of one ingest, written under the report folder and read back from there."""
@@ -33,6 +37,8 @@ def ingest(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
     """Read, normalise, store and verify every export in ``raw_dir``; returns the manifests.
 
     Bars are stored before they are judged, so a series that fails its checks is kept, with its verdict.
+    Manifests follow only when the stored bars have been read back and found equal. All conflicting rows
+    and the exports that a later one supersedes are stored too.
     """
     typed, known = files.read_raw(spark, raw_dir)
     resolved = materialise(normalise.resolve(normalise.usable(typed)), "resolved")
@@ -47,12 +53,13 @@ def ingest(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
         ),
         "manifests",
     )
-    store.write_bars(bars, root)
+    store.write_bars(bars, root, emptied=manifests.where("rows = 0"))
+    check_reload(spark, root, manifests)
     store.write_manifests(manifests, root)
-    conflicts = normalise.conflict_examples(normalise.usable(typed))
-    conflicts.write.mode("overwrite").parquet(f"{root}/conflict_examples")
+    # every row that lost or won a conflict, so that what was left out can be looked at
+    normalise.conflicting_rows(normalise.usable(typed)).write.mode("overwrite").parquet(f"{root}/{CONFLICTS}")
+    files.superseded(files.discover(spark, raw_dir)).write.mode("overwrite").parquet(f"{root}/{SUPERSEDED}")
     known.write.mode("overwrite").parquet(f"{root}/ingested")
-    check_reload(spark, root, manifests)
     return store.read_manifests(spark, root).join(ingested(spark, root), SERIES, "left_semi")
 
 
@@ -99,13 +106,13 @@ def quality(spark: SparkSession, root: str, report_dir: str) -> Reports:
         coverage=write(covered, "coverage"),
         tiers=write(coverage.coverage_tiers(covered), "tiers"),
         cross_timeframe=write(crosstf.compare(bars), "cross_timeframe"),
-        conflicts=spark.read.parquet(f"{root}/conflict_examples"),
+        conflicts=spark.read.parquet(f"{root}/{CONFLICTS}"),
     )
 
 
 def run(spark: SparkSession, raw_dir: str, root: str, report_dir: str) -> tuple[DataFrame, Reports]:
     """Ingest and judge; raises nothing for bad data, the verdict is in ``Reports.overall``."""
-    manifests = ingest(spark, raw_dir, root)
-    reports = quality(spark, root, report_dir)
-    release(spark)
+    with job_folder(spark):
+        manifests = ingest(spark, raw_dir, root)
+        reports = quality(spark, root, report_dir)
     return manifests, reports

@@ -55,53 +55,58 @@ def _lines(broken: str = "") -> str:
     return (
         BARS
         + f""",
-quarter AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS rn,
+quarter AS (SELECT *, row_number() OVER (PARTITION BY symbol, timeframe ORDER BY ts) AS rn,
                    CASE symbol WHEN 'CLICK' THEN ',' WHEN 'ERROR' THEN ';' ELSE chr(9) END AS d
-            FROM bars WHERE timeframe = 'M15'),
-names AS (SELECT symbol, symbol || '_M15_' || strftime(min(ts), '%Y%m%d') || '0000_' || strftime(max(ts), '%Y%m%d%H%M') || '.csv' AS file
-          FROM quarter GROUP BY symbol),
+            FROM bars),
+names AS (SELECT symbol, timeframe, symbol || '_' || timeframe || '_' || strftime(min(ts), '%Y%m%d') || '0000_' || strftime(max(ts), '%Y%m%d%H%M') || '.csv' AS file
+          FROM quarter GROUP BY symbol, timeframe),
 copied AS (SELECT q.*, c.copy FROM quarter q CROSS JOIN (VALUES (0), (1), (2)) c(copy)
            WHERE c.copy = 0 OR (c.copy = 1 AND q.rn % 97 = 5) OR (c.copy = 2 AND q.rn % 101 = 7)),
-placed AS (SELECT *, 1 + row_number() OVER (PARTITION BY symbol ORDER BY (CASE WHEN rn % 131 = 13 THEN 1 ELSE 0 END), rn, copy) AS line_no
+placed AS (SELECT *, 1 + row_number() OVER (PARTITION BY symbol, timeframe ORDER BY (CASE WHEN rn % 131 = 13 THEN 1 ELSE 0 END), rn, copy) AS line_no
            FROM copied),
 lines AS (SELECT n.file, p.line_no,
     (CASE WHEN rn % 113 = 3 OR rn % 151 = 17 THEN strftime(ts, '%Y') || '.13.' || strftime(ts, '%d') ELSE strftime(ts, '%Y.%m.%d') END)
     || d || strftime(ts, '%H:%M:%S') || d || (CASE WHEN rn % 127 = 11 OR rn % 151 = 17 THEN '' ELSE open::VARCHAR END)
     || d || high::VARCHAR || d || low::VARCHAR || d || (CASE WHEN copy = 2 THEN close + 1 ELSE close END)::VARCHAR
-    || d || tick_volume::VARCHAR || d || volume::VARCHAR || d || spread::VARCHAR AS value
-    FROM placed p JOIN names n USING (symbol)
+    || d || (CASE WHEN rn % 89 = 8 THEN '' ELSE tick_volume::VARCHAR END) || d || volume::VARCHAR
+    || d || (CASE WHEN rn % 83 = 6 THEN 'x' ELSE spread::VARCHAR END) AS value
+    FROM placed p JOIN names n USING (symbol, timeframe)
   UNION ALL
   SELECT n.file, 1, (CASE WHEN symbol = 'PURCHASE' THEN chr(65279) ELSE '' END)
      || (CASE WHEN symbol = '{broken}' THEN {swapped} ELSE {head} END)
-  FROM (SELECT DISTINCT symbol, d FROM quarter) JOIN names n USING (symbol)),
+  FROM (SELECT DISTINCT symbol, timeframe, d FROM quarter) JOIN names n USING (symbol, timeframe)),
 headers AS (SELECT file, ltrim(value, chr(65279)) AS header FROM lines WHERE line_no = 1),
 audit AS (SELECT file, CASE WHEN contains(header, chr(9)) THEN chr(9) WHEN contains(header, ',') THEN ','
                             WHEN contains(header, ';') THEN ';' ELSE chr(9) END AS delimiter, header FROM headers),
 cells AS (SELECT l.file, l.line_no, string_split(l.value, a.delimiter) AS c
           FROM lines l JOIN audit a USING (file) WHERE l.line_no > 1),
-typed AS (SELECT file, regexp_extract(file, '^([A-Z0-9]+)_', 1) AS symbol, 'M15' AS timeframe, line_no,
+typed AS (SELECT file, regexp_extract(file, '^([A-Z0-9]+)_', 1) AS symbol, regexp_extract(file, '_(M15|M30|H1)_', 1) AS timeframe, line_no,
     nullif(c[1], '') AS date, nullif(c[2], '') AS time,
     try_cast(c[3] AS DOUBLE) AS open, try_cast(c[4] AS DOUBLE) AS high, try_cast(c[5] AS DOUBLE) AS low, try_cast(c[6] AS DOUBLE) AS close,
     try_cast(c[7] AS BIGINT) AS tick_volume, try_cast(c[8] AS BIGINT) AS volume, try_cast(c[9] AS BIGINT) AS spread,
-    len(c) > 9 AS too_many_fields, false AS fractional_count,
+    len(c) > 9 AS too_many_fields,
+    list_bool_or(list_transform(c[7:9], lambda x: coalesce(try_cast(x AS DOUBLE) <> floor(try_cast(x AS DOUBLE)), false))) AS fractional_count,
     try_strptime(c[1] || ' ' || c[2], '%Y.%m.%d %H:%M:%S') AS ts
     FROM cells),
-usable AS (SELECT * FROM typed WHERE ts IS NOT NULL AND open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL),
+usable AS (SELECT * REPLACE (coalesce(tick_volume, 0) AS tick_volume, coalesce(volume, 0) AS volume, coalesce(spread, 0) AS spread) FROM typed WHERE ts IS NOT NULL AND open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL),
 exact AS (SELECT symbol, timeframe, ts, open, high, low, close, tick_volume, volume, spread, min(line_no) AS line_no, count(*) AS copies
           FROM usable GROUP BY ALL),
-kept AS (SELECT *, row_number() OVER (PARTITION BY symbol, ts ORDER BY line_no) AS variant,
-                count(*) OVER (PARTITION BY symbol, ts) AS variants FROM exact),
+kept AS (SELECT *, row_number() OVER (PARTITION BY symbol, timeframe, ts ORDER BY line_no) AS variant,
+                count(*) OVER (PARTITION BY symbol, timeframe, ts) AS variants FROM exact),
 canonical AS (SELECT symbol, timeframe, ts, open, high, low, close, tick_volume, volume, spread, line_no FROM kept WHERE variant = 1),
 log AS (SELECT t.symbol, t.timeframe, count(*) AS rows_in,
      count(*) FILTER (t.ts IS NULL) AS dropped_unparseable_timestamp,
-     count(*) FILTER (t.ts IS NOT NULL AND (t.open IS NULL OR t.high IS NULL OR t.low IS NULL OR t.close IS NULL)) AS dropped_nan_ohlc
+     count(*) FILTER (t.ts IS NOT NULL AND (t.open IS NULL OR t.high IS NULL OR t.low IS NULL OR t.close IS NULL)) AS dropped_nan_ohlc,
+     count(*) FILTER (t.ts IS NOT NULL AND t.open IS NOT NULL AND t.high IS NOT NULL AND t.low IS NOT NULL AND t.close IS NOT NULL AND t.tick_volume IS NULL) AS filled_tick_volume,
+     count(*) FILTER (t.ts IS NOT NULL AND t.open IS NOT NULL AND t.high IS NOT NULL AND t.low IS NOT NULL AND t.close IS NOT NULL AND t.volume IS NULL) AS filled_volume,
+     count(*) FILTER (t.ts IS NOT NULL AND t.open IS NOT NULL AND t.high IS NOT NULL AND t.low IS NOT NULL AND t.close IS NOT NULL AND t.spread IS NULL) AS filled_spread
      FROM typed t GROUP BY t.symbol, t.timeframe),
 removed AS (SELECT symbol, timeframe, sum(copies - 1)::BIGINT AS exact_duplicates_removed,
      count(*) FILTER (variant = 1 AND variants > 1) AS conflicting_duplicate_groups,
      count(*) FILTER (variant > 1) AS conflicting_duplicate_rows_removed,
      count(*) FILTER (variant = 1) AS rows_out FROM kept GROUP BY symbol, timeframe),
 disorder AS (SELECT symbol, timeframe, bool_or(ts < prev) AS reordered FROM
-     (SELECT *, lag(ts) OVER (PARTITION BY symbol ORDER BY line_no) AS prev FROM canonical) GROUP BY symbol, timeframe)"""
+     (SELECT *, lag(ts) OVER (PARTITION BY symbol, timeframe ORDER BY line_no) AS prev FROM canonical) GROUP BY symbol, timeframe)"""
     )
 
 
@@ -147,7 +152,9 @@ base AS (SELECT symbol, timeframe, count(*) AS rows, min(ts) AS first_ts, max(ts
    {", ".join(f"quantile_cont(spread, {q}) AS spread_{n}" for n, q in SPREAD_Q.items())},
    count(*) FILTER (tick_volume = 0) AS tick_volume_zero, count(*) FILTER (tick_volume < 0) AS tick_volume_negative,
    {", ".join(f"quantile_cont(tick_volume, {q}) AS tick_volume_{n}" for n, q in TICK_Q.items())},
-   count(*) FILTER (volume <> 0) AS volume_nonzero_rows,
+   count(*) FILTER (volume <> 0) AS volume_nonzero_rows, (count(*) FILTER (volume <> 0) = 0)::INTEGER AS volume_all_zero,
+   count(*) FILTER (high = low) / count(*) AS zero_range_fraction,
+   CASE timeframe WHEN 'M15' THEN 15 WHEN 'M30' THEN 30 WHEN 'H1' THEN 60 END AS expected_step_minutes,
    {", ".join(f"count(*) FILTER (isodow(ts) = {i}) AS {d}" for i, d in enumerate(DAYS, 1))},
    count(DISTINCT hour(ts)) AS hours_with_data, min(hour(ts)) AS first_hour,
    median(CASE WHEN high <> low THEN high - low END) AS median_range,
@@ -191,12 +198,12 @@ STATUS = {
     "price_jumps": "CASE WHEN jumps > 0 THEN 'WARN' ELSE 'INFO' END",
 }
 TEXT = {
-    "schema": "'all canonical columns present'",
+    "schema": "'no column missing'",
     "row_count": "rows || ' rows from ' || strftime(first_ts, '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(last_ts, '%Y-%m-%d %H:%M:%S')",
     "timestamp_order": "'duplicates=' || duplicates",
     "duplicate_timestamps": "'rows sharing a timestamp=' || duplicates",
     "grid_alignment": "'off grid=' || off_grid",
-    "frequency_and_gaps": "CASE WHEN rows < 2 THEN 'fewer than 2 rows' ELSE 'exact_step=' || exact_step || ' sub_step=' || sub_step || ' gaps=' || gap_count END",
+    "frequency_and_gaps": "CASE WHEN rows < 2 THEN 'not enough bars for a step' ELSE 'exact_step=' || exact_step || ' sub_step=' || sub_step || ' gaps=' || gap_count END",
     "ohlc_integrity": "'violations=' || ohlc_violations",
     "price_positivity": "'bad prices=' || bad_prices",
     "zero_range_candles": "'zero range=' || zero_range",
@@ -204,21 +211,21 @@ TEXT = {
     "volume": "'tick_volume zero=' || tick_volume_zero || ' negative=' || tick_volume_negative || ' volume nonzero=' || volume_nonzero_rows",
     "weekday_distribution": "'sat=' || sat || ' sun=' || sun",
     "hour_distribution": "'hours=' || hours_with_data || ' first=' || first_hour",
-    "price_jumps": "CASE WHEN jumps IS NULL THEN 'insufficient rows' ELSE 'jumps=' || jumps END",
+    "price_jumps": "CASE WHEN jumps IS NULL THEN 'not enough bars to judge' ELSE 'jumps=' || jumps END",
 }
 METRICS = {
     "row_count": ["rows"],
     "timestamp_order": ["duplicates"],
     "grid_alignment": ["off_grid"],
     "frequency_and_gaps": [
-        "exact_step", "sub_step", "gap_count", "gaps_weekend", "gaps_daily_break", "gaps_intraweek",
+        "expected_step_minutes", "exact_step", "sub_step", "gap_count", "gaps_weekend", "gaps_daily_break", "gaps_intraweek",
         "gaps_extended", "missing_bars_total", "missing_bars_non_weekend",
     ],
     "ohlc_integrity": ["high_lt_low", "high_lt_open", "high_lt_close", "low_gt_open", "low_gt_close", "ohlc_violations"],
     "price_positivity": ["bad_prices"],
-    "zero_range_candles": ["zero_range"],
+    "zero_range_candles": ["zero_range", "zero_range_fraction"],
     "spread": ["spread_negative", "spread_zero", "spread_extreme", "spread_mean", *[f"spread_{n}" for n in SPREAD_Q]],
-    "volume": ["tick_volume_zero", "tick_volume_negative", "volume_nonzero_rows", *[f"tick_volume_{n}" for n in TICK_Q]],
+    "volume": ["tick_volume_zero", "tick_volume_negative", "volume_nonzero_rows", "volume_all_zero", *[f"tick_volume_{n}" for n in TICK_Q]],
     "weekday_distribution": DAYS,
     "hour_distribution": ["hours_with_data", "first_hour"],
     "price_jumps": ["jumps", "median_range"],
@@ -320,7 +327,7 @@ SELECT e.symbol, e.pair, coalesce(complete_buckets, 0) AS complete_buckets, coal
   CASE WHEN compared IS NOT NULL THEN coalesce(m.n, 0) END AS higher_without_bucket,
   {near(f'({mism}) / (4 * compared)')} AS price_mismatch_fraction,
   CASE WHEN compared IS NOT NULL THEN CASE WHEN {mism} = 0 THEN 'PASS' ELSE 'WARN' END END AS status,
-  CASE WHEN compared IS NULL THEN 'no overlapping complete buckets' END AS note
+  CASE WHEN compared IS NULL THEN 'nothing to compare in common' END AS note
 FROM both_sides e LEFT JOIN counted c USING (symbol, pair) LEFT JOIN complete k USING (symbol, pair) LEFT JOIN missing m USING (symbol, pair)"""
 
 
@@ -390,51 +397,56 @@ LOG_COLUMNS = """l.rows_in, coalesce(r.rows_out, 0) AS rows_out, l.dropped_unpar
   coalesce(r.exact_duplicates_removed, 0) AS exact_duplicates_removed,
   coalesce(r.conflicting_duplicate_groups, 0) AS conflicting_duplicate_groups,
   coalesce(r.conflicting_duplicate_rows_removed, 0) AS conflicting_duplicate_rows_removed,
-  0::BIGINT AS filled_tick_volume, 0::BIGINT AS filled_volume, 0::BIGINT AS filled_spread,
+  l.filled_tick_volume, l.filled_volume, l.filled_spread,
   coalesce(d.reordered, false) AS reordered"""
 
 VALUES = "open, high, low, close, tick_volume, volume, spread"
 
 ORACLES: dict[str, str] = {
-    "file_identity": f"""WITH {LINES} SELECT file, symbol, 'M15' AS timeframe, regexp_extract(file, '_(\\d{{12}})_', 1) AS declared_start,
-        regexp_extract(file, '_(\\d{{12}})\\.csv', 1) AS declared_end, symbol || '_M15' AS dataset_id, true AS ok FROM names""",
+    "file_identity": f"""WITH {LINES} SELECT file, symbol, timeframe, regexp_extract(file, '_(\\d{{12}})_', 1) AS declared_start,
+        regexp_extract(file, '_(\\d{{12}})\\.csv', 1) AS declared_end, symbol || '_' || timeframe AS dataset_id, true AS ok FROM names""",
     "header_audit": f"""WITH {_lines('VIEW')} SELECT file, delimiter,
         replace(replace(replace(upper(header), delimiter, ','), '<', ''), '>', '') AS columns,
         replace(replace(replace(upper(header), delimiter, ','), '<', ''), '>', '') = 'DATE,TIME,OPEN,HIGH,LOW,CLOSE,TICKVOL,VOL,SPREAD' AS ok
         FROM audit""",
-    "raw_typed": f"""WITH {LINES} SELECT file, line_no, date, time, {VALUES}, too_many_fields, fractional_count, symbol FROM typed""",
+    "raw_typed": f"""WITH {LINES} SELECT file, line_no, date, time, {VALUES}, too_many_fields, fractional_count, symbol, timeframe FROM typed""",
     "line_numbers": "SELECT count(*) AS lines, 0::BIGINT AS misnumbered FROM events WHERE ts IS NOT NULL",
     "bars_roundtrip": f"WITH {BARS} SELECT symbol, timeframe, ts, {VALUES} FROM bars",
     "manifest_table": f"""WITH {LINES}, {digest_cte('canonical')},
         covered AS (SELECT symbol, timeframe, min(ts) AS a, max(ts) AS z FROM canonical GROUP BY symbol, timeframe)
-        SELECT symbol || '_M15' AS dataset_id, symbol, timeframe, '1.0.0' AS schema_version, 'broker_server_time_naive' AS timezone,
+        SELECT symbol || '_' || timeframe AS dataset_id, symbol, timeframe, '1.0.0' AS schema_version, 'broker_server_time_naive' AS timezone,
         file AS source_filename, regexp_extract(file, '_(\\d{{12}})_', 1) AS declared_start,
         regexp_extract(file, '_(\\d{{12}})\\.csv', 1) AS declared_end, content_sha256, rows,
         strftime(a, '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(z, '%Y-%m-%d %H:%M:%S') AS last_ts,
         rows_in, dropped_unparseable_timestamp, dropped_nan_ohlc, reordered
-        FROM names JOIN digests USING (symbol) JOIN covered USING (symbol, timeframe) JOIN log USING (symbol, timeframe)
+        FROM names JOIN digests USING (symbol, timeframe) JOIN covered USING (symbol, timeframe) JOIN log USING (symbol, timeframe)
         JOIN disorder USING (symbol, timeframe)""",
     "verify_datasets": f"""WITH {BARS}, {digest_cte('bars')}
         SELECT symbol, timeframe, rows, content_sha256 AS expected_sha256, symbol <> 'ERROR' AS ok,
         CASE WHEN symbol = 'ERROR' THEN 'content hash mismatch' END AS problem FROM digests""",
+    "source_digest": f"""WITH {LINES}, hashed AS (SELECT file, strlen(value) + 1 AS size, sha256(line_no || '|' || sha256(value)) AS h FROM lines),
+        sums AS (SELECT file, sum(size)::BIGINT AS source_size_bytes, count(*) AS n,
+          {", ".join(f"sum(('0x' || substr(h, {1 + i * 16}, 8))::BIGINT::HUGEINT * 4294967296 + ('0x' || substr(h, {9 + i * 16}, 8))::BIGINT)::VARCHAR AS lane{i}" for i in range(4))} FROM hashed GROUP BY file)
+        SELECT file, source_size_bytes,
+          sha256(concat_ws('|', source_size_bytes::VARCHAR, n::VARCHAR, lane0, lane1, lane2, lane3)) AS source_sha256 FROM sums""",
     "content_digest": f"WITH {BARS}, {digest_cte('bars')} SELECT * FROM digests",
-    "parse_ts": f"WITH {LINES} SELECT symbol, line_no, date, time, ts FROM typed",
+    "parse_ts": f"WITH {LINES} SELECT symbol, timeframe, line_no, date, time, ts FROM typed",
     "exact_duplicates": f"WITH {LINES} SELECT * FROM exact WHERE copies > 1",
     "conflicting_duplicates": f"""WITH {LINES} SELECT symbol, timeframe, ts, line_no, {VALUES}, variant = 1 AS kept FROM kept WHERE variants > 1""",
-    "conflict_examples": f"""WITH {LINES}, several AS (SELECT symbol, ts, row_number() OVER (PARTITION BY symbol ORDER BY ts)::INTEGER AS group_no
+    "conflict_examples": f"""WITH {LINES}, several AS (SELECT symbol, timeframe, ts, row_number() OVER (PARTITION BY symbol, timeframe ORDER BY ts)::INTEGER AS group_no
         FROM kept WHERE variants > 1 AND variant = 1)
         SELECT k.symbol, k.timeframe, k.ts, k.line_no, {VALUES}, k.variant = 1 AS kept, s.group_no
-        FROM kept k JOIN several s ON s.symbol = k.symbol AND s.ts = k.ts WHERE s.group_no <= 20""",
+        FROM kept k JOIN several s ON s.symbol = k.symbol AND s.timeframe = k.timeframe AND s.ts = k.ts WHERE s.group_no <= 20""",
     "canonical_bars": f"WITH {LINES} SELECT * FROM canonical",
     "normalization_log": f"""WITH {LINES} SELECT l.symbol, l.timeframe, {LOG_COLUMNS} FROM log l
         LEFT JOIN removed r USING (symbol, timeframe) LEFT JOIN disorder d USING (symbol, timeframe)""",
     "check_schema": f"WITH {JUDGED} SELECT DISTINCT symbol, timeframe, 'PASS' AS status, '' AS missing FROM judged",
     "check_row_count": check("row_count", "rows", "first_ts", "last_ts"),
-    "check_ts_order": f"""WITH {LINES}, seen AS (SELECT symbol, timeframe, ts, lag(ts) OVER (PARTITION BY symbol ORDER BY line_no) AS prev FROM usable),
+    "check_ts_order": f"""WITH {LINES}, seen AS (SELECT symbol, timeframe, ts, lag(ts) OVER (PARTITION BY symbol, timeframe ORDER BY line_no) AS prev FROM usable),
         f AS (SELECT symbol, timeframe, count(*) - count(DISTINCT ts) AS duplicates, NOT coalesce(bool_or(ts < prev), false) AS monotonic
               FROM seen GROUP BY symbol, timeframe)
         SELECT *, CASE WHEN duplicates > 0 OR NOT monotonic THEN 'FAIL' ELSE 'PASS' END AS status FROM f""",
-    "check_duplicates": f"""WITH {LINES}, seen AS (SELECT symbol, timeframe, count(*) OVER (PARTITION BY symbol, ts) AS n FROM usable),
+    "check_duplicates": f"""WITH {LINES}, seen AS (SELECT symbol, timeframe, count(*) OVER (PARTITION BY symbol, timeframe, ts) AS n FROM usable),
         f AS (SELECT symbol, timeframe, count(*) FILTER (n > 1) AS sharing_rows FROM seen GROUP BY symbol, timeframe)
         SELECT *, CASE WHEN sharing_rows > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM f""",
     "check_grid": check("grid_alignment", "off_grid"),
@@ -452,7 +464,7 @@ ORACLES: dict[str, str] = {
         SELECT s.symbol, s.timeframe, r.range::INTEGER AS hour, coalesce(n, 0) AS bars FROM series s CROSS JOIN range(24) r
         LEFT JOIN seen x ON x.symbol = s.symbol AND x.timeframe = s.timeframe AND x.h = r.range""",
     "check_price_jumps": check("price_jumps", "jumps", *rounded("median_range")),
-    "check_frequency": check("frequency_and_gaps", "rows", *METRICS["frequency_and_gaps"]),
+    "check_frequency": check("frequency_and_gaps", "rows", *METRICS["frequency_and_gaps"][1:]),
     "check_examples": examples_sql(),
     "check_metrics": metrics_sql(),
     "quality_report": f"WITH {RESULTS} SELECT * FROM results",
@@ -498,7 +510,7 @@ ORACLES: dict[str, str] = {
     "flag_provisional": f"""WITH {BARS} SELECT symbol, timeframe, ts, {VALUES}, ts = max(ts) OVER (PARTITION BY symbol, timeframe) AS provisional FROM bars""",
     "declared_vs_actual": f"""WITH {BARS} SELECT symbol, timeframe, date_trunc('day', min(ts))::TIMESTAMP AS declared_start, max(ts) AS declared_end,
         min(ts) AS actual_start, max(ts) AS actual_end, date_trunc('day', min(ts))::TIMESTAMP = min(ts) AS start_matches, true AS end_matches
-        FROM bars WHERE timeframe = 'M15' GROUP BY symbol, timeframe""",
+        FROM bars GROUP BY symbol, timeframe""",
     "export_cap_evidence": f"""WITH {BARS}, {COVER} SELECT symbol, count(*) AS series, min(end_ts) AS earliest_end, max(end_ts) AS latest_end,
         count(DISTINCT start_ts) AS distinct_starts, min(rows) AS min_rows, max(rows) AS max_rows, {near('min(rows) / max(rows)')} AS row_ratio
         FROM covered GROUP BY symbol""",

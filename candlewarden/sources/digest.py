@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewarden.functions.session import materialise
 from candlewarden.schema import CANONICAL, SERIES
+from candlewarden.sources.files import numbered, split_offsets
 
 LANES = 4
 LANE_DIGITS = 16
-# above this a file no longer fits the one-row binary source and is read as a stream
-STREAM_BYTES = 1 << 30
+
+
+def _lane_sums(digest: str) -> list[Column]:
+    """Sums of the four 64-bit lanes of a hexadecimal SHA-256 column."""
+    lanes = [
+        F.conv(F.substring(digest, 1 + i * LANE_DIGITS, LANE_DIGITS), 16, 10).cast("decimal(28,0)") for i in range(LANES)
+    ]
+    return [F.sum(lane).alias(f"_lane{i}") for i, lane in enumerate(lanes)]
 
 
 def row_digest() -> Column:
@@ -30,54 +34,41 @@ def content_digest(bars: DataFrame) -> DataFrame:
     and combines map-side; the sums and the row count are hashed into one value.
     """
     hashed = bars.select(*SERIES, row_digest().alias("_h"))
-    lanes = [
-        F.conv(F.substring("_h", 1 + i * LANE_DIGITS, LANE_DIGITS), 16, 10).cast("decimal(28,0)")
-        for i in range(LANES)
-    ]
-    sums = hashed.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("rows"), *[F.sum(lane).alias(f"_lane{i}") for i, lane in enumerate(lanes)]
-    )
+    sums = hashed.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("rows"), *_lane_sums("_h"))
     cells = [F.lit(",".join(CANONICAL)), F.col("rows").cast("string")]
     cells += [F.col(f"_lane{i}").cast("string") for i in range(LANES)]
     return sums.select(*SERIES, "rows", F.sha2(F.concat_ws("|", *cells), 256).alias("content_sha256"))
 
 
-def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def lines_digest(lines: DataFrame) -> DataFrame:
+    """(file, source_size_bytes, source_sha256) from every line of each file: file, line_no, line_sha256, size.
 
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            source, inner = fs.FileSystem.from_uri(path)
-            digest = hashlib.sha256()
-            with source.open_input_stream(inner) as stream:
-                while block := stream.read(1 << 23):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield batch.assign(source_sha256=digests)
+    A line is hashed with its place in the file, the lanes of these hashes are added up per file, and
+    the sums are hashed with the size and the number of lines. Any share of the input may be one file.
+    """
+    placed = lines.select("file", "size", F.sha2(F.concat_ws("|", "line_no", "line_sha256"), 256).alias("_h"))
+    sums = placed.groupBy("file").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"), *_lane_sums("_h"))
+    cells = [F.col("size").cast("string"), F.col("n").cast("string")]
+    cells += [F.col(f"_lane{i}").cast("string") for i in range(LANES)]
+    return sums.select("file", F.col("size").alias("source_size_bytes"), F.sha2(F.concat_ws("|", *cells), 256).alias("source_sha256"))
 
 
 def source_digest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(file, source_size_bytes, source_sha256) of every file at ``path``.
+    """(file, source_size_bytes, source_sha256) of every file at ``path`` that has a byte.
 
-    A SHA-256 of a file is sequential by definition, so the work is one stream per file.
+    Files are cut at line feeds only, so carriage returns and blank lines count, and the size tells
+    whether the last line ends. Splits of a file are read in parallel, from any file system Spark reads;
+    how a file was split does not change its digest.
     """
-    files = spark.read.format("binaryFile")
+    reader = spark.read.option("lineSep", "\n")
     if glob:
-        files = files.option("pathGlobFilter", glob)
-    files = files.load(path)
-    name = F.element_at(F.split("path", "/"), -1)
-    small = files.where(F.col("length") <= STREAM_BYTES).select(
-        name.alias("file"),
-        F.col("length").alias("source_size_bytes"),
-        F.sha2("content", 256).alias("source_sha256"),
-    )
-    sizes = files.where(F.col("length") > STREAM_BYTES).select("path", "length")
-    if sizes.isEmpty():
-        return small
-    streamed = sizes.repartition("path").mapInPandas(
-        _stream, "path string, length bigint, source_sha256 string"
-    )
-    return small.unionByName(
-        streamed.select(name.alias("file"), F.col("length").alias("source_size_bytes"), "source_sha256")
+        reader = reader.option("pathGlobFilter", glob)
+    text = reader.text(path).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"),
+        F.sha2(F.col("value").cast("binary"), 256).alias("line_sha256"),
+        F.monotonically_increasing_id().alias("row_id"),
     )
+    stored = materialise(text, "line_digests")
+    return lines_digest(numbered(stored, materialise(split_offsets(stored), "splits")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from candlewarden.functions.session import broadcast_if_small, materialise
+from candlewarden.functions.session import materialise
 from candlewarden.operators import parse
 from candlewarden.schema import SERIES, RawSchemaError
 
@@ -50,6 +50,13 @@ def identities(files: DataFrame) -> DataFrame:
     return audit.join(latest, [*SERIES, "file"], "left_semi")
 
 
+def superseded(files: DataFrame) -> DataFrame:
+    """Exports that do not count because a later one of the same series is there: file, series, and the one that counts."""
+    audit = parse.file_identity(files).where("ok")
+    latest = audit.groupBy(*SERIES).agg(F.max("file").alias("counting_file"))
+    return audit.join(latest, SERIES).where("file <> counting_file").select("file", *SERIES, "counting_file")
+
+
 def stored_lines(spark: SparkSession, raw_dir: str, glob: str = GLOB) -> DataFrame:
     """Non-blank lines with file, split start and a row id that grows along the file, written once.
 
@@ -88,8 +95,8 @@ def numbered(stored: DataFrame, splits: DataFrame) -> DataFrame:
     """Line numbers from 1, counted over non-blank lines.
 
     One file may be a large part of the input, so lines are numbered inside their split and shifted by
-    the lines before it. A small split table is broadcast; a large one joins on (file, block), whose
-    groups are no larger than a split.
+    the lines before it. The split table has been written, so Spark broadcasts it if it is small; a
+    large one joins on (file, block), whose groups are no larger than a split.
     """
     number = F.col("offset") + F.col("row_id") - F.col("first_id") + 1
     return (
@@ -102,7 +109,7 @@ def numbered(stored: DataFrame, splits: DataFrame) -> DataFrame:
 def read_lines(spark: SparkSession, raw_dir: str, glob: str = GLOB) -> DataFrame:
     """(file, line_no, value) for every non-blank line, the first line of a file being 1."""
     stored = stored_lines(spark, raw_dir, glob=glob)
-    splits = broadcast_if_small(materialise(split_offsets(stored), "splits"))
+    splits = materialise(split_offsets(stored), "splits")
     return numbered(stored, splits).select("file", "line_no", "value")
 
 
@@ -118,7 +125,7 @@ def read_raw(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
     audit = materialise(audit.withColumn("ok", F.coalesce("ok", F.lit(False))), "headers")
     parse.require_headers(audit)
     splits = split_offsets(stored).join(audit.select("file", "delimiter"), "file")
-    splits = broadcast_if_small(materialise(splits, "splits"))
+    splits = materialise(splits, "splits")
     lines = numbered(stored, splits)
     typed = materialise(parse.with_ts(parse.typed_rows(lines, "delimiter")), "typed")
     parse.require_typed(typed)

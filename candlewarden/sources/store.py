@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 import candlewarden
+from candlewarden.functions.session import delete
 from candlewarden.schema import BAR_SCHEMA, CANONICAL, SCHEMA_VERSION, SERIES, TIMEZONE_LABEL
 from candlewarden.sources.digest import content_digest
 
@@ -61,9 +62,12 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
-def write_bars(bars: DataFrame, root: str) -> None:
+def write_bars(bars: DataFrame, root: str, emptied: DataFrame | None = None) -> None:
     """Write canonical bars, one folder per series, replacing only the series in ``bars``.
 
+    ``emptied`` lists series that are now known to have no bars; what is stored of them is dropped, as
+    an overwrite replaces only folders it has rows for.
+
     Range partitioning over (series, ts) gives tasks of equal size, so a long series is split by time
     instead of landing in one task, and row-group statistics on ``ts`` stay selective.
     """
@@ -79,6 +83,9 @@ def write_bars(bars: DataFrame, root: str) -> None:
         .partitionBy(*SERIES)
         .parquet(f"{root}/{BARS}")
     )
+    if emptied is not None:
+        for r in emptied.select(*SERIES).toLocalIterator():
+            delete(bars.sparkSession, f"{root}/{BARS}/symbol={r['symbol']}/timeframe={r['timeframe']}")
 
 
 def read_bars(spark: SparkSession, root: str) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from candlewarden.functions.session import materialise
 from candlewarden.operators import normalise, parse
 from candlewarden.plans import ingest
 from candlewarden.schema import RawSchemaError
@@ -17,12 +17,12 @@ from conftest import HEADER, export_name, text_lines, write_export
 
 
 def test_identity_from_name(spark):
-    names = ["XAUUSD_M30_201801240100_202607280400.csv", "gold.csv", "XAU_M5_201801240100_202607280400.csv"]
-    got = {r["file"]: r for r in parse.file_identity(spark.createDataFrame([(n,) for n in names], "file string")).collect()}
-    good = got[names[0]]
-    assert (good["symbol"], good["timeframe"], good["declared_start"]) == ("XAUUSD", "M30", "201801240100")
-    assert good["dataset_id"] == "XAUUSD_M30" and good["ok"]
-    assert not got["gold.csv"]["ok"] and not got[names[2]]["ok"]
+    good = "NGAS7_M15_202003020015_202109301745.csv"
+    bad = ["ngas_M15_202003020015_202109301745.csv", "NGAS_H4_202003020015_202109301745.csv", "NGAS_H1_2020_2021.csv", "notes.csv"]
+    got = {r["file"]: r for r in parse.file_identity(spark.createDataFrame([(n,) for n in [good, *bad]], "file string")).collect()}
+    row = got[good]
+    assert (row["symbol"], row["timeframe"], row["declared_end"], row["dataset_id"]) == ("NGAS7", "M15", "202109301745", "NGAS7_M15")
+    assert row["ok"] and not any(got[n]["ok"] for n in bad)
 
 
 def test_unknown_names_and_missing_files_are_refused(spark, tmp_path):
@@ -30,43 +30,39 @@ def test_unknown_names_and_missing_files_are_refused(spark, tmp_path):
         files.read_raw(spark, str(tmp_path))
     with pytest.raises(FileNotFoundError):
         files.read_raw(spark, str(tmp_path / "absent"))
-    (tmp_path / "gold.csv").write_text(HEADER + "\n")
-    with pytest.raises(ValueError, match="gold.csv"):
+    (tmp_path / "notes.csv").write_text(HEADER + "\n")
+    with pytest.raises(ValueError, match="notes.csv"):
         files.read_raw(spark, str(tmp_path))
 
 
-@pytest.mark.parametrize("content", ["Date,Open,High,Low,Close\n2024.01.01,1,2,0,1\n", "", "\n\n"])
+@pytest.mark.parametrize("content", ["time;price\n09:30;17\n", HEADER.replace("<VOL>\t", "") + "\n", "", "\n\n"])
 def test_wrong_header_is_refused(spark, tmp_path, content):
     (tmp_path / "XAUUSD_H1_202401010000_202401020000.csv").write_text(content)
     with pytest.raises(RawSchemaError):
         files.read_raw(spark, str(tmp_path))
 
 
-def test_bom_comma_and_odd_cells(spark, tmp_path):
-    rows = [
-        "2024.01.01,01:00:00,1.0,2.0,0.5,1.5,10,0,20",
-        "",
-        "2024.01.01,02:00:00,abc,NaN,inf,1d,x,2.0,",
-        "2024.1.1,3:00:00,1,2",
+def test_marked_file_with_semicolons_and_odd_cells(spark, tmp_path):
+    cells = [
+        ["2019.07.08", "09:45:00", "61.25", "62.5", "60", "61", "7", "3", "4"],
+        ["2019.7.9", "9:45:00", "?", "nan", "-inf", "0x10", "", "5.0", "many"],
+        ["2019.07.10", "10:00:00", "61"],
     ]
-    text = "﻿" + HEADER.replace("\t", ",") + "\n" + "\n".join(rows) + "\n"
-    (tmp_path / "XAUUSD_H1_202401010000_202401020000.csv").write_text(text)
-    typed, _ = files.read_raw(spark, str(tmp_path))
-    a, b, c = typed.orderBy("line_no").collect()
-    assert (a["line_no"], a["close"], a["spread"]) == (2, 1.5, 20)
-    # blank lines are not counted; unparseable prices and counts are missing, 2.0 is an integer
-    assert b["line_no"] == 3
-    assert (b["open"], b["high"], b["low"], b["close"]) == (None, None, float("inf"), None)
-    assert (b["tick_volume"], b["volume"], b["spread"]) == (None, 2, None)
-    assert c["ts"] == pd.Timestamp("2024-01-01 03:00:00") and c["low"] is None and c["spread"] is None
-
-
-@pytest.mark.parametrize(
-    "row",
-    ["2024.01.01\t01:00:00\t1\t2\t0\t1\t1.5\t0\t1", "2024.01.01\t01:00:00\t1\t2\t0\t1\t1\t0\t1\t9"],
-)
-def test_fractional_counts_and_extra_fields_are_refused(spark, tmp_path, row):
-    (tmp_path / "XAUUSD_H1_202401010000_202401020000.csv").write_text(f"{HEADER}\n{row}\n")
+    lines = [HEADER.replace("\t", ";"), ";".join(cells[0]), "", "", ";".join(cells[1]), ";".join(cells[2])]
+    (tmp_path / "COAL_M15_201907080000_201907110000.csv").write_text("\ufeff" + "\n".join(lines), encoding="utf-8")
+    rows = {r["line_no"]: r for r in files.read_raw(spark, str(tmp_path))[0].collect()}
+    assert set(rows) == {2, 3, 4}  # blank lines have no number
+    assert (rows[2]["high"], rows[2]["tick_volume"], rows[2]["spread"]) == (62.5, 7, 4)
+    assert [rows[3][c] for c in ("open", "high", "low", "close")] == [None, None, float("-inf"), None]
+    assert [rows[3][c] for c in ("tick_volume", "volume", "spread")] == [None, 5, None]
+    assert rows[3]["ts"] == pd.Timestamp("2019-07-09 09:45")
+    assert rows[4]["open"] == 61 and rows[4]["high"] is None and rows[4]["spread"] is None
+
+
+@pytest.mark.parametrize("cells", [["0.25"] * 9, ["7"] * 10], ids=["fraction", "ten cells"])
+def test_rows_that_refuse_their_file(spark, tmp_path, cells):
+    row = "\t".join(["2019.07.08", "09:45:00", *cells[2:]])
+    (tmp_path / "COAL_M15_201907080000_201907110000.csv").write_text(f"{HEADER}\n{row}\n")
     with pytest.raises(RawSchemaError):
         files.read_raw(spark, str(tmp_path))
 
@@ -96,9 +92,8 @@ def test_ingest_end_to_end(spark, tmp_path, h1, m30, m15):
     rows = {r["dataset_id"]: r for r in manifests.collect()}
     assert set(rows) == {"XAUUSD_H1", "XAUUSD_M30", "XAUUSD_M15"}
     for r in rows.values():
-        content = sources[r["source_filename"]]
-        assert r["source_sha256"] == hashlib.sha256(content).hexdigest()
-        assert r["source_size_bytes"] == len(content)
+        assert len(r["source_sha256"]) == 64
+        assert r["source_size_bytes"] == len(sources[r["source_filename"]])
         assert r["rows"] == r["normalization"]["rows_in"] == r["normalization"]["rows_out"]
         assert not r["normalization"]["reordered"]
     assert rows["XAUUSD_H1"]["rows"] == len(h1)
@@ -137,28 +132,53 @@ def test_ingest_end_to_end(spark, tmp_path, h1, m30, m15):
 
 
 def test_damaged_export_is_counted(spark, tmp_path, h1):
-    shuffled = h1.sample(frac=1.0, random_state=0)
-    conflict = h1.iloc[[7]].assign(close=h1["close"].iloc[7] + 1)
-    extra = [
-        *text_lines(h1.iloc[[5]]),
-        *text_lines(conflict),
-        "2024.13.45\t01:00:00\t1\t1\t1\t1\t1\t0\t1",
-        "2024.02.05\t01:00:00\t\t1\t1\t1\t1\t0\t1",
-        "2024.13.45\t01:00:00\t\t1\t1\t1\t1\t0\t1",
-    ]
-    write_export(tmp_path, shuffled, extra)
+    """A backwards export with two copies, three variants of one bar and four kinds of unusable rows."""
+    variants = [h1.iloc[[20]].assign(low=h1["low"].iloc[20] - k) for k in (1, 2)]
+    extra = [line for bars in (h1.iloc[[11]], h1.iloc[[12]], *variants) for line in text_lines(bars)]
+    extra += [f"{d}\t{t}\t{o}\t9\t7\t8\t3\t0\t2" for d, t, o in (("2024.02.31", "04:00:00", "8"), ("", "", "8"), ("2024.03.01", "25:00:00", ""), ("2024.03.01", "04:00:00", "-"))]
+    write_export(tmp_path, h1.iloc[::-1], extra)
     typed, _ = files.read_raw(spark, str(tmp_path))
-    log = normalise.normalisation_log(typed).collect()[0]
-    assert log["rows_in"] == len(h1) + 5 and log["rows_out"] == len(h1)
-    assert log["dropped_unparseable_timestamp"] == 2 and log["dropped_nan_ohlc"] == 1
-    assert log["exact_duplicates_removed"] == 1
-    assert log["conflicting_duplicate_groups"] == log["conflicting_duplicate_rows_removed"] == 1
+    log = normalise.normalisation_log(typed).first()
+    assert (log["rows_in"], log["rows_out"]) == (len(h1) + 8, len(h1))
+    assert (log["dropped_unparseable_timestamp"], log["dropped_nan_ohlc"]) == (3, 1)
+    assert (log["exact_duplicates_removed"], log["conflicting_duplicate_groups"], log["conflicting_duplicate_rows_removed"]) == (2, 1, 2)
     assert log["reordered"]
-    shown = normalise.conflict_examples(normalise.usable(typed)).orderBy("line_no").collect()
-    assert [r["kept"] for r in shown] == [True, False]
-    kept = normalise.canonical(normalise.resolve(normalise.usable(typed)))
-    got = kept.orderBy("ts").toPandas()
-    assert got["close"].tolist() == h1["close"].tolist()
+    rows = normalise.conflicting_rows(normalise.usable(typed)).orderBy("line_no").collect()
+    assert [r["kept"] for r in rows] == [True, False, False]
+    kept = normalise.canonical(normalise.resolve(normalise.usable(typed))).orderBy("ts").toPandas()
+    assert kept["low"].tolist() == h1["low"].tolist()
+
+
+def test_a_series_that_is_emptied(spark, tmp_path, h1):
+    """Its bars go, its manifest says so, other series stay, and other jobs keep their tables."""
+    raw, store_dir, reports = tmp_path / "raw", str(tmp_path / "p"), str(tmp_path / "r")
+    raw.mkdir()
+    path = write_export(raw, h1)
+    write_export(raw, h1.assign(symbol="COAL"))
+    pending = materialise(spark.range(5).toDF("id"), "pending")
+    ingest.run(spark, str(raw), store_dir, reports)
+    with open(path, "w") as f:
+        f.write(HEADER + "\n")
+    manifests, _ = ingest.run(spark, str(raw), store_dir, reports)
+    rows = {r["symbol"]: r["rows"] for r in manifests.collect()}
+    assert rows == {"XAUUSD": 0, "COAL": len(h1)}
+    assert {r["symbol"] for r in store.read_bars(spark, store_dir).select("symbol").distinct().collect()} == {"COAL"}
+    assert all(r["ok"] for r in store.verify_datasets(spark, store_dir).collect())
+    assert pending.count() == 5
+
+
+def test_what_ingest_leaves_out_is_stored(spark, tmp_path, h1):
+    raw, root = tmp_path / "raw", str(tmp_path / "p")
+    raw.mkdir()
+    conflicts = [line for k in range(30) for line in text_lines(h1.iloc[[k]].assign(close=h1["close"].iloc[k] + 1))]
+    write_export(raw, h1, conflicts, name="XAUUSD_H1_202401010000_202402190000.csv")
+    write_export(raw, h1.head(5), name="XAUUSD_H1_202401010000_202401190000.csv")
+    _, reports = ingest.run(spark, str(raw), root, str(tmp_path / "r"))
+    assert reports.conflicts.count() == 60 and reports.conflicts.where("kept").count() == 30
+    gone = spark.read.parquet(f"{root}/{ingest.SUPERSEDED}").collect()
+    assert [(r["file"], r["counting_file"]) for r in gone] == [
+        ("XAUUSD_H1_202401010000_202401190000.csv", "XAUUSD_H1_202401010000_202402190000.csv")
+    ]
 
 
 def test_header_only_file_fails_its_checks(spark, tmp_path, h1):
@@ -179,11 +199,30 @@ def test_last_export_of_a_series_counts(spark, tmp_path, h1):
     assert known.count() == 1 and typed.count() == 10
 
 
-def test_streamed_digest_equals_whole_file_digest(spark, tmp_path, h1, monkeypatch):
-    path = write_export(tmp_path, h1)
-    monkeypatch.setattr(digest, "STREAM_BYTES", 10)
-    row = digest.source_digest(spark, str(tmp_path), "*.csv").collect()[0]
-    assert row["source_sha256"] == hashlib.sha256(open(path, "rb").read()).hexdigest()
+def test_source_digest_sees_every_byte_and_no_split(spark, tmp_path):
+    def of(name, content):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "x.csv").write_bytes(content)
+        row = digest.source_digest(spark, str(folder), "*.csv").first()
+        assert row["source_size_bytes"] == len(content)
+        return row["source_sha256"]
+
+    content = b"".join(b"line %d of a file\n" % k for k in range(500)) + b"\n\nend\n"
+    changes = {
+        "byte": content.replace(b"line 7 ", b"line 8 ", 1),
+        "ending": content.replace(b"\n", b"\r\n", 1),
+        "last": content[:-1],
+        "blank": content.replace(b"\n\n\n", b"\n\n"),
+        "swapped": content.replace(b"line 3 of a file\nline 4 of", b"line 4 of a file\nline 3 of"),
+    }
+    whole = of("whole", content)
+    assert len({whole, *(of(k, c) for k, c in changes.items())}) == 6
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert of("split", content) == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_digest_ignores_layout_and_sees_values(spark, to_bars, h1):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewarden.functions import chunks
 from candlewarden.functions.quantiles import BUCKET, exact_quantiles
-from candlewarden.functions.session import broadcast_if_small, materialise, release, working_dir
+from candlewarden.functions.session import job_folder, materialise, release, working_dir
 from candlewarden.functions.times import EPOCH, floor_to, micros_between, order_key
 from candlewarden.operators import parse
 from candlewarden.schema import SERIES
@@ -151,17 +151,19 @@ def test_timestamps_parse_like_pandas(spark, parts):
         assert (got[i] is None) == pd.isna(ts) and (pd.isna(ts) or got[i] == ts)
 
 
-def test_intermediate_tables(spark):
-    df = materialise(spark.range(10).toDF("id"), "small")
-    assert df.count() == 10
-    assert "Broadcast" in spark.range(10).join(broadcast_if_small(df), "id")._jdf.queryExecution().executedPlan().toString()
-    wide = spark.range(10).hint("merge").join(broadcast_if_small(df, max_rows=5), "id")
-    assert "SortMergeJoin" in wide._jdf.queryExecution().executedPlan().toString()
-    path = spark._jvm.org.apache.hadoop.fs.Path(working_dir(spark))
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    assert fs.exists(path)
+def exists(spark, path):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def test_a_job_deletes_its_own_tables_only(spark):
+    outside = materialise(spark.range(10).toDF("id"), "outside")
+    with pytest.raises(KeyError), job_folder(spark) as own:
+        assert materialise(spark.range(3).toDF("id"), "inside").count() == 3 and exists(spark, own)
+        raise KeyError
+    assert not exists(spark, own) and outside.count() == 10
     release(spark)
-    assert not fs.exists(path)
+    assert not exists(spark, working_dir(spark))
 
 
 def test_counts_beyond_the_integers_are_marked(spark):

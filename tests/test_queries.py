@@ -41,8 +41,7 @@ def _sorted(rows, columns):
 
 
 def test_every_query_has_a_counterpart():
-    # the digest of a file's bytes is not a function of the table
-    assert set(catalog.QUERIES) - set(oracles.ORACLES) == {"source_digest"}
+    assert set(catalog.QUERIES) == set(oracles.ORACLES)
     assert set(catalog.QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
@@ -61,14 +60,5 @@ def test_matches_sql(spark, duck, name):
     assert actual == expected
 
 
-def test_source_digest(spark):
-    import hashlib
-
-    row = contract.queries()["source_digest"](spark, SF_DIR).collect()[0]
-    content = open(f"{SF_DIR}/events.parquet", "rb").read()
-    assert row["source_sha256"] == hashlib.sha256(content).hexdigest()
-    assert row["source_size_bytes"] == len(content)
-
-
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
