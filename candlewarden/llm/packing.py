@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from candlewarden.llm.common import Memo, as_bytes
 
@@ -47,12 +47,16 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        # a lower-case run is normal already and one pre-token, so only the merges are left to do
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = None
+        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.memo = Memo(self._ids)
-        self.runs = Memo(lambda run: np.array(self._encode(run), "<u4").tobytes(), 600_000)
+        self.runs = Memo(lambda run: np.array(self.merges.encode(run, add_special_tokens=False).ids, "<u4").tobytes(), 800_000)
         probe = "One two,\tTHREE!!\n\n|x|  four's Été%%% 5 (ab)-c"
         whole = self._encode(probe)
-        runs = [r for w in probe.split() for r in (map(str.lower, _RUN.findall(w)) if _RUNS.fullmatch(w) else [w])]
-        if any(whole != [i for part in parts for i in self._encode(part)] for parts in (probe.split(), runs)):
+        words = [i for w in probe.split() for i in self._encode(w)]
+        if whole != words or whole != np.frombuffer(self.of(probe.encode()), "<u4").tolist():
             raise ValueError("this tokenizer does not work word by word")
 
     def _encode(self, text: str) -> list[int]:
