@@ -32,7 +32,7 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 class Memo(dict):
     """A dictionary that computes what it lacks, and starts anew when it holds ``most`` entries."""
 
-    def __init__(self, compute: Callable[[Any], Any], most: int = 400_000):
+    def __init__(self, compute: Callable[[Any], Any], most: int = 200_000):
         super().__init__()
         self.compute, self.most = compute, most
 

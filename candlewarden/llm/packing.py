@@ -33,8 +33,8 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens big
 
 
 # A run of precomposed Latin letters or of ASCII punctuation without the apostrophe.
-_RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+|[!-&(-/:-@\[-`{-~]+")
-_RUNS = re.compile(f"(?:{_RUN.pattern})+")
+# Not among them: the dotted capital I, whose lower case is two characters.
+_RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+|[!-&(-/:-@\[-`{-~]+")
 
 
 class WordIds:
@@ -52,7 +52,7 @@ class WordIds:
         self.merges.normalizer = None
         self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.memo = Memo(self._ids)
-        self.runs = Memo(lambda run: np.array(self.merges.encode(run, add_special_tokens=False).ids, "<u4").tobytes(), 800_000)
+        self.runs = Memo(lambda run: np.array(self.merges.encode(run, add_special_tokens=False).ids, "<u4").tobytes(), 400_000)
         probe = "One two,\tTHREE!!\n\n|x|  four's Été%%% 5 (ab)-c"
         whole = self._encode(probe)
         words = [i for w in probe.split() for i in self._encode(w)]
@@ -64,8 +64,9 @@ class WordIds:
 
     def _ids(self, word: bytes) -> bytes:
         plain = word.decode()
-        if "<|" not in plain and _RUNS.fullmatch(plain):
-            return b"".join(self.runs[run.lower()] for run in _RUN.findall(plain))
+        runs = _RUN.findall(plain)
+        if sum(map(len, runs)) == len(plain) and "<|" not in plain:
+            return b"".join(self.runs[run.lower()] for run in runs)
         return np.array(self._encode(plain), "<u4").tobytes()
 
     def of(self, text: bytes) -> bytes:
