@@ -173,17 +173,16 @@ def typical_range(facts: DataFrame) -> DataFrame:
     return facts.select(*SERIES, F.col("range_p50").alias("typical"))
 
 
+def jump_counts() -> list[Column]:
+    """Aggregates over steps with jumps; series shorter than three bars are not judged."""
+    return [
+        F.expr("CASE WHEN count(1) >= 3 THEN count_if(is_jump) END AS jumps"),
+        F.expr("CASE WHEN count(1) >= 3 THEN max(typical) END AS median_range"),
+    ]
+
+
 def jump_facts(jumps: DataFrame) -> DataFrame:
-    """Series shorter than three bars are not judged."""
-    return jumps.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if("is_jump").alias("_jumps"),
-        F.max("typical").alias("median_range"),
-    ).select(
-        *SERIES,
-        F.when(F.col("rows") >= 3, F.col("_jumps")).alias("jumps"),
-        F.when(F.col("rows") >= 3, F.col("median_range")).alias("median_range"),
-    )
+    return jumps.groupBy(*SERIES).agg(*jump_counts())
 
 
 def schema_check(bars: DataFrame, datasets: DataFrame) -> DataFrame:
@@ -207,8 +206,7 @@ def facts(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFra
     parts = [
         quantiles,
         extreme_spreads(counts, quantiles),
-        g.frequency(jumps).drop("rows"),
-        jump_facts(jumps),
+        jumps.groupBy(*SERIES).agg(*g.frequency_counts(), *jump_counts()).drop("rows"),
         timestamp_order(bars, order),
     ]
     out = profile(bars, order)

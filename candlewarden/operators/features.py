@@ -6,18 +6,16 @@ the causality test adds the cut, so that all prefixes are evaluated in one job.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import (
-    CHUNK,
     HALO,
     halo_window,
     join_series_values,
-    with_chunk,
     with_halo,
     with_previous,
     with_running,
@@ -99,6 +97,15 @@ def ahead(n: int = 1, column: str = "close") -> Feature:
     return feature
 
 
+def known_ahead(n: int = 1, column: str = "close") -> Feature:
+    """As ``ahead`` without the rows that have no such value: it also changes the length of its input."""
+
+    def feature(bars, keys=SERIES):
+        return ahead(n, column)(bars, keys).where(F.col("value").isNotNull())
+
+    return feature
+
+
 def future_label(n: int = 3, column: str = "close") -> Feature:
     """1 when the value ``n`` rows later is higher, else 0, also where there is no such row."""
 
@@ -124,54 +131,42 @@ def zscore(column: str = "close") -> Feature:
     return feature
 
 
+# a value this many e-folds old no longer reaches the last bit of an exponential mean
+FORGOTTEN = 100.0
+BLOCK = "_block"
+
+
 def ewm_mean(span: int = 10, column: str = "close") -> Feature:
     """Exponentially weighted mean, y = a*x + (1-a)*y_prev with a = 2 / (span + 1), started at the first value.
 
-    Over one chunk the recursion is an affine map of the value before it, y_end = offset + decay * y_before.
-    The maps are small, so a scan over the chunks of a series gives every chunk its start, after which the
-    chunks are computed independently. Rows meet pandas only inside their chunk.
+    With d = 1 - a, the k-th value of a block is d^k * (d * y_before + sum of a * x_j * d^-j), a running sum.
+    Blocks are so many values that d^-j stays finite and that d^block is below exp(-FORGOTTEN). What a block
+    starts from is therefore settled by the two blocks before it, and no series is scanned in one task.
+    NULL and NaN are skipped: such a row shows the mean before it, NULL if there is none.
     """
     alpha = 2.0 / (span + 1)
+    decay = 1.0 - alpha
+    size = math.ceil(FORGOTTEN / -math.log(decay)) if decay > 0 else 1
 
     def feature(bars, keys=SERIES):
-        rows = with_chunk(_price(bars, keys, column), "ts")
-        part = [*keys, CHUNK]
-        types = dict(rows.dtypes)
-        key_ddl = ", ".join(f"`{k}` {types[k]}" for k in part)
-
-        def chunk_map(pdf: pd.DataFrame) -> pd.DataFrame:
-            x = pdf.sort_values("ts")["x"]
-            started = pd.concat([pd.Series([0.0]), x], ignore_index=True)
-            end = started.ewm(alpha=alpha, adjust=False).mean().iloc[-1]
-            out = pdf[part].head(1).copy()
-            return out.assign(first_x=x.iloc[0], offset=end, decay=(1 - alpha) ** len(x))
-
-        def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(CHUNK)
-            starts, y = [], None
-            for first_x, offset, decay in zip(pdf["first_x"], pdf["offset"], pdf["decay"]):
-                starts.append(y)
-                y = offset + decay * (first_x if y is None else y)
-            return pdf[part].assign(y_before=pd.Series(starts, index=pdf.index, dtype="float64"))
-
-        def evaluate(chunk: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-            chunk = chunk.sort_values("ts")
-            x = chunk["x"]
-            y_before = start["y_before"].iloc[0]
-            if pd.notna(y_before):
-                x = pd.concat([pd.Series([y_before]), x])
-            y = x.ewm(alpha=alpha, adjust=False).mean()
-            return chunk[[*keys, "ts"]].assign(value=y.to_numpy()[-len(chunk):])
-
-        maps = rows.groupBy(*part).applyInPandas(
-            chunk_map, f"{key_ddl}, first_x double, offset double, decay double"
+        plain = _price(bars, keys, column).withColumn("x", F.nanvl("x", F.lit(None).cast("double")))
+        counted = with_running(plain, keys, "ts", "x", "_total", "_seen")
+        place = F.greatest(F.col("_seen") - 1, F.lit(0))
+        rows = counted.select(
+            *keys, "ts", "x", "_seen", F.floor(place / size).alias(BLOCK), (place % size).cast("double").alias("_k")
+        )
+        share = F.when(F.col("_seen") == 1, F.col("x")).otherwise(alpha * F.col("x"))
+        inside = Window.partitionBy(*keys, BLOCK).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+        summed = rows.withColumn("_own", F.sum(share * F.pow(F.lit(decay), -F.col("_k"))).over(inside)).withColumn(
+            "_own", F.col("_own") * F.pow(F.lit(decay), F.col("_k"))
         )
-        starts = maps.groupBy(*keys).applyInPandas(scan, f"{key_ddl}, y_before double")
-        out_ddl = ", ".join(f"`{k}` {types[k]}" for k in keys)
-        return (
-            rows.groupBy(*part)
-            .cogroup(starts.groupBy(*part))
-            .applyInPandas(evaluate, f"{out_ddl}, ts timestamp_ntz, value double")
+        over_blocks = Window.partitionBy(*keys).orderBy(BLOCK)
+        ends = summed.groupBy(*keys, BLOCK).agg(F.max_by("_own", "ts").alias("_end"))
+        earlier = F.coalesce(F.lag("_end").over(over_blocks), F.lit(0.0))
+        ends = ends.withColumn("_end", F.col("_end") + decay**size * earlier)
+        starts = ends.select(*keys, BLOCK, F.coalesce(F.lag("_end").over(over_blocks), F.lit(0.0)).alias("_start"))
+        return summed.join(starts, [*keys, BLOCK], "left").select(
+            *keys, "ts", (F.col("_own") + F.col("_start") * F.pow(F.lit(decay), F.col("_k") + 1)).alias("value")
         )
 
     return feature
@@ -180,5 +175,3 @@ def ewm_mean(span: int = 10, column: str = "close") -> Feature:
 def available_at(bars: DataFrame) -> DataFrame:
     """Add the instant at which a bar is fully known: its start plus its timeframe."""
     return bars.withColumn("available_at", F.expr(f"ts + make_dt_interval(0, 0, {MINUTES_SQL})"))
-
-

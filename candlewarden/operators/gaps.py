@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import with_previous
@@ -75,20 +75,24 @@ def largest_gaps(gaps: DataFrame, n: int = 10) -> DataFrame:
     return gaps.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
+def frequency_counts() -> list[Column]:
+    """Aggregates over steps: rows, regular steps, steps too short, gaps and missing bars."""
+    longer = f"delta_us > {STEP}"
+    kind = f"CASE WHEN {longer} THEN {kind_sql('prev_ts', 'ts')} END"
+    return [
+        F.expr(sql).alias(name)
+        for name, sql in {
+            "rows": "count(1)",
+            "exact_step": f"count_if(delta_us = {STEP})",
+            "sub_step": f"count_if(delta_us < {STEP})",
+            "gap_count": f"count_if({longer})",
+            **{f"gaps_{k}": f"count_if(({kind}) = '{k}')" for k in GAP_KINDS},
+            "missing_bars_total": f"sum(CASE WHEN {longer} THEN {MISSING} ELSE 0 END)",
+            "missing_bars_non_weekend": f"coalesce(sum(CASE WHEN ({kind}) <> 'weekend' THEN {MISSING} END), 0L)",
+        }.items()
+    ]
+
+
 def frequency(linked: DataFrame) -> DataFrame:
-    """Per series: rows, regular steps, steps too short, gaps and missing bars."""
-    judged = linked.selectExpr(
-        "*",
-        f"{STEP} AS _step",
-        f"CASE WHEN delta_us > {STEP} THEN {kind_sql('prev_ts', 'ts')} END AS _kind",
-        f"CASE WHEN delta_us > {STEP} THEN {MISSING} ELSE 0 END AS _missing",
-    )
-    return judged.groupBy(*SERIES).agg(
-        F.expr("count(1) AS rows"),
-        F.expr("count_if(delta_us = _step) AS exact_step"),
-        F.expr("count_if(delta_us < _step) AS sub_step"),
-        F.expr("count_if(delta_us > _step) AS gap_count"),
-        *[F.expr(f"count_if(_kind = '{k}') AS gaps_{k}") for k in GAP_KINDS],
-        F.expr("sum(_missing) AS missing_bars_total"),
-        F.expr("coalesce(sum(CASE WHEN _kind <> 'weekend' THEN _missing END), 0L) AS missing_bars_non_weekend"),
-    )
+    """The frequency counts of every series."""
+    return linked.groupBy(*SERIES).agg(*frequency_counts())

@@ -197,10 +197,7 @@ def check_frequency(bars):
 
 
 def check_examples(bars):
-    out = checks.examples(bars).select(
-        *SERIES, "check_name", "rank", *CANONICAL, "prev_close", "jump"
-    )
-    return rounded(out, ["jump"])
+    return checks.examples(bars).select(*SERIES, "check_name", "rank", *CANONICAL, "prev_close", "jump")
 
 
 def quality_report(bars):
@@ -233,14 +230,13 @@ def compare(bars):
     out = crosstf.compare(bars)
     return rounded(
         out,
-        [*[f"{c}_{q}" for c in PRICES for q in ("p50", "p99", "max")], "tick_volume_p99", "price_mismatch_fraction"],
+        [*[f"{c}_{q}" for c in PRICES for q in ("p50", "p99")], "tick_volume_p99", "price_mismatch_fraction"],
     )
 
 
 def compare_m15_h1(bars):
     pair = [("M15", "H1")]
-    matched = crosstf.matched(bars, pair)
-    return rounded(matched, [f"{c}_diff" for c in PRICES])
+    return crosstf.matched(bars, pair)
 
 
 def cross_tf_no_overlap(bars):
@@ -349,14 +345,20 @@ LEAKS = {
     "centered": features.centred_mean(5),
     "zscore": features.zscore(),
     "label": features.future_label(3),
+    "shortened": features.known_ahead(1),
 }
 # sums of all rows come out of a grouped aggregate or a chunk scan, whose last bits may differ
 TOLERANCE = {"zscore": 1e-9, "ewm10": 1e-9}
 
 
+# quotients of two stored prices: both engines take the same steps
+EXACT = {"pct_change"}
+
+
 def _feature(name: str) -> Query:
     def make(bars):
-        return rounded(FEATURES[name](bars, SERIES), ["value"])
+        out = FEATURES[name](bars, SERIES)
+        return out if name in EXACT else rounded(out, ["value"])
 
     return over_stored(b.bars, make)
 
@@ -372,6 +374,17 @@ def _causality(name: str) -> Query:
     return over_stored(b.bars, make)
 
 
+def causality_verdicts(bars):
+    """Which of three features are causal in which series."""
+    verdicts = None
+    for name in ("pct_change", "lead", "shortened"):
+        compared = causality.compare_prefixes(bars, {**FEATURES, **LEAKS}[name])
+        judged = compared.groupBy(*SERIES).agg(F.expr("bool_and(differing = 0 AND one_sided = 0)").alias("causal"))
+        judged = judged.select(F.lit(name).alias("feature"), *SERIES, "causal")
+        verdicts = judged if verdicts is None else verdicts.unionByName(judged)
+    return verdicts
+
+
 def declared_vs_actual(events):
     bars = b.bars(events)
     return profiles.declared_vs_actual(parse.file_identity(b.files(bars)), coverage.coverage(bars))
@@ -447,6 +460,7 @@ QUERIES: dict[str, Query] = {
     # features and causality
     **{f"feat_{name}": _feature(name) for name in FEATURES},
     **{f"causality_{name}": _causality(name) for name in [*FEATURES, *LEAKS]},
+    "causality_verdicts": over_stored(b.bars, causality_verdicts),
     "available_at": over_events(lambda e: features.available_at(b.bars(e))),
     # documented analyses
     "spread_by_year": over_stored(b.bars, spread_by_year),

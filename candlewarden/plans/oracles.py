@@ -277,7 +277,7 @@ def examples_sql() -> str:
     }
     parts = []
     for name, (cond, n) in flags.items():
-        extra = f"prev_close, {near('abs(open - prev_close)')} AS jump" if name == "price_jumps" else "NULL::DOUBLE AS prev_close, NULL::DOUBLE AS jump"
+        extra = "prev_close, abs(open - prev_close) AS jump" if name == "price_jumps" else "NULL::DOUBLE AS prev_close, NULL::DOUBLE AS jump"
         parts.append(
             f"""SELECT symbol, timeframe, '{name}' AS check_name,
             row_number() OVER (PARTITION BY symbol, timeframe ORDER BY ts)::INTEGER AS rank,
@@ -315,7 +315,7 @@ def compare_sql(table_cte: str, table: str) -> str:
 counted AS (SELECT symbol, pair, count(*) AS compared, min(ts) AS overlap_start, max(ts) AS overlap_end,
   {", ".join(f"count(*) FILTER ({c}_diff > 1e-9) AS {c}_mismatches" for c in PRICES)},
   count(*) FILTER (tick_volume_diff > 0) AS tick_volume_mismatches,
-  {", ".join(f"{near(f'quantile_cont({c}_diff, 0.5)')} AS {c}_p50, {near(f'quantile_cont({c}_diff, 0.99)')} AS {c}_p99, {near(f'max({c}_diff)')} AS {c}_max" for c in PRICES)},
+  {", ".join(f"{near(f'quantile_cont({c}_diff, 0.5)')} AS {c}_p50, {near(f'quantile_cont({c}_diff, 0.99)')} AS {c}_p99, max({c}_diff) AS {c}_max" for c in PRICES)},
   {near('quantile_cont(tick_volume_diff, 0.99)')} AS tick_volume_p99
   FROM matched GROUP BY symbol, pair),
 complete AS (SELECT symbol, pair, count(*) AS complete_buckets FROM buckets GROUP BY symbol, pair),
@@ -363,6 +363,8 @@ def feature_sql(name: str, table: str, keys: str) -> str:
         "zscore": f"(close - avg(close) OVER (PARTITION BY {keys})) / nullif(stddev_samp(close) OVER (PARTITION BY {keys}), 0)",
         "label": f"CASE WHEN lead(close, 3) OVER ({w}) > close THEN 1.0 ELSE 0.0 END",
     }
+    if name == "shortened":
+        return f"SELECT {keys}, ts, lead(close) OVER ({w}) AS value FROM {table} QUALIFY value IS NOT NULL"
     if name in simple:
         return f"SELECT {keys}, ts, {simple[name]} AS value FROM {table}"
     join = " AND ".join(f"n.{k.strip()} = e.{k.strip()}" for k in keys.split(","))
@@ -384,11 +386,12 @@ cuts AS (SELECT DISTINCT symbol, timeframe, rn AS cut, ts AS cut_ts FROM sized
 pieces AS (SELECT b.*, c.cut FROM bars b JOIN cuts c ON b.symbol = c.symbol AND b.timeframe = c.timeframe AND b.ts <= c.cut_ts),
 whole AS (SELECT * FROM {"(" + feature_sql(name, "bars", "symbol, timeframe") + ")"}),
 part AS (SELECT * FROM {"(" + feature_sql(name, "pieces", "symbol, timeframe, cut") + ")"}),
-judged AS (SELECT p.symbol, p.timeframe, p.cut, p.ts,
+whole_cut AS (SELECT w.*, c.cut FROM whole w JOIN cuts c ON w.symbol = c.symbol AND w.timeframe = c.timeframe AND w.ts <= c.cut_ts),
+judged AS (SELECT symbol, timeframe, cut, ts, p.symbol IS NOT NULL AND w.symbol IS NOT NULL AS present,
    NOT (p.value IS NOT DISTINCT FROM w.value OR coalesce(abs(p.value - w.value) <= 1e-9, false)) AS differs
-   FROM part p JOIN whole w ON p.symbol = w.symbol AND p.timeframe = w.timeframe AND p.ts = w.ts)
-SELECT c.symbol, c.timeframe, c.cut, c.cut_ts, count(j.ts) AS compared, count(*) FILTER (j.differs) AS differing,
-   0::BIGINT AS one_sided, min(j.ts) FILTER (j.differs) AS first_bad_ts
+   FROM part p FULL JOIN whole_cut w USING (symbol, timeframe, cut, ts))
+SELECT c.symbol, c.timeframe, c.cut, c.cut_ts, count(*) FILTER (j.present) AS compared, count(*) FILTER (j.present AND j.differs) AS differing,
+   count(*) FILTER (NOT j.present) AS one_sided, min(j.ts) FILTER (j.present AND j.differs) AS first_bad_ts
 FROM cuts c LEFT JOIN judged j ON j.symbol = c.symbol AND j.timeframe = c.timeframe AND j.cut = c.cut
 GROUP BY c.symbol, c.timeframe, c.cut, c.cut_ts"""
 
@@ -478,7 +481,7 @@ ORACLES: dict[str, str] = {
         max(high) AS high, min(low) AS low, last(close ORDER BY ts) AS close, sum(tick_volume)::BIGINT AS tick_volume, sum(volume)::BIGINT AS volume
         FROM bars b WHERE timeframe = 'M15' GROUP BY symbol, time_bucket(INTERVAL 60 MINUTE, b.ts) HAVING count(*) = 4""",
     "cross_tf_compare": f"""WITH {CHANGED}, {pairs_cte('changed')} SELECT symbol, pair, ts,
-        {", ".join(rounded(*[f"{c}_diff" for c in PRICES]))}, tick_volume_diff FROM matched WHERE pair = 'M15->H1'""",
+        {", ".join(f"{c}_diff" for c in PRICES)}, tick_volume_diff FROM matched WHERE pair = 'M15->H1'""",
     "cross_tf_all": compare_sql(CHANGED, "changed"),
     "cross_tf_no_overlap": f"""SELECT symbol, pair, complete_buckets, compared, status, note FROM (
         {compare_sql(BARS + ", moved AS (SELECT * REPLACE (CASE WHEN timeframe = 'H1' THEN ts + INTERVAL 365 DAY ELSE ts END AS ts) FROM bars)", "moved")})
@@ -492,13 +495,18 @@ ORACLES: dict[str, str] = {
         SELECT *, start_ts <= end_ts AS valid,
         CASE WHEN start_ts <= end_ts THEN (epoch_us(end_ts) - epoch_us(start_ts)) / 86400000000.0::DOUBLE ELSE 0.0 END AS span_days FROM common""",
     **{
-        f"feat_{n}": f"WITH {BARS} SELECT symbol, timeframe, ts, {near('value')} AS value FROM ({feature_sql(n, 'bars', 'symbol, timeframe')})"
+        f"feat_{n}": f"WITH {BARS} SELECT symbol, timeframe, ts, {"value" if n == "pct_change" else near('value') + ' AS value'} FROM ({feature_sql(n, 'bars', 'symbol, timeframe')})"
         for n in ("rolling5", "pct_change", "ewm10", "expanding")
     },
     **{
         f"causality_{n}": causality_sql(n)
-        for n in ("rolling5", "pct_change", "ewm10", "expanding", "lead", "centered", "zscore", "label")
+        for n in ("rolling5", "pct_change", "ewm10", "expanding", "lead", "centered", "zscore", "label", "shortened")
     },
+    "causality_verdicts": " UNION ALL ".join(
+        f"SELECT '{n}' AS feature, symbol, timeframe, bool_and(differing = 0 AND one_sided = 0) AS causal "
+        f"FROM ({causality_sql(n)}) GROUP BY symbol, timeframe"
+        for n in ("pct_change", "lead", "shortened")
+    ),
     "available_at": f"""WITH {BARS} SELECT symbol, timeframe, ts, {VALUES}, ts + to_minutes(minutes) AS available_at
         FROM bars JOIN frames USING (timeframe)""",
     "spread_by_year": f"""WITH {BARS} SELECT symbol, timeframe, year(ts)::INTEGER AS year, count(*) AS rows, count(*) FILTER (spread = 0) AS zero_spreads,
