@@ -1,15 +1,19 @@
-"""Main text of web pages: page structure, and a suffix array per host for what structure leaves open.
+"""Main text of web pages: page structure, and a suffix array per host over whole page streams.
 
-A page falls into blocks of text. Those inside an article or main element are its main text, except
-parts whose element or class says otherwise (menus, adverts, comments, ...). All text outside goes, as a
-stream of tokens, to its host. There the streams of the pages are concatenated and a suffix array with
-common-prefix lengths finds every run of at least ``RUN`` tokens that also occurs on another page; the
-tokens it covers are boilerplate. Pages with an article only lend their surroundings as evidence; a page
-without one gets the runs of its stream that are left, unless their element is a menu or the like.
+A page falls into blocks of text, and structure says where each stands: inside an article or main
+element or around it, and whether its element or class marks it as a menu, advert, comments and so on.
+Marked blocks are never main text. What the others are, the host decides: the token streams of its pages
+are concatenated, and a suffix array with common-prefix lengths finds every run of at least ``RUN``
+tokens that distinct pages have. Two rules remove what the runs cover:
+
+* Outside main elements (pages without one have only such text) tokens go that lie in a run which
+  another page has outside its main element too; the unique runs stay.
+* Inside main elements a run counts only if it also frames other pages: at least two, and no fewer than
+  those that have it inside, have it around their main element and not in it. A block that such runs
+  cover wholly goes, unless it is a heading. Passages that only articles share are text of theirs.
 
 A host may hold any share of the pages: its pages are dealt into groups by size, counted beforehand,
-so that a group has about ``GROUP`` characters of html. A page's stream stays whole. Inside an article
-nothing is removed for being repeated: passages that pages share are part of their articles.
+so that a group has about ``GROUP`` characters of html. A page's stream stays whole.
 """
 
 from __future__ import annotations
@@ -28,11 +32,15 @@ from candlewarden.llm.common import materialise
 RUN = 8
 GROUP = 4_000_000
 
+# where a block stands: around the main element, around it and marked, inside it, inside it as a heading
+AROUND, MARKED_OUT, INSIDE, HEADING = range(4)
+
 # Element names of HTML by their part in a page.
 HIDDEN = frozenset("script style noscript template svg math iframe object canvas select textarea".split())
 RAW = frozenset("script style textarea title".split())
 ASIDE = frozenset("nav aside footer form dialog menu button".split())
 MAIN = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img".split()
@@ -40,7 +48,7 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Words in a class, id or role that mark what is not main text.
 MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|"
+    r"(?:^|[\s_-])(?<!has-)(?<!with-)(?<!no-)(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|"
     r"footer|masthead|comments?|respond|replies|cookies?|consent|notice|notification|alert|popup|modal|"
     r"newsletter|subscribe|share|sharing|social|related|widget|login|signup|search|complementary|contentinfo)(?:$|[\s_-])",
     re.IGNORECASE,
@@ -50,25 +58,26 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
 
-def blocks(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, inside a main element, in a part that is not main text) for each block of a page, in page order."""
-    found: list[tuple[str, bool, bool]] = []
+def blocks(page: str) -> list[tuple[str, int]]:
+    """(text, where it stands) for each block of a page, in page order; marked parts stand outside everywhere."""
+    found: list[tuple[str, int]] = []
     text: list[str] = []
     # open elements: name, whether it is main, whether it is hidden or set aside
     stack: list[tuple[str, bool, int]] = []
-    main = aside = hidden = 0
+    main = aside = hidden = heads = 0
 
     def end_block() -> None:
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if whole:
-                found.append((whole, main > 0, aside > 0))
+                found.append((whole, MARKED_OUT if aside else AROUND if not main else HEADING if heads else INSIDE))
 
     def close(depth: int) -> None:
-        nonlocal main, aside, hidden
+        nonlocal main, aside, hidden, heads
         while len(stack) > depth:
-            _, was_main, was = stack.pop()
+            name, was_main, was = stack.pop()
+            heads -= name in HEADINGS
             main -= was_main
             aside -= was == 1
             hidden -= was == 2
@@ -119,6 +128,7 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
         if not attributes.rstrip().endswith("/"):
             stack.append((name, name in MAIN, was))
             main += name in MAIN
+            heads += name in HEADINGS
             aside += was == 1
             hidden += was == 2
     end_block()
@@ -130,9 +140,10 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def suffix_array(codes: np.ndarray) -> np.ndarray:
-    """Suffixes of ``codes`` in order, by doubling the compared length."""
+def suffix_array(codes: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Suffixes of ``codes`` in order, by doubling the compared length, at least up to ``depth`` (None: in full)."""
     n = len(codes)
+    depth = n if depth is None else min(depth, n)
     rank = np.unique(codes, return_inverse=True)[1].astype(np.int64)
     step = 1
     while True:
@@ -144,7 +155,7 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
         new[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
         rank = new
         step *= 2
-        if rank.max(initial=0) == n - 1 or step >= n:
+        if rank.max(initial=0) == n - 1 or step >= depth:
             return order
 
 
@@ -163,91 +174,116 @@ def common_prefixes(codes: np.ndarray, order: np.ndarray, most: int) -> np.ndarr
     return length
 
 
-def repeated(streams: list[list[int]], run: int = RUN) -> list[np.ndarray]:
-    """For each page's token numbers: which tokens lie in a run of ``run`` that another page has too."""
-    sizes = [len(s) for s in streams]
-    if not sum(sizes):
+def _distinct(group: np.ndarray, page: np.ndarray, n_pages: int) -> np.ndarray:
+    """Distinct (group, page) pairs, each as one number."""
+    return np.unique(group * n_pages + page)
+
+
+def repeated(
+    streams: list[list[int]], run: int = RUN, pages: list[int] | None = None, inside: list[bool] | None = None
+) -> list[np.ndarray]:
+    """For each stream of token numbers: which tokens lie in a run of ``run`` that makes them boilerplate.
+
+    ``pages`` tells the page of a stream (one each by default), ``inside`` whether it is from a main
+    element (none by default); see the rules at the top.
+    """
+    sizes = np.array([len(s) for s in streams], np.int64)
+    if not sizes.sum():
         return [np.zeros(n, bool) for n in sizes]
-    ends = -np.arange(1, len(streams) + 1)  # a sign of its own after each page: no run crosses pages
+    owners = np.arange(len(streams)) if pages is None else np.array(pages, np.int64)
+    ends = -np.arange(1, len(streams) + 1)  # a sign of its own after each stream: no run crosses streams
     codes = np.concatenate([np.r_[np.array(s, np.int64), e] for s, e in zip(streams, ends, strict=True)])
-    page = np.repeat(np.arange(len(streams)), np.array(sizes) + 1)
-    order = suffix_array(codes)
+    page = np.repeat(owners, sizes + 1)
+    main = np.repeat(np.zeros(len(streams), bool) if inside is None else np.array(inside, bool), sizes + 1)
+    order = suffix_array(codes, run)
     same_run = common_prefixes(codes, order, run) >= run
-    # suffixes that share ``run`` tokens are one group in suffix order; it counts if it spans two pages
+    # suffixes that share ``run`` tokens are one group in suffix order
     group = np.concatenate([[0], np.cumsum(~same_run)])
-    pages = page[order]
-    first, last = np.full(group[-1] + 1, len(streams)), np.full(group[-1] + 1, -1)
-    np.minimum.at(first, group, pages)
-    np.maximum.at(last, group, pages)
-    hit = order[(last > first)[group]]
+    several = np.bincount(group) > 1
+    at = np.flatnonzero(several[group])  # places in suffix order; a run that comes once is no evidence
+    group, order = np.unique(group[at], return_inverse=True)[1], order[at]
+    n_groups, n_pages = int(group.max(initial=-1)) + 1, int(owners.max(initial=0)) + 1
+    around = _distinct(group[~main[order]], page[order][~main[order]], n_pages)
+    within = _distinct(group[main[order]], page[order][main[order]], n_pages)
+    n_around = np.bincount(around // n_pages, minlength=n_groups)
+    n_within = np.bincount(within // n_pages, minlength=n_groups)
+    n_framing = np.bincount(np.setdiff1d(around, within, assume_unique=True) // n_pages, minlength=n_groups)
+    counts = np.where(main[order], (n_framing >= np.maximum(2, n_within))[group], (n_around > 1)[group])
+    hit = order[counts]
     change = np.zeros(len(codes) + 1, np.int64)
     np.add.at(change, hit, 1)
     np.add.at(change, np.minimum(hit + run, len(codes)), -1)
     covered = np.cumsum(change)[:-1] > 0
-    starts = np.concatenate([[0], np.cumsum(np.array(sizes) + 1)])
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     return [covered[a : a + n] for a, n in zip(starts, sizes, strict=False)]
 
 
-PARSED = "page_id bigint, url string, host string, part bigint, main boolean, text string, around array<string>, free array<boolean>"
+PARSED = "page_id bigint, url string, host string, part bigint, blocks array<string>, stand array<tinyint>"
 FOUND = "page_id bigint, url string, text string, n_boilerplate bigint"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page: whether it has a main element, that element's text, and the blocks around it.
-
-    ``free`` tells which of these blocks are in no menu, advert or the like.
-    """
+    """The blocks of each page, and where they stand."""
     for batch in batches:
-        out: list[list] = [[] for _ in range(4)]
-        for page in batch.column("html").to_pylist():
-            found = blocks(page or "")
-            core = [t for t, main, aside in found if main and not aside]
-            around = [(t, not aside) for t, main, aside in found if not main]
-            for column, value in zip(
-                out, (bool(core), " ".join(core), [t for t, _ in around], [f for _, f in around]), strict=True
-            ):
-                column.append(value)
-        mains, texts, arounds, frees = out
+        found = [blocks(page or "") for page in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
                 *(batch.column(c) for c in ("page_id", "url", "host", "part")),
-                pa.array(mains, pa.bool_()),
-                pa.array(texts, pa.string()),
-                pa.array(arounds, pa.list_(pa.string())),
-                pa.array(frees, pa.list_(pa.bool_())),
+                pa.array([[text for text, _ in page] for page in found], pa.list_(pa.string())),
+                pa.array([[stand for _, stand in page] for page in found], pa.list_(pa.int8())),
             ],
-            ["page_id", "url", "host", "part", "main", "text", "around", "free"],
+            ["page_id", "url", "host", "part", "blocks", "stand"],
         )
 
 
 def _unique_runs(table: pa.Table) -> pa.Table:
-    """The text of each page of a group: its main element's, or what is left of its stream."""
+    """The text of each page of a group after its boilerplate is removed."""
     number: dict[str, int] = {}
-    tokens = [[w.split() for w in page] for page in table["around"].to_pylist()]
-    covered = repeated([[number.setdefault(w, len(number)) for block in page for w in block] for page in tokens])
-    texts = table["text"].to_pylist()
-    for k, (page, free, main) in enumerate(zip(tokens, table["free"].to_pylist(), table["main"].to_pylist(), strict=True)):
-        if main:
-            continue
-        left, at = [], 0
-        for block, own in zip(page, free, strict=True):
-            if own:
-                left += [w for w, gone in zip(block, covered[k][at : at + len(block)].tolist(), strict=True) if not gone]
-            at += len(block)
-        texts[k] = " ".join(left)
+    streams: list[list[int]] = []
+    pages: list[int] = []
+    inside: list[bool] = []
+    # per page, its blocks: text, where it stands, its stream and the place in it
+    placed: list[list[tuple[str, int, int, int, int]]] = []
+    for k, (texts, stands) in enumerate(zip(table["blocks"].to_pylist(), table["stand"].to_pylist(), strict=True)):
+        own: list[tuple[str, int, int, int, int]] = []
+        side = None
+        for text, stand in zip(texts, stands, strict=True):
+            if side != (stand >= INSIDE):
+                side = stand >= INSIDE
+                streams.append([])
+                pages.append(k)
+                inside.append(side)
+            stream = streams[-1]
+            start = len(stream)
+            stream.extend([number.setdefault(word, len(number)) for word in text.split()])
+            own.append((text, stand, len(streams) - 1, start, len(stream)))
+        placed.append(own)
+    covered = repeated(streams, RUN, pages, inside)
+    found, gone = [], []
+    for own in placed:
+        has_main = any(stand >= INSIDE for _, stand, *_ in own)
+        left, n = [], 0
+        for text, stand, stream, start, end in own:
+            removed = covered[stream][start:end]
+            n += int(removed.sum())
+            if stand == HEADING or (stand == INSIDE and not removed.all()):
+                left.append(text)
+            elif stand == AROUND and not has_main:
+                left += [word for word, out in zip(text.split(), removed.tolist(), strict=True) if not out]
+        found.append(" ".join(left))
+        gone.append(n)
     return pa.table(
         {
             "page_id": table["page_id"],
             "url": table["url"],
-            "text": pa.array(texts, pa.string()),
-            "n_boilerplate": pa.array([int(c.sum()) for c in covered], pa.int64()),
+            "text": pa.array(found, pa.string()),
+            "n_boilerplate": pa.array(gone, pa.int64()),
         }
     )
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text (empty if none), n_chars, n_boilerplate (tokens around the main
-    element that other pages of the host repeat).
+    """One row per page: page_id, url, text (empty if none), n_chars, n_boilerplate (tokens in repeated runs).
 
     Null html is an empty page; a null or odd URL belongs to the host "". Repeated rows are pages of their
     own, so a page that occurs twice has no unique runs outside its main element. Other columns are not read.

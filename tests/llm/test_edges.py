@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -194,6 +195,45 @@ def test_repeated_runs_against_brute_force(seed):
         assert found[k].tolist() == expected.tolist()
 
 
+def test_runs_that_frame_other_pages_leave_articles():
+    notice = "please read our terms before you write to the editors of this paper"
+    passage = "a passage that two articles of this host share is part of both of them"
+    heading = "eight or more words that also stand in every list of links"
+
+    def page(body, around=""):
+        return f"<body><div>{around}</div><article>{body}</article></body>"
+
+    html = [
+        page(f"<h1>{heading}</h1><p>first story alpha</p><p>{passage}</p><p>{notice}</p>"),
+        page(f"<p>second story beta</p><p>{passage}</p><p>told again: {notice}</p>"),
+        page("<p>third story gamma</p>", f"{notice} {heading}"),
+        page("<p>fourth story delta</p>", f"{heading} {notice}"),
+    ]
+    table = pa.table(
+        {
+            "page_id": [1, 2, 3, 4],
+            "url": ["u"] * 4,
+            "blocks": [[t for t, _ in html_text.blocks(h)] for h in html],
+            "stand": [[w for _, w in html_text.blocks(h)] for h in html],
+        }
+    )
+    assert html_text._unique_runs(table)["text"].to_pylist() == [
+        f"{heading} first story alpha {passage}",  # the notice frames two other pages
+        f"second story beta {passage} told again: {notice}",  # not covered wholly
+        "third story gamma",
+        "fourth story delta",
+    ]
+
+
+@pytest.mark.parametrize("depth", [1, 3, 8])
+def test_suffix_order_to_a_depth(depth):
+    codes = np.random.default_rng(depth).integers(0, 3, 200)
+    order = html_text.suffix_array(codes, depth)
+    assert sorted(order.tolist()) == list(range(200))
+    heads = [codes[i : i + depth].tolist() for i in order]
+    assert heads == sorted(heads)
+
+
 def test_suffix_order():
     codes = np.array([3, 1, 3, 1, 3, 0, 1])
     order = html_text.suffix_array(codes).tolist()
