@@ -14,6 +14,7 @@ from __future__ import annotations
 import bisect
 import functools
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,23 +38,35 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens big
 _RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+|[!-&(-/:-@\[-`{-~]+")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Token ids of whole texts, word by word.
 
     The tokenizer drops white space and merges only inside words, so a text's ids are those of its
     words in turn; it also never merges letters with punctuation, so a word made of plain runs of both
     is taken apart further. A tokenizer that is not like that is refused.
+
+    A lower-case run is normal already and one pre-token, so only the merges of the vocabulary are left
+    to do, over the signs by which the vocabulary writes the run's bytes.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        # a lower-case run is normal already and one pre-token, so only the merges are left to do
-        self.merges = Tokenizer.from_file(path)
-        self.merges.normalizer = None
-        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merges = self.tokenizer.model
+        by_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {
+            byte: sign
+            for c in map(chr, range(0x250))
+            for byte, sign in zip(c.encode(), by_bytes.pre_tokenize_str(c)[0][0], strict=True)
+        }
         self.memo = Memo(self._ids)
-        self.runs = Memo(lambda run: np.array(self.merges.encode(run, add_special_tokens=False).ids, "<u4").tobytes(), 400_000)
-        probe = "One two,\tTHREE!!\n\n|x|  four's Été%%% 5 (ab)-c"
+        self.runs = Memo(self._run_ids, 400_000)
+        if any("<|" not in t.content for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("this tokenizer has added tokens that may be plain runs")
+        probe = "One two,\tTHREE!!\n\n|x|  four's Été%%% 5 (ab)-c ÀÿžŒ"
         whole = self._encode(probe)
         words = [i for w in probe.split() for i in self._encode(w)]
         if whole != words or whole != np.frombuffer(self.of(probe.encode()), "<u4").tolist():
@@ -62,15 +75,25 @@ class WordIds:
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _run_ids(self, run: str) -> bytes:
+        signs = run.encode().decode("latin-1").translate(self.signs)
+        return _packed([t.id for t in self.merges.tokenize(signs)])
+
     def _ids(self, word: bytes) -> bytes:
         plain = word.decode()
+        if _RUN.fullmatch(plain):
+            return self.runs[plain.lower()]
         runs = _RUN.findall(plain)
         if sum(map(len, runs)) == len(plain) and "<|" not in plain:
-            return b"".join(self.runs[run.lower()] for run in runs)
-        return np.array(self._encode(plain), "<u4").tobytes()
+            return b"".join([self.runs[run.lower()] for run in runs])
+        return _packed(self._encode(plain))
 
     def of(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        # Lowering A-Z first halves the distinct words. It changes no ids, except for the added tokens' signs
+        # and before combining marks (U+0300 to U+036F), some of which compose with small letters only.
+        if not any(sign in text for sign in (b"<|", b"\xcc", b"\xcd")):
+            text = text.lower()
         return b"".join(map(self.memo.__getitem__, text.split()))
 
 

@@ -234,6 +234,18 @@ def test_suffix_order_to_a_depth(depth):
     assert heads == sorted(heads)
 
 
+def test_word_ids_are_the_tokenizers():
+    """Odd capitals, combining marks, the signs of added tokens and random runs, against the whole tokenizer."""
+    ids = packing.WordIds(WORDS)
+    rng = random.Random(5)
+    signs = [chr(c) for c in range(33, 0x250) if not chr(c).isspace()] + ["\u0308", "\u0307", "\u0331", "\u212a", "\u1e9e"] * 8
+    texts = ["T\u0308 J\u030c H\u0331 I\u0307 \u0130 \u212a", "<|ENDOFTEXT|> <|endoftext|> a", "ABC abc Abc's X<|Y", "", " \n"]
+    for _ in range(1000):
+        texts.append(" ".join("".join(rng.choice(signs[: rng.choice((94, len(signs)))]) for _ in range(rng.randrange(1, 9))) for _ in range(20)))
+    for text in texts:
+        assert np.frombuffer(ids.of(text.encode()), "<u4").tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_suffix_order():
     codes = np.array([3, 1, 3, 1, 3, 0, 1])
     order = html_text.suffix_array(codes).tolist()
