@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewarden.functions.chunks import join_series_values
-from candlewarden.schema import COUNTS, FILE_NAME_PATTERN, PRICES, RAW_COLUMNS, SERIES, RawSchemaError
+from candlewarden.schema import COUNTS, FILE_NAME_PATTERN, PRICES, RAW_COLUMNS, SERIES, ExportLayoutError
 
 BOM = "\ufeff"
 TIMESTAMP_PATTERN = r"^\d{4}\.\d{1,2}\.(?:\d{1,2}| [1-9]) \d{1,2}:\d{1,2}:\d{1,2}$"
@@ -72,7 +72,7 @@ def header_audit(lines: DataFrame) -> DataFrame:
 
 
 def require_headers(audit: DataFrame) -> None:
-    refuse(audit.where(~F.col("ok")), RawSchemaError, f"a header other than {', '.join(RAW_COLUMNS)}")
+    refuse(audit.where(~F.col("ok")), ExportLayoutError, f"a header other than {', '.join(RAW_COLUMNS)}")
 
 
 def number_sql(text: str) -> str:
@@ -147,7 +147,7 @@ def with_delimiters(lines: DataFrame, audit: DataFrame) -> DataFrame:
 def require_typed(typed: DataFrame) -> None:
     """Refuse files with lines of too many fields or with counts that are not integers."""
     bad = typed.where(F.col("too_many_fields") | F.col("fractional_count")).select("file").distinct()
-    refuse(bad, RawSchemaError, "too many fields in a line or a fractional count")
+    refuse(bad, ExportLayoutError, "too many fields in a line or a fractional count")
 
 
 def with_identity(rows: DataFrame) -> DataFrame:

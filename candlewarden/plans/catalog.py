@@ -226,6 +226,12 @@ def largest_gaps(events):
     return gaps.largest_gaps(gap_table(events))
 
 
+def gap_lengths(events):
+    """The gaps with their length, as the end that start and length give."""
+    longer = gaps.with_delta(gap_table(events)).withColumn("reached", F.col("gap_start") + F.col("delta"))
+    return longer.select(*SERIES, "gap_start", "reached", F.expr("extract(DAY FROM delta)").cast("bigint").alias("days"))
+
+
 def compare(bars):
     out = crosstf.compare(bars)
     return rounded(
@@ -467,6 +473,8 @@ QUERIES: dict[str, Query] = {
     "gap_resume_profile": over_events(lambda e: profiles.gap_resume_profile(gap_table(e))),
     "volume_by_year": over_events(lambda e: profiles.volume_by_year(b.bars(e))),
     "flag_provisional": over_events(lambda e: profiles.flag_provisional(b.bars(e))),
+    "trim_provisional": over_events(lambda e: profiles.trim_provisional(b.bars(e))),
+    "gap_lengths": over_events(gap_lengths),
     "declared_vs_actual": over_events(declared_vs_actual),
     "export_cap_evidence": over_events(export_cap_evidence),
 }

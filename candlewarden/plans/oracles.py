@@ -424,9 +424,13 @@ ORACLES: dict[str, str] = {
         rows_in, dropped_unparseable_timestamp, dropped_nan_ohlc, reordered
         FROM names JOIN digests USING (symbol, timeframe) JOIN covered USING (symbol, timeframe) JOIN log USING (symbol, timeframe)
         JOIN disorder USING (symbol, timeframe)""",
-    "verify_datasets": f"""WITH {BARS}, {digest_cte('bars')}
-        SELECT symbol, timeframe, rows, content_sha256 AS expected_sha256, symbol <> 'ERROR' AS ok,
-        CASE WHEN symbol = 'ERROR' THEN 'content hash mismatch' END AS problem FROM digests""",
+    "verify_datasets": f"""WITH {BARS}, changed AS (SELECT * REPLACE (CASE WHEN symbol = 'ERROR' AND ts = min(ts) OVER (PARTITION BY symbol, timeframe)
+          THEN close + 1 ELSE close END AS close) FROM bars),
+        wanted AS (WITH {digest_cte('bars')} SELECT * FROM digests),
+        found AS (WITH {digest_cte('changed')} SELECT * FROM digests)
+        SELECT symbol, timeframe, f.rows, w.content_sha256 AS expected_sha256, w.content_sha256 = f.content_sha256 AS ok,
+        CASE WHEN w.content_sha256 <> f.content_sha256 THEN 'content hash mismatch' END AS problem
+        FROM wanted w JOIN found f USING (symbol, timeframe)""",
     "source_digest": f"""WITH {LINES}, hashed AS (SELECT file, strlen(value) + 1 AS size, sha256(line_no || '|' || sha256(value)) AS h FROM lines),
         sums AS (SELECT file, sum(size)::BIGINT AS source_size_bytes, count(*) AS n,
           {", ".join(f"sum(('0x' || substr(h, {1 + i * 16}, 8))::BIGINT::HUGEINT * 4294967296 + ('0x' || substr(h, {9 + i * 16}, 8))::BIGINT)::VARCHAR AS lane{i}" for i in range(4))} FROM hashed GROUP BY file)
@@ -516,6 +520,9 @@ ORACLES: dict[str, str] = {
     "volume_by_year": f"""WITH {BARS} SELECT symbol, timeframe, year(ts)::INTEGER AS year, count(*) AS rows, count(*) FILTER (volume <> 0) AS nonzero_rows
         FROM bars GROUP BY symbol, timeframe, year(ts)""",
     "flag_provisional": f"""WITH {BARS} SELECT symbol, timeframe, ts, {VALUES}, ts = max(ts) OVER (PARTITION BY symbol, timeframe) AS provisional FROM bars""",
+    "trim_provisional": f"""WITH {BARS} SELECT symbol, timeframe, ts, {VALUES} FROM bars QUALIFY ts < max(ts) OVER (PARTITION BY symbol, timeframe)""",
+    "gap_lengths": f"""WITH {USER_GAPS} SELECT symbol, timeframe, gap_start, gap_start + to_microseconds(delta_us) AS reached,
+        delta_us // 86400000000 AS days FROM gaps""",
     "declared_vs_actual": f"""WITH {BARS} SELECT symbol, timeframe, date_trunc('day', min(ts))::TIMESTAMP AS declared_start, max(ts) AS declared_end,
         min(ts) AS actual_start, max(ts) AS actual_end, date_trunc('day', min(ts))::TIMESTAMP = min(ts) AS start_matches, true AS end_matches
         FROM bars GROUP BY symbol, timeframe""",

@@ -37,7 +37,7 @@ BAR_SCHEMA = T.StructType(
 )
 
 
-class RawSchemaError(ValueError):
+class ExportLayoutError(ValueError):
     """A raw file does not follow the export layout."""
 
 

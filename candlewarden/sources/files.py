@@ -8,7 +8,7 @@ from pyspark.sql.utils import AnalysisException
 
 from candlewarden.functions.session import materialise
 from candlewarden.operators import parse
-from candlewarden.schema import SERIES, RawSchemaError
+from candlewarden.schema import SERIES, ExportLayoutError
 
 GLOB = "*.csv"
 SPLIT = ["file", "block"]
@@ -22,7 +22,7 @@ def discover(spark: SparkSession, raw_dir: str) -> DataFrame:
     """
     try:
         listing = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(raw_dir)
-        listed = len(listing._jdf.inputFiles())
+        listed = len(listing.inputFiles())
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -34,7 +34,7 @@ def discover(spark: SparkSession, raw_dir: str) -> DataFrame:
     )
     empty = listed - files.count()
     if empty:
-        raise RawSchemaError(f"{empty} empty CSV file(s) in {raw_dir}")
+        raise ExportLayoutError(f"{empty} empty CSV file(s) in {raw_dir}")
     return files
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from candlewarden.functions.session import materialise
 from candlewarden.operators import normalise, parse
 from candlewarden.plans import ingest
-from candlewarden.schema import RawSchemaError
+from candlewarden.schema import ExportLayoutError
 from candlewarden.sources import digest, files, store
 from conftest import HEADER, export_name, text_lines, write_export
 
@@ -38,7 +38,7 @@ def test_unknown_names_and_missing_files_are_refused(spark, tmp_path):
 @pytest.mark.parametrize("content", ["time;price\n09:30;17\n", HEADER.replace("<VOL>\t", "") + "\n", "", "\n\n"])
 def test_wrong_header_is_refused(spark, tmp_path, content):
     (tmp_path / "XAUUSD_H1_202401010000_202401020000.csv").write_text(content)
-    with pytest.raises(RawSchemaError):
+    with pytest.raises(ExportLayoutError):
         files.read_raw(spark, str(tmp_path))
 
 
@@ -63,7 +63,7 @@ def test_marked_file_with_semicolons_and_odd_cells(spark, tmp_path):
 def test_rows_that_refuse_their_file(spark, tmp_path, cells):
     row = "\t".join(["2019.07.08", "09:45:00", *cells[2:]])
     (tmp_path / "COAL_M15_201907080000_201907110000.csv").write_text(f"{HEADER}\n{row}\n")
-    with pytest.raises(RawSchemaError):
+    with pytest.raises(ExportLayoutError):
         files.read_raw(spark, str(tmp_path))
 
 
