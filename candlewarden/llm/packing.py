@@ -29,6 +29,7 @@ CAPACITY = 2048
 END = 1
 POOL = 4096  # pieces that wait in a task; each is shorter than a window
 _FLUSH = 8 << 20
+WORDS, RUNS = 100_000, 150_000  # words and runs whose ids a worker remembers
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -62,8 +63,8 @@ class WordIds:
             for c in map(chr, range(0x250))
             for byte, sign in zip(c.encode(), by_bytes.pre_tokenize_str(c)[0][0], strict=True)
         }
-        self.memo = Memo(self._ids)
-        self.runs = Memo(self._run_ids, 400_000)
+        self.memo = Memo(self._ids, WORDS)
+        self.runs = Memo(self._run_ids, RUNS)
         if any("<|" not in t.content for t in self.tokenizer.get_added_tokens_decoder().values()):
             raise ValueError("this tokenizer has added tokens that may be plain runs")
         probe = "One two,\tTHREE!!\n\n|x|  four's Été%%% 5 (ab)-c ÀÿžŒ"
