@@ -13,7 +13,10 @@ tokens that distinct pages have. Two rules remove what the runs cover:
   cover wholly goes, unless it is a heading. Passages that only articles share are text of theirs.
 
 A host may hold any share of the pages: its pages are dealt into groups by size, counted beforehand,
-so that a group has about ``GROUP`` characters of html. A page's stream stays whole.
+so that a group has about ``GROUP`` characters of html. A page's stream stays whole. The rules count the
+pages of the whole host: the groups of a split host list all their runs with page counts, also those seen
+once, the counts are added up by run, and each group gets back which of its runs the host decided on. So
+the result does not depend on the number of groups. Runs are told apart there by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -179,6 +183,59 @@ def _distinct(group: np.ndarray, page: np.ndarray, n_pages: int) -> np.ndarray:
     return np.unique(group * n_pages + page)
 
 
+class _Streams:
+    """Token streams of a group end to end, each followed by a sign of its own: no run crosses streams.
+
+    ``pages`` tells the page of a stream (one each by default), ``inside`` whether it is from a main
+    element (none by default).
+    """
+
+    def __init__(self, streams: list[list[int]], run: int, pages: list[int] | None = None, inside: list[bool] | None = None):
+        self.run, self.sizes = run, np.array([len(s) for s in streams], np.int64)
+        owners = np.arange(len(streams)) if pages is None else np.array(pages, np.int64)
+        ends = -np.arange(1, len(streams) + 1)
+        self.codes = np.concatenate(
+            [np.empty(0, np.int64), *(np.r_[np.array(s, np.int64), e] for s, e in zip(streams, ends, strict=True))]
+        )
+        self.page = np.repeat(owners, self.sizes + 1)
+        self.main = np.repeat(np.zeros(len(streams), bool) if inside is None else np.array(inside, bool), self.sizes + 1)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes + 1)])
+        self.n_pages = int(owners.max(initial=0)) + 1
+
+    def fits(self) -> np.ndarray:
+        """For each place, whether a whole run starts there."""
+        return np.arange(len(self.codes)) + self.run <= np.repeat(self.starts[1:] - 1, self.sizes + 1)
+
+    def runs(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, number of the run there) for all whole runs that come at least ``least`` times."""
+        order = suffix_array(self.codes, self.run)
+        # suffixes that share ``run`` tokens are one group in suffix order
+        group = np.concatenate([[0], np.cumsum(common_prefixes(self.codes, order, self.run) < self.run)])
+        at = np.flatnonzero((np.bincount(group) >= least)[group] & self.fits()[order])
+        return order[at], np.unique(group[at], return_inverse=True)[1]
+
+    def counts(self, at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each run, the pages that have it around their main element, inside it, and around but not inside."""
+        n_groups, main = int(group.max(initial=-1)) + 1, self.main[at]
+        around = _distinct(group[~main], self.page[at][~main], self.n_pages)
+        within = _distinct(group[main], self.page[at][main], self.n_pages)
+        framing = np.setdiff1d(around, within, assume_unique=True)
+        return tuple(np.bincount(x // self.n_pages, minlength=n_groups) for x in (around, within, framing))
+
+    def covered(self, hit: np.ndarray) -> list[np.ndarray]:
+        """For each stream, which tokens lie in a run that starts at one of the places ``hit``."""
+        change = np.zeros(len(self.codes) + 1, np.int64)
+        np.add.at(change, hit, 1)
+        np.add.at(change, np.minimum(hit + self.run, len(self.codes)), -1)
+        found = np.cumsum(change)[:-1] > 0
+        return [found[a : a + n] for a, n in zip(self.starts, self.sizes, strict=False)]
+
+
+def _decided(n_around: np.ndarray, n_within: np.ndarray, n_framing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which runs count as boilerplate outside main elements, and which inside them."""
+    return n_around > 1, n_framing >= np.maximum(2, n_within)
+
+
 def repeated(
     streams: list[list[int]], run: int = RUN, pages: list[int] | None = None, inside: list[bool] | None = None
 ) -> list[np.ndarray]:
@@ -187,39 +244,19 @@ def repeated(
     ``pages`` tells the page of a stream (one each by default), ``inside`` whether it is from a main
     element (none by default); see the rules at the top.
     """
-    sizes = np.array([len(s) for s in streams], np.int64)
-    if not sizes.sum():
-        return [np.zeros(n, bool) for n in sizes]
-    owners = np.arange(len(streams)) if pages is None else np.array(pages, np.int64)
-    ends = -np.arange(1, len(streams) + 1)  # a sign of its own after each stream: no run crosses streams
-    codes = np.concatenate([np.r_[np.array(s, np.int64), e] for s, e in zip(streams, ends, strict=True)])
-    page = np.repeat(owners, sizes + 1)
-    main = np.repeat(np.zeros(len(streams), bool) if inside is None else np.array(inside, bool), sizes + 1)
-    order = suffix_array(codes, run)
-    same_run = common_prefixes(codes, order, run) >= run
-    # suffixes that share ``run`` tokens are one group in suffix order
-    group = np.concatenate([[0], np.cumsum(~same_run)])
-    several = np.bincount(group) > 1
-    at = np.flatnonzero(several[group])  # places in suffix order; a run that comes once is no evidence
-    group, order = np.unique(group[at], return_inverse=True)[1], order[at]
-    n_groups, n_pages = int(group.max(initial=-1)) + 1, int(owners.max(initial=0)) + 1
-    around = _distinct(group[~main[order]], page[order][~main[order]], n_pages)
-    within = _distinct(group[main[order]], page[order][main[order]], n_pages)
-    n_around = np.bincount(around // n_pages, minlength=n_groups)
-    n_within = np.bincount(within // n_pages, minlength=n_groups)
-    n_framing = np.bincount(np.setdiff1d(around, within, assume_unique=True) // n_pages, minlength=n_groups)
-    counts = np.where(main[order], (n_framing >= np.maximum(2, n_within))[group], (n_around > 1)[group])
-    hit = order[counts]
-    change = np.zeros(len(codes) + 1, np.int64)
-    np.add.at(change, hit, 1)
-    np.add.at(change, np.minimum(hit + run, len(codes)), -1)
-    covered = np.cumsum(change)[:-1] > 0
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
-    return [covered[a : a + n] for a, n in zip(starts, sizes, strict=False)]
-
-
-PARSED = "page_id bigint, url string, host string, part bigint, blocks array<string>, stand array<tinyint>"
+    own = _Streams(streams, run, pages, inside)
+    if not own.sizes.sum():
+        return [np.zeros(n, bool) for n in own.sizes]
+    at, group = own.runs(2)  # a run that comes once is no evidence
+    outside, within = _decided(*own.counts(at, group))
+    return own.covered(at[np.where(own.main[at], within[group], outside[group])])
+
+
+PARSED = "page_id bigint, url string, host string, part bigint, parts bigint, blocks array<string>, stand array<tinyint>"
+EVIDENCE = "host string, bucket bigint, part bigint, runs binary, around binary, within binary, framing binary"
+DECIDED = "host string, part bigint, outside binary, inside binary"
 FOUND = "page_id bigint, url string, text string, n_boilerplate bigint"
+_FACTOR = 0x9E3779B97F4A7C15  # odd; a run's hash is a polynomial in it over the hashes of its words
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,50 +265,125 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [blocks(page or "") for page in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(c) for c in ("page_id", "url", "host", "part")),
+                *(batch.column(c) for c in ("page_id", "url", "host", "part", "parts")),
                 pa.array([[text for text, _ in page] for page in found], pa.list_(pa.string())),
                 pa.array([[stand for _, stand in page] for page in found], pa.list_(pa.int8())),
             ],
-            ["page_id", "url", "host", "part", "blocks", "stand"],
+            ["page_id", "url", "host", "part", "parts", "blocks", "stand"],
         )
 
 
-def _unique_runs(table: pa.Table) -> pa.Table:
-    """The text of each page of a group after its boilerplate is removed."""
-    number: dict[str, int] = {}
-    streams: list[list[int]] = []
-    pages: list[int] = []
-    inside: list[bool] = []
-    # per page, its blocks: text, where it stands, its stream and the place in it
-    placed: list[list[tuple[str, int, int, int, int]]] = []
-    for k, (texts, stands) in enumerate(zip(table["blocks"].to_pylist(), table["stand"].to_pylist(), strict=True)):
-        own: list[tuple[str, int, int, int, int]] = []
-        side = None
-        for text, stand in zip(texts, stands, strict=True):
-            if side != (stand >= INSIDE):
-                side = stand >= INSIDE
-                streams.append([])
-                pages.append(k)
-                inside.append(side)
-            stream = streams[-1]
-            start = len(stream)
-            stream.extend([number.setdefault(word, len(number)) for word in text.split()])
-            own.append((text, stand, len(streams) - 1, start, len(stream)))
-        placed.append(own)
-    covered = repeated(streams, RUN, pages, inside)
-    found, gone = [], []
-    for own in placed:
-        has_main = any(stand >= INSIDE for _, stand, *_ in own)
-        left, n = [], 0
-        for text, stand, stream, start, end in own:
-            removed = covered[stream][start:end]
-            n += int(removed.sum())
-            if stand == HEADING or (stand == INSIDE and not removed.all()):
-                left.append(text)
-            elif stand == AROUND and not has_main:
-                left += [word for word, out in zip(text.split(), removed.tolist(), strict=True) if not out]
-        found.append(" ".join(left))
-        gone.append(n)
+class _Pages:
+    """The pages of a group as token streams."""
+
+    def __init__(self, table: pa.Table):
+        self.number: dict[str, int] = {}
+        self.streams: list[list[int]] = []
+        self.pages: list[int] = []
+        self.inside: list[bool] = []
+        # per page, its blocks: text, where it stands, its stream and the place in it
+        self.placed: list[list[tuple[str, int, int, int, int]]] = []
+        for k, (texts, stands) in enumerate(zip(table["blocks"].to_pylist(), table["stand"].to_pylist(), strict=True)):
+            own: list[tuple[str, int, int, int, int]] = []
+            side = None
+            for text, stand in zip(texts, stands, strict=True):
+                if side != (stand >= INSIDE):
+                    side = stand >= INSIDE
+                    self.streams.append([])
+                    self.pages.append(k)
+                    self.inside.append(side)
+                stream = self.streams[-1]
+                start = len(stream)
+                stream.extend([self.number.setdefault(word, len(self.number)) for word in text.split()])
+                own.append((text, stand, len(self.streams) - 1, start, len(stream)))
+            self.placed.append(own)
+
+    def joined(self) -> _Streams:
+        return _Streams(self.streams, RUN, self.pages, self.inside)
+
+    def hashes(self, own: _Streams, at: np.ndarray) -> np.ndarray:
+        """Hashes of the runs at the places ``at``, the same in every group."""
+        words = np.array([xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) for word in self.number], np.uint64)
+        total = np.zeros(len(at), np.uint64)
+        for k in range(RUN):
+            total = total * np.uint64(_FACTOR) + words[own.codes[at + k]]
+        return total
+
+    def texts(self, covered: list[np.ndarray]) -> tuple[list[str], list[int]]:
+        """Main text and number of covered tokens of each page."""
+        found, gone = [], []
+        for own in self.placed:
+            has_main = any(stand >= INSIDE for _, stand, *_ in own)
+            left, n = [], 0
+            for text, stand, stream, start, end in own:
+                removed = covered[stream][start:end]
+                n += int(removed.sum())
+                if stand == HEADING or (stand == INSIDE and not removed.all()):
+                    left.append(text)
+                elif stand == AROUND and not has_main:
+                    left += [word for word, out in zip(text.split(), removed.tolist(), strict=True) if not out]
+            found.append(" ".join(left))
+            gone.append(n)
+        return found, gone
+
+
+def _evidence(table: pa.Table) -> pa.Table:
+    """All runs of one group of a split host, with the group's page counts, packed by bucket of their hash."""
+    rows: list[tuple] = []
+    parts = table["parts"][0].as_py()
+    if parts > 1:
+        pages = _Pages(table)
+        own = pages.joined()
+        if own.sizes.sum():
+            at, group = own.runs(1)
+            counts = own.counts(at, group)
+            runs = pages.hashes(own, at[np.unique(group, return_index=True)[1]])
+            bucket = (runs % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((runs, bucket))
+            cuts = np.searchsorted(bucket[order], np.arange(parts + 1))
+            host, part = table["host"][0].as_py(), table["part"][0].as_py()
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                chosen = order[cuts[k] : cuts[k + 1]]
+                packed = (runs[chosen].tobytes(), *(c[chosen].astype("<u4").tobytes() for c in counts))
+                rows.append((host, k, part, *packed))
+    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
+    names = ["host", "bucket", "part", "runs", "around", "within", "framing"]
+    return pa.table({c: pa.array([r[k] for r in rows], kinds[k]) for k, c in enumerate(names)})
+
+
+def _add_up(table: pa.Table) -> pa.Table:
+    """For the runs of a bucket, what the host decides on; each group gets those that it has."""
+    sizes = [len(x) // 8 for x in table["runs"].to_pylist()]
+    runs, run = np.unique(np.frombuffer(b"".join(table["runs"].to_pylist()), "<u8"), return_inverse=True)
+    counts = [
+        np.bincount(run, np.frombuffer(b"".join(table[c].to_pylist()), "<u4"), len(runs)).astype(np.int64)
+        for c in ("around", "within", "framing")
+    ]
+    outside, inside = _decided(*counts)
+    out: tuple[list, list] = ([], [])
+    for own in np.split(run, np.cumsum(sizes)[:-1]):
+        out[0].append(runs[own[outside[own]]].tobytes())
+        out[1].append(runs[own[inside[own]]].tobytes())
+    return pa.table(
+        {"host": table["host"], "part": table["part"], "outside": pa.array(out[0], pa.binary()), "inside": pa.array(out[1], pa.binary())}
+    )
+
+
+def _unique_runs(table: pa.Table, decided: pa.Table | None = None) -> pa.Table:
+    """The text of each page of a group after its boilerplate is removed.
+
+    ``decided`` has the runs that a split host decided on; a group that is a whole host decides itself.
+    """
+    pages = _Pages(table)
+    if decided is None:
+        covered = repeated(pages.streams, RUN, pages.pages, pages.inside)
+    else:
+        own = pages.joined()
+        at = np.flatnonzero(own.fits())
+        runs = pages.hashes(own, at)
+        outside, inside = (np.frombuffer(b"".join(decided[c].to_pylist()), "<u8") for c in ("outside", "inside"))
+        covered = own.covered(at[np.where(own.main[at], np.isin(runs, inside), np.isin(runs, outside))])
+    found, gone = pages.texts(covered)
     return pa.table(
         {
             "page_id": table["page_id"],
@@ -282,6 +394,10 @@ def _unique_runs(table: pa.Table) -> pa.Table:
     )
 
 
+def _cleaned(table: pa.Table, decided: pa.Table) -> pa.Table:
+    return _unique_runs(table, decided if table["parts"][0].as_py() > 1 else None)
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (empty if none), n_chars, n_boilerplate (tokens in repeated runs).
 
@@ -294,10 +410,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     hosts = hosted.groupBy("host").agg((F.sum("size") / GROUP).cast("bigint").alias("more")).where("more > 0")
     # written first, so that Spark knows its size and does not shuffle the pages when it is small
     hosts = materialise(hosts, "hosts")
-    parts = F.coalesce("more", F.lit(0)) + 1
-    dealt = hosted.join(hosts, "host", "left").select(
-        "page_id", "url", "host", F.pmod(F.xxhash64("page_id", "url", "size"), parts).alias("part"), "html"
+    dealt = hosted.join(hosts, "host", "left").withColumn("parts", F.coalesce("more", F.lit(0)) + 1).select(
+        "page_id", "url", "host", F.pmod(F.xxhash64("page_id", "url", "size"), "parts").alias("part"), "parts", "html"
     )
-    parsed = dealt.mapInArrow(_parse, PARSED)
-    found = parsed.groupBy("host", "part").applyInArrow(_unique_runs, FOUND)
+    parsed = materialise(dealt.mapInArrow(_parse, PARSED), "parsed")
+    groups = parsed.groupBy("host", "part")
+    evidence = parsed.where("parts > 1").groupBy("host", "part").applyInArrow(_evidence, EVIDENCE)
+    decided = evidence.groupBy("host", "bucket").applyInArrow(_add_up, DECIDED)
+    found = groups.cogroup(decided.groupBy("host", "part")).applyInArrow(_cleaned, FOUND)
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_boilerplate")

@@ -225,6 +225,32 @@ def test_runs_that_frame_other_pages_leave_articles():
     ]
 
 
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_a_split_host_gives_what_one_group_gives(spark, monkeypatch):
+    """Notices that two pages of a host share, and passages inside articles that frame others, with many tiny groups."""
+    rng = random.Random(3)
+
+    def own(n):
+        return " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+
+    rows = []
+    for k in range(60):
+        notice = f"notice {k // 2} that just two pages of this large host have in common"
+        frame = f"frame {k // 6} that stands around the articles of some pages and inside one"
+        body = f"<article><p>{own(9)}</p><p>{frame if k % 6 == 0 else own(8)}</p></article>" if k % 3 == 0 else f"<p>{own(12)}</p>"
+        rows.append((k, f"http://big.example/{k}", f"<body><div>{notice}</div>{body}<div>{frame}</div></body>"))
+    rows += [(100 + k, f"http://small.example/{k}", f"<body><p>{own(10)}</p></body>") for k in range(3)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    whole = _rows(html_text.main_text(pages))
+    monkeypatch.setattr(html_text, "GROUP", 700)
+    split = _rows(html_text.main_text(pages))
+    assert split == whole
+    assert not any("notice" in r[2] for r in whole) and any(r[4] for r in whole)
+
+
 @pytest.mark.parametrize("depth", [1, 3, 8])
 def test_suffix_order_to_a_depth(depth):
     codes = np.random.default_rng(depth).integers(0, 3, 200)
