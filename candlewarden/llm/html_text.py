@@ -14,14 +14,17 @@ tokens that distinct pages have. Two rules remove what the runs cover:
 
 A host may hold any share of the pages: its pages are dealt into groups by size, counted beforehand,
 so that a group has about ``GROUP`` characters of html. A page's stream stays whole. The rules count the
-pages of the whole host: the groups of a split host list all their runs with page counts, also those seen
-once, the counts are added up by run, and each group gets back which of its runs the host decided on. So
-the result does not depend on the number of groups. Runs are told apart there by 64-bit hashes.
+distinct pages of the whole host: copies (equal blocks in equal places) are one page, dealt once, and all
+get its result. The groups of a split host list all their runs with page counts, also those seen once, the
+counts are added up by run, and each group gets back which of its runs the host decided on. So the
+result does not depend on the number of groups. Runs are told apart there by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
+import json
 import re
 from collections.abc import Iterator
 
@@ -252,27 +255,45 @@ def repeated(
     return own.covered(at[np.where(own.main[at], within[group], outside[group])])
 
 
-PARSED = "page_id bigint, url string, host string, part bigint, parts bigint, blocks array<string>, stand array<tinyint>"
+PARSED = "page_id bigint, url string, host string, parts bigint, content binary, blocks array<string>, stand array<tinyint>"
 EVIDENCE = "host string, bucket bigint, part bigint, runs binary, around binary, within binary, framing binary"
 DECIDED = "host string, part bigint, outside binary, inside binary"
-FOUND = "page_id bigint, url string, text string, n_boilerplate bigint"
+FOUND = "content binary, text string, n_boilerplate bigint"
 _FACTOR = 0x9E3779B97F4A7C15  # odd; a run's hash is a polynomial in it over the hashes of its words
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The blocks of each page, and where they stand."""
+    """The blocks of each page, and where they stand; null for a page whose host and blocks the task has had before."""
+    had: set[bytes] = set()
     for batch in batches:
-        found = [blocks(page or "") for page in batch.column("html").to_pylist()]
+        contents, texts, stands = [], [], []
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            found = blocks(page or "")
+            named = json.dumps([host, found]).encode()
+            contents.append(hashlib.blake2b(named, digest_size=16).digest())
+            again = contents[-1] in had
+            had.add(contents[-1])
+            texts.append(None if again else [text for text, _ in found])
+            stands.append(None if again else [stand for _, stand in found])
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(c) for c in ("page_id", "url", "host", "part", "parts")),
-                pa.array([[text for text, _ in page] for page in found], pa.list_(pa.string())),
-                pa.array([[stand for _, stand in page] for page in found], pa.list_(pa.int8())),
+                *(batch.column(c) for c in ("page_id", "url", "host", "parts")),
+                pa.array(contents, pa.binary()),
+                pa.array(texts, pa.list_(pa.string())),
+                pa.array(stands, pa.list_(pa.int8())),
             ],
-            ["page_id", "url", "host", "part", "parts", "blocks", "stand"],
+            ["page_id", "url", "host", "parts", "content", "blocks", "stand"],
         )
 
 
+def _distinct_pages(table: pa.Table) -> pa.Table:
+    """One row of each content; copies from different tasks meet in one group."""
+    first: dict[bytes, int] = {}
+    for k, content in enumerate(table["content"].to_pylist()):
+        first.setdefault(content, k)
+    return table if len(first) == len(table) else table.take(pa.array(list(first.values()), pa.int64()))
+
+
 class _Pages:
     """The pages of a group as token streams."""
 
@@ -332,7 +353,7 @@ def _evidence(table: pa.Table) -> pa.Table:
     rows: list[tuple] = []
     parts = table["parts"][0].as_py()
     if parts > 1:
-        pages = _Pages(table)
+        pages = _Pages(_distinct_pages(table))
         own = pages.joined()
         if own.sizes.sum():
             at, group = own.runs(1)
@@ -384,25 +405,20 @@ def _unique_runs(table: pa.Table, decided: pa.Table | None = None) -> pa.Table:
         outside, inside = (np.frombuffer(b"".join(decided[c].to_pylist()), "<u8") for c in ("outside", "inside"))
         covered = own.covered(at[np.where(own.main[at], np.isin(runs, inside), np.isin(runs, outside))])
     found, gone = pages.texts(covered)
-    return pa.table(
-        {
-            "page_id": table["page_id"],
-            "url": table["url"],
-            "text": pa.array(found, pa.string()),
-            "n_boilerplate": pa.array(gone, pa.int64()),
-        }
-    )
+    names = [c for c in ("page_id", "url", "content") if c in table.column_names]
+    found_columns = {"text": pa.array(found, pa.string()), "n_boilerplate": pa.array(gone, pa.int64())}
+    return pa.table({c: table[c] for c in names} | found_columns)
 
 
 def _cleaned(table: pa.Table, decided: pa.Table) -> pa.Table:
-    return _unique_runs(table, decided if table["parts"][0].as_py() > 1 else None)
+    return _unique_runs(_distinct_pages(table), decided if table["parts"][0].as_py() > 1 else None)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (empty if none), n_chars, n_boilerplate (tokens in repeated runs).
 
-    Null html is an empty page; a null or odd URL belongs to the host "". Repeated rows are pages of their
-    own, so a page that occurs twice has no unique runs outside its main element. Other columns are not read.
+    Null html is an empty page; a null or odd URL belongs to the host "". Repeated rows and other copies on
+    a host are one page, and each gets its text. Other columns are not read.
     """
     size = F.length(F.coalesce("html", F.lit("")))
     hosted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), size.alias("size"))
@@ -410,12 +426,16 @@ def main_text(pages: DataFrame) -> DataFrame:
     hosts = hosted.groupBy("host").agg((F.sum("size") / GROUP).cast("bigint").alias("more")).where("more > 0")
     # written first, so that Spark knows its size and does not shuffle the pages when it is small
     hosts = materialise(hosts, "hosts")
-    dealt = hosted.join(hosts, "host", "left").withColumn("parts", F.coalesce("more", F.lit(0)) + 1).select(
-        "page_id", "url", "host", F.pmod(F.xxhash64("page_id", "url", "size"), "parts").alias("part"), "parts", "html"
+    sized = hosted.join(hosts, "host", "left").select(
+        "page_id", "url", "host", (F.coalesce("more", F.lit(0)) + 1).alias("parts"), "html"
+    )
+    parsed = materialise(sized.mapInArrow(_parse, PARSED), "parsed")
+    dealt = parsed.where("blocks IS NOT NULL").select(
+        "host", F.pmod(F.xxhash64("content"), "parts").alias("part"), "parts", "content", "blocks", "stand"
     )
-    parsed = materialise(dealt.mapInArrow(_parse, PARSED), "parsed")
-    groups = parsed.groupBy("host", "part")
-    evidence = parsed.where("parts > 1").groupBy("host", "part").applyInArrow(_evidence, EVIDENCE)
+    evidence = dealt.where("parts > 1").groupBy("host", "part").applyInArrow(_evidence, EVIDENCE)
     decided = evidence.groupBy("host", "bucket").applyInArrow(_add_up, DECIDED)
-    found = groups.cogroup(decided.groupBy("host", "part")).applyInArrow(_cleaned, FOUND)
-    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_boilerplate")
+    found = dealt.groupBy("host", "part").cogroup(decided.groupBy("host", "part")).applyInArrow(_cleaned, FOUND)
+    # the content's hash has the host in it
+    rows = parsed.select("page_id", "url", "content").join(found, "content")
+    return rows.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_boilerplate")

@@ -251,6 +251,20 @@ def test_a_split_host_gives_what_one_group_gives(spark, monkeypatch):
     assert not any("notice" in r[2] for r in whole) and any(r[4] for r in whole)
 
 
+@pytest.mark.parametrize("group", [html_text.GROUP, 300])
+def test_copies_are_one_page(spark, monkeypatch, group):
+    monkeypatch.setattr(html_text, "GROUP", group)
+    story = "a story of more than eight words that is told on one page of this host"
+    notice = "a notice of eight words or more that every page of this host has"
+    page = f"<body><p>{story}</p><p>{notice}</p></body>"
+    other = f"<body><p>another page that tells something else in its own nine words</p><p>{notice}</p></body>"
+    rows = [(k, f"http://c.example/1?from={k}", page) for k in range(5)] + [(0, "http://c.example/1?from=0", page), (9, "http://c.example/2", other)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    found = _rows(html_text.main_text(pages).select("page_id", "url", "text"))
+    other_text = "another page that tells something else in its own nine words"
+    assert found == sorted([(i, u, story) for i, u, _ in rows[:6]] + [(9, "http://c.example/2", other_text)])
+
+
 @pytest.mark.parametrize("depth", [1, 3, 8])
 def test_suffix_order_to_a_depth(depth):
     codes = np.random.default_rng(depth).integers(0, 3, 200)
