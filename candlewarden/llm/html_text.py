@@ -2,12 +2,13 @@
 
 A page falls into blocks of text, and structure says where each stands: inside an article or main
 element or around it, and whether its element or class marks it as a menu, advert, comments and so on.
-Marked blocks are never main text. What the others are, the host decides: the token streams of its pages
+Marked blocks are never main text, nor are article elements with a class or id of a comment, advert and so on. What the others are, the host decides: the token streams of its pages
 are concatenated, and a suffix array with common-prefix lengths finds every run of at least ``RUN``
 tokens that distinct pages have. Two rules remove what the runs cover:
 
 * Outside main elements (pages without one have only such text) tokens go that lie in a run which
-  another page has outside its main element too; the unique runs stay.
+  another page has outside its main element too. The unique runs stay, on a page with a main element
+  only if they are more words than what stays inside: then the elements were cards around the body.
 * Inside main elements a run counts only if it also frames other pages: at least two, and no fewer than
   those that have it inside, have it around their main element and not in it. A block that such runs
   cover wholly goes, unless it is a heading. Passages that only articles share are text of theirs.
@@ -61,6 +62,10 @@ MARKED = re.compile(
     re.IGNORECASE,
 )
 
+# The names of an article element that is a card or comment. Whole names only: themes also put words of
+# the page's topic or state into the class of its one article (category-social-media).
+CARD = re.compile(rf"(?:{MARKED.pattern})|(?:div-)?comment-(?:body|content|card|item|\d+)|teaser|card", re.IGNORECASE)
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
@@ -127,7 +132,10 @@ def blocks(page: str) -> list[tuple[str, int]]:
         marks = " ".join(a or b or c for a, b, c in _ATTRIBUTE.findall(attributes)) if attributes.strip() else ""
         was = 2 if name in HIDDEN or name == "head" else 0
         if not was and (
-            name in ASIDE or (name == "header" and not main) or (name not in ("html", "body", *MAIN) and marks and MARKED.search(marks))
+            name in ASIDE
+            or (name == "header" and not main)
+            or (name not in ("html", "body", *MAIN) and marks and MARKED.search(marks))
+            or (name == "article" and any(map(CARD.fullmatch, marks.split())))
         ):
             was = 1
         if name == "body":  # a head whose end tag is left out
@@ -334,16 +342,20 @@ class _Pages:
         """Main text and number of covered tokens of each page."""
         found, gone = [], []
         for own in self.placed:
-            has_main = any(stand >= INSIDE for _, stand, *_ in own)
-            left, n = [], 0
+            left: list[tuple[list[str], int]] = []  # words and where they stand
+            n, weight = 0, [0, 0]
             for text, stand, stream, start, end in own:
                 removed = covered[stream][start:end]
                 n += int(removed.sum())
-                if stand == HEADING or (stand == INSIDE and not removed.all()):
-                    left.append(text)
-                elif stand == AROUND and not has_main:
-                    left += [word for word, out in zip(text.split(), removed.tolist(), strict=True) if not out]
-            found.append(" ".join(left))
+                if stand == MARKED_OUT or (stand == INSIDE and removed.all()):
+                    continue
+                words = text.split()
+                if stand == AROUND:
+                    words = [word for word, out in zip(words, removed.tolist(), strict=True) if not out]
+                left.append((words, stand))
+                weight[stand >= INSIDE] += len(words)
+            around = weight[0] > weight[1]
+            found.append(" ".join(word for words, stand in left if stand >= INSIDE or around for word in words))
             gone.append(n)
         return found, gone
 
@@ -429,11 +441,13 @@ def main_text(pages: DataFrame) -> DataFrame:
     sized = hosted.join(hosts, "host", "left").select(
         "page_id", "url", "host", (F.coalesce("more", F.lit(0)) + 1).alias("parts"), "html"
     )
-    parsed = materialise(sized.mapInArrow(_parse, PARSED), "parsed")
+    # parsed twice, for the contents and for the rows they are joined back to: cheaper than the disk for a table
+    parsed = sized.mapInArrow(_parse, PARSED)
     dealt = parsed.where("blocks IS NOT NULL").select(
         "host", F.pmod(F.xxhash64("content"), "parts").alias("part"), "parts", "content", "blocks", "stand"
     )
-    evidence = dealt.where("parts > 1").groupBy("host", "part").applyInArrow(_evidence, EVIDENCE)
+    # both groupings read one shuffle of the contents; hosts of one group give no evidence
+    evidence = dealt.groupBy("host", "part").applyInArrow(_evidence, EVIDENCE)
     decided = evidence.groupBy("host", "bucket").applyInArrow(_add_up, DECIDED)
     found = dealt.groupBy("host", "part").cogroup(decided.groupBy("host", "part")).applyInArrow(_cleaned, FOUND)
     # the content's hash has the host in it

@@ -265,6 +265,20 @@ def test_copies_are_one_page(spark, monkeypatch, group):
     assert found == sorted([(i, u, story) for i, u, _ in rows[:6]] + [(9, "http://c.example/2", other_text)])
 
 
+def test_a_body_around_cards_stays():
+    body = [" ".join(f"word{k}x{i}" for i in range(20)) for k in range(3)]  # the menu repeats, the bodies do not
+    menu = "home news sport weather contact imprint and all the other pages here"
+    comment = '<article class="comment">a comment of very many words that says nothing that is of any use to a reader of it</article>'
+    pages = [
+        f"<body><div>{menu}</div><div>{body[0]}</div><article>see also this</article></body>",  # a card that outweighs nothing
+        f"<body><div>{menu}</div><div>{body[1]}</div>{comment}{comment}</body>",
+        f"<body><div>{menu}</div><article class='post category-social-media'>{body[2]}</article>{comment}<div>just a few words</div></body>",
+    ]
+    found = [html_text.blocks(p) for p in pages]
+    table = pa.table({"blocks": [[t for t, _ in f] for f in found], "stand": [[w for _, w in f] for f in found]})
+    assert html_text._unique_runs(table)["text"].to_pylist() == [f"{body[0]} see also this", body[1], body[2]]
+
+
 @pytest.mark.parametrize("depth", [1, 3, 8])
 def test_suffix_order_to_a_depth(depth):
     codes = np.random.default_rng(depth).integers(0, 3, 200)
