@@ -23,11 +23,13 @@ RANGES = 1 << 13  # ranges of ids at most
 def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
     """``rows`` with ``out``: the anchors of the text as 31-bit numbers, in text order.
 
-    A text of one to K - 1 words has one anchor, the hash of all of them; one without words has none.
+    A text of one to K - 1 words has one anchor, the hash of all of them. A longer text without a closed
+    syncmer (only some of up to 10 words) has its k-mer of the smallest hash. Only one without words has none.
     """
     words, inner, places = "_cw_words", "_cw_inner", "_cw_places"
     hashes = ", ".join(f"{inner}[i + {j}]" for j in range(_INNER))
     low31 = "cast({} & 2147483647L as int)"
+    kmer = low31.format(f"xxhash64({inner}[i], {inner}[i + 2], {inner}[i + {_INNER - 1}])")
     step = rows.withColumn(words, F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), WHITE), ""))
     step = step.withColumn(
         inner,
@@ -48,7 +50,8 @@ def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
         F.expr(
             f"case when size({words}) = 0 then cast(array() as array<int>) "
             f"when size({words}) < {K} then array({low31.format(f'xxhash64(array_join({words}, chr(32)))')}) "
-            f"else transform({places}, i -> {low31.format(f'xxhash64({inner}[i], {inner}[i + 2], {inner}[i + {_INNER - 1}])')}) end"
+            f"when size({places}) = 0 then array(array_min(transform(sequence(0, size({inner}) - {_INNER}), i -> {kmer}))) "
+            f"else transform({places}, i -> {kmer}) end"
         ),
     )
     return step.drop(words, inner, places)

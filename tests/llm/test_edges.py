@@ -447,3 +447,12 @@ def test_pipeline_stages_on_a_small_corpus(spark, tmp_path):
     assert pieces.groupby("doc_id").length.sum().to_dict() == {
         d: n * int(pieces[pieces.doc_id == d].doc_tokens.iloc[0]) for d, n in counts.items() if n
     }
+
+
+def test_only_texts_without_words_have_no_anchor(spark):
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in range(1, 14) for _ in range(20)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["", " \n", *texts])], "doc_id bigint, text string")
+    anchors = [r["anchors"] for r in syncmers.with_anchors(docs, "text", "anchors").orderBy("doc_id").collect()]
+    assert anchors[:2] == [[], []] and all(anchors[2:])
+    assert len({tuple(a) for a in anchors[2:]}) == len(texts)
