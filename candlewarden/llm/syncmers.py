@@ -29,7 +29,7 @@ def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
     words, inner, places = "_cw_words", "_cw_inner", "_cw_places"
     hashes = ", ".join(f"{inner}[i + {j}]" for j in range(_INNER))
     low31 = "cast({} & 2147483647L as int)"
-    kmer = low31.format(f"xxhash64({inner}[i], {inner}[i + 2], {inner}[i + {_INNER - 1}])")
+    kmer = low31.format(f"xxhash64({inner}[i], {inner}[i + 2], {inner}[i + 4], {inner}[i + {_INNER - 1}])")  # all K words
     step = rows.withColumn(words, F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), WHITE), ""))
     step = step.withColumn(
         inner,

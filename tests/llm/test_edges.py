@@ -456,3 +456,13 @@ def test_only_texts_without_words_have_no_anchor(spark):
     anchors = [r["anchors"] for r in syncmers.with_anchors(docs, "text", "anchors").orderBy("doc_id").collect()]
     assert anchors[:2] == [[], []] and all(anchors[2:])
     assert len({tuple(a) for a in anchors[2:]}) == len(texts)
+
+
+def test_an_anchor_depends_on_every_word_of_its_kmer(spark):
+    rows = []
+    for k in range(30):
+        words = [f"w{k}x{j}" for j in range(syncmers.K)]
+        rows += [(k, " ".join(words))] + [(k, " ".join([*words[:j], "other", *words[j + 1 :]])) for j in range(syncmers.K)]
+    docs = spark.createDataFrame(rows, "k int, text string")
+    found = {(r["k"], *r["anchors"]) for r in syncmers.with_anchors(docs, "text", "anchors").collect()}
+    assert len(found) == len(rows)
