@@ -23,7 +23,7 @@ from candlewarden.operators import (
     profiles,
 )
 from candlewarden.plans import bindings as b
-from candlewarden.schema import CANONICAL, PRICES, SERIES
+from candlewarden.schema import CANONICAL, PRICES, SERIES, TIMEFRAME_PAIRS
 from candlewarden.sources import digest, files, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,11 +245,11 @@ def compare_m15_h1(bars):
     return crosstf.matched(bars, pair)
 
 
-def cross_tf_no_overlap(bars):
+def cross_tf_no_overlap(bars, pairs=(("M15", "H1"),)):
     """Series whose timeframes share no complete bucket: the H1 side is moved away by a year."""
     away = F.when(F.col("timeframe") == "H1", F.col("ts") + F.expr("INTERVAL '365' DAY"))
     moved = bars.withColumn("ts", F.coalesce(away, F.col("ts")))
-    return crosstf.compare(moved, [("M15", "H1")]).select(
+    return crosstf.compare(moved, pairs).select(
         "symbol", "pair", "complete_buckets", "compared", "status", "note"
     )
 
@@ -458,8 +458,10 @@ QUERIES: dict[str, Query] = {
     # timeframes and coverage
     "rollup_m15_h1": over_events(lambda e: crosstf.roll_up(b.bars(e), "M15", "H1")),
     "cross_tf_compare": over_events(lambda e: compare_m15_h1(b.bars_h1_changed(b.bars(e)))),
+    "cross_tf_compare_pairs": over_events(lambda e: crosstf.matched(b.bars_h1_changed(b.bars(e)))),
     "cross_tf_all": over_stored(lambda e: b.bars_h1_changed(b.bars(e)), compare),
     "cross_tf_no_overlap": over_stored(b.bars, cross_tf_no_overlap),
+    "cross_tf_no_overlap_pairs": over_stored(b.bars, lambda bars: cross_tf_no_overlap(bars, TIMEFRAME_PAIRS)),
     "cross_tf_uncovered": over_stored(b.bars, crosstf.uncovered),
     "coverage": over_events(lambda e: coverage.coverage(b.bars(e))),
     "coverage_tiers": over_events(tiers),

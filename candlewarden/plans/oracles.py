@@ -486,10 +486,14 @@ ORACLES: dict[str, str] = {
         FROM bars b WHERE timeframe = 'M15' GROUP BY symbol, time_bucket(INTERVAL 60 MINUTE, b.ts) HAVING count(*) = 4""",
     "cross_tf_compare": f"""WITH {CHANGED}, {pairs_cte('changed')} SELECT symbol, pair, ts,
         {", ".join(f"{c}_diff" for c in PRICES)}, tick_volume_diff FROM matched WHERE pair = 'M15->H1'""",
+    "cross_tf_compare_pairs": f"""WITH {CHANGED}, {pairs_cte('changed')} SELECT symbol, pair, ts,
+        {", ".join(f"{c}_diff" for c in PRICES)}, tick_volume_diff FROM matched""",
     "cross_tf_all": compare_sql(CHANGED, "changed"),
     "cross_tf_no_overlap": f"""SELECT symbol, pair, complete_buckets, compared, status, note FROM (
         {compare_sql(BARS + ", moved AS (SELECT * REPLACE (CASE WHEN timeframe = 'H1' THEN ts + INTERVAL 365 DAY ELSE ts END AS ts) FROM bars)", "moved")})
         WHERE pair = 'M15->H1'""",
+    "cross_tf_no_overlap_pairs": f"""SELECT symbol, pair, complete_buckets, compared, status, note FROM (
+        {compare_sql(BARS + ", moved AS (SELECT * REPLACE (CASE WHEN timeframe = 'H1' THEN ts + INTERVAL 365 DAY ELSE ts END AS ts) FROM bars)", "moved")})""",
     "cross_tf_uncovered": f"WITH {BARS}, {pairs_cte('bars')} SELECT symbol, pair, ts FROM bare",
     "coverage": f"WITH {BARS}, {COVER} SELECT * FROM covered",
     "coverage_tiers": f"""WITH {BARS}, {COVER}, members AS (SELECT * FROM (VALUES ('H1_only', 'H1', 'H1', 1), ('H1_M30', 'H1+M30', 'H1', 2), ('H1_M30', 'H1+M30', 'M30', 2),
