@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewarden.llm import (
+    alignment,
     html_text,
     mixing,
     packing,
@@ -89,6 +90,15 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"), 4 * partitions(spark))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    narrow = found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "pair_links")
+    counted = alignment.with_pair_counts(narrow, alignment.vocabulary_size(b))
+    return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -102,5 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity_cnn,
         op9_warc_index,
         op10_syncmers,
+        op11_token_alignment,
     )
 }
