@@ -115,8 +115,57 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
 FROM r
 """
 
+PIVOT_SEARCH = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, c.r, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v AS q JOIN v AS c ON c.r <> q.r WHERE q.vec_id % 100 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id, r)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 10
+"""
+
+PREFIX_TRIE = """
+WITH c AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, count(*) AS n FROM c GROUP BY conv_id),
+h AS (
+  SELECT conv_id, n, conv_id - conv_id % 5 AS base,
+    xor(list_reduce(list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT),
+      lambda crc, x: list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, 3988292384 * (r & 1))), 4294967295), 4294967295) % 9 AS h
+  FROM n),
+k AS (SELECT h.*, least(h, coalesce(b.n, 0)) AS kept FROM h LEFT JOIN n AS b ON b.conv_id = h.base),
+r AS (
+  SELECT k.conv_id, pos AS depth, role, text FROM k JOIN c ON c.conv_id = k.base AND pos <= kept
+  UNION ALL SELECT k.conv_id, pos - h + kept, role, text FROM k JOIN c USING (conv_id) WHERE pos > h),
+p AS (
+  SELECT conv_id, depth, text, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM r
+  UNION ALL SELECT conv_id, 0, '', '' FROM k),
+len AS (SELECT conv_id, max(depth) AS last FROM p GROUP BY conv_id),
+nodes AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * octet_length(encode(any_value(text))) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = last), '')) AS ends_sha256
+  FROM p JOIN len USING (conv_id) GROUP BY key, depth),
+up AS (
+  SELECT u.key, u.depth, q.key AS parent FROM nodes AS u JOIN p AS q ON q.conv_id = u.conv_id AND q.depth = u.depth - 1),
+kids AS (SELECT parent AS key, count(*) AS n_children FROM up GROUP BY parent),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (key)),
+below AS (
+  SELECT q.key, sum(u.saved) AS saved_tokens, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves
+  FROM full_nodes AS u JOIN p AS q ON q.conv_id = u.conv_id AND q.depth <= u.depth GROUP BY q.key)
+SELECT x.conv_id::BIGINT AS conv_id, x.depth::BIGINT AS depth, y.conv_id::BIGINT AS parent_conv_id, x.n_convs::BIGINT AS n_convs,
+  x.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM full_nodes AS x JOIN below USING (key) LEFT JOIN up ON up.key = x.key LEFT JOIN nodes AS y ON y.key = up.parent
+"""
+
 ORACLES: dict[str, str] = {
     "op5_quality_rules": QUALITY_RULES,
     "op6_mixing": MIXING,
     "op9_warc_index": WARC_INDEX,
+    "op12_pivot_search": PIVOT_SEARCH,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

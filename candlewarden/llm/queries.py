@@ -13,6 +13,8 @@ from candlewarden.llm import (
     html_text,
     mixing,
     packing,
+    pivot_search,
+    prefix_trie,
     quality_nbsvm,
     quality_rules,
     simhash,
@@ -99,6 +101,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op12_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("k1", "k2")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -113,5 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc_index,
         op10_syncmers,
         op11_token_alignment,
+        op12_pivot_search,
+        op13_prefix_trie,
     )
 }
