@@ -175,12 +175,14 @@ def plain_anchors(text):
         return [chain(b" ".join(words)) & 0x7FFFFFFF] if words else []
     inner = [signed(chain(a, b)) for a, b in zip(words, words[1:], strict=False)]
     n = syncmers.K - syncmers.S + 1
-    out = []
+    chosen, every = [], []
     for i in range(len(inner) - n + 1):
         window = inner[i : i + n]
+        # pairs of words that cover all of the k-mer's words
+        every.append(chain(*(long(window[k]) for k in (0, 2, 4, n - 1))) & 0x7FFFFFFF)
         if min(window[0], window[-1]) == min(window):
-            out.append(chain(long(window[0]), long(window[2]), long(window[-1])) & 0x7FFFFFFF)
-    return out
+            chosen.append(every[-1])
+    return chosen or [min(every)]
 
 
 def test_syncmers(spark, documents):
