@@ -272,8 +272,6 @@ def with_pair_counts(aligned_docs: DataFrame, b_size: int, most: int = HEAD) ->
     counts = pair_counts(rows, b_size)
     least, head = head_of(counts, most)
     known, n, best = (head.column(c).to_numpy() for c in ("pair", "n", "best"))
-    rows = aligned_docs.withColumn(_ROW, F.monotonically_increasing_id())
-    rows = materialise(rows, "aligned")
 
     def settle(batches: Iterator[pa.RecordBatch], rest: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
