@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewarden.functions.session import materialise
+
 CHUNK = "_chunk"
 HALO = "_halo"
 LINES_PER_CHUNK = 100_000
@@ -161,23 +163,45 @@ def with_position(df: DataFrame, keys: Sequence[str], order: str, position: str)
     )
 
 
-SALTS = 32
+SMALL = 10_000  # values that every task may hold: one row per series, counted before they are broadcast
+HOT = 200  # a key with more than one in so many rows is split
 
 
-def join_series_values(
-    rows: DataFrame, values: DataFrame, keys: Sequence[str], salt_by: str, salts: int = SALTS
-) -> DataFrame:
-    """Left-join one-row-per-series values onto rows, spreading each series over ``salts`` keys.
+def hot_salts(rows: DataFrame, keys: Sequence[str], hot: int = HOT) -> DataFrame | None:
+    """(keys, _salts) for the keys that hold more than one in ``hot`` of the rows; None if there are none.
+
+    Fewer than ``hot`` keys can, whatever the number of keys. A key gets as many salts as it takes to bring
+    each down to that share. Only the key columns are read, and they are counted map-side.
+    """
+    sizes = materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key-sizes")
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    found = sizes.where(F.col("_n") * hot > total).select(*keys, F.ceil(F.col("_n") * hot / total).cast("int").alias("_salts"))
+    listed = found.collect()
+    return rows.sparkSession.createDataFrame(listed, found.schema) if listed else None
+
+
+def join_series_values(rows: DataFrame, values: DataFrame, keys: Sequence[str], salt_by: str) -> DataFrame:
+    """Left-join values, one row per key, onto rows, whatever share of the rows a key holds.
 
-    Spark broadcasts the values by itself when they are below its size threshold; above it, the salt
-    keeps a series that holds a large share of the rows from landing in one task.
+    The values are written and counted. Up to ``SMALL`` of them are broadcast, and the rows stay where they
+    are. Beyond that both sides are shuffled by key; keys that hold a large share of the rows are measured
+    and dealt over salts by a hash of ``salt_by``, and only their values are copied, once per salt. Rows
+    with a null key get no values.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.hash(salt_by), F.lit(salts)))
-    copies = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    values = materialise(values, "series-values")
+    if values.count() <= SMALL:
+        return rows.join(F.broadcast(values), list(keys), "left")
+    marks = hot_salts(rows, keys)
+    if marks is None:
+        return rows.join(values, list(keys), "left")
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.hash(salt_by), F.col("_salts"))).otherwise(0)
+    salted = rows.join(F.broadcast(marks), list(keys), "left").withColumn("_salt", salt).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copies = values.join(F.broadcast(marks), list(keys), "left").withColumn("_salt", F.explode(every)).drop("_salts")
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
-def of_series(rows: DataFrame, series: DataFrame, keys: Sequence[str], salt_by: str) -> DataFrame:
-    """Rows of the listed series, with the same protection against a dominating series."""
-    marked = series.select(*keys).withColumn("_listed", F.lit(True))
+def of_series(rows: DataFrame, series: DataFrame, keys: Sequence[str], salt_by: str, columns: Sequence[str] = ()) -> DataFrame:
+    """Rows of the listed series, with ``columns`` of the list, protected against a dominating series alike."""
+    marked = series.select(*keys, *columns).withColumn("_listed", F.lit(True))
     return join_series_values(rows, marked, keys, salt_by).where("_listed").drop("_listed")

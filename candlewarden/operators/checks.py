@@ -70,6 +70,14 @@ BAD_PRICE = "(" + " OR ".join(f"{c} IS NULL OR isnan({c}) OR {c} <= 0 OR {c} = d
 ZERO_RANGE = "(high = low AND NOT isnan(high))"
 
 
+def _without_values(columns: list[str]) -> Column:
+    """Names of the columns in which no row of a series has a value, as an aggregate.
+
+    Where files of several series are read together, a column that the files of one series lack is null there.
+    """
+    return F.concat_ws(",", F.array_compact(F.array(*[F.when(F.count(c) == 0, F.lit(c)) for c in columns])))
+
+
 def profile(bars: DataFrame, order: str = "ts") -> DataFrame:
     """All row-local counts of every series in one pass with map-side aggregation; first and last in frame order."""
     counted = {
@@ -93,6 +101,7 @@ def profile(bars: DataFrame, order: str = "ts") -> DataFrame:
         F.expr("min(hour(ts)) AS first_hour"),
         F.expr("sum(spread) AS _spread_sum"),
         F.expr("count(spread) AS _spread_rows"),
+        _without_values([c for c in CANONICAL if c in bars.columns]).alias("missing"),
         *[F.expr(f"count_if({condition}) AS {name}") for name, condition in counted.items()],
     )
 
@@ -186,13 +195,17 @@ def jump_facts(jumps: DataFrame) -> DataFrame:
 
 
 def schema_check(bars: DataFrame, datasets: DataFrame) -> DataFrame:
-    """Verdict on the columns, decided from metadata, for every dataset that should be there."""
-    missing = missing_columns(bars)
-    return datasets.select(
-        *SERIES,
-        F.lit("FAIL" if missing else "PASS").alias("status"),
-        F.lit(",".join(missing)).alias("missing"),
-    )
+    """Verdict on the columns for every dataset that should be there: FAIL and the canonical columns it misses.
+
+    A column is missing if the table lacks it, or if it has no value in any row of the series. A series
+    without rows is judged by the table alone; its row count fails elsewhere.
+    """
+    absent = missing_columns(bars)
+    present = [c for c in CANONICAL if c not in absent]
+    empty = bars.groupBy(*SERIES).agg(_without_values(present).alias("_empty"))
+    named = F.concat_ws(",", F.lit(",".join(absent) or None), F.when(F.col("_empty") != "", F.col("_empty")))
+    judged = datasets.select(*SERIES).join(empty, SERIES, "left").select(*SERIES, named.alias("missing"))
+    return judged.select(*SERIES, F.when(F.col("missing") != "", "FAIL").otherwise("PASS").alias("status"), "missing")
 
 
 def facts(bars: DataFrame, order: str = "ts", z: float = JUMP_FACTOR) -> DataFrame:
@@ -227,7 +240,7 @@ def _fail_if(condition: str) -> str:
 
 # status and summary of every check as SQL over a row of ``facts``
 STATUS = {
-    "schema": "'PASS'",
+    "schema": _fail_if("missing <> ''"),
     "row_count": "'INFO'",
     "timestamp_order": _fail_if("duplicates > 0 OR NOT monotonic"),
     "duplicate_timestamps": _fail_if("sharing_rows > 0"),
@@ -254,7 +267,7 @@ def _text(**numbers: str) -> str:
 
 INSTANT = "'yyyy-MM-dd HH:mm:ss'"
 SUMMARY = {
-    "schema": "'no column missing'",
+    "schema": "CASE WHEN missing <> '' THEN concat('missing canonical columns: ', missing) ELSE 'no column missing' END",
     "row_count": f"""concat(rows, ' rows from ', date_format(first_ts, {INSTANT}),
                             ' to ', date_format(last_ts, {INSTANT}))""",
     "timestamp_order": _text(duplicates="duplicates"),
@@ -333,7 +346,8 @@ def run_all(
     """All checks of all series: (symbol, timeframe, position, check_name, status, summary, metrics).
 
     ``datasets`` lists the series that should exist; one without bars fails on its row count and gets
-    no further checks. A table without the canonical columns fails on the schema in the same way.
+    no further checks. A table without the canonical columns fails on the schema in the same way, and so
+    does a series in which one of them never has a value.
     """
     missing = missing_columns(bars)
     if missing:
@@ -344,7 +358,8 @@ def run_all(
         f"{SUMMARY[check]} AS summary, {_metrics_sql(check)} AS metrics)"
         for i, check in enumerate(CHECKS, start=1)
     )
-    results = facts(bars, order, z).selectExpr(*SERIES, f"inline(array({rows}))")
+    results = facts(bars, order, z).selectExpr(*SERIES, "missing", f"inline(array({rows}))")
+    results = results.where("missing = '' OR position <= 2").drop("missing")
     if datasets is None:
         # no bar at all names no series: one verdict for the empty frame, without a series
         empty = bars.limit(1).agg(F.count(F.lit(1)).alias("rows")).where("rows = 0")

@@ -91,9 +91,9 @@ def bars_h1_changed(all_bars: DataFrame) -> DataFrame:
 
 
 def bars_bad(all_bars: DataFrame) -> DataFrame:
-    """H1 bars with one kind of damage on every fiftieth row each, under symbols ending in ``_BAD``."""
-    hourly = with_position(all_bars.where("timeframe = 'H1'"), SERIES, "ts", "_rn")
-    return hourly.selectExpr("*", "_rn % 50 AS turn").selectExpr(
+    """Bars of all timeframes with one kind of damage on every fiftieth row each, under symbols ending in ``_BAD``."""
+    placed = with_position(all_bars, SERIES, "ts", "_rn")
+    return placed.selectExpr("*", "_rn % 50 AS turn").selectExpr(
         "concat(symbol, '_BAD') AS symbol",
         "timeframe",
         "CASE WHEN turn = 3 THEN ts + INTERVAL '7' MINUTE ELSE ts END AS ts",
@@ -173,7 +173,10 @@ def files(made: DataFrame) -> DataFrame:
 
 def typed(events: DataFrame) -> DataFrame:
     """Typed rows of ``raw_lines`` with symbol, timeframe and timestamp, written once like an ingest does."""
-    lines = materialise(raw_lines(events), "lines")
+    return typed_lines(materialise(raw_lines(events), "lines"))
+
+
+def typed_lines(lines: DataFrame) -> DataFrame:
     delimited = parse.with_delimiters(lines, parse.header_audit(lines))
     rows = parse.with_ts(parse.typed_rows(delimited, "delimiter"))
     return materialise(parse.with_identity(rows), "typed")

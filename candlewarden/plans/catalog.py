@@ -23,7 +23,7 @@ from candlewarden.operators import (
     profiles,
 )
 from candlewarden.plans import bindings as b
-from candlewarden.schema import CANONICAL, PRICES, SERIES, TIMEFRAME_PAIRS
+from candlewarden.schema import CANONICAL, PRICES, SCHEMA_VERSION, SERIES
 from candlewarden.sources import digest, files, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,8 +116,11 @@ def canonical_bars(events):
 
 
 def check_schema(events):
-    made = b.judged_bars(events)
-    return checks.schema_check(made, made.select(*SERIES).distinct())
+    """The judged series, and one whose files have no spread."""
+    made = materialise(b.judged_bars(events), "judged")
+    narrow = made.where("symbol = 'SESSION'").withColumn("symbol", F.lit("NARROW")).drop("spread")
+    both = made.unionByName(narrow, allowMissingColumns=True)
+    return checks.schema_check(both, both.select(*SERIES).distinct())
 
 
 def _profiled(check: str, *columns: str) -> Query:
@@ -240,16 +243,11 @@ def compare(bars):
     )
 
 
-def compare_m15_h1(bars):
-    pair = [("M15", "H1")]
-    return crosstf.matched(bars, pair)
-
-
-def cross_tf_no_overlap(bars, pairs=(("M15", "H1"),)):
+def cross_tf_no_overlap(bars):
     """Series whose timeframes share no complete bucket: the H1 side is moved away by a year."""
     away = F.when(F.col("timeframe") == "H1", F.col("ts") + F.expr("INTERVAL '365' DAY"))
     moved = bars.withColumn("ts", F.coalesce(away, F.col("ts")))
-    return crosstf.compare(moved, pairs).select(
+    return crosstf.compare(moved).select(
         "symbol", "pair", "complete_buckets", "compared", "status", "note"
     )
 
@@ -269,34 +267,75 @@ def _with_line_no(bars):
     return bars.withColumn("line_no", F.lit(None).cast("bigint"))
 
 
+def _manifests(bars):
+    """Manifests of bars that come from no export: digest and rows of each series."""
+    known = digest.content_digest(bars).withColumn("schema_version", F.lit(SCHEMA_VERSION))
+    fields = [f for f in store.MANIFEST_SCHEMA if f.name not in ("change", "change_series")]
+    cells = [F.col(f.name) if f.name in known.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return materialise(known.select(*cells), "manifests")
+
+
+def _store(bars):
+    """A store of all series of ``bars``, its change and its manifests."""
+    spark = bars.sparkSession
+    change, manifests = store.Change(spark, _root(spark)), _manifests(bars)
+    change.write_bars(bars, manifests)
+    change.write_manifests(manifests)
+    change.commit()
+    return change, manifests
+
+
+def _first_close_raised(bars):
+    """The first close of each ERROR series is one higher."""
+    first = bars.where(F.col("symbol") == "ERROR").groupBy(*SERIES).agg(F.min("ts").alias("_first"))
+    placed = join_series_values(bars, first, SERIES, "ts")
+    raised = F.when(F.col("ts") == F.col("_first"), F.col("close") + 1).otherwise(F.col("close"))
+    return placed.withColumn("close", raised).drop("_first")
+
+
 def bars_roundtrip(spark, sf_dir):
-    root = _root(spark)
-    store.write_bars(_with_line_no(b.bars(b.read_events(spark, sf_dir))), root)
-    return store.read_bars(spark, root).select(*SERIES, *CANONICAL)
+    """A store whose CLICK series are first stored wrongly and then replaced by a second change."""
+    bars = materialise(_with_line_no(b.bars(b.read_events(spark, sf_dir))), "bars")
+    click = F.col("symbol") == "CLICK"
+    change, _ = _store(bars.withColumn("open", F.when(click, F.col("open") + 1).otherwise(F.col("open"))))
+    later, right = store.Change(spark, change.root), bars.where(click)
+    manifests = _manifests(right)
+    later.write_bars(right, manifests)
+    later.check(manifests)
+    later.write_manifests(manifests)
+    later.commit()
+    return store.read_bars(spark, change.root).select(*SERIES, *CANONICAL)
 
 
 def manifest_table(spark, sf_dir):
-    """Manifests of the series in the raw lines; the source digest stays empty, as there is no file."""
-    rows = b.typed(b.read_events(spark, sf_dir))
+    """Manifests of the series in the raw lines, with the digests of the files that the lines stand for."""
+    lines = materialise(b.raw_lines(b.read_events(spark, sf_dir)), "lines")
+    rows = b.typed_lines(lines)
     resolved = materialise(normalise.resolve(normalise.usable(rows)), "resolved")
     bars = normalise.canonical(resolved)
-    identity = parse.file_identity(rows.select("file").distinct())
-    sources = spark.createDataFrame([], "file string, source_size_bytes bigint, source_sha256 string")
-    made = store.build_manifest(
-        identity,
-        sources,
-        digest.content_digest(bars),
-        coverage.coverage(bars),
-        normalise.normalisation_log(rows, resolved),
+    made = materialise(
+        store.build_manifest(
+            parse.file_identity(rows.select("file").distinct()),
+            lines_as_sources(lines),
+            digest.content_digest(bars),
+            coverage.coverage(bars),
+            normalise.normalisation_log(rows, resolved),
+        ),
+        "manifests",
     )
-    root = _root(spark)
-    store.write_manifests(made, root)
-    return store.read_manifests(spark, root).select(
+    change = store.Change(spark, _root(spark))
+    change.write_bars(bars, made)
+    change.check(made)
+    change.write_manifests(made)
+    change.commit()
+    return store.read_manifests(spark, change.root).select(
         "dataset_id",
         *SERIES,
         "schema_version",
         "timezone",
         "source_filename",
+        "source_sha256",
+        "source_size_bytes",
         "declared_start",
         "declared_end",
         "content_sha256",
@@ -311,26 +350,31 @@ def manifest_table(spark, sf_dir):
 
 
 def verify_datasets(spark, sf_dir):
-    """Store all series, change one stored price of the ERROR series, and verify everything."""
+    """Verify a store whose files hold a changed price of the ERROR series, and VIEW series of another version."""
     bars = materialise(_with_line_no(b.bars(b.read_events(spark, sf_dir))), "bars")
-    root = _root(spark)
-    store.write_bars(bars, root)
-    digests = digest.content_digest(bars)
-    manifests = materialise(
-        digests.withColumn("schema_version", F.lit(store.SCHEMA_VERSION)), "manifests"
-    )
-    stored = store.read_bars(spark, root)
-    first = stored.where(F.col("symbol") == "ERROR").groupBy(*SERIES).agg(F.min("ts").alias("_first"))
-    placed = join_series_values(stored, first, SERIES, "ts")
-    changed = placed.withColumn(
-        "close", F.when(F.col("ts") == F.col("_first"), F.col("close") + 1).otherwise(F.col("close"))
-    )
-    return store.verify(changed, manifests).drop("actual_sha256")
+    change, manifests = store.Change(spark, _root(spark)), _manifests(bars)
+    older = F.when(F.col("symbol") == "VIEW", "0.9.0").otherwise(F.col("schema_version"))
+    change.write_bars(_first_close_raised(bars), manifests.withColumn("schema_version", older))
+    change.write_manifests(manifests)
+    change.commit()
+    return store.verify_datasets(spark, change.root).drop("actual_sha256")
+
+
+def verify_months(spark, sf_dir):
+    """The months that differ after the files of a committed change were written over with a changed price."""
+    bars = materialise(_with_line_no(b.bars(b.read_events(spark, sf_dir))), "bars")
+    change, manifests = _store(bars)
+    change.write_files(_first_close_raised(bars), manifests, mode="overwrite")
+    return store.verify_months(spark, change.root, changed_only=True)
 
 
 def source_digest(events):
     """Digest of the raw export lines as the files they stand for, each line closed by a line feed."""
-    lines = b.raw_lines(events).withColumns(
+    return lines_as_sources(b.raw_lines(events))
+
+
+def lines_as_sources(lines):
+    lines = lines.withColumns(
         {"size": F.octet_length("value") + F.lit(1), "line_sha256": F.sha2(F.col("value").cast("binary"), 256)}
     )
     lines = materialise(lines.select("file", "line_no", "size", "line_sha256"), "line_digests")
@@ -413,8 +457,10 @@ QUERIES: dict[str, Query] = {
     "bars_roundtrip": bars_roundtrip,
     "manifest_table": manifest_table,
     "verify_datasets": verify_datasets,
+    "verify_months": verify_months,
     "source_digest": over_events(source_digest),
     "content_digest": over_events(lambda e: digest.content_digest(b.bars(e))),
+    "month_digest": over_events(lambda e: digest.month_digest(b.bars(e))),
     # normalisation
     "parse_ts": over_events(parse_ts),
     "exact_duplicates": over_events(exact_duplicates),
@@ -457,11 +503,9 @@ QUERIES: dict[str, Query] = {
     "largest_gaps": over_events(largest_gaps),
     # timeframes and coverage
     "rollup_m15_h1": over_events(lambda e: crosstf.roll_up(b.bars(e), "M15", "H1")),
-    "cross_tf_compare": over_events(lambda e: compare_m15_h1(b.bars_h1_changed(b.bars(e)))),
-    "cross_tf_compare_pairs": over_events(lambda e: crosstf.matched(b.bars_h1_changed(b.bars(e)))),
+    "cross_tf_compare": over_events(lambda e: crosstf.matched(b.bars_h1_changed(b.bars(e)))),
     "cross_tf_all": over_stored(lambda e: b.bars_h1_changed(b.bars(e)), compare),
     "cross_tf_no_overlap": over_stored(b.bars, cross_tf_no_overlap),
-    "cross_tf_no_overlap_pairs": over_stored(b.bars, lambda bars: cross_tf_no_overlap(bars, TIMEFRAME_PAIRS)),
     "cross_tf_uncovered": over_stored(b.bars, crosstf.uncovered),
     "coverage": over_events(lambda e: coverage.coverage(b.bars(e))),
     "coverage_tiers": over_events(tiers),

@@ -16,6 +16,7 @@ from candlewarden.sources import digest, files, store
 
 CONFLICTS = "conflicts"
 SUPERSEDED = "superseded"
+INGESTED = "ingested"
 
 
 @dataclass
@@ -37,8 +38,9 @@ def ingest(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
     """Read, normalise, store and verify every export in ``raw_dir``; returns the manifests.
 
     Bars are stored before they are judged, so a series that fails its checks is kept, with its verdict.
-    Manifests follow only when the stored bars have been read back and found equal. All conflicting rows
-    and the exports that a later one supersedes are stored too.
+    All conflicting rows and the exports that a later one supersedes are stored too. Everything goes to new
+    folders, is read back and compared, and becomes the current snapshot by the last step; a job that dies
+    before leaves the store as it was.
     """
     typed, known = files.read_raw(spark, raw_dir)
     resolved = materialise(normalise.resolve(normalise.usable(typed)), "resolved")
@@ -53,32 +55,21 @@ def ingest(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
         ),
         "manifests",
     )
-    store.write_bars(bars, root, emptied=manifests.where("rows = 0"))
-    check_reload(spark, root, manifests)
-    store.write_manifests(manifests, root)
+    change = store.Change(spark, root)
+    change.write_bars(bars, manifests)
+    change.check(manifests)
     # every row that lost or won a conflict, so that what was left out can be looked at
-    normalise.conflicting_rows(normalise.usable(typed)).write.mode("overwrite").parquet(f"{root}/{CONFLICTS}")
-    files.superseded(files.discover(spark, raw_dir)).write.mode("overwrite").parquet(f"{root}/{SUPERSEDED}")
-    known.write.mode("overwrite").parquet(f"{root}/ingested")
+    change.write(normalise.conflicting_rows(normalise.usable(typed)), CONFLICTS)
+    change.write(files.superseded(files.discover(spark, raw_dir)), SUPERSEDED)
+    change.write(known, INGESTED)
+    change.write_manifests(manifests)
+    change.commit()
     return store.read_manifests(spark, root).join(ingested(spark, root), SERIES, "left_semi")
 
 
 def ingested(spark: SparkSession, root: str) -> DataFrame:
     """The series of the last ingest into ``root``."""
-    return spark.read.parquet(f"{root}/ingested").select(*SERIES)
-
-
-def check_reload(spark: SparkSession, root: str, manifests: DataFrame) -> None:
-    """Read the stored series back and compare digests and row counts with their manifests."""
-    series = manifests.select(*SERIES, F.col("rows").alias("_rows"))
-    stored = of_series(store.read_bars(spark, root), manifests, SERIES, "ts")
-    bad = store.verify(stored, manifests).join(series, SERIES).where(
-        ~F.col("ok") | (F.col("rows") != F.col("_rows"))
-    )
-    n = bad.count()
-    if n:
-        first = bad.select(F.concat_ws("_", *SERIES)).head()[0]
-        raise RuntimeError(f"{n} dataset(s) differ after reload, first {first}")
+    return store.read_table(spark, root, INGESTED).select(*SERIES)
 
 
 def quality(spark: SparkSession, root: str, report_dir: str) -> Reports:
@@ -106,7 +97,7 @@ def quality(spark: SparkSession, root: str, report_dir: str) -> Reports:
         coverage=write(covered, "coverage"),
         tiers=write(coverage.coverage_tiers(covered), "tiers"),
         cross_timeframe=write(crosstf.compare(bars), "cross_timeframe"),
-        conflicts=spark.read.parquet(f"{root}/{CONFLICTS}"),
+        conflicts=store.read_table(spark, root, CONFLICTS),
     )
 
 

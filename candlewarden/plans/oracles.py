@@ -35,14 +35,14 @@ changed AS (SELECT * REPLACE (CASE WHEN timeframe = 'H1' AND hour(ts) % 11 = 3 T
 JUDGED = (
     BARS
     + """,
-hourly AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) % 50 AS turn FROM bars WHERE timeframe = 'H1'),
+turned AS (SELECT *, row_number() OVER (PARTITION BY symbol, timeframe ORDER BY ts) % 50 AS turn FROM bars),
 judged AS (SELECT * FROM bars
    UNION ALL
    SELECT symbol || '_BAD', timeframe, CASE WHEN turn = 3 THEN ts + INTERVAL 7 MINUTE ELSE ts END,
           CASE WHEN turn = 2 THEN 0 ELSE open END, CASE WHEN turn = 1 THEN low - 1 ELSE high END, low,
           CASE WHEN turn = 5 THEN close * 3 ELSE close END, tick_volume, volume,
           CASE WHEN turn = 4 THEN -1 ELSE spread END
-   FROM hourly
+   FROM turned
    UNION ALL
    SELECT 'SESSION', timeframe, ts, open, high, low, close, tick_volume, volume, spread
    FROM bars WHERE symbol = 'ALL' AND timeframe = 'H1' AND isodow(ts) <= 5 AND hour(ts) >= 1)"""
@@ -331,7 +331,8 @@ SELECT e.symbol, e.pair, coalesce(complete_buckets, 0) AS complete_buckets, coal
 FROM both_sides e LEFT JOIN counted c USING (symbol, pair) LEFT JOIN complete k USING (symbol, pair) LEFT JOIN missing m USING (symbol, pair)"""
 
 
-def digest_cte(table: str) -> str:
+def digest_cte(table: str, name: str = "digests", month: bool = False) -> str:
+    """Digests of the series of a table, or of its months; ``name`` also starts the names of what it is made of."""
     cells = " || '|' || ".join(
         f"coalesce({c}::VARCHAR, 'null')"
         for c in ("strftime(ts, '%Y-%m-%d %H:%M:%S')", *PRICES, "tick_volume", "volume", "spread")
@@ -342,10 +343,27 @@ def digest_cte(table: str) -> str:
         for i in range(4)
     )
     joined = " || '|' || ".join(f"l{i}::HUGEINT::VARCHAR" for i in range(4))
-    return f"""hashed AS (SELECT symbol, timeframe, sha256({cells}) AS h FROM {table}),
-lanes AS (SELECT symbol, timeframe, count(*) AS rows, {lanes} FROM hashed GROUP BY symbol, timeframe),
-digests AS (SELECT symbol, timeframe, rows,
-  sha256('ts,open,high,low,close,tick_volume,volume,spread|' || rows || '|' || {joined}) AS content_sha256 FROM lanes)"""
+    keys = "symbol, timeframe" + (", month" if month else "")
+    return f"""{name}_hashed AS (SELECT symbol, timeframe, strftime(ts, '%Y-%m') AS month, sha256({cells}) AS h FROM {table}),
+{name}_lanes AS (SELECT {keys}, count(*) AS rows, {lanes} FROM {name}_hashed GROUP BY {keys}),
+{name} AS (SELECT {keys}, rows,
+  sha256('ts,open,high,low,close,tick_volume,volume,spread|' || rows || '|' || {joined}) AS {"month" if month else "content"}_sha256 FROM {name}_lanes)"""
+
+
+def sources_cte() -> str:
+    """Digests of the export files that ``lines`` stand for."""
+    lanes = ", ".join(
+        f"sum(('0x' || substr(h, {1 + i * 16}, 8))::BIGINT::HUGEINT * 4294967296 + ('0x' || substr(h, {9 + i * 16}, 8))::BIGINT)::VARCHAR AS lane{i}"
+        for i in range(4)
+    )
+    return f"""source_lines AS (SELECT file, strlen(value) + 1 AS size, sha256(line_no || '|' || sha256(value)) AS h FROM lines),
+source_sums AS (SELECT file, sum(size)::BIGINT AS source_size_bytes, count(*) AS n, {lanes} FROM source_lines GROUP BY file),
+sources AS (SELECT file, source_size_bytes,
+  sha256(concat_ws('|', source_size_bytes::VARCHAR, n::VARCHAR, lane0, lane1, lane2, lane3)) AS source_sha256 FROM source_sums)"""
+
+
+RAISED = """raised AS (SELECT * REPLACE (CASE WHEN symbol = 'ERROR' AND ts = min(ts) OVER (PARTITION BY symbol, timeframe)
+  THEN close + 1 ELSE close END AS close) FROM bars)"""
 
 
 COVER = "covered AS (SELECT symbol, timeframe, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS rows FROM bars GROUP BY symbol, timeframe)"
@@ -415,27 +433,26 @@ ORACLES: dict[str, str] = {
     "raw_typed": f"""WITH {LINES} SELECT file, line_no, date, time, {VALUES}, too_many_fields, fractional_count, symbol, timeframe FROM typed""",
     "line_numbers": "SELECT count(*) AS lines, 0::BIGINT AS misnumbered FROM events WHERE ts IS NOT NULL",
     "bars_roundtrip": f"WITH {BARS} SELECT symbol, timeframe, ts, {VALUES} FROM bars",
-    "manifest_table": f"""WITH {LINES}, {digest_cte('canonical')},
+    "manifest_table": f"""WITH {LINES}, {digest_cte('canonical')}, {sources_cte()},
         covered AS (SELECT symbol, timeframe, min(ts) AS a, max(ts) AS z FROM canonical GROUP BY symbol, timeframe)
         SELECT symbol || '_' || timeframe AS dataset_id, symbol, timeframe, '1.0.0' AS schema_version, 'broker_server_time_naive' AS timezone,
-        file AS source_filename, regexp_extract(file, '_(\\d{{12}})_', 1) AS declared_start,
+        file AS source_filename, source_sha256, source_size_bytes, regexp_extract(file, '_(\\d{{12}})_', 1) AS declared_start,
         regexp_extract(file, '_(\\d{{12}})\\.csv', 1) AS declared_end, content_sha256, rows,
         strftime(a, '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(z, '%Y-%m-%d %H:%M:%S') AS last_ts,
         rows_in, dropped_unparseable_timestamp, dropped_nan_ohlc, reordered
-        FROM names JOIN digests USING (symbol, timeframe) JOIN covered USING (symbol, timeframe) JOIN log USING (symbol, timeframe)
+        FROM names JOIN sources USING (file) JOIN digests USING (symbol, timeframe) JOIN covered USING (symbol, timeframe) JOIN log USING (symbol, timeframe)
         JOIN disorder USING (symbol, timeframe)""",
-    "verify_datasets": f"""WITH {BARS}, changed AS (SELECT * REPLACE (CASE WHEN symbol = 'ERROR' AND ts = min(ts) OVER (PARTITION BY symbol, timeframe)
-          THEN close + 1 ELSE close END AS close) FROM bars),
-        wanted AS (WITH {digest_cte('bars')} SELECT * FROM digests),
-        found AS (WITH {digest_cte('changed')} SELECT * FROM digests)
-        SELECT symbol, timeframe, f.rows, w.content_sha256 AS expected_sha256, w.content_sha256 = f.content_sha256 AS ok,
-        CASE WHEN w.content_sha256 <> f.content_sha256 THEN 'content hash mismatch' END AS problem
+    "verify_datasets": f"""WITH {BARS}, {RAISED}, {digest_cte('bars', 'wanted')}, {digest_cte('raised', 'found')}
+        SELECT symbol, timeframe, f.rows, w.content_sha256 AS expected_sha256,
+        CASE WHEN symbol = 'VIEW' THEN '0.9.0' ELSE '1.0.0' END AS file_schema_version,
+        w.content_sha256 = f.content_sha256 AND symbol <> 'VIEW' AS ok,
+        CASE WHEN w.content_sha256 <> f.content_sha256 THEN 'content hash mismatch' WHEN symbol = 'VIEW' THEN 'schema version' END AS problem
         FROM wanted w JOIN found f USING (symbol, timeframe)""",
-    "source_digest": f"""WITH {LINES}, hashed AS (SELECT file, strlen(value) + 1 AS size, sha256(line_no || '|' || sha256(value)) AS h FROM lines),
-        sums AS (SELECT file, sum(size)::BIGINT AS source_size_bytes, count(*) AS n,
-          {", ".join(f"sum(('0x' || substr(h, {1 + i * 16}, 8))::BIGINT::HUGEINT * 4294967296 + ('0x' || substr(h, {9 + i * 16}, 8))::BIGINT)::VARCHAR AS lane{i}" for i in range(4))} FROM hashed GROUP BY file)
-        SELECT file, source_size_bytes,
-          sha256(concat_ws('|', source_size_bytes::VARCHAR, n::VARCHAR, lane0, lane1, lane2, lane3)) AS source_sha256 FROM sums""",
+    "verify_months": f"""WITH {BARS}, {RAISED}, {digest_cte('bars', 'wanted', True)}, {digest_cte('raised', 'found', True)}
+        SELECT symbol, timeframe, month, f.rows, w.rows AS expected_rows FROM wanted w JOIN found f USING (symbol, timeframe, month)
+        WHERE w.month_sha256 <> f.month_sha256""",
+    "source_digest": f"WITH {LINES}, {sources_cte()} SELECT * FROM sources",
+    "month_digest": f"WITH {BARS}, {digest_cte('bars', 'months', True)} SELECT * FROM months",
     "content_digest": f"WITH {BARS}, {digest_cte('bars')} SELECT * FROM digests",
     "parse_ts": f"WITH {LINES} SELECT symbol, timeframe, line_no, date, time, ts FROM typed",
     "exact_duplicates": f"WITH {LINES} SELECT * FROM exact WHERE copies > 1",
@@ -447,7 +464,11 @@ ORACLES: dict[str, str] = {
     "canonical_bars": f"WITH {LINES} SELECT * FROM canonical",
     "normalization_log": f"""WITH {LINES} SELECT l.symbol, l.timeframe, {LOG_COLUMNS} FROM log l
         LEFT JOIN removed r USING (symbol, timeframe) LEFT JOIN disorder d USING (symbol, timeframe)""",
-    "check_schema": f"WITH {JUDGED} SELECT DISTINCT symbol, timeframe, 'PASS' AS status, '' AS missing FROM judged",
+    "check_schema": f"""WITH {JUDGED}, tables AS (SELECT * FROM judged
+          UNION ALL SELECT 'NARROW', timeframe, ts, open, high, low, close, tick_volume, volume, NULL FROM judged WHERE symbol = 'SESSION'),
+        seen AS (SELECT symbol, timeframe, concat_ws(',', {", ".join(f"CASE WHEN count({c}) = 0 THEN '{c}' END" for c in ("ts", *VALUES.split(", ")))}) AS missing
+          FROM tables GROUP BY symbol, timeframe)
+        SELECT symbol, timeframe, CASE WHEN missing <> '' THEN 'FAIL' ELSE 'PASS' END AS status, missing FROM seen""",
     "check_row_count": check("row_count", "rows", "first_ts", "last_ts"),
     "check_ts_order": f"""WITH {LINES}, seen AS (SELECT symbol, timeframe, ts, lag(ts) OVER (PARTITION BY symbol, timeframe ORDER BY line_no) AS prev FROM usable),
         f AS (SELECT symbol, timeframe, count(*) - count(DISTINCT ts) AS duplicates, NOT coalesce(bool_or(ts < prev), false) AS monotonic
@@ -485,14 +506,9 @@ ORACLES: dict[str, str] = {
         max(high) AS high, min(low) AS low, last(close ORDER BY ts) AS close, sum(tick_volume)::BIGINT AS tick_volume, sum(volume)::BIGINT AS volume
         FROM bars b WHERE timeframe = 'M15' GROUP BY symbol, time_bucket(INTERVAL 60 MINUTE, b.ts) HAVING count(*) = 4""",
     "cross_tf_compare": f"""WITH {CHANGED}, {pairs_cte('changed')} SELECT symbol, pair, ts,
-        {", ".join(f"{c}_diff" for c in PRICES)}, tick_volume_diff FROM matched WHERE pair = 'M15->H1'""",
-    "cross_tf_compare_pairs": f"""WITH {CHANGED}, {pairs_cte('changed')} SELECT symbol, pair, ts,
         {", ".join(f"{c}_diff" for c in PRICES)}, tick_volume_diff FROM matched""",
     "cross_tf_all": compare_sql(CHANGED, "changed"),
     "cross_tf_no_overlap": f"""SELECT symbol, pair, complete_buckets, compared, status, note FROM (
-        {compare_sql(BARS + ", moved AS (SELECT * REPLACE (CASE WHEN timeframe = 'H1' THEN ts + INTERVAL 365 DAY ELSE ts END AS ts) FROM bars)", "moved")})
-        WHERE pair = 'M15->H1'""",
-    "cross_tf_no_overlap_pairs": f"""SELECT symbol, pair, complete_buckets, compared, status, note FROM (
         {compare_sql(BARS + ", moved AS (SELECT * REPLACE (CASE WHEN timeframe = 'H1' THEN ts + INTERVAL 365 DAY ELSE ts END AS ts) FROM bars)", "moved")})""",
     "cross_tf_uncovered": f"WITH {BARS}, {pairs_cte('bars')} SELECT symbol, pair, ts FROM bare",
     "coverage": f"WITH {BARS}, {COVER} SELECT * FROM covered",

@@ -11,6 +11,7 @@ from candlewarden.sources.files import numbered, split_offsets
 
 LANES = 4
 LANE_DIGITS = 16
+LANE_COLUMNS = [f"_lane{i}" for i in range(LANES)]
 
 
 def _lane_sums(digest: str) -> list[Column]:
@@ -18,7 +19,7 @@ def _lane_sums(digest: str) -> list[Column]:
     lanes = [
         F.conv(F.substring(digest, 1 + i * LANE_DIGITS, LANE_DIGITS), 16, 10).cast("decimal(28,0)") for i in range(LANES)
     ]
-    return [F.sum(lane).alias(f"_lane{i}") for i, lane in enumerate(lanes)]
+    return [F.sum(lane).alias(name) for name, lane in zip(LANE_COLUMNS, lanes, strict=True)]
 
 
 def row_digest() -> Column:
@@ -27,17 +28,33 @@ def row_digest() -> Column:
     return F.sha2(F.concat_ws("|", *cells), 256)
 
 
-def content_digest(bars: DataFrame) -> DataFrame:
-    """(symbol, timeframe, rows, content_sha256), independent of row order, files and extra columns.
+def leaf_sums(bars: DataFrame, *more: str) -> DataFrame:
+    """Leaves of the digest tree: rows and lane sums of every (symbol, timeframe, month), by ``more`` columns too.
 
-    The four 64-bit lanes of the row digests are added up, which needs no sort, no per-series list
-    and combines map-side; the sums and the row count are hashed into one value.
+    The four 64-bit lanes of the row digests are added up, which needs no sort, no list of rows and
+    combines map-side. Sums of leaves are the sums of their rows, so any level is made from the one below.
     """
-    hashed = bars.select(*SERIES, row_digest().alias("_h"))
-    sums = hashed.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("rows"), *_lane_sums("_h"))
-    cells = [F.lit(",".join(CANONICAL)), F.col("rows").cast("string")]
-    cells += [F.col(f"_lane{i}").cast("string") for i in range(LANES)]
-    return sums.select(*SERIES, "rows", F.sha2(F.concat_ws("|", *cells), 256).alias("content_sha256"))
+    hashed = bars.select(*SERIES, *more, F.date_format("ts", "yyyy-MM").alias("month"), row_digest().alias("_h"))
+    return hashed.groupBy(*SERIES, "month", *more).agg(F.count(F.lit(1)).alias("rows"), *_lane_sums("_h"))
+
+
+def node_digest(leaves: DataFrame, *keys: str) -> DataFrame:
+    """(keys, rows, sha256) of the nodes above ``leaves``: their lanes are added up and hashed with the row count."""
+    sums = leaves.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), *[F.sum(c).cast("decimal(38,0)").alias(c) for c in LANE_COLUMNS]
+    )
+    cells = [F.lit(",".join(CANONICAL)), F.col("rows").cast("string"), *[F.col(c).cast("string") for c in LANE_COLUMNS]]
+    return sums.select(*keys, "rows", F.sha2(F.concat_ws("|", *cells), 256).alias("sha256"))
+
+
+def month_digest(bars: DataFrame) -> DataFrame:
+    """(symbol, timeframe, month, rows, month_sha256): the nodes that tell where two contents differ."""
+    return node_digest(leaf_sums(bars), *SERIES, "month").withColumnRenamed("sha256", "month_sha256")
+
+
+def content_digest(bars: DataFrame) -> DataFrame:
+    """(symbol, timeframe, rows, content_sha256), independent of row order, files and extra columns."""
+    return node_digest(leaf_sums(bars), *SERIES).withColumnRenamed("sha256", "content_sha256")
 
 
 def lines_digest(lines: DataFrame) -> DataFrame:
@@ -48,8 +65,7 @@ def lines_digest(lines: DataFrame) -> DataFrame:
     """
     placed = lines.select("file", "size", F.sha2(F.concat_ws("|", "line_no", "line_sha256"), 256).alias("_h"))
     sums = placed.groupBy("file").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"), *_lane_sums("_h"))
-    cells = [F.col("size").cast("string"), F.col("n").cast("string")]
-    cells += [F.col(f"_lane{i}").cast("string") for i in range(LANES)]
+    cells = [F.col("size").cast("string"), F.col("n").cast("string"), *[F.col(c).cast("string") for c in LANE_COLUMNS]]
     return sums.select("file", F.col("size").alias("source_size_bytes"), F.sha2(F.concat_ws("|", *cells), 256).alias("source_sha256"))
 
 

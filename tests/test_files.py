@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import json
+import os
+import re
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from candlewarden.functions.session import materialise
-from candlewarden.operators import normalise, parse
+from candlewarden.operators import checks, normalise, parse
 from candlewarden.plans import ingest
 from candlewarden.schema import ExportLayoutError
 from candlewarden.sources import digest, files, store
@@ -118,10 +122,7 @@ def test_ingest_end_to_end(spark, tmp_path, h1, m30, m15):
 
     # changing one stored value is found, and only there; other datasets still verify
     root = str(tmp_path / "p2")
-    stored = store.read_bars(spark, root).where("timeframe = 'H1'").toPandas()
-    stored.loc[0, "close"] += 1
-    changed = spark.createDataFrame(stored, store.read_bars(spark, root).schema)
-    store.write_bars(changed, root)
+    assert tampered(spark, root, "timeframe = 'H1'", lambda t: t.assign(close=t["close"].where(t.index > 0, t["close"] + 1))) == 1
     with pytest.raises(ValueError, match="content hash mismatch"):
         store.load_dataset(spark, root, "XAUUSD_H1")
     assert store.load_dataset(spark, root, "XAUUSD_H1", check=False)[0].count() == len(h1)
@@ -129,6 +130,172 @@ def test_ingest_end_to_end(spark, tmp_path, h1, m30, m15):
     assert verdicts == {"H1": False, "M30": True, "M15": True}
     asked = store.verify_datasets(spark, root, ["XAUUSD_M15", "XAUUSD_D1"]).collect()
     assert {(r["timeframe"], r["problem"]) for r in asked} == {("M15", None), ("D1", "no manifest")}
+    months = store.verify_months(spark, root, changed_only=True).collect()
+    assert [(r["timeframe"], r["month"], r["rows"], r["expected_rows"]) for r in months] == [("H1", "2024-01", len(h1), len(h1))]
+
+    # a file that states another version is refused, whatever the manifest says
+    root = str(tmp_path / "p")
+    assert tampered(spark, root, "timeframe = 'M15'", lambda t: t.assign(schema_version="0.9.0")) >= 1
+    with pytest.raises(ValueError, match="schema version.*0.9.0"):
+        store.load_dataset(spark, root, "XAUUSD_M15")
+    assert store.load_dataset(spark, root, "XAUUSD_H1")[0].count() == len(h1)
+
+
+def local(path: str) -> str:
+    return re.sub("^file:/+", "/", path)
+
+
+def tampered(spark, root, where, change) -> int:
+    """Rewrite the stored files that hold rows of one series; returns how many there are."""
+    found = [r[0] for r in store.read_stored(spark, root).where(where).select(F.col("_metadata.file_path")).distinct().collect()]
+    for path in found:
+        path = local(path)
+        table = pq.ParquetFile(path).read()
+        frame = table.to_pandas(types_mapper=pd.ArrowDtype)
+        hit = frame.query(where.replace(" = ", " == ")).index
+        frame.loc[hit] = change(frame.loc[hit].reset_index(drop=True)).set_index(hit)
+        pq.write_table(pa.Table.from_pandas(frame, table.schema, preserve_index=False), path)
+        crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    return len(found)
+
+
+@pytest.mark.parametrize(
+    ("step", "after"), [("write_files", True), ("write_bars", True), ("write_manifests", True), ("commit", False), ("commit", True)]
+)
+def test_an_ingest_that_dies_leaves_the_old_state(spark, tmp_path, monkeypatch, h1, step, after):
+    """Killed before or after each step: readers see all of the old store, or (after the commit) all of the new one."""
+    raw, root = tmp_path / "raw", str(tmp_path / "p")
+    raw.mkdir()
+    write_export(raw, h1)
+    write_export(raw, h1.assign(symbol="COAL"))
+    ingest.ingest(spark, str(raw), root)
+
+    def state():
+        rows = {(r["symbol"], r["close"]) for r in store.read_bars(spark, root).select("symbol", "close").collect()}
+        return rows, {(r["symbol"], r["content_sha256"]) for r in store.read_manifests(spark, root).collect()}
+
+    old = state()
+    write_export(raw, h1.assign(close=h1["close"] + 1, high=h1["high"] + 1))
+    real = getattr(store.Change, step)
+
+    def dies(self, *args, **kwargs):
+        if after:
+            real(self, *args, **kwargs)
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(store.Change, step, dies)
+        with pytest.raises(KeyboardInterrupt):
+            ingest.ingest(spark, str(raw), root)
+    seen = state()
+    assert (seen == old) == (not (step == "commit" and after))
+    assert all(r["ok"] for r in store.verify_datasets(spark, root).collect())
+    assert store.verify_months(spark, root).isEmpty()
+    if step == "commit":
+        ingest.ingest(spark, str(raw), root)
+        new = state()
+        assert new != old and {c for s, c in new[0] if s == "COAL"} == {c for s, c in old[0] if s == "COAL"}
+
+
+def test_folders_do_not_grow_with_symbols_and_one_series_is_pruned(spark, tmp_path, to_bars, h1):
+    root = str(tmp_path / "p")
+    many = pd.concat([h1.assign(symbol=f"S{k}") for k in range(150)])
+    bars = to_bars(many).withColumn("line_no", F.lit(None).cast("bigint"))
+    manifests = manifests_of(bars)
+    change = store.Change(spark, root, buckets=8)
+    change.write_bars(bars, manifests)
+    change.write_manifests(manifests)
+    change.commit()
+    folders = [p for p in (tmp_path / "p" / "bars").rglob("*") if p.is_dir()]
+    assert len(folders) <= 1 + 8
+    one = store.read_bars(spark, root, ["S77_H1"]).where("ts >= TIMESTAMP_NTZ'2024-01-10'")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = one._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [" in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "EqualTo(symbol,S77)" in plan and "GreaterThanOrEqual(ts" in plan
+    assert one.count() == (h1["ts"] >= "2024-01-10").sum()
+    assert one.select(F.col("_metadata.file_path")).distinct().count() <= 2
+
+
+def manifests_of(bars):
+    known = digest.content_digest(bars).withColumn("schema_version", F.lit(store.SCHEMA_VERSION))
+    fields = [f for f in store.MANIFEST_SCHEMA if f.name not in ("change", "change_series")]
+    cells = [F.col(f.name) if f.name in known.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return materialise(known.select(*cells), "manifests")
+
+
+def stored_as(spark, root, bars):
+    change, manifests = store.Change(spark, root), manifests_of(bars)
+    change.write_bars(bars, manifests)
+    change.check(manifests)
+    change.write_manifests(manifests)
+    return change
+
+
+def test_changes_of_a_series_replace_each_other_and_compact(spark, tmp_path, to_bars, h1, m15):
+    root = str(tmp_path / "p")
+    first = to_bars(pd.concat([h1, m15, h1.assign(symbol="COAL")]), line_numbers=True)
+    stored_as(spark, root, first).commit()
+    stored_as(spark, root, to_bars(h1.head(50), line_numbers=True)).commit()
+    counts = lambda: {(r["symbol"], r["timeframe"]): r["count"] for r in store.read_bars(spark, root).groupBy("symbol", "timeframe").count().collect()}
+    expected = {("XAUUSD", "H1"): 50, ("XAUUSD", "M15"): len(m15), ("COAL", "H1"): len(h1)}
+    assert counts() == expected
+    assert store.read_bars(spark, root, ["XAUUSD_H1"]).count() == 50
+    assert store.read_manifests(spark, root).count() == 3
+    before = store.current(spark, root)
+    assert store.compact(spark, root).number == before.number + 1
+    assert counts() == expected and all(r["ok"] for r in store.verify_datasets(spark, root).collect())
+    gone = store.vacuum(spark, root)
+    assert len([p for p in (tmp_path / "p" / "bars").iterdir() if p.is_dir()]) == 1 and gone
+    assert counts() == expected and store.verify_months(spark, root).isEmpty()
+
+
+def test_two_writers_from_one_snapshot(spark, tmp_path, to_bars, h1):
+    root = str(tmp_path / "p")
+    stored_as(spark, root, to_bars(h1, line_numbers=True)).commit()
+    a, b = (stored_as(spark, root, to_bars(h1.head(n), line_numbers=True)) for n in (10, 20))
+    a.commit()
+    with pytest.raises(RuntimeError, match="another change"):
+        b.commit()
+    assert store.read_bars(spark, root).count() == 10
+
+
+def test_only_changed_files_are_read_again(spark, tmp_path, monkeypatch, to_bars, h1):
+    root = str(tmp_path / "p")
+    many = pd.concat([h1.assign(symbol=f"S{k}") for k in range(12)])
+    stored_as(spark, root, to_bars(many, line_numbers=True)).commit()
+    seen = []
+    real = store.leaves
+    monkeypatch.setattr(store, "leaves", lambda df: seen.append([r[0] for r in df.select("_metadata.file_name").distinct().collect()]) or real(df))
+    assert store.verify_months(spark, root, changed_only=True).isEmpty() and seen[-1] == []
+    assert tampered(spark, root, "symbol = 'S5'", lambda t: t.assign(spread=t["spread"].where(t.index != 3, t["spread"] + 1))) >= 1
+    found = store.verify_months(spark, root, changed_only=True).collect()
+    assert [(r["symbol"], r["month"]) for r in found] == [("S5", "2024-01")]
+    assert 1 <= len(seen[-1]) <= 2
+    # a file that is gone is missed
+    path = store.read_stored(spark, root).where("symbol = 'S9'").select("_metadata.file_path").first()[0]
+    os.remove(local(path))
+    lost = {r["symbol"]: (r["rows"], r["expected_rows"]) for r in store.verify_months(spark, root, changed_only=True).collect()}
+    assert lost["S9"][0] < lost["S9"][1]
+
+
+def test_a_series_whose_files_lack_a_column(spark, tmp_path, to_bars, h1):
+    root = str(tmp_path / "p")
+    stored_as(spark, root, to_bars(pd.concat([h1, h1.assign(symbol="COAL")]), line_numbers=True)).commit()
+    assert store.column_drift(spark, root).isEmpty()
+    tampered(spark, root, "symbol = 'COAL'", lambda t: t.assign(spread=pd.NA))
+    assert [(r["symbol"], r["column"], r["rows_without"]) for r in store.column_drift(spark, root).collect()] == [("COAL", "spread", len(h1))]
+    bars = store.read_bars(spark, root)
+    verdict = {r["symbol"]: (r["status"], r["missing"]) for r in checks.schema_check(bars, bars.select("symbol", "timeframe").distinct()).collect()}
+    assert verdict == {"COAL": ("FAIL", "spread"), "XAUUSD": ("PASS", "")}
+    results = checks.run_all(bars).collect()
+    assert [r["check_name"] for r in results if r["symbol"] == "COAL"] == ["schema", "row_count"]
+    assert sum(r["symbol"] == "XAUUSD" for r in results) == 14
 
 
 def test_damaged_export_is_counted(spark, tmp_path, h1):
@@ -175,7 +342,7 @@ def test_what_ingest_leaves_out_is_stored(spark, tmp_path, h1):
     write_export(raw, h1.head(5), name="XAUUSD_H1_202401010000_202401190000.csv")
     _, reports = ingest.run(spark, str(raw), root, str(tmp_path / "r"))
     assert reports.conflicts.count() == 60 and reports.conflicts.where("kept").count() == 30
-    gone = spark.read.parquet(f"{root}/{ingest.SUPERSEDED}").collect()
+    gone = store.read_table(spark, root, ingest.SUPERSEDED).collect()
     assert [(r["file"], r["counting_file"]) for r in gone] == [
         ("XAUUSD_H1_202401010000_202401190000.csv", "XAUUSD_H1_202401010000_202402190000.csv")
     ]

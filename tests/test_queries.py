@@ -64,7 +64,7 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["cross_tf_compare_pairs", "cross_tf_no_overlap_pairs"])
+@pytest.mark.parametrize("name", ["cross_tf_compare", "cross_tf_no_overlap"])
 def test_all_pairs_are_compared(spark, name):
     found = {r["pair"] for r in contract.queries()[name](spark, SF_DIR).select("pair").distinct().collect()}
     assert found == {"M15->M30", "M30->H1", "M15->H1"}
