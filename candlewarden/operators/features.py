@@ -1,13 +1,16 @@
 """Rolling features of a price series, and the look-ahead features that must be caught.
 
 A feature is a function ``(bars, keys) -> (keys..., ts, value)``. ``keys`` is the series key, to which
-the causality test adds the cut, so that all prefixes are evaluated in one job.
+the causality test adds the cut, so that all prefixes are evaluated in one job. A feature may say more of
+itself: ``Framed`` how many rows its frame reaches, ``Stepped`` how a value follows from the state before it.
+The causality test then need not evaluate every prefix in whole; any other function is tested as it is.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +28,34 @@ from candlewarden.schema import MINUTES_SQL, SERIES
 Feature = Callable[[DataFrame, Sequence[str]], DataFrame]
 
 
+@dataclass(frozen=True)
+class Framed:
+    """A feature whose value at a row depends on ``before`` rows ahead of it, itself and ``after`` rows behind it."""
+
+    evaluate: Feature
+    before: int = 0
+    after: int = 0
+
+    def __call__(self, bars: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
+        return self.evaluate(bars, keys)
+
+
+@dataclass(frozen=True)
+class Stepped:
+    """A feature that carries a state along the series.
+
+    ``trace`` gives (keys, ts, x, value, states); ``step`` the value of a row from its ``x`` and the states of the
+    row before, which it names by ``previous`` and which are NULL at the first row.
+    """
+
+    trace: Feature
+    states: tuple[str, ...]
+    step: Callable[[Column, dict[str, Column]], Column]
+
+    def __call__(self, bars: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
+        return self.trace(bars, keys).select(*keys, "ts", "value")
+
+
 def _price(bars: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     return bars.select(*keys, "ts", F.col(column).cast("double").alias("x"))
 
@@ -40,7 +71,7 @@ def column_value(column: str) -> Feature:
     def feature(bars, keys=SERIES):
         return _price(bars, keys, column).withColumnRenamed("x", "value")
 
-    return feature
+    return Framed(feature)
 
 
 def rolling_mean(n: int = 5, column: str = "close") -> Feature:
@@ -53,7 +84,7 @@ def rolling_mean(n: int = 5, column: str = "close") -> Feature:
 
         return _framed(bars, keys, column, n - 1, 0, value)
 
-    return feature
+    return Framed(feature, before=n - 1)
 
 
 def centred_mean(n: int = 5, column: str = "close") -> Feature:
@@ -67,7 +98,7 @@ def centred_mean(n: int = 5, column: str = "close") -> Feature:
 
         return _framed(bars, keys, column, half, half, value)
 
-    return feature
+    return Framed(feature, before=half, after=half)
 
 
 def pct_change(column: str = "close") -> Feature:
@@ -77,15 +108,19 @@ def pct_change(column: str = "close") -> Feature:
         linked = with_previous(_price(bars, keys, column), keys, "ts", {"prev": "x"})
         return linked.select(*keys, "ts", (F.try_divide("x", "prev") - 1).alias("value"))
 
-    return feature
+    return Framed(feature, before=1)
 
 
 def expanding_mean(column: str = "close") -> Feature:
-    def feature(bars, keys=SERIES):
+    def trace(bars, keys=SERIES):
         run = with_running(_price(bars, keys, column), keys, "ts", "x", "_total", "_seen")
-        return run.select(*keys, "ts", F.try_divide("_total", "_seen").alias("value"))
+        return run.select(*keys, "ts", "x", F.try_divide("_total", "_seen").alias("value"), "_total", "_seen")
 
-    return feature
+    def step(x: Column, previous: dict[str, Column]) -> Column:
+        total = F.coalesce(previous["_total"], F.lit(0.0)) + F.coalesce(x, F.lit(0.0))
+        return F.try_divide(total, F.coalesce(previous["_seen"], F.lit(0)) + x.isNotNull().cast("bigint"))
+
+    return Stepped(trace, ("_total", "_seen"), step)
 
 
 def ahead(n: int = 1, column: str = "close") -> Feature:
@@ -94,7 +129,7 @@ def ahead(n: int = 1, column: str = "close") -> Feature:
     def feature(bars, keys=SERIES):
         return _framed(bars, keys, column, 0, n, lambda w: F.lead("x", n).over(w))
 
-    return feature
+    return Framed(feature, after=n)
 
 
 def known_ahead(n: int = 1, column: str = "close") -> Feature:
@@ -103,7 +138,7 @@ def known_ahead(n: int = 1, column: str = "close") -> Feature:
     def feature(bars, keys=SERIES):
         return ahead(n, column)(bars, keys).where(F.col("value").isNotNull())
 
-    return feature
+    return Framed(feature, after=n)
 
 
 def future_label(n: int = 3, column: str = "close") -> Feature:
@@ -116,7 +151,7 @@ def future_label(n: int = 3, column: str = "close") -> Feature:
 
         return _framed(bars, keys, column, 0, n, value)
 
-    return feature
+    return Framed(feature, after=n)
 
 
 def zscore(column: str = "close") -> Feature:
@@ -148,7 +183,7 @@ def ewm_mean(span: int = 10, column: str = "close") -> Feature:
     decay = 1.0 - alpha
     size = math.ceil(FORGOTTEN / -math.log(decay)) if decay > 0 else 1
 
-    def feature(bars, keys=SERIES):
+    def trace(bars, keys=SERIES):
         plain = _price(bars, keys, column).withColumn("x", F.nanvl("x", F.lit(None).cast("double")))
         counted = with_running(plain, keys, "ts", "x", "_total", "_seen")
         place = F.greatest(F.col("_seen") - 1, F.lit(0))
@@ -165,11 +200,14 @@ def ewm_mean(span: int = 10, column: str = "close") -> Feature:
         earlier = F.coalesce(F.lag("_end").over(over_blocks), F.lit(0.0))
         ends = ends.withColumn("_end", F.col("_end") + decay**size * earlier)
         starts = ends.select(*keys, BLOCK, F.coalesce(F.lag("_end").over(over_blocks), F.lit(0.0)).alias("_start"))
-        return summed.join(starts, [*keys, BLOCK], "left").select(
-            *keys, "ts", (F.col("_own") + F.col("_start") * F.pow(F.lit(decay), F.col("_k") + 1)).alias("value")
-        )
+        value = F.col("_own") + F.col("_start") * F.pow(F.lit(decay), F.col("_k") + 1)
+        return summed.join(starts, [*keys, BLOCK], "left").select(*keys, "ts", "x", value.alias("value"), value.alias("_mean"))
 
-    return feature
+    def step(x: Column, previous: dict[str, Column]) -> Column:
+        mean = previous["_mean"]
+        return F.when(x.isNull(), mean).when(mean.isNull(), x).otherwise(alpha * x + decay * mean)
+
+    return Stepped(trace, ("_mean",), step)
 
 
 def available_at(bars: DataFrame) -> DataFrame:

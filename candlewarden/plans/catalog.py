@@ -398,7 +398,7 @@ LEAKS = {
     "shortened": features.known_ahead(1),
 }
 # sums of all rows come out of a grouped aggregate or a chunk scan, whose last bits may differ
-TOLERANCE = {"zscore": 1e-9, "ewm10": 1e-9}
+TOLERANCE = {"zscore": 1e-9, "ewm10": 1e-9, "expanding": 1e-9}
 
 
 # quotients of two stored prices: both engines take the same steps

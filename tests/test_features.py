@@ -47,9 +47,51 @@ def test_columns_and_backward_features_are_causal(to_bars, h1):
     bars = to_bars(h1)
     for column in ("open", "spread"):
         causality.assert_causal(bars, features.column_value(column))
-    for name in ("rolling", "pct", "expanding"):
+    for name in ("rolling", "pct"):
         assert causality.is_causal(bars, PANDAS[name][0]), name
-    assert causality.is_causal(bars, PANDAS["ewm"][0], atol=1e-9)
+    for name in ("ewm", "expanding"):
+        assert causality.is_causal(bars, PANDAS[name][0], atol=1e-9), name
+
+
+LEAKING = {
+    "short": features.known_ahead(2),
+    **{name: PANDAS[name][0] for name in ("rolling", "pct", "ewm", "expanding", "centred", "ahead", "label")},
+}
+
+
+@pytest.mark.parametrize("name", LEAKING)
+def test_short_ways_find_what_whole_prefixes_show(to_bars, long_h1, name):
+    """What a feature says of itself saves work only: the verdicts equal those of the plain function."""
+    feature, positions = LEAKING[name], [1, 2, 3, 5, 40, 41, 300, len(long_h1) - 1, len(long_h1)]
+    bars = to_bars(pd.concat([long_h1, long_h1.head(60).assign(symbol="Y")]))
+    short, whole = (
+        causality.compare_prefixes(bars, f, positions, atol=1e-9).drop("prefix_value", "full_value").orderBy("symbol", "cut").toPandas()
+        for f in (feature, lambda df, keys: feature(df, keys))
+    )
+    pd.testing.assert_frame_equal(short, whole)
+
+
+def test_a_state_that_knows_the_future_is_caught(to_bars, h1):
+    """A mean that carries a state, but whose trace was made from the next value."""
+
+    def trace(bars, keys):
+        return features.ahead(1)(bars, keys).select(*keys, "ts", F.col("value").alias("x"), "value", F.col("value").alias("_mean"))
+
+    honest = features.ewm_mean(10)
+    leaking = features.Stepped(trace, honest.states, honest.step)
+    found = causality.compare_prefixes(to_bars(h1), leaking, [5, 50]).orderBy("cut").collect()
+    assert all(r["differing"] > 0 and r["first_bad_ts"] <= r["cut_ts"] for r in found)
+
+
+def test_many_cuts_take_few_rows(to_bars, long_h1, monkeypatch):
+    bars, sizes = to_bars(long_h1), {}
+    real = causality.materialise
+    monkeypatch.setattr(causality, "materialise", lambda df, name: (sizes.setdefault(name, []).append(df.count()), real(df, name))[1])
+    n = len(long_h1)
+    for k in (5, 1000):
+        found = causality.compare_prefixes(bars, features.rolling_mean(5), range(n - k, n)).collect()
+        assert len(found) == k and all(r["compared"] == r["cut"] and r["differing"] == 0 for r in found)
+    assert sizes["slices"] == [5 * 5, 1000 * 5] and sizes["numbered"] == [n, n]
 
 
 def test_lookahead_is_caught(to_bars, h1):
