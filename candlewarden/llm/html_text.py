@@ -1,24 +1,22 @@
-"""Main text of web pages: page structure, and a suffix array per host over whole page streams.
+"""Main text of web pages: page structure, and a suffix array per host over what stands around the articles.
 
 A page falls into blocks of text, and structure says where each stands: inside an article or main
 element or around it, and whether its element or class marks it as a menu, advert, comments and so on.
-Marked blocks are never main text, nor are article elements with a class or id of a comment, advert and so on. What the others are, the host decides: the token streams of its pages
-are concatenated, and a suffix array with common-prefix lengths finds every run of at least ``RUN``
-tokens that distinct pages have. Two rules remove what the runs cover:
-
-* Outside main elements (pages without one have only such text) tokens go that lie in a run which
-  another page has outside its main element too. The unique runs stay, on a page with a main element
-  only if they are more words than what stays inside: then the elements were cards around the body.
-* Inside main elements a run counts only if it also frames other pages: at least two, and no fewer than
-  those that have it inside, have it around their main element and not in it. A block that such runs
-  cover wholly goes, unless it is a heading. Passages that only articles share are text of theirs.
-
-A host may hold any share of the pages: its pages are dealt into groups by size, counted beforehand,
-so that a group has about ``GROUP`` characters of html. A page's stream stays whole. The rules count the
-distinct pages of the whole host: copies (equal blocks in equal places) are one page, dealt once, and all
-get its result. The groups of a split host list all their runs with page counts, also those seen once, the
-counts are added up by run, and each group gets back which of its runs the host decided on. So the
-result does not depend on the number of groups. Runs are told apart there by 64-bit hashes.
+Marked blocks are never main text, nor are article elements with a class or id of a comment, advert and
+so on. Text inside main elements is main text. What stands around them, the host decides: the token streams
+around the main elements of its pages (all text of pages without one) are concatenated, and a suffix array with
+the common prefixes of neighbours finds the substrings of at least ``RUN`` tokens that distinct pages share.
+Tokens that such a run covers go; the unique runs stay, on a page with a main element only if they are more words
+than its text: then the elements were cards around the body. Runs never remove text inside a main element: a
+sentence of an article may be in any number of footers, and articles share passages, so being repeated says
+nothing there.
+
+A host may hold any share of the pages: its pages are dealt into groups by the number of their tokens, counted
+beforehand. The rules count the distinct pages of the whole host: copies (equal blocks in equal places) are one
+page. Every group lists its runs with page counts, the counts are added up by run over the groups of the host,
+and each group gets back which of its runs the host decided on; so the result does not depend on the groups.
+Runs are told apart there by 64-bit hashes. No article text is moved for this: verdicts (bits per token) go back
+to the pages, and only of pages that have something to decide.
 """
 
 from __future__ import annotations
@@ -35,10 +33,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewarden.functions.chunks import join_series_values
 from candlewarden.llm.common import materialise
 
 RUN = 8
-GROUP = 4_000_000
+GROUP = 100_000  # tokens of a group of a host
 
 # where a block stands: around the main element, around it and marked, inside it, inside it as a heading
 AROUND, MARKED_OUT, INSIDE, HEADING = range(4)
@@ -189,27 +188,20 @@ def common_prefixes(codes: np.ndarray, order: np.ndarray, most: int) -> np.ndarr
     return length
 
 
-def _distinct(group: np.ndarray, page: np.ndarray, n_pages: int) -> np.ndarray:
-    """Distinct (group, page) pairs, each as one number."""
-    return np.unique(group * n_pages + page)
-
-
 class _Streams:
-    """Token streams of a group end to end, each followed by a sign of its own: no run crosses streams.
+    """Token streams end to end, each followed by a sign of its own: no run crosses streams.
 
-    ``pages`` tells the page of a stream (one each by default), ``inside`` whether it is from a main
-    element (none by default).
+    ``pages`` tells the page of a stream (one each by default).
     """
 
-    def __init__(self, streams: list[list[int]], run: int, pages: list[int] | None = None, inside: list[bool] | None = None):
+    def __init__(self, streams: list, run: int = RUN, pages: list[int] | None = None):
         self.run, self.sizes = run, np.array([len(s) for s in streams], np.int64)
         owners = np.arange(len(streams)) if pages is None else np.array(pages, np.int64)
         ends = -np.arange(1, len(streams) + 1)
         self.codes = np.concatenate(
-            [np.empty(0, np.int64), *(np.r_[np.array(s, np.int64), e] for s, e in zip(streams, ends, strict=True))]
+            [np.empty(0, np.int64), *(np.r_[np.asarray(s, np.int64), e] for s, e in zip(streams, ends, strict=True))]
         )
         self.page = np.repeat(owners, self.sizes + 1)
-        self.main = np.repeat(np.zeros(len(streams), bool) if inside is None else np.array(inside, bool), self.sizes + 1)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes + 1)])
         self.n_pages = int(owners.max(initial=0)) + 1
 
@@ -217,21 +209,19 @@ class _Streams:
         """For each place, whether a whole run starts there."""
         return np.arange(len(self.codes)) + self.run <= np.repeat(self.starts[1:] - 1, self.sizes + 1)
 
-    def runs(self, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, number of the run there) for all whole runs that come at least ``least`` times."""
-        order = suffix_array(self.codes, self.run)
-        # suffixes that share ``run`` tokens are one group in suffix order
-        group = np.concatenate([[0], np.cumsum(common_prefixes(self.codes, order, self.run) < self.run)])
-        at = np.flatnonzero((np.bincount(group) >= least)[group] & self.fits()[order])
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(places, number of the run there) for all places where a whole run starts."""
+        order = suffix_array(self.codes)
+        # suffixes that share at least ``run`` tokens with their neighbours are one interval
+        shared = common_prefixes(self.codes, order, int(self.sizes.max(initial=0)))
+        group = np.concatenate([[0], np.cumsum(shared < self.run)])
+        at = np.flatnonzero(self.fits()[order])
         return order[at], np.unique(group[at], return_inverse=True)[1]
 
-    def counts(self, at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each run, the pages that have it around their main element, inside it, and around but not inside."""
-        n_groups, main = int(group.max(initial=-1)) + 1, self.main[at]
-        around = _distinct(group[~main], self.page[at][~main], self.n_pages)
-        within = _distinct(group[main], self.page[at][main], self.n_pages)
-        framing = np.setdiff1d(around, within, assume_unique=True)
-        return tuple(np.bincount(x // self.n_pages, minlength=n_groups) for x in (around, within, framing))
+    def counts(self, at: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """How many pages have each run."""
+        pairs = np.unique(group * self.n_pages + self.page[at])
+        return np.bincount(pairs // self.n_pages, minlength=int(group.max(initial=-1)) + 1)
 
     def covered(self, hit: np.ndarray) -> list[np.ndarray]:
         """For each stream, which tokens lie in a run that starts at one of the places ``hit``."""
@@ -242,214 +232,192 @@ class _Streams:
         return [found[a : a + n] for a, n in zip(self.starts, self.sizes, strict=False)]
 
 
-def _decided(n_around: np.ndarray, n_within: np.ndarray, n_framing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which runs count as boilerplate outside main elements, and which inside them."""
-    return n_around > 1, n_framing >= np.maximum(2, n_within)
-
-
-def repeated(
-    streams: list[list[int]], run: int = RUN, pages: list[int] | None = None, inside: list[bool] | None = None
-) -> list[np.ndarray]:
-    """For each stream of token numbers: which tokens lie in a run of ``run`` that makes them boilerplate.
-
-    ``pages`` tells the page of a stream (one each by default), ``inside`` whether it is from a main
-    element (none by default); see the rules at the top.
-    """
-    own = _Streams(streams, run, pages, inside)
+def repeated(streams: list[list[int]], run: int = RUN, pages: list[int] | None = None) -> list[np.ndarray]:
+    """For each stream of token numbers: which tokens lie in a run of ``run`` that another page has too."""
+    own = _Streams(streams, run, pages)
     if not own.sizes.sum():
         return [np.zeros(n, bool) for n in own.sizes]
-    at, group = own.runs(2)  # a run that comes once is no evidence
-    outside, within = _decided(*own.counts(at, group))
-    return own.covered(at[np.where(own.main[at], within[group], outside[group])])
+    at, group = own.runs()
+    return own.covered(at[(own.counts(at, group) > 1)[group]])
 
 
-PARSED = "page_id bigint, url string, host string, parts bigint, content binary, blocks array<string>, stand array<tinyint>"
-EVIDENCE = "host string, bucket bigint, part bigint, runs binary, around binary, within binary, framing binary"
-DECIDED = "host string, part bigint, outside binary, inside binary"
-FOUND = "content binary, text string, n_boilerplate bigint"
+EVIDENCE = "host string, content binary, tokens binary, layout binary, open boolean"
+COUNTED = "host string, bucket bigint, part bigint, runs binary, pages binary"
+DECIDED = "host string, part bigint, runs binary"
+VERDICT = "content binary, gone binary"
+PAGE = "page_id bigint, url string, content binary, text string, blocks string"
+FOUND = "page_id bigint, url string, text string, n_boilerplate bigint"
 _FACTOR = 0x9E3779B97F4A7C15  # odd; a run's hash is a polynomial in it over the hashes of its words
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The blocks of each page, and where they stand; null for a page whose host and blocks the task has had before."""
-    had: set[bytes] = set()
+def _content(host: str, found: list[tuple[str, int]]) -> bytes:
+    return hashlib.blake2b(json.dumps([host, found]).encode(), digest_size=16).digest()
+
+
+def _is_open(found: list[tuple[str, int]]) -> bool:
+    return any(stand == AROUND for _, stand in found)
+
+
+def _hashed(words: list[str]) -> bytes:
+    return np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], "<u8").tobytes()
+
+
+def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashed tokens of each page's streams around main elements, and their lengths."""
     for batch in batches:
-        contents, texts, stands = [], [], []
-        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+        hosts = batch.column("host").to_pylist()
+        rows: list[tuple] = []
+        for host, page in zip(hosts, batch.column("html").to_pylist(), strict=True):
             found = blocks(page or "")
-            named = json.dumps([host, found]).encode()
-            contents.append(hashlib.blake2b(named, digest_size=16).digest())
-            again = contents[-1] in had
-            had.add(contents[-1])
-            texts.append(None if again else [text for text, _ in found])
-            stands.append(None if again else [stand for _, stand in found])
+            streams: list[list[str]] = []
+            outside = False
+            for text, stand in found:
+                if stand < INSIDE:
+                    if not outside:
+                        streams.append([])
+                    streams[-1].extend(text.split())
+                outside = stand < INSIDE
+            layout = np.array([len(words) for words in streams], "<i4").tobytes()
+            rows.append((_content(host, found), _hashed([w for words in streams for w in words]), layout, _is_open(found)))
+        contents, tokens, layouts, is_open = zip(*rows, strict=True) if rows else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(c) for c in ("page_id", "url", "host", "parts")),
-                pa.array(contents, pa.binary()),
-                pa.array(texts, pa.list_(pa.string())),
-                pa.array(stands, pa.list_(pa.int8())),
+                batch.column("host"),
+                *(pa.array(c, pa.binary()) for c in (contents, tokens, layouts)),
+                pa.array(is_open, pa.bool_()),
             ],
-            ["page_id", "url", "host", "parts", "content", "blocks", "stand"],
+            ["host", "content", "tokens", "layout", "open"],
         )
 
 
-def _distinct_pages(table: pa.Table) -> pa.Table:
-    """One row of each content; copies from different tasks meet in one group."""
-    first: dict[bytes, int] = {}
-    for k, content in enumerate(table["content"].to_pylist()):
-        first.setdefault(content, k)
-    return table if len(first) == len(table) else table.take(pa.array(list(first.values()), pa.int64()))
-
-
-class _Pages:
-    """The pages of a group as token streams."""
+class _Group:
+    """The streams of a group of a host's pages."""
 
     def __init__(self, table: pa.Table):
-        self.number: dict[str, int] = {}
-        self.streams: list[list[int]] = []
-        self.pages: list[int] = []
-        self.inside: list[bool] = []
-        # per page, its blocks: text, where it stands, its stream and the place in it
-        self.placed: list[list[tuple[str, int, int, int, int]]] = []
-        for k, (texts, stands) in enumerate(zip(table["blocks"].to_pylist(), table["stand"].to_pylist(), strict=True)):
-            own: list[tuple[str, int, int, int, int]] = []
-            side = None
-            for text, stand in zip(texts, stands, strict=True):
-                if side != (stand >= INSIDE):
-                    side = stand >= INSIDE
-                    self.streams.append([])
-                    self.pages.append(k)
-                    self.inside.append(side)
-                stream = self.streams[-1]
-                start = len(stream)
-                stream.extend([self.number.setdefault(word, len(self.number)) for word in text.split()])
-                own.append((text, stand, len(self.streams) - 1, start, len(stream)))
-            self.placed.append(own)
-
-    def joined(self) -> _Streams:
-        return _Streams(self.streams, RUN, self.pages, self.inside)
-
-    def hashes(self, own: _Streams, at: np.ndarray) -> np.ndarray:
+        self.layouts = [np.frombuffer(x, "<i4") for x in table["layout"].to_pylist()]
+        self.hashes, codes = np.unique(np.frombuffer(b"".join(table["tokens"].to_pylist()), "<u8"), return_inverse=True)
+        sizes = np.concatenate([np.empty(0, "<i4"), *self.layouts])
+        owners = np.repeat(np.arange(len(self.layouts)), [len(x) for x in self.layouts])
+        self.streams = _Streams(np.split(codes, np.cumsum(sizes)[:-1]) if len(sizes) else [], RUN, owners.tolist())
+
+    def runs(self, at: np.ndarray) -> np.ndarray:
         """Hashes of the runs at the places ``at``, the same in every group."""
-        words = np.array([xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) for word in self.number], np.uint64)
         total = np.zeros(len(at), np.uint64)
         for k in range(RUN):
-            total = total * np.uint64(_FACTOR) + words[own.codes[at + k]]
+            total = total * np.uint64(_FACTOR) + self.hashes[self.streams.codes[at + k]]
         return total
 
-    def texts(self, covered: list[np.ndarray]) -> tuple[list[str], list[int]]:
-        """Main text and number of covered tokens of each page."""
-        found, gone = [], []
-        for own in self.placed:
-            left: list[tuple[list[str], int]] = []  # words and where they stand
-            n, weight = 0, [0, 0]
-            for text, stand, stream, start, end in own:
-                removed = covered[stream][start:end]
-                n += int(removed.sum())
-                if stand == MARKED_OUT or (stand == INSIDE and removed.all()):
-                    continue
-                words = text.split()
-                if stand == AROUND:
-                    words = [word for word, out in zip(words, removed.tolist(), strict=True) if not out]
-                left.append((words, stand))
-                weight[stand >= INSIDE] += len(words)
-            around = weight[0] > weight[1]
-            found.append(" ".join(word for words, stand in left if stand >= INSIDE or around for word in words))
-            gone.append(n)
-        return found, gone
-
-
-def _evidence(table: pa.Table) -> pa.Table:
-    """All runs of one group of a split host, with the group's page counts, packed by bucket of their hash."""
-    rows: list[tuple] = []
-    parts = table["parts"][0].as_py()
-    if parts > 1:
-        pages = _Pages(_distinct_pages(table))
-        own = pages.joined()
-        if own.sizes.sum():
-            at, group = own.runs(1)
-            counts = own.counts(at, group)
-            runs = pages.hashes(own, at[np.unique(group, return_index=True)[1]])
+
+def _counted(table: pa.Table) -> pa.Table:
+    """All runs of one group with its page counts, packed by bucket of their hash."""
+    group, rows = _Group(table), []
+    host, part, parts = (table[c][0].as_py() for c in ("host", "part", "parts"))
+    if group.streams.sizes.sum():
+        at, run = group.streams.runs()
+        if len(at):
+            counts = group.streams.counts(at, run)
+            runs = group.runs(at[np.unique(run, return_index=True)[1]])
             bucket = (runs % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((runs, bucket))
             cuts = np.searchsorted(bucket[order], np.arange(parts + 1))
-            host, part = table["host"][0].as_py(), table["part"][0].as_py()
             for k in np.flatnonzero(np.diff(cuts)).tolist():
                 chosen = order[cuts[k] : cuts[k + 1]]
-                packed = (runs[chosen].tobytes(), *(c[chosen].astype("<u4").tobytes() for c in counts))
-                rows.append((host, k, part, *packed))
-    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
-    names = ["host", "bucket", "part", "runs", "around", "within", "framing"]
+                rows.append((host, k, part, runs[chosen].tobytes(), counts[chosen].astype("<u4").tobytes()))
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    names = ["host", "bucket", "part", "runs", "pages"]
     return pa.table({c: pa.array([r[k] for r in rows], kinds[k]) for k, c in enumerate(names)})
 
 
 def _add_up(table: pa.Table) -> pa.Table:
-    """For the runs of a bucket, what the host decides on; each group gets those that it has."""
+    """The runs of a bucket that the host has on more than one page; each group gets those that it has."""
     sizes = [len(x) // 8 for x in table["runs"].to_pylist()]
     runs, run = np.unique(np.frombuffer(b"".join(table["runs"].to_pylist()), "<u8"), return_inverse=True)
-    counts = [
-        np.bincount(run, np.frombuffer(b"".join(table[c].to_pylist()), "<u4"), len(runs)).astype(np.int64)
-        for c in ("around", "within", "framing")
-    ]
-    outside, inside = _decided(*counts)
-    out: tuple[list, list] = ([], [])
-    for own in np.split(run, np.cumsum(sizes)[:-1]):
-        out[0].append(runs[own[outside[own]]].tobytes())
-        out[1].append(runs[own[inside[own]]].tobytes())
-    return pa.table(
-        {"host": table["host"], "part": table["part"], "outside": pa.array(out[0], pa.binary()), "inside": pa.array(out[1], pa.binary())}
-    )
-
-
-def _unique_runs(table: pa.Table, decided: pa.Table | None = None) -> pa.Table:
-    """The text of each page of a group after its boilerplate is removed.
-
-    ``decided`` has the runs that a split host decided on; a group that is a whole host decides itself.
-    """
-    pages = _Pages(table)
-    if decided is None:
-        covered = repeated(pages.streams, RUN, pages.pages, pages.inside)
-    else:
-        own = pages.joined()
-        at = np.flatnonzero(own.fits())
-        runs = pages.hashes(own, at)
-        outside, inside = (np.frombuffer(b"".join(decided[c].to_pylist()), "<u8") for c in ("outside", "inside"))
-        covered = own.covered(at[np.where(own.main[at], np.isin(runs, inside), np.isin(runs, outside))])
-    found, gone = pages.texts(covered)
-    names = [c for c in ("page_id", "url", "content") if c in table.column_names]
-    found_columns = {"text": pa.array(found, pa.string()), "n_boilerplate": pa.array(gone, pa.int64())}
-    return pa.table({c: table[c] for c in names} | found_columns)
+    pages = np.bincount(run, np.frombuffer(b"".join(table["pages"].to_pylist()), "<u4"), len(runs))
+    found = [runs[x[pages[x] > 1]].tobytes() for x in np.split(run, np.cumsum(sizes)[:-1])]
+    return pa.table({"host": table["host"], "part": table["part"], "runs": pa.array(found, pa.binary())})
+
+
+def _verdicts(table: pa.Table, decided: pa.Table) -> pa.Table:
+    """Which tokens around the main element go, as packed bits, for each page that has unmarked text there."""
+    group, rows = _Group(table), []
+    own = group.streams
+    fits = np.flatnonzero(own.fits())
+    known = np.frombuffer(b"".join(decided["runs"].to_pylist()), "<u8")
+    covered = own.covered(fits[np.isin(group.runs(fits), known)])
+    at = 0
+    for content, layout, is_open in zip(table["content"].to_pylist(), group.layouts, table["open"].to_pylist(), strict=True):
+        if is_open:
+            rows.append((content, np.packbits(np.concatenate(covered[at : at + len(layout)])).tobytes()))
+        at += len(layout)
+    return pa.table({c: pa.array([r[k] for r in rows], pa.binary()) for k, c in enumerate(("content", "gone"))})
 
 
-def _cleaned(table: pa.Table, decided: pa.Table) -> pa.Table:
-    return _unique_runs(_distinct_pages(table), decided if table["parts"][0].as_py() > 1 else None)
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text inside main elements; of pages with unmarked text around them also all blocks."""
+    for batch in batches:
+        rows: list[tuple] = []
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            found = blocks(page or "")
+            inside = " ".join(text for text, stand in found if stand >= INSIDE)
+            is_open = _is_open(found)
+            rows.append((_content(host, found), inside, json.dumps(found) if is_open else None))
+        columns = list(zip(*rows, strict=True)) if rows else [()] * 3
+        new = [pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.string(), pa.string()), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *new], ["page_id", "url", "content", "text", "blocks"])
+
+
+def _kept(found: list[list], gone: np.ndarray) -> tuple[str, int]:
+    """Main text of a page with text around its main element, and how many of those words the host removed."""
+    left: list[tuple[list[str], int]] = []  # words and where they stand
+    n, at, weight = 0, 0, [0, 0]
+    for text, stand in found:
+        words = text.split()
+        if stand < INSIDE:
+            out = gone[at : at + len(words)].tolist()
+            at += len(words)
+            if stand == MARKED_OUT:
+                continue
+            n += sum(out)
+            words = [word for word, is_gone in zip(words, out, strict=True) if not is_gone]
+        left.append((words, stand))
+        weight[stand >= INSIDE] += len(words)
+    around = weight[0] > weight[1]
+    return " ".join(word for words, stand in left if stand >= INSIDE or around for word in words), n
+
+
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, removed = [], []
+        for text, found, gone in zip(*(batch.column(c).to_pylist() for c in ("text", "blocks", "gone")), strict=True):
+            n = 0
+            if found is not None:
+                text, n = _kept(json.loads(found), np.unpackbits(np.frombuffer(gone, np.uint8)).astype(bool))
+            texts.append(text)
+            removed.append(n)
+        new = [pa.array(texts, pa.string()), pa.array(removed, pa.int64())]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *new], ["page_id", "url", "text", "n_boilerplate"])
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text (empty if none), n_chars, n_boilerplate (tokens in repeated runs).
+    """One row per page: page_id, url, text (empty if none), n_chars, n_boilerplate (words that the host removed).
 
     Null html is an empty page; a null or odd URL belongs to the host "". Repeated rows and other copies on
-    a host are one page, and each gets its text. Other columns are not read.
+    a host count as one page, and each gets its text. Other columns are not read. Pages are parsed twice, for
+    the evidence and for the text, which is cheaper than moving them.
     """
-    size = F.length(F.coalesce("html", F.lit("")))
-    hosted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), size.alias("size"))
+    hosted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    # a page without text around its main element is no evidence and needs no verdict
+    evidence = hosted.select("host", "html").mapInArrow(_evidence, EVIDENCE).where(F.octet_length("layout") > 0)
+    evidence = materialise(evidence.dropDuplicates(["host", "content"]), "evidence")
+    sizes = evidence.groupBy("host").agg((F.sum(F.octet_length("tokens")) / (8 * GROUP) + 1).cast("bigint").alias("parts"))
     # only hosts that need more than one group: few, whatever the number of hosts
-    hosts = hosted.groupBy("host").agg((F.sum("size") / GROUP).cast("bigint").alias("more")).where("more > 0")
-    # written first, so that Spark knows its size and does not shuffle the pages when it is small
-    hosts = materialise(hosts, "hosts")
-    sized = hosted.join(hosts, "host", "left").select(
-        "page_id", "url", "host", (F.coalesce("more", F.lit(0)) + 1).alias("parts"), "html"
-    )
-    # parsed twice, for the contents and for the rows they are joined back to: cheaper than the disk for a table
-    parsed = sized.mapInArrow(_parse, PARSED)
-    dealt = parsed.where("blocks IS NOT NULL").select(
-        "host", F.pmod(F.xxhash64("content"), "parts").alias("part"), "parts", "content", "blocks", "stand"
-    )
-    # both groupings read one shuffle of the contents; hosts of one group give no evidence
-    evidence = dealt.groupBy("host", "part").applyInArrow(_evidence, EVIDENCE)
-    decided = evidence.groupBy("host", "bucket").applyInArrow(_add_up, DECIDED)
-    found = dealt.groupBy("host", "part").cogroup(decided.groupBy("host", "part")).applyInArrow(_cleaned, FOUND)
+    split = materialise(sizes.where("parts > 1"), "hosts")
+    parts = evidence.join(split, "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
+    dealt = parts.withColumn("part", F.pmod(F.xxhash64("content"), "parts"))
+    counted = dealt.groupBy("host", "part").applyInArrow(_counted, COUNTED)
+    decided = counted.groupBy("host", "bucket").applyInArrow(_add_up, DECIDED)
+    verdicts = dealt.groupBy("host", "part").cogroup(decided.groupBy("host", "part")).applyInArrow(_verdicts, VERDICT)
     # the content's hash has the host in it
-    rows = parsed.select("page_id", "url", "content").join(found, "content")
-    return rows.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_boilerplate")
+    read = hosted.mapInArrow(_read, PAGE)
+    found = join_series_values(read, verdicts, ["content"], "page_id").mapInArrow(_assembled, FOUND)
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_boilerplate")

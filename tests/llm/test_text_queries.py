@@ -124,8 +124,11 @@ def test_packing(spark, documents):
         assert total == 2048 or total & (total - 1) == 0
 
 
-def test_html_text(spark):
-    pages = pd.read_parquet(f"{SF_DIR}/pages.parquet")
+@pytest.mark.parametrize("folder", sorted({SF_DIR, "/root/testdata/sf0.01", "/root/testdata/sf0.1"}))
+def test_html_text(spark, folder):
+    if not os.path.isdir(folder):
+        pytest.skip("test tables absent")
+    pages = pd.read_parquet(f"{folder}/pages.parquet")
     import html
     import re
 
@@ -134,7 +137,7 @@ def test_html_text(spark):
         parts = re.split(r"</?(?:p|h1)>|<br>", body)
         return " ".join(x for x in (" ".join(html.unescape(re.sub(r"<[^>]+>", "", p)).split()) for p in parts) if x)
 
-    found = result(spark, "op4_html_text").set_index("page_id")
+    found = queries.QUERIES["op4_html_text"](spark, folder).toPandas().set_index("page_id")
     for r in pages.itertuples():
         assert found.text[r.page_id] == plain(r.html)
         assert found.n_chars[r.page_id] == len(found.text[r.page_id])
