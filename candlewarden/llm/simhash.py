@@ -14,7 +14,7 @@ five deals at most 10 bits are free, so no key can have more than 1024 members t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -70,10 +70,10 @@ def gray_rank(code: Column) -> Column:
     return code
 
 
-def _bands(free: int) -> list[int]:
-    """Three masks that share out the set bits of ``free``."""
+def _bands(free: int, n: int) -> list[int]:
+    """``n`` masks that share out the set bits of ``free``."""
     bits = [1 << i for i in range(64) if free >> i & 1]
-    cuts = [len(bits) * k // 3 for k in range(4)]
+    cuts = [len(bits) * k // n for k in range(n + 1)]
     return [sum(bits[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
@@ -82,10 +82,13 @@ def _signed(x: int) -> int:
 
 
 class _Forest:
-    """Joins members of one key and keeps only the links that join something."""
+    """Joins members of one key and keeps only the links that join something; ``known`` labels are joined already."""
 
-    def __init__(self, size: int):
+    def __init__(self, size: int, known: np.ndarray | None = None):
         self.label, self.links = np.arange(size), []
+        if known is not None and size:
+            _, first, place = np.unique(known, return_index=True, return_inverse=True)
+            self.label = first[place]
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         news = self.label[a] != self.label[b]
@@ -117,49 +120,52 @@ def _levels(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return levels
 
 
+def near_pairs(codes: np.ndarray, distance: int = DISTANCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (x < y) of all codes within ``distance`` bits of each other; ``codes`` are in Gray order.
+
+    Pairs of nodes are walked from the root. The bits that two nodes both share among their members decide:
+    where these differ in more than ``distance`` places, everything below the pair is left out.
+    """
+    levels, step = _levels(codes), np.arange(FAN)
+    waiting = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    most = _BLOCK // (FAN * FAN)
+    while waiting:
+        level, a, b = waiting.pop()
+        if not level:
+            yield a[a < b], b[a < b]
+            continue
+        mask, value = levels[level - 1]
+        for k in range(0, len(a), most):
+            x, y = a[k : k + most], b[k : k + most]
+            x = np.broadcast_to((x[:, None] * FAN + step)[:, :, None], (len(x), FAN, FAN)).ravel()
+            y = np.broadcast_to((y[:, None] * FAN + step)[:, None, :], (len(y), FAN, FAN)).ravel()
+            inside = (x <= y) & (y < len(value))
+            x, y = x[inside], y[inside]
+            near = np.bitwise_count((value[x] ^ value[y]) & mask[x] & mask[y]) <= distance
+            if near.any():
+                waiting.append((level - 1, x[near], y[near]))
+
+
 def index_links(codes: np.ndarray) -> list[tuple[int, int]]:
     """Links that join all codes within ``DISTANCE`` bits of each other; ``codes`` are distinct, in Gray order."""
-    levels, forest = _levels(codes), _Forest(len(codes))
-    step = np.arange(FAN)
-
-    def walk(level: int, a: np.ndarray, b: np.ndarray) -> None:
-        for k in range(0, len(a), _BLOCK // (FAN * FAN)):
-            x, y = a[k : k + _BLOCK // (FAN * FAN)], b[k : k + _BLOCK // (FAN * FAN)]
-            if level:
-                mask, value = levels[level - 1]
-                x = np.broadcast_to((x[:, None] * FAN + step)[:, :, None], (len(x), FAN, FAN)).ravel()
-                y = np.broadcast_to((y[:, None] * FAN + step)[:, None, :], (len(y), FAN, FAN)).ravel()
-                inside = (x <= y) & (y < len(value))
-                x, y = x[inside], y[inside]
-                near = np.bitwise_count((value[x] ^ value[y]) & mask[x] & mask[y]) <= DISTANCE
-                walk(level - 1, x[near], y[near])
-            else:
-                forest.add(x[x < y], y[x < y])
-
-    root = np.zeros(1, np.int64)
-    walk(len(levels) - 1, root, root)
+    forest = _Forest(len(codes))
+    for a, b in near_pairs(codes):
+        forest.add(a, b)
     return forest.links
 
 
 def _links_of_keys(key: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside each run of equal ``key``: short runs by shifted comparison, longer ones by the index."""
+    """Links inside each run of equal ``key``, by the index of its codes."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    sizes = np.diff(np.r_[starts, len(key)])
-    short = np.repeat(sizes <= FAN, sizes)
-    a, b = [], []
-    for shift in range(1, min(FAN, len(key))):
-        at = np.flatnonzero(
-            short[:-shift] & (key[shift:] == key[:-shift]) & (np.bitwise_count(codes[shift:] ^ codes[:-shift]) <= DISTANCE)
-        )
-        a.append(codes[at])
-        b.append(codes[at + shift])
-    for start, size in zip(starts[sizes > FAN].tolist(), sizes[sizes > FAN].tolist(), strict=True):
-        own = codes[start : start + size]
+    ends = np.r_[starts[1:], len(key)]
+    a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+        own = codes[start:end]
         if found := index_links(own):
             at = np.array(found)
             a.append(own[at[:, 0]])
             b.append(own[at[:, 1]])
-    return np.concatenate([np.empty(0, np.uint64), *a]), np.concatenate([np.empty(0, np.uint64), *b])
+    return np.concatenate(a), np.concatenate(b)
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,30 +188,35 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(keys, codes)
 
 
-def links(codes: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column ``fp``) that join all within two bits of each other."""
-    rest, masks, out = codes.select("fp", F.lit(0).alias("path")), [0], None
+def dealt_keys(
+    codes: DataFrame, search: Callable, result: str, width: int = 64, keep: Sequence[str] = (), distance: int = DISTANCE
+) -> DataFrame:
+    """``search`` over the rows of every key that codes (column ``fp``) within ``distance`` bits may share.
+
+    Of two such codes one of ``distance`` + 1 bands is equal. Rows reach ``search`` as (deal, fp, keep...) by key and
+    Gray rank of the code. ``keep[0]`` tells tables of codes apart; in a table codes are distinct, and every deal
+    fixes its share of the bits that are still free, so keys become small after a few deals.
+    """
+    table, n = list(keep[:1]), distance + 1
+    rest, masks, out = codes.select("fp", *keep, F.lit(0).alias("path")), [0], None
     while True:
-        masks = [fixed | band for fixed in masks for band in _bands(~fixed & (1 << 64) - 1)]
+        masks = [fixed | band for fixed in masks for band in _bands(~fixed & (1 << width) - 1, n)]
         fixed = F.array(*[F.lit(_signed(m)) for m in masks])
-        dealt = rest.select("fp", F.explode(F.array(*[F.col("path") * 3 + i for i in range(3)])).alias("path")).select(
-            "fp", "path", F.col("fp").bitwiseAND(F.element_at(fixed, F.col("path") + 1)).alias("bits")
-        )
-        sizes = materialise(dealt.groupBy("path", "bits").count().where("count > 1"), "keys")
-        some = dealt.join(sizes.where(F.col("count") <= MOST), ["path", "bits"]).select(
-            F.xxhash64("path", "bits").alias("deal"), "fp"
-        )
-        part = (
-            some.repartition("deal")
-            .sortWithinPartitions("deal", gray_rank(F.col("fp")))
-            .mapInArrow(_search, "a bigint, b bigint")
-        )
+        dealt = rest.select("fp", *keep, F.explode(F.array(*[F.col("path") * n + i for i in range(n)])).alias("path"))
+        dealt = dealt.withColumn("bits", F.col("fp").bitwiseAND(F.element_at(fixed, F.col("path") + 1)))
+        key = [*table, "path", "bits"]
+        sizes = materialise(dealt.groupBy(*key).count().where("count > 1"), "keys")
+        some = dealt.join(sizes.where(F.col("count") <= MOST), key).select(F.xxhash64(*key).alias("deal"), "fp", *keep)
+        part = some.repartition("deal").sortWithinPartitions("deal", gray_rank(F.col("fp"))).mapInArrow(search, result)
         out = part if out is None else out.unionByName(part)
         if sizes.where(F.col("count") > MOST).isEmpty():
             return out
-        rest = materialise(
-            dealt.join(sizes.where(F.col("count") > MOST), ["path", "bits"], "left_semi").select("fp", "path"), "hot-codes"
-        )
+        rest = materialise(dealt.join(sizes.where(F.col("count") > MOST), key, "left_semi").select("fp", *keep, "path"), "hot-codes")
+
+
+def links(codes: DataFrame) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column ``fp``) that join all within two bits of each other."""
+    return dealt_keys(codes, _search, "a bigint, b bigint")
 
 
 def groups(prints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -234,14 +245,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = materialise(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"), "prints")
     return prints.join(groups(prints), "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: the one with the least id (then the least fingerprint)."""
-    coded = "_cw_fp"
-    prints = materialise(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "fp"), "prints")
-    label = groups(prints.withColumn("_key", F.struct(F.col("doc_id").isNull(), "doc_id", "fp")), "_key")
-    keep = label.select(F.col("component_id.doc_id").alias("_cw_id"), F.col("component_id.fp").alias("_cw_keep")).distinct()
-    rows = with_fingerprints(docs, out=coded)
-    same = rows["doc_id"].eqNullSafe(keep["_cw_id"]) & (rows[coded] == keep["_cw_keep"])
-    return rows.join(keep, same, "left_semi").dropDuplicates(["doc_id", coded]).drop(coded)

@@ -13,6 +13,7 @@ import corpus_pipeline
 from candlewarden.llm import (
     html_text,
     mixing,
+    near_copies,
     packing,
     quality_nbsvm,
     quality_rules,
@@ -63,10 +64,10 @@ def test_simhash_edges(odd, none):
     by = {(r["doc_id"], r["fp"]): r["component_id"] for r in rows}
     assert by[(1, 0)] == by[(2, 0)] == by[(3, 0)] == by[(None, 0)] == 1
     assert {r["component_id"] for r in rows if r["doc_id"] in (5, 6)} == {5}
-    kept = simhash.keep_one(odd)
+    kept = near_copies.keep_one(odd)
     assert kept.columns == odd.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "4", "5", "None"]
-    assert simhash.keep_one(none).count() == 0
+    assert near_copies.keep_one(none).count() == 0
 
 
 def families(rng, size):
