@@ -139,19 +139,21 @@ CELLS = [
 ]
 
 
-def _header(broken: str | None) -> str:
+def _header(broken: str | None, blank: str | None) -> str:
     def line(cells: list[str]) -> str:
         return f"concat_ws({DELIMITER}, {', '.join(repr(c) for c in cells)})"
 
     swapped = [HEADER[1], HEADER[0], *HEADER[2:]]
     head = f"CASE WHEN symbol = '{broken}' THEN {line(swapped)} ELSE {line(HEADER)} END" if broken else line(HEADER)
+    head = f"CASE WHEN symbol = '{blank}' THEN '  ' ELSE {head} END" if blank else head
     return f"concat(CASE WHEN symbol = 'PURCHASE' THEN '{BOM}' ELSE '' END, {head})"
 
 
-def raw_lines(events: DataFrame, broken_header: str | None = None) -> DataFrame:
+def raw_lines(events: DataFrame, broken_header: str | None = None, blank_header: str | None = None) -> DataFrame:
     """All bars as the text lines of one export file per series, with duplicates, conflicts and faults.
 
-    Columns file, line_no, value. ``broken_header`` names a symbol whose header has two columns swapped.
+    Columns file, line_no, value. ``broken_header`` names a symbol whose header has two columns swapped, ``blank_header``
+    one whose files begin with a white line.
     """
     made = materialise(bars(events), "made")
     rows = with_position(made, SERIES, "ts", "rn").selectExpr("*", f"explode({COPY_LIST}) AS copy")
@@ -162,7 +164,7 @@ def raw_lines(events: DataFrame, broken_header: str | None = None) -> DataFrame:
     )
     names = files(made)
     named = join_series_values(body, names, SERIES, "line_no").select("file", "line_no", "value")
-    return named.unionByName(names.selectExpr("file", "1L AS line_no", f"{_header(broken_header)} AS value"))
+    return named.unionByName(names.selectExpr("file", "1L AS line_no", f"{_header(broken_header, blank_header)} AS value"))
 
 
 def files(made: DataFrame) -> DataFrame:

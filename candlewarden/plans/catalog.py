@@ -60,7 +60,7 @@ def file_identity(events):
 
 
 def header_audit(events):
-    audit = parse.header_audit(b.raw_lines(events, broken_header="VIEW"))
+    audit = parse.header_audit(b.raw_lines(events, broken_header="VIEW", blank_header="SIGNUP"))
     return audit.select("file", "delimiter", F.concat_ws(",", "columns").alias("columns"), "ok")
 
 

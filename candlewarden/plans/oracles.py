@@ -49,7 +49,7 @@ judged AS (SELECT * FROM bars
 )
 
 
-def _lines(broken: str = "") -> str:
+def _lines(broken: str = "", blank: str = "") -> str:
     head = "'<DATE>'||d||'<TIME>'||d||'<OPEN>'||d||'<HIGH>'||d||'<LOW>'||d||'<CLOSE>'||d||'<TICKVOL>'||d||'<VOL>'||d||'<SPREAD>'"
     swapped = head.replace("'<DATE>'||d||'<TIME>'", "'<TIME>'||d||'<DATE>'")
     return (
@@ -73,7 +73,7 @@ lines AS (SELECT n.file, p.line_no,
     FROM placed p JOIN names n USING (symbol, timeframe)
   UNION ALL
   SELECT n.file, 1, (CASE WHEN symbol = 'PURCHASE' THEN chr(65279) ELSE '' END)
-     || (CASE WHEN symbol = '{broken}' THEN {swapped} ELSE {head} END)
+     || (CASE WHEN symbol = '{blank}' THEN '  ' WHEN symbol = '{broken}' THEN {swapped} ELSE {head} END)
   FROM (SELECT DISTINCT symbol, timeframe, d FROM quarter) JOIN names n USING (symbol, timeframe)),
 headers AS (SELECT file, ltrim(value, chr(65279)) AS header FROM lines WHERE line_no = 1),
 audit AS (SELECT file, CASE WHEN contains(header, chr(9)) THEN chr(9) WHEN contains(header, ',') THEN ','
@@ -426,8 +426,8 @@ VALUES = "open, high, low, close, tick_volume, volume, spread"
 ORACLES: dict[str, str] = {
     "file_identity": f"""WITH {LINES} SELECT file, symbol, timeframe, regexp_extract(file, '_(\\d{{12}})_', 1) AS declared_start,
         regexp_extract(file, '_(\\d{{12}})\\.csv', 1) AS declared_end, symbol || '_' || timeframe AS dataset_id, true AS ok FROM names""",
-    "header_audit": f"""WITH {_lines('VIEW')} SELECT file, delimiter,
-        replace(replace(replace(upper(header), delimiter, ','), '<', ''), '>', '') AS columns,
+    "header_audit": f"""WITH {_lines('VIEW', 'SIGNUP')} SELECT file, delimiter,
+        replace(replace(replace(upper(trim(header)), delimiter, ','), '<', ''), '>', '') AS columns,
         replace(replace(replace(upper(header), delimiter, ','), '<', ''), '>', '') = 'DATE,TIME,OPEN,HIGH,LOW,CLOSE,TICKVOL,VOL,SPREAD' AS ok
         FROM audit""",
     "raw_typed": f"""WITH {LINES} SELECT file, line_no, date, time, {VALUES}, too_many_fields, fractional_count, symbol, timeframe FROM typed""",

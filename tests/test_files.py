@@ -39,7 +39,13 @@ def test_unknown_names_and_missing_files_are_refused(spark, tmp_path):
         files.read_raw(spark, str(tmp_path))
 
 
-@pytest.mark.parametrize("content", ["time;price\n09:30;17\n", HEADER.replace("<VOL>\t", "") + "\n", "", "\n\n"])
+ROW = "2019.07.08\t09:45:00\t61.25\t62.5\t60\t61\t7\t3\t4"
+
+
+@pytest.mark.parametrize(
+    "content",
+    ["time;price\n09:30;17\n", HEADER.replace("<VOL>\t", "") + "\n", "", "\n\n", f"\n{HEADER}\n{ROW}\n", f"   \n{HEADER}\n{ROW}\n", f"\t\n{HEADER}\n{ROW}\n"],
+)
 def test_wrong_header_is_refused(spark, tmp_path, content):
     (tmp_path / "XAUUSD_H1_202401010000_202401020000.csv").write_text(content)
     with pytest.raises(ExportLayoutError):
@@ -63,6 +69,28 @@ def test_marked_file_with_semicolons_and_odd_cells(spark, tmp_path):
     assert rows[4]["open"] == 61 and rows[4]["high"] is None and rows[4]["spread"] is None
 
 
+@pytest.mark.parametrize("size", [None, 60], ids=["one split", "many splits"])
+def test_data_and_physical_lines(spark, tmp_path, size):
+    """Blank lines are no data; a line of tabs is blank only where tabs do not separate."""
+    rows = [ROW.replace("61.25", f"{k}.5") for k in range(1, 5)]
+    body = [HEADER, rows[0], "", "   ", rows[1], "", rows[2], "\t\t", rows[3], "", ""]
+    (tmp_path / "COAL_M15_201907080000_201907110000.csv").write_text("\n".join(body) + "\n")
+    commas = [x.replace("\t", ",") for x in body]
+    commas[7] = "\t \t"
+    (tmp_path / "IRON_M15_201907080000_201907110000.csv").write_text("\n".join(commas) + "\n")
+    if size:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        typed = files.read_raw(spark, str(tmp_path))[0].select("symbol", "line_no", "physical_line", "open").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    found = sorted((r["symbol"], r["line_no"], r["physical_line"], r["open"]) for r in typed)
+    assert found == [
+        ("COAL", 2, 2, 1.5), ("COAL", 3, 5, 2.5), ("COAL", 4, 7, 3.5), ("COAL", 5, 8, None), ("COAL", 6, 9, 4.5),
+        ("IRON", 2, 2, 1.5), ("IRON", 3, 5, 2.5), ("IRON", 4, 7, 3.5), ("IRON", 5, 9, 4.5),
+    ]
+
+
 @pytest.mark.parametrize("cells", [["0.25"] * 9, ["7"] * 10], ids=["fraction", "ten cells"])
 def test_rows_that_refuse_their_file(spark, tmp_path, cells):
     row = "\t".join(["2019.07.08", "09:45:00", *cells[2:]])
