@@ -167,17 +167,17 @@ SMALL = 10_000  # values that every task may hold: one row per series, counted b
 HOT = 200  # a key with more than one in so many rows is split
 
 
-def hot_salts(rows: DataFrame, keys: Sequence[str], hot: int = HOT) -> DataFrame | None:
-    """(keys, _salts) for the keys that hold more than one in ``hot`` of the rows; None if there are none.
+def hot_salts(rows: DataFrame, keys: Sequence[str], hot: int = HOT) -> DataFrame:
+    """(keys, _salts) for the keys that hold more than one in ``hot`` of the rows.
 
     Fewer than ``hot`` keys can, whatever the number of keys. A key gets as many salts as it takes to bring
     each down to that share. Only the key columns are read, and they are counted map-side.
     """
-    sizes = materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key-sizes")
-    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    known = rows.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    sizes = materialise(known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key-sizes")
+    total = sizes.agg(F.sum("_n")).first()[0] or 1
     found = sizes.where(F.col("_n") * hot > total).select(*keys, F.ceil(F.col("_n") * hot / total).cast("int").alias("_salts"))
-    listed = found.collect()
-    return rows.sparkSession.createDataFrame(listed, found.schema) if listed else None
+    return rows.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def join_series_values(rows: DataFrame, values: DataFrame, keys: Sequence[str], salt_by: str) -> DataFrame:
@@ -186,18 +186,17 @@ def join_series_values(rows: DataFrame, values: DataFrame, keys: Sequence[str],
     The values are written and counted. Up to ``SMALL`` of them are broadcast, and the rows stay where they
     are. Beyond that both sides are shuffled by key; keys that hold a large share of the rows are measured
     and dealt over salts by a hash of ``salt_by``, and only their values are copied, once per salt. Rows
-    with a null key get no values.
+    with a null key get no values, and are dealt over as many tasks as there are.
     """
     values = materialise(values, "series-values")
     if values.count() <= SMALL:
         return rows.join(F.broadcast(values), list(keys), "left")
-    marks = hot_salts(rows, keys)
-    if marks is None:
-        return rows.join(values, list(keys), "left")
-    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.hash(salt_by), F.col("_salts"))).otherwise(0)
-    salted = rows.join(F.broadcast(marks), list(keys), "left").withColumn("_salt", salt).drop("_salts")
+    marks = F.broadcast(hot_salts(rows, keys))
+    unknown = F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys))
+    salt = F.when(unknown, F.hash(salt_by)).when(F.col("_salts").isNotNull(), F.pmod(F.hash(salt_by), F.col("_salts"))).otherwise(0)
+    salted = rows.join(marks, list(keys), "left").withColumn("_salt", salt).drop("_salts")
     every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    copies = values.join(F.broadcast(marks), list(keys), "left").withColumn("_salt", F.explode(every)).drop("_salts")
+    copies = values.join(marks, list(keys), "left").withColumn("_salt", F.explode(every)).drop("_salts")
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 

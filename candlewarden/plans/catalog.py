@@ -21,6 +21,7 @@ from candlewarden.operators import (
     normalise,
     parse,
     profiles,
+    sketches,
 )
 from candlewarden.plans import bindings as b
 from candlewarden.schema import CANONICAL, PRICES, SCHEMA_VERSION, SERIES
@@ -199,6 +200,16 @@ def check_frequency(bars):
     return facts.select("*", checks.status_of("frequency_and_gaps").alias("status"))
 
 
+SKETCHED = {"spread": "spread", "tick_volume": "tick_volume", "range": "high - low"}
+SKETCH_PROBS = [0.01, 0.25, 0.5, 0.99, 1.0]
+
+
+def sketch_quantiles(bars):
+    """Quantiles from the sketches of two parts of the bars, as of two ingests, merged."""
+    parts = [sketches.sketch(bars.where(F.dayofmonth("ts") % 2 == k), SKETCHED) for k in (0, 1)]
+    return rounded(sketches.quantiles(sketches.merge(parts), SKETCH_PROBS), ["estimate", "farthest"])
+
+
 def check_examples(bars):
     return checks.examples(bars).select(*SERIES, "check_name", "rank", *CANONICAL, "prev_close", "jump")
 
@@ -493,6 +504,7 @@ QUERIES: dict[str, Query] = {
     "check_hour": over_events(lambda e: checks.hour_counts(b.judged_bars(e))),
     "check_price_jumps": over_stored(b.judged_bars, check_price_jumps),
     "check_frequency": over_stored(b.judged_bars, check_frequency),
+    "sketch_quantiles": over_stored(b.judged_bars, sketch_quantiles),
     "check_examples": over_stored(b.judged_bars, check_examples),
     "check_metrics": over_stored(b.judged_bars, check_metrics),
     "quality_report": over_stored(b.judged_bars, quality_report),

@@ -493,6 +493,18 @@ ORACLES: dict[str, str] = {
         LEFT JOIN seen x ON x.symbol = s.symbol AND x.timeframe = s.timeframe AND x.h = r.range""",
     "check_price_jumps": check("price_jumps", "jumps", *rounded("median_range")),
     "check_frequency": check("frequency_and_gaps", "rows", *METRICS["frequency_and_gaps"][1:]),
+    # the exact value of each rank, and its bucket; a value outside its bounds would be missing here
+    "sketch_quantiles": f"""WITH {JUDGED}, measured AS (
+          SELECT symbol, timeframe, unnest(['spread', 'tick_volume', 'range']) AS metric,
+            unnest([round(spread / 1e-6::DOUBLE)::BIGINT, round(tick_volume / 1e-6::DOUBLE)::BIGINT, round((high - low) / 1e-6::DOUBLE)::BIGINT]) AS v FROM judged),
+        ranked AS (SELECT symbol, timeframe, metric, list_sort(list(v)) AS vs, count(*) AS n FROM measured GROUP BY symbol, timeframe, metric),
+        asked AS (SELECT *, unnest([0.01, 0.25, 0.5, 0.99, 1.0]::DOUBLE[]) AS prob FROM ranked),
+        found AS (SELECT *, vs[greatest(ceil(prob * n), 1)::BIGINT] AS exact FROM asked),
+        cut AS (SELECT *, CASE WHEN abs(exact) < 256 THEN 0 ELSE length(bin(abs(exact))) - 8 END AS dropped FROM found),
+        bounds AS (SELECT *, sign(exact) * ((abs(exact) >> dropped) << dropped) AS bucket FROM cut)
+        SELECT symbol, timeframe, metric, prob, n, {near("bucket * 1e-6::DOUBLE")} AS estimate,
+          {near("(bucket + sign(bucket) * floor(abs(bucket) / 128)) * 1e-6::DOUBLE")} AS farthest
+        FROM bounds WHERE abs(exact) BETWEEN abs(bucket) AND abs(bucket) + floor(abs(bucket) / 128)""",
     "check_examples": examples_sql(),
     "check_metrics": metrics_sql(),
     "quality_report": f"WITH {RESULTS} SELECT * FROM results",

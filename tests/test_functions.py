@@ -14,7 +14,7 @@ from candlewarden.functions import chunks
 from candlewarden.functions.quantiles import BUCKET, exact_quantiles
 from candlewarden.functions.session import job_folder, materialise, release, working_dir
 from candlewarden.functions.times import EPOCH, floor_to, micros_between, order_key
-from candlewarden.operators import parse
+from candlewarden.operators import parse, sketches
 from candlewarden.schema import SERIES
 
 
@@ -173,3 +173,43 @@ def test_counts_beyond_the_integers_are_marked(spark):
     got = [(r["tick_volume"], r["fractional_count"]) for r in parse.typed_rows(df).orderBy("line_no").collect()]
     whole = [(100000, False), (9223372036854775807, False), (-3, False), (None, False), (None, False)]
     assert got == [(None, True)] * 4 + whole
+
+
+def test_sketches_merge_and_keep_their_error(spark):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.lognormal(3, 2, 5000), -rng.lognormal(1, 1, 500), [0.0] * 40, [np.nan, np.inf]])
+    rows = pd.DataFrame({"symbol": "X", "timeframe": "H1", "x": values, "part": rng.integers(0, 3, len(values))})
+    df = spark.createDataFrame(rows)
+    whole = sketches.sketch(df, {"x": "x"})
+    parts = sketches.merge([sketches.sketch(df.where(f"part = {k}"), {"x": "x"}) for k in range(3)])
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+    probs = [0.0, 0.01, 0.09, 0.5, 0.9, 0.999, 1.0]
+    known = np.sort(values[np.isfinite(values)])
+    for r in sketches.quantiles(parts, probs).collect():
+        exact = known[max(1, int(np.ceil(r["prob"] * len(known)))) - 1]
+        assert r["n"] == len(known)
+        assert abs(r["estimate"]) - 1e-6 <= abs(exact) <= abs(r["farthest"]) + 1e-6
+        assert abs(exact - r["estimate"]) <= sketches.error() * abs(r["estimate"]) + 2e-6
+
+
+def test_a_key_with_nine_tenths_of_the_rows_is_split(spark, monkeypatch):
+    """Values are looked up alike on every way, and no task gets the rows of the hot key."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(20000).selectExpr("CASE WHEN id % 10 < 9 THEN 'hot' WHEN id % 100 = 99 THEN NULL ELSE string(id) END AS symbol", "'H1' AS timeframe", "id AS ts")
+        values = rows.where("symbol IS NOT NULL").select("symbol", "timeframe").distinct().withColumn("v", F.length("symbol"))
+        expected = sorted((r["ts"], r["v"]) for r in rows.join(F.broadcast(values), ["symbol", "timeframe"], "left").collect())
+        assert sorted((r["ts"], r["v"]) for r in chunks.join_series_values(rows, values, ["symbol", "timeframe"], "ts").collect()) == expected
+        monkeypatch.setattr(chunks, "SMALL", 10)
+        marks = chunks.hot_salts(rows, ["symbol", "timeframe"]).collect()
+        assert [(r["symbol"], r["_salts"]) for r in marks] == [("hot", 180)]
+        joined = chunks.join_series_values(rows, values, ["symbol", "timeframe"], "ts")
+        assert sorted((r["ts"], r["v"]) for r in joined.collect()) == expected
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 0.25 * 20000
+    finally:
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
