@@ -92,16 +92,32 @@ t AS (
 c AS (
   SELECT *, coalesce(floor(target / nullif(source_size, 0)::DOUBLE), 0)::BIGINT AS copies FROM t),
 p AS (
-  SELECT *, target - (copies * source_size)::DOUBLE AS extra, coalesce(target / nullif(source_size, 0)::DOUBLE - copies, 0) AS p FROM c),
+  SELECT *, target - (copies * source_size)::DOUBLE AS extra FROM c),
+k AS (
+  SELECT source, length(bin(size)) AS bits, sum(size)::BIGINT AS words FROM u WHERE size > 0 GROUP BY ALL),
+f AS (
+  SELECT k.source, bits, (extra - coalesce(sum(words) OVER (PARTITION BY k.source ORDER BY bits DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+    / (sum(bits * words) OVER (PARTITION BY k.source ORDER BY bits DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS factor
+  FROM k JOIN p ON k.source IS NOT DISTINCT FROM p.source),
+x AS (
+  SELECT source, arg_max(factor, bits) AS factor FROM f WHERE factor * bits <= 1 GROUP BY source),
+odds AS (
+  SELECT u.doc_id, u.source, size, u, extra, least(1, factor * length(bin(size)))::DOUBLE AS pi
+  FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source JOIN x ON u.source IS NOT DISTINCT FROM x.source
+  WHERE size > 0 AND extra > 0 AND factor > 0),
 ties AS (
-  SELECT u.source, u, sum(size)::BIGINT AS words, any_value(extra) AS extra, any_value((u / (1 - u)) / (p / (1 - p))) AS rank
-  FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source WHERE p > 0 GROUP BY u.source, u),
+  SELECT source, u, CASE WHEN pi >= 1 THEN 0 ELSE (u / (1 - u)) / (pi / (1 - pi)) END::DOUBLE AS rank, sum(size)::BIGINT AS words, any_value(extra) AS extra
+  FROM odds GROUP BY source, u, rank),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY rank, u) AS i,
+    coalesce(sum(words) OVER (PARTITION BY source ORDER BY rank, u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far FROM ties),
 ends AS (
-  SELECT source, max(u) AS last FROM (
-    SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY rank, u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
-    FROM ties) WHERE 2 * so_far + words <= 2 * extra GROUP BY source)
-SELECT doc_id, size, source_size, target, size * (copies + coalesce(u <= last, false)::BIGINT) AS taken
-FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source LEFT JOIN ends ON u.source IS NOT DISTINCT FROM ends.source
+  SELECT source, max(i) AS last FROM numbered WHERE 2 * so_far + words <= 2 * extra GROUP BY source),
+added AS (
+  SELECT n.source, u FROM numbered AS n JOIN ends AS e ON n.source IS NOT DISTINCT FROM e.source WHERE i <= last)
+SELECT u.doc_id, size, source_size, target, size * (copies + (a.u IS NOT NULL AND size > 0)::BIGINT) AS taken
+FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source
+LEFT JOIN (SELECT DISTINCT source, u FROM added) AS a ON a.source IS NOT DISTINCT FROM u.source AND a.u = u.u
 """
 
 WARC_INDEX = """

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from candlewarden.llm import (
@@ -352,6 +353,44 @@ def test_mixture_comes_near_its_targets(spark):
     assert mixed.text.str.split().str.len().sum() == found.taken.sum()
 
 
+def test_long_documents_have_better_odds(spark):
+    """The sample is not the documents of the smallest random numbers: odds grow with length, and rank decides."""
+    rng = random.Random(8)
+    rows = [(k, " ".join(["w"] * (4 if k % 2 else 300)), f"s{k % 3}") for k in range(6000)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    sized = docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
+    sized = sized.withColumn("u", mixing.uniform(F.col("doc_id"), F.col("size")))
+    found = mixing.mix_counts(docs).join(sized.select("doc_id", "source", "u"), "doc_id").toPandas()
+    found["extra"] = found.taken // found["size"] - found.groupby("source").taken.transform("min") // found["size"]
+    for _, own in found.groupby("source"):
+        least = (own.taken // own["size"]).min()
+        added = own.taken // own["size"] - least
+        if not 0 < added.sum() < len(own):
+            continue
+        share = added.groupby(own["size"]).mean()
+        # three bits against nine: the odds of long documents are about three times as good
+        assert 1.5 * share[4] < share[300]
+        assert own.u[added == 0].min() < own.u[added == 1].max()
+        assert abs(own.taken.sum() - own.target.iloc[0]) <= 150
+
+
+def test_cells_are_cut_until_they_are_small(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(k % 700, " ".join(["w"] * rng.randrange(0, 90)), [None, "a", "b"][k % 3]) for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    whole = sorted(map(repr, mixing.mix_counts(docs).collect()))
+    monkeypatch.setattr(mixing, "ORDERED", 0)
+    assert sorted(map(repr, mixing.mix_counts(docs).collect())) == whole
+
+
+def test_columns_of_any_name_pass_through_the_mix(spark):
+    names = ["doc_id", "text", "source", "_size", "_source", "u", "size", "row", "_taken", "rank"]
+    docs = spark.createDataFrame([(k, f"{k} words of text", "s", *range(7)) for k in range(40)], "doc_id bigint, text string, source string, " + ", ".join(f"`{c}` int" for c in names[3:]))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == names and all(r[3:] == (0, 1, 2, 3, 4, 5, 6) for r in map(tuple, mixed.collect()))
+
+
 def test_classifier_edges(odd, none, labels):
     for module in (quality_nbsvm, toxicity_cnn):
         model = module.train(odd, labels)
