@@ -167,10 +167,9 @@ def fit(rows: list) -> dict:
     model = _start([codes[i] for i in learn], labels[learn], rng)
     if len(rows) and labels.min() != labels.max():
         toxic = learn[labels[learn] == 1]
-        clean = learn[labels[learn] == 0][: 4 * max(len(toxic), 50)]
-        used = np.sort(np.concatenate([toxic, clean]))
-        weight = np.where(labels[used] == 1, len(clean) / max(1, len(toxic)), 1.0) ** 0.5
-        _learn(model, [embedding_rows(model["known"], codes[i]) for i in used], labels[used], weight, rng)
+        # all of the sample that is not kept for calibration, toxic rows weighted up by their rarity
+        weight = np.where(labels[learn] == 1, (len(learn) - len(toxic)) / max(1, len(toxic)), 1.0) ** 0.5
+        _learn(model, [embedding_rows(model["known"], codes[i]) for i in learn], labels[learn], weight, rng)
     check = np.flatnonzero(apart) if apart.any() and len(set(labels[apart])) == 2 else learn
     tables = _tables(model)
     margins = np.array([margin(model, tables, codes[i]) for i in check])
@@ -181,12 +180,19 @@ def fit(rows: list) -> dict:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = SAMPLE) -> dict:
-    """A model from about ``most`` labelled documents outside the held-out fold; a pure function of them."""
+    """A model from about ``most`` labelled documents outside the held-out fold; a pure function of them.
+
+    Three quarters of them train the filters, the last quarter sets the curve and the thresholds. Repeated rows
+    of a labelled document are learned from each.
+    """
     return fit_once(labelled_sample(docs, labels, label, most), word_codes, fit)
 
 
 def score(docs: DataFrame, model: dict, text: str = "text", out: str = "score") -> DataFrame:
-    """All columns of ``docs`` with the score (0 to 1) of the whole text; null text is scored like an empty one."""
+    """All columns of ``docs`` with the score (0 to 1) of the whole text.
+
+    Null text is scored like an empty one, repeated rows alike. A column of the name ``out`` must not be there.
+    """
     held: list = []
 
     def compute(texts: list[bytes]) -> dict[str, pa.Array]:
