@@ -6,7 +6,7 @@ from candlewarden.llm import mixing, quality_rules
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
-_RISK, _LEVEL = quality_rules.RISK, f"{quality_rules.ERROR} / (strata * {len(quality_rules.RULES) * quality_rules.TOP})"
+_RISK, _LEVEL = quality_rules.SHARE, f"{quality_rules.ERROR} / (strata * {len(quality_rules.RULES) * quality_rules.TOP})"
 
 QUALITY_RULES = rf"""
 WITH d AS (

@@ -3,9 +3,10 @@
 Every rule is a whole-number score of a document (higher is worse) and rejects from some cutoff up. For
 each stratum (language) and rule, labelled good documents count how many of them a cutoff would reject.
 If at most ``x`` of ``n`` would be, the exact (Clopper-Pearson) upper bound of the rejection rate is at
-most ``RISK`` as long as P(Binomial(n, RISK) <= x) <= the test's level. The level is ``ERROR`` shared
+most ``SHARE`` as long as P(Binomial(n, SHARE) <= x) <= the test's level. The level is ``ERROR`` shared
 over all strata, rules and cutoffs (Bonferroni), so with probability 1 - ERROR every cutoff in use keeps
-its rule's false rejections at or below RISK. The lowest cutoff that passes is used; a stratum with too
+its rule's false rejections at or below SHARE. That is ``RISK`` divided by the number of rules, so in every
+stratum all rules together reject at most RISK of the good documents. The lowest cutoff that passes is used; a stratum with too
 few labels has none, and its documents are judged by the base rules alone.
 
 Everything is DataFrame functions; per document nothing leaves its row.
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from candlewarden.llm.common import WHITE, materialise
 
 MIN_WORDS = 50
-RISK = 0.01
+RISK = 0.02  # of the good documents of a stratum, by all rules together
 ERROR = 0.05
-TOP = 40  # cutoffs 1..TOP; larger scores count as TOP
+# Cutoffs are tried from 1 to TOP, and scores over TOP count as TOP. The scores are fortieths (symbols: twentieths a
+# word), so only ratios of one and more are lumped together; a cutoff of TOP rejects all of them.
+TOP = 40
 
 # rule name -> whole-number score from the feature columns
 RULES: dict[str, str] = {
@@ -32,8 +35,10 @@ RULES: dict[str, str] = {
 }
 
 
-def _position(shift: int = 0) -> str:
-    return f"i + {shift}"
+SHARE = RISK / len(RULES)
+
+
+ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "base_failed", "kept"]
 
 
 def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -91,7 +96,7 @@ def _scores() -> Column:
     )
 
 
-def most_rejected(n: Column, level: Column, risk: float = RISK) -> Column:
+def most_rejected(n: Column, level: Column, risk: float = SHARE) -> Column:
     """The largest x with P(Binomial(n, risk) <= x) <= level; -1 if none.
 
     Terms are summed from the logarithm of the one before. No x above n * risk can pass for levels under
@@ -150,6 +155,8 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str =
     Null text has no words and fails the base rules. A null stratum is one of its own. Repeated rows are
     judged alike. Without labels only the base rules reject. The columns that are added must not be there.
     """
+    if taken := {*ADDED, *(f"_cw_{name}" for name in RULES)} & set(docs.columns):
+        raise ValueError(f"the input already has {', '.join(sorted(taken))}")
     narrow = materialise(
         with_features(docs.select("doc_id", F.col(text).alias("text"), F.col(stratum).alias("lang"))).drop("text"), "features"
     )
