@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import itertools
 import re
 import uuid
 from collections.abc import Iterator
@@ -27,6 +28,9 @@ RECORDS = 1000  # records in an archive at most
 PIECE = 2000  # captures in a piece at most
 SAMPLE = 4000  # about so many keys give the range boundaries
 END = "\r\n\r\n"
+START = "WARC/1.1\r\n"
+# Fixed value: how a revisit says that its payload is that of the record it refers to.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 CAPTURE = (
@@ -81,6 +85,7 @@ def records(pages: DataFrame) -> DataFrame:
         _line("WARC-Date", F.date_format(F.expr("timestamp_ntz'2020-01-01 00:00:00'") + F.make_dt_interval(secs=seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         _line("WARC-Record-ID", F.concat(F.lit("<"), name, F.lit(">"))),
         _line("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<page:"), F.col("holder").cast("string"), F.lit(">")))),
+        _line("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("sha1")))),
         _line("X-Payload-Length", F.octet_length("payload").cast("string")),
         _line("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -106,33 +111,46 @@ def url_key(url: str) -> str:
     return ",".join(reversed(m[1].lower().split("."))) + ")" + (m[2] or "/")
 
 
-def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int]]:
-    """(headers, block, place in the file) of each record, by the lengths that the records state."""
-    at = 0
-    while at < len(data):
-        if not data.startswith(b"WARC/", at):
+def read_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes, int]]:
+    """(headers, block, place in the file) of each record of an archive, by the lengths that the records state.
+
+    The archive comes in the pieces between ``END + START``. A payload may hold that too, so a record is as many
+    pieces as its length asks for; no more than one record is held at a time.
+    """
+    cut = (END + START).encode()
+    at, whole = 0, b""
+    for k, chunk in enumerate(chunks):
+        whole = whole + cut + chunk if whole else (START.encode() + chunk if k else chunk)
+        if not whole.startswith(b"WARC/"):
             raise ValueError(f"no record at {at}")
-        stop = data.index(b"\r\n\r\n", at) + 2
-        head = {k.decode().lower(): v.decode() for k, v in _HEADER.findall(data, data.index(b"\r\n", at) + 2, stop)}
+        stop = whole.find(END.encode()) + 2
+        if stop < 2:
+            raise ValueError(f"the record at {at} has no end of its headers")
+        head = {k.decode().lower(): v.decode() for k, v in _HEADER.findall(whole, whole.index(b"\r\n") + 2, stop)}
         start = stop + 2
         end = start + int(head["content-length"])
-        if data[end : end + 4] != b"\r\n\r\n":
+        if len(whole) < end:
+            continue
+        if whole[end:] not in (b"", END.encode()):  # the last record is followed by its line ends
             raise ValueError(f"the record at {at} does not end where it says")
-        yield head, data[start:end], at
-        at = end + 4
+        yield head, whole[start:end], at
+        at += end + len(END)
+        whole = b""
+    if whole:
+        raise ValueError(f"the record at {at} is cut short")
 
 
 def _number(text: str | None) -> int | None:
     return None if text in (None, "<page:null>") else int(text[len("<page:") : -1])
 
 
-def captures(data: bytes, archive: str) -> list[tuple]:
+def captures(chunks: Iterator[bytes], archive: str) -> list[tuple]:
     """The captures of an archive as CAPTURE rows, sorted by URL key, time and page.
 
     Digest and length of a response are taken from its block and must be what its header states.
     """
     rows = []
-    for head, block, place in read_records(data):
+    for head, block, place in read_records(chunks):
         digest, length = head["warc-payload-digest"].removeprefix("sha1:"), int(head["x-payload-length"])
         if head["warc-type"] == "response":
             found = base64.b32encode(hashlib.sha1(block).digest()).decode(), len(block)
@@ -227,16 +245,21 @@ _SCHEMA = pa.schema(
 def index(spark: SparkSession, path: str, ranges: int) -> DataFrame:
     """All captures of the archives below ``path``: CAPTURE columns and ``part``, ordered by URL key and time.
 
-    The rows of a part are in order, and parts follow each other. An archive is one row of text while it
-    is read; the writer bounds it by records.
+    The rows of a part are in order, and parts follow each other. Archives are read record by record, whatever
+    their size; a compressed file is not split, so a task sees its pieces in order.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("archive"), "value")
+    read = spark.read.option("lineSep", END + START).text(path)
+    files = read.select(F.col("_metadata.file_name").alias("archive"), "value")
 
     def sorted_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for archive, data in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                if rows := captures(data or b"", archive):
-                    yield _arrow(rows, _SCHEMA)
+        rows = (
+            (archive, chunk or b"")
+            for batch in batches
+            for archive, chunk in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True)
+        )
+        for archive, chunks in itertools.groupby(rows, key=lambda row: row[0]):
+            if found := captures((chunk for _, chunk in chunks), archive):
+                yield _arrow(found, _SCHEMA)
 
     runs = materialise(files.mapInArrow(sorted_run, CAPTURE), "runs")
     share = max(1, runs.count() // SAMPLE)
