@@ -18,6 +18,7 @@ K = 7
 S = 2
 _INNER = K - S + 1
 RANGES = 1 << 13  # ranges of ids at most
+SAMPLE = 32  # ids a range that the borders of ranges are chosen from; only the sizes of tasks depend on them
 
 
 def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
@@ -87,8 +88,13 @@ def _range_of(doc_id: Column, cuts: list[int]) -> Column:
 def _ranged(docs: DataFrame, ranges: int) -> DataFrame:
     """``docs`` with ``_cw_range``: ranges of ids with about equal row counts, in id order."""
     wanted = max(1, min(ranges, RANGES))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / wanted for k in range(1, wanted)] or [0.5], 100 * wanted)).first()[0]
-    return docs.withColumn("_cw_range", _range_of(F.col("doc_id"), sorted(set(cuts or [])) if wanted > 1 else []))
+    share = min(1.0, SAMPLE * wanted / max(1, docs.count()))
+    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    # one hash for rows of one id, so a repeated id comes once or not at all
+    some = docs.where("doc_id IS NOT NULL").where(picked).select("doc_id").distinct()
+    ids = sorted(r[0] for r in some.collect()) if wanted > 1 else []
+    cuts = sorted({ids[len(ids) * k // wanted] for k in range(1, wanted)}) if ids else []
+    return docs.withColumn("_cw_range", _range_of(F.col("doc_id"), cuts))
 
 
 def _heads_after(ranged: DataFrame) -> DataFrame:
