@@ -111,7 +111,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
 
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with score (0 to 1) and predicted. Null text is scored like an empty one."""
+    """All columns of ``docs`` with score (0 to 1) and predicted. Null text is scored like an empty one, repeated rows alike."""
+    if "predicted" in docs.columns:
+        raise ValueError("the input already has predicted")
 
     def compute(texts: list[bytes]) -> dict[str, pa.Array]:
         margins = np.array([_margin(model, features(x)) for x in texts])

@@ -67,6 +67,8 @@ def count_tokens(docs: DataFrame, model_path: str, text: str = "text", limit: in
         count = counter(model_path).count
         return {"n_tokens": pa.array([count(x.decode()) for x in texts], pa.int64())}
 
+    if taken := {"n_bytes", "over_limit"} & set(docs.columns):
+        raise ValueError(f"the input already has {', '.join(sorted(taken))}")
     counted = append_columns(docs, text, "n_tokens bigint", compute)
     return counted.withColumns(
         {

@@ -311,7 +311,7 @@ def test_binomial_bound(spark):
 
     for n in (10, 300, 900):
         level, risk = 0.01, 0.01
-        allowed = spark.range(1).select(quality_rules.most_rejected(f"{n}L", f"{level}D").alias("x")).first()["x"]
+        allowed = spark.range(1).select(quality_rules.most_rejected(f"{n}L", f"{level}D", risk).alias("x")).first()["x"]
         total, x = 0.0, -1
         for j in range(n + 1):
             total += comb(n, j) * risk**j * (1 - risk) ** (n - j)
@@ -391,6 +391,42 @@ def test_columns_of_any_name_pass_through_the_mix(spark):
     assert mixed.columns == names and all(r[3:] == (0, 1, 2, 3, 4, 5, 6) for r in map(tuple, mixed.collect()))
 
 
+def test_names_that_are_taken_are_refused(spark, labels):
+    """Operators that add columns never write over one of the input."""
+
+    def with_column(name):
+        return spark.createDataFrame([(1, "some text", "en", 0)], f"doc_id bigint, text string, lang string, `{name}` int")
+
+    for name in ("n_bytes", "n_tokens", "over_limit"):
+        with pytest.raises(ValueError, match=name):
+            tokens.count_tokens(with_column(name), public_tokenizers.path("piece_bpe_32k.model"))
+    for name in ("kept", "n_words", "base_failed"):
+        with pytest.raises(ValueError, match=name):
+            quality_rules.judge(with_column(name), labels)
+    model = quality_nbsvm.train(with_column("x"), labels)
+    for name in ("score", "predicted"):
+        with pytest.raises(ValueError, match=name):
+            quality_nbsvm.score(with_column(name), model)
+    with pytest.raises(ValueError, match="_cw_content"):
+        near_copies.keep_one(with_column("_cw_content"))
+
+
+def test_archives_of_any_payload_are_read_by_record(spark, tmp_path):
+    """Payloads that look like the border of records, and files of several records, compressed or not."""
+    border = "\r\n\r\nWARC/1.1\r\n"
+    payloads = ["", "plain", border, f"a{border}WARC-Type: response\r\n{border}", "\r\n\r\n", "ä" * 50 + border, "plain", None]
+    pages = spark.createDataFrame([(k, f"http://h.example/{k}", p) for k, p in enumerate(payloads)], "page_id bigint, url string, html string")
+    rows = {r["page_id"]: r for r in warc_index.archive_and_index(pages.coalesce(1), 2, str(tmp_path / "w")).collect()}
+    assert {k: r["payload_bytes"] for k, r in rows.items()} == {k: len((p or "").encode()) for k, p in enumerate(payloads)}
+    assert {k: r["refers_to"] for k, r in rows.items() if r["record_type"] == "revisit"} == {0: 7, 1: 6}
+    import gzip
+
+    (path,) = (tmp_path / "w").glob("*.gz")
+    data = gzip.decompress(path.read_bytes())
+    assert data.count(b"WARC-Profile: ") == 2
+    assert all(data[r["place"] :].startswith(b"WARC/1.1\r\nWARC-Type: " + r["record_type"].encode()) for r in rows.values())
+
+
 def test_classifier_edges(odd, none, labels):
     for module in (quality_nbsvm, toxicity_cnn):
         model = module.train(odd, labels)
