@@ -58,8 +58,8 @@ def features(text: bytes) -> np.ndarray:
     return np.unique(everything).astype(np.int32)  # 64 - 46 = 18 bits
 
 
-def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights on plain indicators (the ratio included) and a bias, by dual coordinate descent on the hinge loss."""
+def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights on plain indicators (the ratio included), a bias and the dual values, by dual coordinate descent on the hinge loss."""
     w, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
     values = [ratio[r] / np.sqrt(max(1, len(r))) for r in rows]
     norms = np.array([v @ v + 1.0 for v in values])
@@ -78,7 +78,7 @@ def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, seed: int
                 moved = max(moved, abs(change))
         if moved < 1e-3:
             break
-    return w * ratio, bias
+    return w * ratio, bias, alpha
 
 
 def fit(rows: list) -> dict:
@@ -93,7 +93,7 @@ def fit(rows: list) -> dict:
     for i in learn:
         count[labels[i], codes[i]] += 1
     ratio = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
-    weights, bias = _descend([codes[i] for i in learn], np.where(labels[learn] == 1, 1.0, -1.0), ratio)
+    weights, bias, _ = _descend([codes[i] for i in learn], np.where(labels[learn] == 1, 1.0, -1.0), ratio)
     model = {"weights": weights.astype(np.float32), "bias": bias}
     check = np.flatnonzero(apart) if apart.any() and len(set(labels[apart])) == 2 else learn
     margins = np.array([_margin(model, codes[i]) for i in check])
