@@ -159,7 +159,7 @@ def test_ingest_end_to_end(spark, tmp_path, h1, m30, m15):
     asked = store.verify_datasets(spark, root, ["XAUUSD_M15", "XAUUSD_D1"]).collect()
     assert {(r["timeframe"], r["problem"]) for r in asked} == {("M15", None), ("D1", "no manifest")}
     months = store.verify_months(spark, root, changed_only=True).collect()
-    assert [(r["timeframe"], r["month"], r["rows"], r["expected_rows"]) for r in months] == [("H1", "2024-01", len(h1), len(h1))]
+    assert [(r["timeframe"], r["month"], r["rows"], r["expected_rows"]) for r in months] == [("H1", "2023-09", len(h1), len(h1))]
 
     # a file that states another version is refused, whatever the manifest says
     root = str(tmp_path / "p")
@@ -238,7 +238,7 @@ def test_folders_do_not_grow_with_symbols_and_one_series_is_pruned(spark, tmp_pa
     change.commit()
     folders = [p for p in (tmp_path / "p" / "bars").rglob("*") if p.is_dir()]
     assert len(folders) <= 1 + 8
-    one = store.read_bars(spark, root, ["S77_H1"]).where("ts >= TIMESTAMP_NTZ'2024-01-10'")
+    one = store.read_bars(spark, root, ["S77_H1"]).where("ts >= TIMESTAMP_NTZ'2023-09-14'")
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
         plan = one._jdf.queryExecution().executedPlan().toString()
@@ -246,7 +246,7 @@ def test_folders_do_not_grow_with_symbols_and_one_series_is_pruned(spark, tmp_pa
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "PartitionFilters: [" in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "EqualTo(symbol,S77)" in plan and "GreaterThanOrEqual(ts" in plan
-    assert one.count() == (h1["ts"] >= "2024-01-10").sum()
+    assert one.count() == (h1["ts"] >= "2023-09-14").sum()
     assert one.select(F.col("_metadata.file_path")).distinct().count() <= 2
 
 
@@ -303,7 +303,7 @@ def test_only_changed_files_are_read_again(spark, tmp_path, monkeypatch, to_bars
     assert store.verify_months(spark, root, changed_only=True).isEmpty() and seen[-1] == []
     assert tampered(spark, root, "symbol = 'S5'", lambda t: t.assign(spread=t["spread"].where(t.index != 3, t["spread"] + 1))) >= 1
     found = store.verify_months(spark, root, changed_only=True).collect()
-    assert [(r["symbol"], r["month"]) for r in found] == [("S5", "2024-01")]
+    assert [(r["symbol"], r["month"]) for r in found] == [("S5", "2023-09")]
     assert 1 <= len(seen[-1]) <= 2
     # a file that is gone is missed
     path = store.read_stored(spark, root).where("symbol = 'S9'").select("_metadata.file_path").first()[0]
