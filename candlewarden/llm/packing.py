@@ -29,7 +29,7 @@ CAPACITY = 2048
 END = 1
 POOL = 4096  # pieces that wait in a task; each is shorter than a window
 _FLUSH = 8 << 20
-WORDS, RUNS = 100_000, 150_000  # words and runs whose ids a worker remembers
+WORDS, RUNS = 300_000, 250_000  # words and runs whose ids a worker remembers; about 200 bytes each
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 

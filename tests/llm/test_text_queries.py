@@ -18,7 +18,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
-from candlewarden.llm import oracles, queries, syncmers
+from candlewarden.llm import oracles, packing, queries, syncmers
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables absent")
@@ -208,3 +208,13 @@ def test_syncmers(spark, documents):
         assert r.edited_fingerprint == " ".join(map(str, plain_anchors(edited)))
         assert r.near_edited == pytest.approx(like(plain_anchors(text), plain_anchors(edited)))
         assert r.near_next == pytest.approx(like(plain_anchors(text), plain_anchors(follower)))
+
+
+def test_packing_remembers_the_words_of_many_documents():
+    """A task meets some 370,000 distinct words in 20 MB of text; the common ones must not be computed again and again."""
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    computed = []
+    words.memo.compute = lambda word: computed.append(word) or b""
+    text = b" ".join(b"w%d" % k for k in range(200_000))
+    words.of(text + b" " + text)
+    assert len(computed) == 200_000
