@@ -28,7 +28,9 @@ SALT = "mix-1"
 
 
 def n_words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
+    """Number of words. Each word and the white space after it becomes one sign, so no list of a text's words is made."""
+    signs = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", "w")
+    return F.length(F.ltrim(signs, F.lit(" \t\n\v\f\r"))).cast("bigint")
 
 
 def uniform(doc_id: Column, size: Column) -> Column:

@@ -342,6 +342,18 @@ def test_mixing_edges(odd, none):
     assert sorted(map(repr, mixing.mix_counts(odd).collect())) == sorted(map(repr, rows))
 
 
+def test_words_are_counted_without_a_list_of_them(spark, capsys):
+    rng = random.Random(4)
+    signs = " \t\n\v\f\r" + "ab$w\x00\x1c\x85\xa0\u2028é\U0001f600"
+    texts = [None, "", " ", "\n\r", "w", " w", "w ", "w w\n", "$1 \\", "x " * 50_000 + " " * 50_000, " " * 50_000 + "x"]
+    texts += ["".join(rng.choices(signs, k=rng.randrange(1, 30))) for _ in range(500)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = rows.select("doc_id", mixing.n_words(F.col("text")).alias("n"))
+    assert {r["doc_id"]: r["n"] for r in found.collect()} == {k: len((t or "").encode().split()) for k, t in enumerate(texts)}
+    found.explain()  # regexp_count would make an array of all words of a text
+    assert "regexp_extract_all" not in capsys.readouterr().out
+
+
 def test_mixture_comes_near_its_targets(spark):
     rng = random.Random(3)
     rows = [(k, " ".join(["w"] * rng.randrange(1, 200)), f"s{min(rng.randrange(9), 4)}") for k in range(3000)]
